@@ -2,16 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txnstar.schema import INGEST_DATE, RAW_COLUMNS, RAW_ZONE_SCHEMA
 
 
-def check_columns(columns: list[str]) -> None:
-    missing = [c for c in RAW_COLUMNS if c not in columns]
+def contract_columns(columns: list[str]) -> list[Column]:
+    """Of a file with these ``columns``, the contract's in its order, then any others.
+
+    Others stay because they are part of what makes two raw rows equal.
+    """
+    found = {c.lower() for c in columns}
+    missing = [c for c in RAW_COLUMNS if c.lower() not in found]
     if missing:
         raise ValueError(f"raw files lack the columns {missing}")
+    known = {c.lower() for c in RAW_COLUMNS}
+    names = RAW_COLUMNS + [c for c in columns if c.lower() not in known]
+    return [F.col(f"`{c}`").alias(c) for c in names]
 
 
 def read_raw(spark: SparkSession, root: str, infer_schema: bool = False) -> DataFrame:
@@ -28,14 +36,17 @@ def read_raw(spark: SparkSession, root: str, infer_schema: bool = False) -> Data
         .option("inferSchema", infer_schema)
         .csv(root)
     )
-    check_columns(df.columns)
-    extra = [c for c in df.columns if c not in RAW_COLUMNS and c != "date"]
-    cols = [F.col(f"`{c}`") for c in RAW_COLUMNS + extra]
+    cols = contract_columns([c for c in df.columns if c != "date"])
     if "date" in df.columns:
         cols.append(F.col("date").cast("date").alias(INGEST_DATE))
     return df.select(*cols)
 
 
 def read_raw_zone(spark: SparkSession, root: str) -> DataFrame:
-    """The Parquet raw zone; with the schema given, a zone still empty reads as no rows."""
-    return spark.read.schema(RAW_ZONE_SCHEMA).parquet(root)
+    """The Parquet raw zone with every column any drop had; no rows while it is empty."""
+    empty = spark.read.schema(RAW_ZONE_SCHEMA).parquet(root)
+    if empty.isEmpty():
+        return empty
+    zone = spark.read.option("mergeSchema", True).parquet(root)
+    cols = contract_columns([c for c in zone.columns if c != INGEST_DATE])
+    return zone.select(*cols, F.col(INGEST_DATE).cast("date").alias(INGEST_DATE))

@@ -9,7 +9,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from txnstar.schema import INGEST_DATE, RAW_COLUMNS, text_schema
-from txnstar.sources.raw import check_columns
+from txnstar.sources.raw import contract_columns
 
 log = logging.getLogger(__name__)
 DROPS = "*.csv"
@@ -20,9 +20,7 @@ def _header(spark: SparkSession, landing: str) -> list[str] | None:
     reader = spark.read.option("pathGlobFilter", DROPS)
     if reader.text(landing).isEmpty():
         return None
-    columns = reader.option("header", True).csv(landing).columns
-    check_columns(columns)
-    return columns
+    return reader.option("header", True).csv(landing).columns
 
 
 def ingest_landing(
@@ -46,8 +44,9 @@ def ingest_landing(
     columns = _header(spark, landing)
     if columns is None:
         log.warning("no files in the landing folder %s", landing)
+        columns = RAW_COLUMNS
     source = (
-        spark.readStream.schema(text_schema(columns or RAW_COLUMNS))
+        spark.readStream.schema(text_schema(columns))
         .option("header", True)
         .option("enforceSchema", False)
         .option("pathGlobFilter", DROPS)
@@ -59,7 +58,7 @@ def ingest_landing(
     day = F.current_date() if ingest_date is None else F.lit(str(ingest_date)).cast("date")
     query = (
         source.csv(landing)
-        .select(*[F.col(f"`{c}`") for c in RAW_COLUMNS], day.alias(INGEST_DATE))
+        .select(*contract_columns(columns), day.alias(INGEST_DATE))
         .writeStream.format("parquet")
         .partitionBy(INGEST_DATE)
         .option("checkpointLocation", checkpoint)
