@@ -30,14 +30,15 @@ def ingest_landing(
     checkpoint: str,
     archive: str | None = None,
     ingest_date: dt.date | str | None = None,
-    max_bytes_per_trigger: str | None = None,
+    max_bytes_per_trigger: int | None = None,
 ) -> bool:
     """Append the new files in ``landing`` to ``raw_root/ingest_date=.../`` and stop.
 
     The checkpoint makes a rerun take nothing twice, also after a crash. A file is known
     by its path: sending the same name again has no effect, so producers must use
     new names. With ``archive``, files move there once a *later* batch has committed.
-    A file whose header differs from the others' fails the run instead of being shifted.
+    A file whose header differs from the others' fails the run instead of being shifted;
+    correct it in place and run again.
     ``max_bytes_per_trigger`` bounds a batch after a long outage. Returns whether any
     rows came in.
     """
