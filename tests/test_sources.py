@@ -200,6 +200,12 @@ def test_load_refuses_unknown_tables_and_columns(spark, warehouse):
         load_table(rows, f"{warehouse}.DIM_TRANSACTION_TYPE")
 
 
+def test_load_through_a_connector(spark):
+    """The no-op connector takes what a database would be sent."""
+    rows = spark.createDataFrame([(7, "Debit")], "TYPE_ID long, TRANSACTION_TYPE string")
+    load_table(rows, "DIM_TRANSACTION_TYPE", fmt="noop", options={"any": "option"})
+
+
 class _Conf:
     def __init__(self, values):
         self.conf = self

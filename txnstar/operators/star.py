@@ -7,55 +7,51 @@ from pyspark.sql import functions as F
 
 from txnstar import functions as X
 from txnstar.operators.keys import SMALL_BYTES, assign_key, lookup_key, one_per_key
-from txnstar.schema import STAR_SCHEMAS
+from txnstar.schema import ACCOUNT_COLUMNS, FACT_COLUMNS, MERCHANT_COLUMNS
 
 # The later transaction speaks for the account or merchant.
 LATEST = ["TransactionDate", "TransactionID"]
 
 
+def _renamed(df: DataFrame, names: dict[str, str]) -> DataFrame:
+    return df.select(*[F.col(f"`{old}`").alias(new) for old, new in names.items()])
+
+
 def build_dim_date(clean: DataFrame) -> DataFrame:
     """All attributes follow from the day, so only the days are shuffled."""
     day = F.col("date")
-    return (
-        clean.select(F.col("txn_date").alias("date"))
-        .distinct()
-        .select(
-            day,
-            F.year(day).alias("year"),
-            F.month(day).alias("month"),
-            F.dayofmonth(day).alias("day"),
-            F.dayofweek(day).alias("day_of_week"),
-            F.date_format(day, "EEEE").alias("day_name"),
-            F.date_format(day, "MMMM").alias("month_name"),
-            F.quarter(day).alias("quarter"),
-            X.date_key(day).alias("date_id"),
-        )
-    )
-
-
-def _build_dim(
-    clean: DataFrame, table: str, key: str, attributes: list[str], drop_null_keys: bool
-) -> DataFrame:
+    attributes = {
+        "year": F.year(day),
+        "month": F.month(day),
+        "day": F.dayofmonth(day),
+        "day_of_week": F.dayofweek(day),
+        "day_name": F.date_format(day, "EEEE"),
+        "month_name": F.date_format(day, "MMMM"),
+        "quarter": F.quarter(day),
+        "date_id": X.date_key(day),
+    }
+    return _renamed(clean, {"txn_date": "date"}).distinct().withColumns(attributes)
+
+
+def _latest(clean: DataFrame, names: dict[str, str], drop_null_keys: bool) -> DataFrame:
+    key, *attributes = names
     rows = clean.dropna(subset=[key]) if drop_null_keys else clean
-    dim = one_per_key(rows, [key], LATEST, attributes)
-    return dim.toDF(*STAR_SCHEMAS[table].names)
+    return _renamed(one_per_key(rows, [key], LATEST, attributes), names)
 
 
 def build_dim_account(clean: DataFrame, drop_null_keys: bool = False) -> DataFrame:
-    attributes = ["CustomerAge", "CustomerOccupation", "AccountBalance"]
-    return _build_dim(clean, "dim_account", "AccountID", attributes, drop_null_keys)
+    return _latest(clean, ACCOUNT_COLUMNS, drop_null_keys)
 
 
 def build_dim_merchant(clean: DataFrame, drop_null_keys: bool = False) -> DataFrame:
-    attributes = ["Location", "Channel"]
-    return _build_dim(clean, "dim_merchant", "MerchantID", attributes, drop_null_keys)
+    return _latest(clean, MERCHANT_COLUMNS, drop_null_keys)
 
 
 def build_dim_transaction_type(
     clean: DataFrame, drop_null_keys: bool = False, small_bytes: int = SMALL_BYTES
 ) -> DataFrame:
     """Numbering measures the values first, so pass clean rows that are written."""
-    values = clean.select(F.col("TransactionType").alias("transaction_type")).distinct()
+    values = _renamed(clean, {"TransactionType": "transaction_type"}).distinct()
     if drop_null_keys:
         values = values.dropna()
     return assign_key(values, "transaction_type", "type_id", small_bytes=small_bytes)
@@ -71,18 +67,4 @@ def build_fact(
     keyed = lookup_key(clean, dim_date, [("txn_date", "date")], "date_id", small_bytes)
     on_type = [("TransactionType", "transaction_type")]
     keyed = lookup_key(keyed, dim_type, on_type, "type_id", small_bytes)
-    return keyed.select(
-        F.col("TransactionID").alias("transaction_id"),
-        F.col("AccountID").alias("account_id"),
-        F.col("MerchantID").alias("merchant_id"),
-        "date_id",
-        "type_id",
-        F.col("TransactionAmount").alias("amount"),
-        F.col("AccountBalance").alias("balance"),
-        F.col("TransactionDuration").alias("duration_seconds"),
-        F.col("LoginAttempts").alias("login_attempts"),
-        F.col("DeviceID").alias("device_id"),
-        F.col("IP Address").alias("ip_address"),
-        F.col("TransactionDate").alias("transaction_date"),
-        "is_suspicious",
-    )
+    return _renamed(keyed, FACT_COLUMNS)

@@ -95,11 +95,21 @@ class PipelineConfig:
     archive: str | None = None
     fmt: str = "table"
     options: dict[str, str] = field(default_factory=dict)
+    ingest_date: str | None = None
+    max_bytes_per_trigger: int | None = None
 
 
 def run_pipeline(spark: SparkSession, cfg: PipelineConfig) -> DataFrame:
     """Ingest, transform, load; an error ends the run there. Returns the audit."""
-    ingest_landing(spark, cfg.landing, cfg.raw_root, cfg.checkpoint, cfg.archive)
+    ingest_landing(
+        spark,
+        cfg.landing,
+        cfg.raw_root,
+        cfg.checkpoint,
+        cfg.archive,
+        cfg.ingest_date,
+        cfg.max_bytes_per_trigger,
+    )
     audit = run_transform(spark, cfg.raw_root, cfg.staged_root, "parquet")
     run_load(spark, cfg.staged_root, cfg.target, cfg.fmt, cfg.options)
     return audit

@@ -37,6 +37,33 @@ DATE_FORMATS = [
     "yyyy-MM-dd HH:mm:ss",
     "yyyy-MM-dd",
 ]
+# Raw (or looked-up) column -> star column, in table order.
+ACCOUNT_COLUMNS = {
+    "AccountID": "account_id",
+    "CustomerAge": "customer_age",
+    "CustomerOccupation": "occupation",
+    "AccountBalance": "account_balance",
+}
+MERCHANT_COLUMNS = {
+    "MerchantID": "merchant_id",
+    "Location": "location",
+    "Channel": "channel",
+}
+FACT_COLUMNS = {
+    "TransactionID": "transaction_id",
+    "AccountID": "account_id",
+    "MerchantID": "merchant_id",
+    "date_id": "date_id",
+    "type_id": "type_id",
+    "TransactionAmount": "amount",
+    "AccountBalance": "balance",
+    "TransactionDuration": "duration_seconds",
+    "LoginAttempts": "login_attempts",
+    "DeviceID": "device_id",
+    "IP Address": "ip_address",
+    "TransactionDate": "transaction_date",
+    "is_suspicious": "is_suspicious",
+}
 SUSPICIOUS_AMOUNT = 10000
 SUSPICIOUS_LOGINS = 3
 # --- End of fixed values ----------------------------------------------------
