@@ -65,8 +65,11 @@ def test_one_per_key_merges_before_the_shuffle(spark):
 VALUES = [f"v{i:04d}" for i in range(500)] + [None]
 
 
+@pytest.mark.parametrize("merge", ["true", "false"])
 @pytest.mark.parametrize("small_bytes", [keys.SMALL_BYTES, 0])
-def test_dense_key(spark, small_bytes):
+def test_dense_key(spark, conf, small_bytes, merge):
+    # Unmerged, the eight shuffle partitions stay eight ranges.
+    conf("spark.sql.adaptive.coalescePartitions.enabled", merge)
     shuffled = random.Random(3).sample(VALUES, len(VALUES))
     df = spark.createDataFrame([(v,) for v in shuffled], "value string").repartition(13)
     out = assign_key(df, "value", "value_id", small_bytes=small_bytes)

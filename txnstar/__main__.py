@@ -66,7 +66,8 @@ def main(argv: list[str] | None = None) -> None:
     elif args.job == "transform":
         run_transform(spark, args.raw, args.staged, args.raw_format).show(truncate=False)
     elif args.job == "load":
-        run_load(spark, args.staged, args.target, args.format, _options(args.option))
+        loaded = run_load(spark, args.staged, args.target, args.format, _options(args.option))
+        loaded.show(truncate=False)
     elif args.job == "create-warehouse":
         create_warehouse(spark, args.target, args.location)
     else:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
-from operator import and_
+from operator import and_, or_
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -124,9 +124,10 @@ def _lookup_by_shuffle(
     """
     lefts = [left for left, _ in pairs]
     rights = [right for _, right in pairs]
+    no_key = reduce(or_, [F.col(left).isNull() for left in lefts])
     rows_limit = df.count() * HOT_SHARE
     hot = (
-        df.dropna(subset=lefts)
+        df.filter(~no_key)
         .groupBy(*[F.col(left).alias(right) for left, right in pairs])
         .count()
         .filter(F.col("count") > rows_limit)
@@ -134,9 +135,7 @@ def _lookup_by_shuffle(
     )
     hot_lookup = lookup.join(F.broadcast(hot), rights, "left_semi")
     marked = _left_lookup(df, F.broadcast(hot), pairs, "_hot")
-    apart = F.col("_hot").isNotNull() | reduce(
-        lambda a, b: a | b, [F.col(left).isNull() for left in lefts]
-    )
+    apart = F.col("_hot").isNotNull() | no_key
     unshuffled = _left_lookup(marked.filter(apart), F.broadcast(hot_lookup), pairs, key)
     shuffled = _left_lookup(marked.filter(~apart), lookup, pairs, key)
     return unshuffled.unionByName(shuffled).drop("_hot")

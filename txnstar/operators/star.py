@@ -35,7 +35,7 @@ def build_dim_date(clean: DataFrame) -> DataFrame:
 
 def _latest(clean: DataFrame, names: dict[str, str], drop_null_keys: bool) -> DataFrame:
     key, *attributes = names
-    rows = clean.dropna(subset=[key]) if drop_null_keys else clean
+    rows = clean.filter(F.col(key).isNotNull()) if drop_null_keys else clean
     return _renamed(one_per_key(rows, [key], LATEST, attributes), names)
 
 
@@ -53,7 +53,7 @@ def build_dim_transaction_type(
     """Numbering measures the values first, so pass clean rows that are written."""
     values = _renamed(clean, {"TransactionType": "transaction_type"}).distinct()
     if drop_null_keys:
-        values = values.dropna()
+        values = values.filter(F.col("transaction_type").isNotNull())
     return assign_key(values, "transaction_type", "type_id", small_bytes=small_bytes)
 
 

@@ -65,7 +65,8 @@ def run_transform(
 ) -> DataFrame:
     """Rebuild the staged star from all raw rows; returns the audit.
 
-    ``raw_format`` is ``csv`` for folders of drops, ``parquet`` for the raw zone.
+    ``raw_format`` is ``csv`` for folders of drops, ``parquet`` for the raw zone. The audit
+    runs when it is read: from Parquet footers, but raw CSV has to be scanned again.
     """
     read = {"csv": read_raw, "parquet": read_raw_zone}[raw_format]
     raw = read(spark, raw_root)
@@ -79,8 +80,17 @@ def run_load(
     target: str,
     fmt: str = "table",
     options: dict[str, str] | None = None,
-) -> None:
+) -> DataFrame:
+    """Replace the five warehouse tables; returns how many rows each has now.
+
+    Behind a connector the count is that of the rows sent.
+    """
     load_star(spark, staged_root, target, fmt, options)
+    if fmt == "table":
+        loaded = {name: spark.table(f"{target}.{name.upper()}") for name in STAR_TABLES}
+    else:
+        loaded = {name: read_staged(spark, staged_root, name) for name in STAR_TABLES}
+    return row_counts(loaded)
 
 
 @dataclass

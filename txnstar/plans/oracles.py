@@ -126,34 +126,16 @@ _FACT_LOADED = """SELECT transaction_id AS TRANSACTION_ID, account_id AS ACCOUNT
  strftime(transaction_date, '%Y-%m-%d %H:%M:%S') AS TRANSACTION_DATE,
  is_suspicious AS IS_SUSPICIOUS FROM fact_transactions"""
 
-_COUNTS = "\nUNION ALL ".join(
-    f"SELECT '{stage}' AS stage, count(*) AS row_count FROM {rows}"
-    for stage, rows in [
-        ("raw", "raw"),
-        ("deduplicated", "(SELECT DISTINCT * FROM raw)"),
-        ("required", "required"),
-        ("clean", "clean"),
-        ("dim_date", "dim_date"),
-        ("dim_account", "dim_account"),
-        ("dim_merchant", "dim_merchant"),
-        ("dim_transaction_type", "dim_transaction_type"),
-        ("fact_transactions", "fact_transactions"),
-    ]
-)
+_TABLES = ["dim_date", "dim_account", "dim_merchant", "dim_transaction_type", "fact_transactions"]
+
+
+def _counts(stages: dict[str, str]) -> str:
+    stages = stages | {table: table for table in _TABLES}
+    return "\nUNION ALL ".join(
+        f"SELECT '{stage}' AS stage, count(*) AS row_count FROM {rows}"
+        for stage, rows in stages.items()
+    )
 
-_JOB_AUDIT = "\nUNION ALL ".join(
-    f"SELECT '{stage}' AS stage, count(*) AS row_count FROM {rows}"
-    for stage, rows in [
-        ("raw", "raw"),
-        ("clean", "clean"),
-        ("dim_date", "dim_date"),
-        ("dim_account", "dim_account"),
-        ("dim_merchant", "dim_merchant"),
-        ("dim_transaction_type", "dim_transaction_type"),
-        ("fact_transactions", "fact_transactions"),
-        ("null_dates", f"(SELECT 1 FROM required WHERE {_PARSED} IS NULL)"),
-    ]
-)
 
 ORACLES = {
     "scan_raw_csv": _RAW_ROWS,
@@ -204,10 +186,36 @@ FROM clean c LEFT JOIN dim_transaction_type y ON c.TransactionType = y.transacti
     "transform_job": _star("fact_transactions"),
     "load_projection": _with(STAR, _FACT_LOADED),
     "warehouse_replace": _with(STAR, _FACT_LOADED),
+    "warehouse_dim_date": _with(
+        STAR,
+        """SELECT date AS DATE, year AS YEAR, month AS MONTH, day AS DAY,
+ day_of_week AS DAY_OF_WEEK, day_name AS DAY_NAME, month_name AS MONTH_NAME,
+ quarter AS QUARTER, date_id AS DATE_ID FROM dim_date""",
+    ),
     "landing_to_warehouse": _with(STAR, _FACT_LOADED),
-    "audit_row_counts": _with(STAR, _COUNTS),
+    "audit_row_counts": _with(
+        STAR,
+        _counts(
+            {
+                "raw": "raw",
+                "deduplicated": "(SELECT DISTINCT * FROM raw)",
+                "required": "required",
+                "clean": "clean",
+            }
+        ),
+    ),
     "audit_null_dates": _with(
         CLEAN, f"SELECT count(*) AS null_dates FROM required WHERE {_PARSED} IS NULL"
     ),
-    "transform_audit": _with(STAR, _JOB_AUDIT),
+    "audit_load_counts": _with(STAR, _counts({})),
+    "transform_audit": _with(
+        STAR,
+        _counts(
+            {
+                "raw": "raw",
+                "clean": "clean",
+                "null_dates": f"(SELECT 1 FROM required WHERE {_PARSED} IS NULL)",
+            }
+        ),
+    ),
 }

@@ -227,16 +227,31 @@ def load_projection_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fact_transactions(spark, sf_dir).transform(load_projection)
 
 
-def warehouse_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _loaded_twice(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
+    """A warehouse database after two equal loads, and the audit of the second."""
     base = fresh_dir(spark, "warehouse")
     database = f"warehouse_{base.rsplit('-', 1)[1]}"
     stage_star(raw_transactions(spark, sf_dir), f"{base}/staged")
     create_warehouse(spark, database, f"{base}/tables")
-    for _ in range(2):  # the second load replaces the first
-        run_load(spark, f"{base}/staged", database)
+    run_load(spark, f"{base}/staged", database)
+    return database, run_load(spark, f"{base}/staged", database)
+
+
+def warehouse_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    database, _ = _loaded_twice(spark, sf_dir)
     return spark.table(f"{database}.FACT_TRANSACTIONS")
 
 
+def warehouse_dim_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    database, _ = _loaded_twice(spark, sf_dir)
+    return spark.table(f"{database}.DIM_DATE")
+
+
+def audit_load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, audit = _loaded_twice(spark, sf_dir)
+    return audit
+
+
 def landing_to_warehouse(spark: SparkSession, sf_dir: str) -> DataFrame:
     cfg = _ingested(spark, sf_dir)
     create_warehouse(spark, cfg.target, f"{cfg.staged_root}-tables")
@@ -293,7 +308,9 @@ QUERIES: dict[str, Query] = {
     "transform_audit": transform_audit,
     "load_projection": load_projection_query,
     "warehouse_replace": warehouse_replace,
+    "warehouse_dim_date": warehouse_dim_date,
     "landing_to_warehouse": landing_to_warehouse,
     "audit_row_counts": audit_row_counts,
     "audit_null_dates": audit_null_dates,
+    "audit_load_counts": audit_load_counts,
 }
