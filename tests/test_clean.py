@@ -95,10 +95,22 @@ def test_separator_test_skips_no_readable_text(spark, texts):
     assert plain == ours
 
 
-def test_other_formats(spark):
-    rows = raw_rows(spark, {"TransactionDate": "11 April 2023"})
-    out = rows.transform(parse_mixed_timestamps, formats=["dd MMMM yyyy"])
-    assert out.first().TransactionDate == dt.datetime(2023, 4, 11)
+@pytest.mark.parametrize(
+    ("text", "fmt", "expected"),
+    [
+        ("11 April 2023", "dd MMMM yyyy", dt.datetime(2023, 4, 11)),
+        ("2023-04-11T10:00:05", "yyyy-MM-dd'T'HH:mm:ss", dt.datetime(2023, 4, 11, 10, 0, 5)),
+        ("2023-04-11 10:00", "yyyy-MM-dd[ HH:mm]", dt.datetime(2023, 4, 11, 10)),
+        ("2023-04-11", "yyyy-MM-dd[ HH:mm]", dt.datetime(2023, 4, 11)),
+        ("2023-04-11 10:00+02:00", "yyyy-MM-dd HH:mmXXX", dt.datetime(2023, 4, 11, 8)),
+        ("11.04.2023", "dd.MM.yyyy", dt.datetime(2023, 4, 11)),
+        ("11:04:2023", "dd.MM.yyyy", None),
+    ],
+)
+def test_other_formats(spark, text, fmt, expected):
+    rows = raw_rows(spark, {"TransactionDate": text})
+    out = rows.transform(parse_mixed_timestamps, formats=[fmt])
+    assert out.first().TransactionDate == expected
 
 
 def test_inferred_dates_are_only_converted(spark):

@@ -46,9 +46,12 @@ def _may_match(c: Column, fmt: str) -> Column | None:
 def parse_timestamp(c: Column, fmt: str) -> Column:
     """Wall-clock time (``timestamp_ntz``) written as ``fmt``; NULL where it is not.
 
-    The text names no zone, so it is read as UTC and taken back as UTC: the
-    session's zone, with its daylight-saving gaps, plays no part.
+    Such text names no zone, so it is read as UTC and taken back as UTC: the session's
+    zone, with its daylight-saving gaps, plays no part. A format with a zone field gives
+    the wall clock of the session's zone.
     """
+    if re.search("[VzOXxZ]", re.sub("'[^']*'", "", fmt)):
+        return F.try_to_timestamp(c, F.lit(fmt)).cast("timestamp_ntz")
     instant = F.try_to_timestamp(F.concat(c, F.lit("Z")), F.lit(fmt + "X"))
     epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
     parsed = F.timestamp_add("MICROSECOND", F.unix_micros(instant), epoch)
