@@ -43,25 +43,28 @@ def _may_match(c: Column, fmt: str) -> Column | None:
     return test
 
 
-def parse_timestamp(c: Column, fmt: str) -> Column:
-    """Wall-clock time (``timestamp_ntz``) written as ``fmt``; NULL where it is not.
-
-    Such text names no zone, so it is read as UTC and taken back as UTC: the session's
-    zone, with its daylight-saving gaps, plays no part. A format with a zone field gives
-    the wall clock of the session's zone.
-    """
+def _instant(c: Column, fmt: str) -> Column:
+    """The instant written as ``fmt``, taking text that names no zone as UTC."""
     if re.search("[VzOXxZ]", re.sub("'[^']*'", "", fmt)):
-        return F.try_to_timestamp(c, F.lit(fmt)).cast("timestamp_ntz")
+        return F.try_to_timestamp(c, F.lit(fmt))
     instant = F.try_to_timestamp(F.concat(c, F.lit("Z")), F.lit(fmt + "X"))
-    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    parsed = F.timestamp_add("MICROSECOND", F.unix_micros(instant), epoch)
     test = _may_match(c, fmt)
-    return parsed if test is None else F.when(test, parsed)
+    return instant if test is None else F.when(test, instant)
 
 
 def parse_mixed(c: Column, formats: list[str] = DATE_FORMATS) -> Column:
-    """The first of ``formats``, in order, that reads the text."""
-    return F.coalesce(*[parse_timestamp(c, fmt) for fmt in formats])
+    """Wall-clock time by the first of ``formats``, in order, that reads the text.
+
+    NULL where none does. The result is ``timestamp_ntz``: text is read as UTC and taken
+    back as UTC, so the session's zone, with its daylight-saving gaps, plays no part.
+    """
+    instant = F.coalesce(*[_instant(c, fmt) for fmt in formats])
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.timestamp_add("MICROSECOND", F.unix_micros(instant), epoch)
+
+
+def parse_timestamp(c: Column, fmt: str) -> Column:
+    return parse_mixed(c, [fmt])
 
 
 def is_suspicious(

@@ -48,17 +48,19 @@ def _write_drop(rows: DataFrame, path: str) -> None:
     rows.write.mode("append").option("header", True).csv(path)
 
 
-def _two_drops(raw: DataFrame) -> list[DataFrame]:
-    """The rows in two lots: those of even and those of odd row hash."""
-    lot = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in raw.columns]), F.lit(2))
-    return [raw.filter(lot == 0), raw.filter(lot == 1)]
+DAYS = ["2025-01-01", "2025-01-02"]
+
+
+def _with_day(raw: DataFrame) -> DataFrame:
+    """Every row arrives on one of two days, by the sign of its hash."""
+    sign = F.xxhash64(*[F.col(f"`{c}`") for c in raw.columns]) < 0
+    return raw.withColumn("date", F.when(sign, DAYS[0]).otherwise(DAYS[1]))
 
 
 def scan_raw_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = fresh_dir(spark, "raw-csv")
-    raw = raw_transactions(spark, sf_dir)
-    for day, lot in zip(["2025-01-01", "2025-01-02"], _two_drops(raw)):
-        _write_drop(lot, f"{root}/date={day}")
+    raw = _with_day(raw_transactions(spark, sf_dir))
+    raw.write.partitionBy("date").option("header", True).csv(root)
     return read_raw(spark, root).transform(_raw_columns)
 
 
@@ -73,10 +75,9 @@ def _ingested(spark: SparkSession, sf_dir: str) -> PipelineConfig:
         target=f"warehouse_{base.rsplit('-', 1)[1]}",
         archive=f"{base}/processed",
     )
-    for day, lot in zip(
-        ["2025-01-01", "2025-01-02"], _two_drops(raw_transactions(spark, sf_dir))
-    ):
-        _write_drop(lot, cfg.landing)
+    raw = _with_day(raw_transactions(spark, sf_dir))
+    for day in DAYS:
+        _write_drop(raw.filter(F.col("date") == day).drop("date"), cfg.landing)
         ingest_landing(spark, cfg.landing, cfg.raw_root, cfg.checkpoint, cfg.archive, day)
     return cfg
 
