@@ -10,10 +10,12 @@ import pytest
 
 import __spark_entry__ as contract
 from tests.helpers import SF, SF_SMALL
+from txnstar.plans.oracles import ORACLES as LIBRARY_ORACLES
+from txnstar.plans.queries import QUERIES as LIBRARY_QUERIES
 
 TABLES = ["orders", "customer", "nation"]
-QUERIES = contract.queries()
-ORACLES = contract.oracle_sql()
+QUERIES = LIBRARY_QUERIES
+ORACLES = LIBRARY_ORACLES
 
 
 @pytest.fixture(scope="module")
