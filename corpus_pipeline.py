@@ -9,11 +9,21 @@ from pyspark.sql import DataFrame, SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from txnstar.llm import quality_fm  # noqa: E402
+from txnstar.llm.bpe import encode_documents  # noqa: E402
 from txnstar.llm.cuckoo import drop_exact_copies  # noqa: E402
+from txnstar.llm.mixing import take_mix  # noqa: E402
 from txnstar.llm.neardup import keep_one_of_each  # noqa: E402
+from txnstar.llm.queries import bpe_files  # noqa: E402
 from txnstar.sources.workdir import materialise  # noqa: E402
 
 
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that a classifier fitted on the labelled ones does not reject."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return quality_fm.keep_good(docs, quality_fm.train(docs, labels))
+
+
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each distinct text, that with the greatest id."""
     return drop_exact_copies(docs)
@@ -24,9 +34,22 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return keep_one_of_each(docs, k=5)
 
 
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix of sources takes them."""
+    return take_mix(docs)
+
+
+def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """``(doc_id, ids)``: the tokens of every document, ready for training."""
+    return encode_documents(docs, *bpe_files())
+
+
 STAGES = [
+    ("quality", quality),
     ("exact_dedup", exact_dedup),
     ("near_dedup", near_dedup),
+    ("mixing", mixing),
+    ("encoding", encoding),
 ]
 
 # The classifier and the link search are not expressible in SQL; tests compare each stage

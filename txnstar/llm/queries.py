@@ -6,16 +6,36 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from txnstar.llm import mixing, quality_fm
+from txnstar.llm.bpe import round_trip
 from txnstar.llm.cuckoo import exact_duplicates
 from txnstar.llm.neardup import near_duplicates
 
 Query = Callable[[SparkSession, str], DataFrame]
+BPE_RANKS = "byte_bpe_multi_50k.tiktoken"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def bpe_files() -> tuple[str, str]:
+    """Path of the rank file and the splitting pattern, from the installed vocabularies."""
+    import public_tokenizers
+
+    return public_tokenizers.path(BPE_RANKS), public_tokenizers.PATTERN
+
+
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = quality_fm.train(docs, _table(spark, sf_dir, "labels"))
+    return quality_fm.score_documents(docs, model)
+
+
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(_table(spark, sf_dir, "documents")).drop("times")
+
+
 def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -24,12 +44,20 @@ def op8_exact_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(_table(spark, sf_dir, "documents"), *bpe_files())
+
+
 QUERIES: dict[str, Query] = {
+    "op1_quality_classifier": op1_quality_classifier,
+    "op6_mixing": op6_mixing,
     "op7_near_duplicates": op7_near_duplicates,
     "op8_exact_duplicates": op8_exact_duplicates,
+    "op10_byte_bpe": op10_byte_bpe,
 }
 
 ORACLES: dict[str, str] = {
+    "op6_mixing": mixing.ORACLE,
     "op8_exact_duplicates": """
         WITH t AS (SELECT doc_id, sha256(coalesce(text, '')) AS text_sha256 FROM documents),
         g AS (SELECT text_sha256, max(doc_id) AS keep_id, count(*) AS group_size
