@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from txnstar.llm import mixing, quality_fm
+from txnstar.llm import mixing, quality_fm, url_rules
 from txnstar.llm.bpe import round_trip
 from txnstar.llm.cuckoo import exact_duplicates
+from txnstar.llm.fingerprint import edit_report
 from txnstar.llm.neardup import near_duplicates
+from txnstar.llm.secrets import secret_report
 
 Query = Callable[[SparkSession, str], DataFrame]
 BPE_RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -32,6 +34,18 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_fm.score_documents(docs, model)
 
 
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_report(_table(spark, sf_dir, "documents"))
+
+
+def op3_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_rules.judge_urls(_table(spark, sf_dir, "pages"))
+
+
+def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edit_report(_table(spark, sf_dir, "documents"))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents")).drop("times")
 
@@ -50,6 +64,9 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_quality_classifier": op1_quality_classifier,
+    "op2_secrets": op2_secrets,
+    "op3_url_rules": op3_url_rules,
+    "op5_fingerprints": op5_fingerprints,
     "op6_mixing": op6_mixing,
     "op7_near_duplicates": op7_near_duplicates,
     "op8_exact_duplicates": op8_exact_duplicates,
@@ -57,6 +74,7 @@ QUERIES: dict[str, Query] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op3_url_rules": url_rules.ORACLE,
     "op6_mixing": mixing.ORACLE,
     "op8_exact_duplicates": """
         WITH t AS (SELECT doc_id, sha256(coalesce(text, '')) AS text_sha256 FROM documents),
