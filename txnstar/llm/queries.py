@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from txnstar.llm import mixing, quality_fm, url_rules
+from txnstar.llm import html_trees, mixing, quality_fm, url_rules, warc
 from txnstar.llm.bpe import round_trip
 from txnstar.llm.cuckoo import exact_duplicates
 from txnstar.llm.fingerprint import edit_report
@@ -42,6 +42,10 @@ def op3_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge_urls(_table(spark, sf_dir, "pages"))
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_report(_table(spark, sf_dir, "pages"))
+
+
 def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edit_report(_table(spark, sf_dir, "documents"))
 
@@ -58,6 +62,11 @@ def op8_exact_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages")
+    return html_trees.extract_main_text(pages, html_trees.train(pages))
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(_table(spark, sf_dir, "documents"), *bpe_files())
 
@@ -66,15 +75,18 @@ QUERIES: dict[str, Query] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_secrets": op2_secrets,
     "op3_url_rules": op3_url_rules,
+    "op4_warc": op4_warc,
     "op5_fingerprints": op5_fingerprints,
     "op6_mixing": op6_mixing,
     "op7_near_duplicates": op7_near_duplicates,
     "op8_exact_duplicates": op8_exact_duplicates,
+    "op9_html_extraction": op9_html_extraction,
     "op10_byte_bpe": op10_byte_bpe,
 }
 
 ORACLES: dict[str, str] = {
     "op3_url_rules": url_rules.ORACLE,
+    "op4_warc": warc.ORACLE,
     "op6_mixing": mixing.ORACLE,
     "op8_exact_duplicates": """
         WITH t AS (SELECT doc_id, sha256(coalesce(text, '')) AS text_sha256 FROM documents),
