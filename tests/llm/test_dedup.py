@@ -1,0 +1,249 @@
+from __future__ import annotations
+
+import hashlib
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tests.llm.helpers import (
+    DOCS,
+    brute_components,
+    documents,
+    near_copies,
+    rows_of,
+    shingles,
+    with_clashing_columns,
+)
+from txnstar.llm.components import components
+from txnstar.llm.cuckoo import (
+    CuckooIndex,
+    digest_table,
+    drop_exact_copies,
+    exact_duplicates,
+    live_groups,
+    lookup_index,
+    update_index,
+)
+from txnstar.llm.neardup import keep_one_of_each, linked_matrix, near_duplicates
+from txnstar.llm.sketch import EMPTY, fast_sketches
+from txnstar.llm.words import WordHashes, lower_words, shingle_set
+
+
+def _digest(n: int) -> bytes:
+    return hashlib.sha256(str(n).encode()).digest()
+
+
+# ---- the cuckoo index ---------------------------------------------------------------------
+
+
+def test_index_agrees_with_a_set_under_insertion_and_deletion():
+    rng, index, plain = random.Random(1), CuckooIndex(8), set()
+    for _ in range(20_000):
+        n = rng.randrange(3000)
+        if rng.random() < 0.6:
+            assert index.insert(_digest(n))[1] == (n not in plain)
+            plain.add(n)
+        else:
+            assert index.delete(_digest(n)) == (n in plain)
+            plain.discard(n)
+    assert len(index) == len(plain)
+    assert sorted(index.live()) == sorted(map(_digest, plain))
+    assert all((index.find(_digest(n)) >= 0) == (n in plain) for n in range(3000))
+
+
+def test_index_grows_beyond_its_first_table():
+    index = CuckooIndex(4)
+    for n in range(5000):
+        index.insert(_digest(n))
+    assert index.mask + 1 >= 5000 // 4
+    assert all(index.find(_digest(n)) >= 0 for n in range(5000))
+
+
+def test_equal_fingerprints_are_told_apart_by_the_stored_digest():
+    index = CuckooIndex()
+    a, b = (b"\x01" * 8 + bytes([x]) * 24 for x in (1, 2))
+    assert index.insert(a) == (0, True)
+    assert index.insert(b) == (1, True)
+    assert index.delete(a)
+    assert index.find(b) >= 0 > index.find(a)
+
+
+def test_index_table_inserts_deletes_and_looks_up(spark):
+    def frame(numbers):
+        return spark.createDataFrame([(bytearray(_digest(n)),) for n in numbers], "digest binary")
+
+    index = update_index(None, frame([1, 2, 3, 3]), shards=4)
+    index = update_index(index, frame([4]), frame([2, 99]), shards=4)
+    found = lookup_index(index, frame([1, 2, 3, 4, 5]), shards=4).collect()
+    assert {bytes(r.digest): r.live for r in found} == {
+        _digest(n): n in (1, 3, 4) for n in range(1, 6)
+    }
+    with pytest.raises(ValueError):
+        update_index(index)
+
+
+# ---- exact duplicates -----------------------------------------------------------------------
+
+TEXTS = [
+    (1, "a b"), (2, "a b"), (3, "a  b"), (4, None), (5, ""), (6, "A b"), (7, "a b"),
+    (8, "é"), (9, "é"), (None, "a b"), (None, "lone"), (7, "a b"),
+]
+
+
+def test_exact_duplicates(spark):
+    docs = with_clashing_columns(documents(spark, TEXTS), ["digest", "doc", "keep", "n"])
+    found = {}
+    for r in exact_duplicates(docs).collect():
+        found.setdefault(r.doc_id, set()).add((r.keep_id, r.group_size, r.kept, r.text_sha256[:6]))
+    sha = lambda t: hashlib.sha256(t.encode()).hexdigest()[:6]
+    assert found[1] == {(7, 5, False, sha("a b"))}
+    assert found[7] == {(7, 5, True, sha("a b"))}
+    assert found[4] == {(5, 2, False, sha(""))} and found[5] == {(5, 2, True, sha(""))}
+    assert found[3] == {(3, 1, True, sha("a  b"))}
+    assert found[8] == {(8, 1, True, sha("é"))}
+    assert found[None] == {(7, 5, False, sha("a b")), (None, 1, True, sha("lone"))}
+    assert exact_duplicates(docs).count() == len(TEXTS)
+
+
+def test_one_row_of_each_text_stays_with_its_columns(spark):
+    docs = with_clashing_columns(documents(spark, TEXTS), ["_own", "_keep", "digest"])
+    kept = drop_exact_copies(docs)
+    assert kept.columns == docs.columns
+    texts = sorted(r.text or "" for r in kept.collect())
+    assert texts == sorted({t or "" for _, t in TEXTS})
+    assert rows_of(kept.filter("text = 'a b'"), "doc_id") == [(7,)]
+
+
+def test_indices_of_tasks_merge_whatever_their_size(spark):
+    rng = random.Random(3)
+    rows = [(n, f"text {rng.choice([0, 0, 0, rng.randrange(200)])}") for n in range(3000)]
+    digests = digest_table(documents(spark, rows).repartition(7))
+    expected = {}
+    for n, text in rows:
+        digest = hashlib.sha256(text.encode()).digest()
+        count, last = expected.get(digest, (0, -1))
+        expected[digest] = count + 1, max(last, n)
+    for size in (1, 10, 10_000):
+        found = live_groups(digests, size).collect()
+        assert {bytes(r.digest): (r.n, r.keep) for r in found} == expected
+
+
+def test_empty_tables(spark):
+    docs = spark.createDataFrame([], DOCS)
+    assert exact_duplicates(docs).count() == 0
+    assert drop_exact_copies(docs).count() == 0
+    assert near_duplicates(docs).count() == 0
+    assert keep_one_of_each(docs).count() == 0
+
+
+# ---- sketches -------------------------------------------------------------------------------
+
+
+def test_sketches_fill_every_coordinate_and_estimate_similarity():
+    rng = np.random.default_rng(5)
+    pool = rng.integers(0, 2**63, 3000).astype(np.uint64)
+    sets = [pool[:1], pool[:5], pool[:1000], pool[200:1200], np.zeros(0, np.uint64)]
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    sketches = fast_sketches(np.concatenate(sets), owner, len(sets), 128)
+    assert (sketches[:4] != EMPTY).all() and (sketches[4] == EMPTY).all()
+    agree = (sketches[2] == sketches[3]).mean()
+    assert abs(agree - 800 / 1200) < 0.15
+    alone = fast_sketches(sets[1], np.zeros(5, int), 1, 128)
+    assert (alone[0] == sketches[1]).all()
+
+
+def test_shingle_sets_follow_the_definition():
+    h = WordHashes()
+    for text in ("", "  \t", "one", "A b", "a b c d", "a b c d e a b c d", "x\x0by z w"):
+        for k in (4, 5):
+            assert len(shingle_set(h.of(lower_words(text)), k)) == len(shingles(text, k))
+    same = [shingle_set(h.of(lower_words(t)), 4) for t in ("ÀB c D e", "Àb C d E")]
+    assert (same[0] == same[1]).all()
+    assert list(shingle_set(h.of(lower_words("a b c")), 4)) != list(
+        shingle_set(h.of(lower_words("a b c")[:2]), 4)
+    )
+
+
+def test_linked_matrix_is_exact():
+    rows = near_copies(2, 3, 8, 60)
+    h = WordHashes()
+    sets = [shingle_set(h.of(lower_words(t)), 4) for _, t in rows]
+    found = linked_matrix(sets[:10], sets, 80)
+    for i in range(10):
+        for j in range(len(rows)):
+            x, y = shingles(rows[i][1], 4), shingles(rows[j][1], 4)
+            assert found[i, j] == (100 * len(x & y) >= 80 * len(x | y))
+
+
+# ---- components and near duplicates -----------------------------------------------------------
+
+
+def test_components_of_paths_stars_and_rings(spark):
+    path = [(n, n + 1) for n in range(100, 140)]
+    star = [(500, n) for n in range(501, 700)]
+    ring = [(900, 901), (901, 902), (902, 900)]
+    edges = spark.createDataFrame(path + star + ring + [(5, 3)], "a bigint, b bigint")
+    found = dict(rows_of(components(edges), "node", "component"))
+    assert found == (
+        {n: 100 for n in range(100, 141)}
+        | {n: 500 for n in range(500, 700)}
+        | {n: 900 for n in range(900, 903)}
+        | {3: 3, 5: 3}
+    )
+
+
+@pytest.mark.parametrize("k,block", [(4, 24_000), (5, 24_000), (4, 300)])
+def test_near_duplicates_equal_all_pairs(spark, k, block):
+    rows = near_copies(k, 6, 25, 70)
+    found = near_duplicates(documents(spark, rows), k=k, block_shingles=block).collect()
+    expected = brute_components(rows, k, 80)
+    assert {r.doc_id: r.component_id for r in found} == expected
+    assert all(r.kept == (r.doc_id == r.component_id) for r in found)
+    assert {r.doc_id: r.n_shingles for r in found} == {i: len(shingles(t, k)) for i, t in rows}
+
+
+def test_near_duplicates_of_awkward_rows(spark):
+    long = " ".join(f"v{n}" for n in range(30_000))
+    rows = [
+        (9, None), (8, ""), (7, " \n"), (6, "one two"), (5, "ONE two"), (4, "one two three"),
+        (3, long), (2, long + " end"), (1, "same text of some words"), (1, "same text of some words"),
+        (None, "same text of some words"), (None, "nothing like it at all"),
+    ]
+    docs = with_clashing_columns(documents(spark, rows), ["key", "node", "n", "hub", "keys", "block"])
+    found = near_duplicates(docs)
+    pairs = {(r.doc_id, r.component_id, r.kept) for r in found.collect()}
+    assert pairs == {
+        (9, 9, True), (8, 8, True), (7, 7, True), (6, 5, False), (5, 5, True), (4, 4, True),
+        (3, 2, False), (2, 2, True), (1, 1, True), (None, 1, False), (None, None, True),
+    }
+    assert found.count() == len(rows)
+    kept = keep_one_of_each(docs)
+    assert kept.columns == docs.columns
+    assert rows_of(kept.filter("doc_id > 1"), "doc_id") == [(2,), (4,), (5,), (7,), (8,), (9,)]
+
+
+def test_a_hot_group_of_copies_and_near_copies(spark):
+    rows = near_copies(8, 1, 120, 80)
+    rows += [(n, rows[0][1]) for n in range(1000, 2000)]
+    docs = documents(spark, rows).repartition(6)
+    found = near_duplicates(docs, block_shingles=1500)
+    expected = brute_components(list({t: (i, t) for i, t in sorted(rows, reverse=True)}.values()), 4, 80)
+    sets = {i: frozenset(shingles(t, 4)) for i, t in rows}
+    first = {}
+    for i in sorted(sets):
+        first.setdefault(sets[i], i)
+    assert {r.doc_id: r.component_id for r in found.collect()} == {
+        i: expected[first[s]] for i, s in sets.items()
+    }
+
+
+def test_rows_repeat_the_same_result_under_other_partitions(spark, conf):
+    rows = near_copies(4, 4, 12, 50)
+    docs = documents(spark, rows)
+    first = rows_of(near_duplicates(docs), "doc_id", "component_id")
+    conf("spark.sql.shuffle.partitions", "3")
+    conf("spark.sql.adaptive.enabled", "false")
+    again = near_duplicates(docs.repartition(5, F.rand(1)))
+    assert rows_of(again, "doc_id", "component_id") == first

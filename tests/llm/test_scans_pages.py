@@ -1,0 +1,411 @@
+from __future__ import annotations
+
+import base64
+import bz2
+import fnmatch
+import gzip
+import hashlib
+import html
+import lzma
+import random
+import re
+import urllib.parse
+import zlib
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from tests.llm.helpers import DOCS, SF, SF_SMALL, documents, rows_of, with_clashing_columns
+from txnstar.llm import html_trees, warc
+from txnstar.llm.fingerprint import (
+    digests,
+    edit_report,
+    edited,
+    fingerprints,
+    from_hex,
+    likeness,
+    to_hex,
+)
+from txnstar.llm.secrets import KINDS, find_secrets, scan, secret_report
+from txnstar.llm.url_rules import GlobAutomaton, judge_urls
+from txnstar.sources.workdir import fresh_dir
+
+PAGES = "page_id bigint, url string, html string"
+
+# ---- secrets --------------------------------------------------------------------------------------
+
+
+def _base(text: str) -> list[tuple[int, int, int]]:
+    """The three patterns as they are stated, failing matches dropped afterwards."""
+    spans = []
+    assign = r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+    for m in re.finditer(assign, text, re.ASCII | re.IGNORECASE):
+        if len(m.group(2)) >= 6:
+            spans.append((m.start(), 0, m.end()))
+    for kind, pattern, least in ((1, "AKIA[A-Z0-9]+", 20), (2, "[0-9a-f]+", 24)):
+        for m in re.finditer(pattern, text):
+            if len(m.group()) >= least:
+                spans.append((m.start(), kind, m.end()))
+    return sorted(spans)
+
+
+def test_open_secrets_equal_the_patterns(spark):
+    rng = random.Random(1)
+    parts = ["password", "PassWD", "api_key", "apikey", "token", "ſecret", "=", ":", " ", '"', "'", "abc123", "AKIA", "ABCDEFGHIJKLMNOP0123", "0123456789abcdef", "f" * 30, "é", "\n", "x=", "AKIAAKIA"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 14))) for _ in range(3000)]
+    assert [scan(t)[0] for t in texts] == [_base(t) for t in texts]
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    found = {r.doc_id: r for r in secret_report(docs).collect()}
+    for r in docs.collect():
+        base = _base(r.text)
+        written = ",".join(f"{KINDS[k]}:{s}:{e}" for s, k, e in base)
+        row = found[r.doc_id]
+        assert row.base_sha256 == hashlib.sha256(written.encode()).hexdigest()
+        assert (row.n_assign, row.n_access, row.n_hex) == tuple(sum(k == x for _, k, _ in base) for x in range(3))
+        assert set(written.split(",")) <= set(row.spans.split(",")) | {""}
+
+
+INNER = "the api_key: Zq9xLm27TfPw here, thanks"
+
+
+@pytest.mark.parametrize(
+    "pack",
+    [zlib.compress, gzip.compress, bz2.compress, lzma.compress, lambda d: gzip.compress(zlib.compress(d))],
+)
+def test_compressed_layers(pack):
+    token = base64.b64encode(pack(INNER.encode())).decode()
+    text = f"é see {token} end"
+    base, spans, whole = scan(text)
+    assert (base, whole) == ([], True)
+    assert spans == [(6, 0, 6 + len(token))]
+
+
+def test_nested_layers_map_to_the_outermost_characters():
+    b64 = base64.b64encode(INNER.encode()).decode()
+    for text in (
+        f"x {urllib.parse.quote(b64, safe='')} y",
+        f"x {base64.b64encode(b64.encode()).decode()} y",
+        f"x {urllib.parse.quote(urllib.parse.quote(b64, safe=''), safe='')} y",
+        "x " + "".join(f"\\u{ord(c):04x}" for c in b64) + " y",
+    ):
+        base, spans, _ = scan(text)
+        assert base == [] and len(spans) == 1
+        start, kind, end = spans[0]
+        assert kind == 0 and 2 <= start < end <= len(text) - 2
+    start, _, end = scan(f"x {b64} y")[1][0]
+    decoded = base64.b64decode(b64)
+    inside = decoded[(start - 2) * 6 // 8 : (end - 2) * 6 // 8]
+    assert b"api_key: Zq9xLm27TfPw" in inside and len(inside) <= 24
+
+
+def test_unicode_and_percent_spellings():
+    text = "é pass%77ord%3Dabcdef12 \\u0074oken=\\x61bcdef9 &#116;oken=1234567 ｔｏｋｅｎ＝abcdefg"
+    base, spans, _ = scan(text)
+    assert base == []
+    assert [text[s:e] for s, _, e in spans] == [
+        "pass%77ord%3Dabcdef12", "\\u0074oken=\\x61bcdef9", "&#116;oken=1234567", "ｔｏｋｅｎ＝abcdefg",
+    ]
+
+
+def test_layers_end():
+    assert scan("%25" * 2000 + "41")[2]
+    deep = "token=abcdef1"
+    for _ in range(12):
+        deep = base64.b64encode(deep.encode()).decode()
+    assert len(scan(deep)[1]) == 1
+    bomb = base64.b64encode(gzip.compress(b"a" * 5_000_000)).decode()
+    base, _, whole = scan(f"secret = abcdef99 {bomb}", budget=100_000)
+    assert base == [(0, 0, 17)] and not whole
+
+
+def test_secrets_of_awkward_rows(spark):
+    rows = [(1, None), (2, ""), (3, "token=abcdef " * 20_000), (4, "x"), (4, "x"), (None, "token=abcdef")]
+    docs = with_clashing_columns(documents(spark, rows), ["base", "spans", "whole"])
+    found = rows_of(find_secrets(docs), "doc_id", "n_assign")
+    assert found == sorted([(1, 0), (2, 0), (3, 20_000), (4, 0), (4, 0), (None, 1)], key=repr)
+    assert secret_report(spark.createDataFrame([], DOCS)).count() == 0
+
+
+# ---- URL rules --------------------------------------------------------------------------------------
+
+
+def test_automaton_equals_plain_globs():
+    rng = random.Random(2)
+    globs = ["".join(rng.choice("ab?*") for _ in range(rng.randint(0, 9))) for _ in range(120)]
+    automaton = GlobAutomaton([[c if c in "*?" else ord(c) for c in g] for g in globs])
+    assert automaton.masks.shape[1] > 4
+    texts = ["".join(rng.choice("abc") for _ in range(rng.randint(0, 12))) for _ in range(400)]
+    found = automaton.matches([t.encode() for t in texts])
+    for i, t in enumerate(texts):
+        for j, g in enumerate(globs):
+            assert found[i, j] == fnmatch.fnmatchcase(t, g), (t, g)
+
+
+def test_rules_and_parts(spark):
+    cases = [
+        ("http://a.net/x", "a.net", "/x", "net/", "block"),
+        ("HTTPS://EN.Example.NET/en/1?q#f", "en.example.net", "/en/1", "example.net/en/", "allow"),
+        ("http://example.net/EN/1", "example.net", "/EN/1", "net/", "block"),
+        ("http://notexample.com/de/", "notexample.com", "/de/", None, "allow"),
+        ("http://x.example.com/de/a", "x.example.com", "/de/a", "example.com/de/", "block"),
+        ("http://a.org/fr/", "a.org", "/fr/", "org/fr/", "allow"),
+        ("http://net", "net", "", None, "allow"),
+        ("http://net/", "net", "/", "net/", "block"),
+        ("http://a.com?u=http://b.net/", "a.com", "", None, "allow"),
+        ("http://a.com/.net/", "a.com", "/.net/", None, "allow"),
+        ("http://ÉA.net:80/", "Éa.net:80", "/", None, "allow"),
+        ("x://y://z.net/", "y:", "//z.net/", None, "allow"),
+        ("http://a.com/b.exe", "a.com", "/b.exe", None, "block"),
+        ("http://ads.a.com/", "ads.a.com", "/", None, "block"),
+        ("http://a.com/x\ny", "a.com", "/x\ny", None, "allow"),
+        ("no scheme", "", "", None, "allow"),
+        ("", "", "", None, "allow"),
+        (None, "", "", None, "allow"),
+        ("http://" + "a." * 5000 + "net/" + "p" * 90_000, "a." * 5000 + "net", "/" + "p" * 90_000, "net/", "block"),
+    ]
+    rows = [(n, c[0], "") for n, c in enumerate(cases)] + [(None, None, None)]
+    pages = with_clashing_columns(spark.createDataFrame(rows, PAGES), ["host", "path", "rule"])
+    found = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in judge_urls(pages).collect()}
+    assert found == {n: c[1:] for n, c in enumerate(cases)} | {None: ("", "", None, "allow")}
+    assert judge_urls(spark.createDataFrame([], PAGES)).count() == 0
+
+
+# ---- WARC --------------------------------------------------------------------------------------------
+
+LONG, OTHER = "<p>é" + "x" * 1200, "<p>" + "y" * 1000
+PAGE_ROWS = [
+    (1, "http://a/1", LONG), (2, "http://a/2", LONG), (5, None, LONG), (3, "http://a/\r\n3", "short"),
+    (4, "http://a/4", "short"), (6, "http://é/6", None), (7, "", ""), (8, "u", OTHER), (8, "u", OTHER),
+    (None, "n", LONG), (None, "n", "tiny"), (9, "l", "z" * 300_000),
+]
+
+
+def test_archive_report(spark):
+    pages = with_clashing_columns(spark.createDataFrame(PAGE_ROWS, PAGES), ["digest", "bytes", "payload", "_first"])
+    found = rows_of(warc.archive_report(pages), "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    expected = []
+    for page, _, text in PAGE_ROWS:
+        data = (text or "").encode()
+        latest = {LONG: 5, OTHER: 8}.get(text)
+        revisit = latest is not None and page != latest
+        expected.append((page, len(data), hashlib.sha1(data).hexdigest(), "revisit" if revisit else "response", latest if revisit else None))
+    assert found == sorted(expected, key=repr)
+    assert warc.archive_report(spark.createDataFrame([], PAGES)).count() == 0
+
+
+def test_archive_reads_back_what_was_written(spark):
+    path = fresh_dir(spark, "warc-test")
+    pages = spark.createDataFrame([r for r in PAGE_ROWS if r[0]], PAGES)
+    warc.write_archive(pages.repartition(3), path)
+    rows = {(r.record_id, r.record_type): r for r in warc.read_archive(spark, path).collect()}
+    assert bytes(rows["<urn:page:5>", "response"].payload).decode() == LONG
+    assert rows["<urn:page:1>", "revisit"].payload is None
+    assert rows["<urn:page:1>", "revisit"].payload_bytes == len(LONG.encode())
+    assert rows["<urn:page:3>", "response"].target_uri == "http://a/%0D%0A3"
+    assert rows["<urn:page:6>", "response"].target_uri == "http://é/6"
+    plain = warc.read_archive(spark, path, payload=False)
+    assert "payload" not in plain.columns and plain.count() == 10
+    for condition in ("record_type = 'revisit'", "record_id IN ('<urn:page:1>', '<urn:page:7>')", "target_uri LIKE 'http://a%'", "refers_to IS NULL", "refers_to IS NOT NULL AND payload_bytes > 5", "target_uri = 'u' OR payload_bytes = 0"):
+        full = warc.read_archive(spark, path).toPandas()
+        kept = spark.createDataFrame(list(rows.values()), warc.SCHEMA).filter(condition)
+        kept = kept.dropDuplicates(["record_id"]).count()
+        assert len(full) == 10
+        assert warc.read_archive(spark, path).filter(condition).dropDuplicates(["record_id"]).count() == kept
+
+
+def test_filters_are_pushed_and_bodies_are_not_decoded(tmp_path, monkeypatch):
+    row = {"record_id": "<urn:page:1>", "record_type": "response", "target_uri": "u", "refers_to": None, "payload_digest": "0" * 40, "payload_bytes": 100_000, "payload": random.Random(1).randbytes(100_000)}
+    small = row | {"record_id": "<urn:page:2>", "payload": b"abc", "payload_bytes": 3}
+    path = tmp_path / "a.warc.gz"
+    path.write_bytes(b"".join(warc.gzip_member(warc.record_bytes(r, "now"), 6) for r in (row, row, small)))
+    taken = []
+    take = warc._Bytes.take
+    monkeypatch.setattr(warc._Bytes, "take", lambda self, n: taken.append(n) or take(self, n))
+    with pa.OSFile(str(path)) as file:
+        tests = [warc.Test("record_id", "in", ("<urn:page:2>",))]
+        found = list(warc.read_records(file, True, tests, ["record_id", "payload"]))
+    assert found == [{"record_id": "<urn:page:2>", "payload": b"abc"}] and taken == [3]
+    with pa.OSFile(str(path)) as file:
+        assert len(list(warc.read_records(file, True, [], ["record_type"]))) == 3
+    assert taken == [3]
+
+
+@pytest.mark.parametrize("form", ["plain", "members", "one stream"])
+def test_archives_of_other_writers(tmp_path, form):
+    records = []
+    for n in range(5):
+        body = b"HTTP/1.1 200 OK\r\nA: b\r\n\r\n" + b"x" * (n * 70_000)
+        head = f"WARC/1.0\r\nWARC-Type: response\r\nWARC-Record-ID: <r{n}>\r\nContent-Type: application/http;\r\n msgtype=response\r\nContent-Length: {len(body)}\r\n\r\n"
+        records.append(head.encode() + body + b"\r\n\r\n")
+        info = b"software: x"
+        records.append(b"WARC/1.0\r\nWARC-Type: warcinfo\r\nContent-Type: application/warc-fields\r\nContent-Length: 11\r\n\r\n" + info + b"\r\n\r\n")
+    data = {"plain": b"".join(records), "members": b"".join(map(gzip.compress, records)), "one stream": gzip.compress(b"".join(records))}[form]
+    path = tmp_path / "f"
+    path.write_bytes(data)
+    for tests, ids in (([], [0, 1, 2, 3, 4]), ([warc.Test("record_id", "in", ("<r3>",))], [3])):
+        with pa.OSFile(str(path)) as file:
+            rows = list(warc.read_records(file, form != "plain", tests, ["record_id", "record_type", "payload_bytes", "payload"]))
+        assert len(rows) == (10 if not tests else 1)
+        got = {r["record_id"]: r for r in rows if r["record_type"] == "response"}
+        assert [got[f"<r{n}>"]["payload_bytes"] for n in ids] == [n * 70_000 for n in ids]
+        assert all(len(got[f"<r{n}>"]["payload"]) == n * 70_000 for n in ids)
+
+
+# ---- fingerprints ---------------------------------------------------------------------------------------
+
+
+def test_digest_is_a_function_of_the_text_and_round_trips():
+    rng = random.Random(1)
+    texts = [rng.randbytes(rng.choice([0, 1, 4, 5, 60, 5000, 700_000])) for _ in range(30)]
+    together = digests(texts)
+    for text, row in zip(texts, together, strict=True):
+        assert (digests([text])[0] == row).all()
+        assert (from_hex(to_hex(row)) == row).all()
+        assert likeness(row, row) == 1.0
+
+
+def test_likeness_falls_with_edits():
+    rng = random.Random(2)
+    words = [f"{rng.choice(['re', 'un', 'be'])}{n}" for n in range(500)]
+    text = [rng.choice(words) for _ in range(800)]
+    scores = []
+    for share in (0, 0.02, 0.2, 1):
+        other = [rng.choice(words) if rng.random() < share else w for w in text]
+        a, b = digests([" ".join(text).encode(), " ".join(other).encode()])
+        scores.append(likeness(a, b))
+    assert scores[0] == 1 and scores == sorted(scores, reverse=True) and 0 <= scores[-1] < 0.9
+
+
+def _expected_report(rows: list[tuple]) -> dict:
+    rows = sorted(rows)
+    out = {}
+    for (doc, text), (_, after) in zip(rows, rows[1:] + rows[:1], strict=True):
+        text, after = text or "", after or ""
+        half = len(text) // 2
+        changed = text[: len(text) - half] + after[:half]
+        own, new, then = digests([t.encode() for t in (text, changed, after)])
+        out[doc] = (len(text), hashlib.sha256(changed.encode()).hexdigest(), to_hex(own), to_hex(new), likeness(own, new), likeness(own, then))
+    return out
+
+
+COLUMNS = ["n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 700])
+def test_edit_report_equals_a_sorted_walk(spark, n):
+    rng = random.Random(n)
+    rows = [(doc * 3 - 50, rng.choice([None, "", "é", "漢字" * 9, " ".join(str(rng.random()) for _ in range(rng.randint(1, 40)))])) for doc in range(n)]
+    docs = with_clashing_columns(documents(spark, rows), ["part", "edge", "doc", "after"]).repartition(5)
+    found = {r.doc_id: tuple(r[c] for c in COLUMNS) for r in edit_report(docs).collect()}
+    assert found == _expected_report(rows)
+
+
+def test_edit_report_of_a_whole_table(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    found = {r.doc_id: tuple(r[c] for c in COLUMNS) for r in edit_report(docs).collect()}
+    assert found == _expected_report([(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()])
+    nearer = [f[4] > f[5] for f in found.values()]
+    assert np.mean(nearer) > 0.98
+
+
+def test_fingerprints_of_awkward_rows(spark):
+    rows = [(1, None), (2, ""), (3, "x" * 400_000), (4, "same"), (4, "same"), (None, "a"), (None, "b")]
+    docs = documents(spark, rows)
+    found = edit_report(docs)
+    assert rows_of(found, "doc_id", "n_chars") == sorted([(d, len(t or "")) for d, t in rows], key=repr)
+    assert edit_report(spark.createDataFrame([], DOCS)).count() == 0
+    own = {r.doc_id: r.fingerprint for r in fingerprints(docs).collect()}
+    assert own[1] == own[2] and edited("abcde", "XY") == "abcXY"
+
+
+# ---- HTML --------------------------------------------------------------------------------------------------
+
+
+@pytest.fixture(scope="module")
+def trees(spark):
+    model = html_trees.train(spark.read.parquet("/root/testdata/sf0.1/pages.parquet"))
+    return html_trees.BoostedTrees.from_bytes(model)
+
+
+def _article(page: str) -> str:
+    """The article element of a generated page, read with plain patterns."""
+    inside = re.search(r"<article>(.*?)</article>", page, re.DOTALL).group(1)
+    inside = re.sub(r"</?b>", "", inside).replace("<br>", " ")
+    blocks = (" ".join(html.unescape(b).split()) for b in re.split(r"</?(?:p|h1)>", inside))
+    return "\n".join(b for b in blocks if b)
+
+
+def test_main_text_of_given_pages(spark, trees):
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet").collect()
+    found = html_trees.extract([p.html for p in pages[:1000]], trees)
+    right = [text == _article(p.html) for p, text in zip(pages, found)]
+    assert np.mean(right) > 0.99
+
+
+def test_main_text_of_pages_written_anew(spark, trees):
+    rng = random.Random(9)
+    pages = spark.read.parquet(f"{SF}/pages.parquet").collect()
+    stories = [_article(p.html).split("\n") for p in pages]
+    words_right = words_found = words_due = 0
+    for story in stories:
+        main = [("h1", story[0])] + [("p", t) for t in story[1:]]
+        page = html_trees.variant(rng, main, ["About us", "Home", "Contact"], rng.choice(stories))
+        found = html_trees.extract([page], trees)[0].split("\n")
+        words_right += sum(len(t) for t in found if t in story)
+        words_found += sum(map(len, found))
+        words_due += sum(map(len, story))
+    assert words_right / words_found > 0.9 and words_right / words_due > 0.95
+
+
+def test_decoding_takes_the_likeliest_consistent_choice():
+    rng = random.Random(4)
+    for _ in range(200):
+        n = rng.randint(1, 9)
+        parent = np.array([-1] + [rng.randrange(i) for i in range(1, n)])
+        depth = np.zeros(n, int)
+        for i in range(1, n):
+            depth[i] = depth[parent[i]] + 1
+        margins = np.array([rng.uniform(-2, 2) for _ in range(n)])
+        keep = html_trees.decode(margins, parent, depth)
+        assert all(keep[parent[i]] or not keep[i] for i in range(1, n))
+        best = max(
+            sum(margins[i] for i in range(n) if mask >> i & 1)
+            for mask in range(1 << n)
+            if all(mask >> parent[i] & 1 or not mask >> i & 1 for i in range(1, n))
+        )
+        assert margins[keep].sum() == pytest.approx(best)
+
+
+def test_trees_learn_and_are_stored():
+    rng = np.random.default_rng(1)
+    table = rng.normal(size=(3000, 5)).astype(np.float32)
+    labels = ((table[:, 0] > 0) ^ (table[:, 1] > 0)).astype(float)
+    model = html_trees.BoostedTrees.fit(table, labels)
+    assert ((model.margins(table) > 0) == (labels > 0)).mean() > 0.95
+    again = html_trees.BoostedTrees.from_bytes(model.to_bytes())
+    assert (again.margins(table) == model.margins(table)).all()
+
+
+def test_reading_of_broken_markup():
+    page = html_trees.Page('<p>a &amp;lt; b<br>c<b>d<p>e <a href=">">link</a><!-- x --><script>var t="</p>";</script>f<ul><li>g<li>h</ul>i &nbsp; j<td>k')
+    assert [t for t in page.text if t] == ["a &lt; b cd", "e linkf", "g", "h", "i j", "k"]
+    for broken in ("", "<", "<p", "</p>", "<!--", "<script>", '<a href="x', "<p class='", "a < b > c", "<>", "&amp", "\x00<p>\x00"):
+        html_trees.Page(broken)
+    deep = html_trees.Page("<div>" * 3000 + "x")
+    assert max(deep.depth) == 3001
+
+
+def test_pages_of_awkward_rows(spark, trees):
+    rows = [(1, "u", None), (2, None, ""), (3, "u", "<p>" + "Word after word. " * 20_000), (4, "u", "<div>" * 500), (4, "u", "<div>" * 500), (None, "u", "<html>")]
+    pages = with_clashing_columns(spark.createDataFrame(rows, PAGES), ["text", "n_chars", "model"])
+    for model in (trees.to_bytes(), None):
+        found = html_trees.extract_main_text(pages, model)
+        assert found.columns == ["page_id", "url", "text", "n_chars"]
+        assert {(r.page_id, r.n_chars) for r in found.collect() if r.page_id in (1, 2, 4)} == {(1, 0), (2, 0), (4, 0)}
+    empty = spark.createDataFrame([], PAGES)
+    assert html_trees.train(empty) is None
+    assert html_trees.extract_main_text(empty, None).count() == 0
+    assert html_trees.train(spark.read.parquet(f"{SF_SMALL}/pages.parquet").filter("page_id < 0")) is None
+    assert pages.filter(F.col("html").isNull()).count() == 1

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from txnstar.llm.frames import only, sized
+from txnstar.llm.frames import only, packed, sized
 from txnstar.llm.words import to_bytes
 from txnstar.sources.workdir import materialise
 
@@ -254,14 +254,12 @@ def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         F.coalesce("_at_most", F.lit(1)).alias("_ties"),
     )
     groups = sized(materialise(groups, "groups"), 80)
-    marked = docs.withColumn("_own", _sha256(F.col(f"`{text_col}`")))
-    marked = marked.join(groups, F.col("_own") == F.col("_digest"), "left")
-    stays = marked.filter(
-        F.col("_digest").isNull() | F.col(f"`{id_col}`").cast("bigint").eqNullSafe(F.col("_keep"))
-    )
+    marked = packed(docs, own=_sha256(F.col(f"`{text_col}`")), doc=F.col(f"`{id_col}`").cast("bigint"))
+    marked = marked.join(groups, F.col("own") == F.col("_digest"), "left")
+    stays = marked.filter(F.col("_digest").isNull() | F.col("doc").eqNullSafe(F.col("_keep")))
     single = stays.filter(F.coalesce("_ties", F.lit(1)) == 1)
-    ties = stays.filter("_ties > 1").dropDuplicates(["_own"])
-    return single.select(*docs.columns).unionByName(ties.select(*docs.columns))
+    ties = stays.filter("_ties > 1").dropDuplicates(["own"])
+    return single.select("row.*").union(ties.select("row.*"))
 
 
 # The index as a table, for corpora that change.

@@ -2,13 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import os
+
+import txnstar
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # A side of a join is broadcast when its rows, counted, take at most so many bytes.
 BROADCAST_BYTES = 64 * 1024 * 1024
 
 
+def importable(spark: SparkSession) -> None:
+    """Python workers look for this package where the driver found it, besides their own path."""
+    home = os.path.dirname(os.path.dirname(os.path.abspath(txnstar.__file__)))
+    environment = spark.sparkContext.environment
+    known = environment.get("PYTHONPATH", "")
+    if home not in known.split(os.pathsep):
+        environment["PYTHONPATH"] = os.pathsep.join(filter(None, [home, known]))
+
+
 def only(df: DataFrame, **columns: str) -> DataFrame:
     """The named columns under internal names; whatever else ``df`` has plays no part."""
     return df.select(*[F.col(f"`{old}`").alias(new) for new, old in columns.items()])
@@ -20,3 +32,8 @@ def sized(df: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES) -> DataFr
     Beyond the limit the join shuffles both sides, and adaptive execution splits hot keys.
     """
     return F.broadcast(df) if df.count() * row_bytes <= limit else df
+
+
+def packed(df: DataFrame, **beside: Column) -> DataFrame:
+    """Whole rows in one column ``row``, so that columns beside it clash with none of theirs."""
+    return df.select(F.struct("*").alias("row"), *[c.alias(name) for name, c in beside.items()])

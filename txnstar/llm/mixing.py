@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from txnstar.llm.frames import only, sized
+from txnstar.llm.frames import only, packed, sized
 from txnstar.operators.keys import assign_key
 from txnstar.sources.workdir import materialise
 
@@ -176,15 +176,16 @@ def take_mix(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     """The rows of ``docs`` as often as the mix takes them, with all their columns.
 
     Rows that repeat an id are taken alike. A document without words adds nothing to any
-    target; it stays once.
+    target; it stays once, and so does a row without an id, which no plan can name.
     """
     taken = mix(docs, id_col=id_col, **options)
     times = F.when(F.col("size") == 0, 1).otherwise(F.col("times")).cast("int")
-    named = taken.filter(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias("_doc"))
-    named = materialise(named.agg(F.max(times).alias("_times")), "times")
-    rows = docs.join(sized(named, 24), docs[id_col] == named["_doc"], "left")
+    named = taken.filter(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias("_named"))
+    named = sized(materialise(named.agg(F.max(times).alias("_times")), "times"), 24)
+    rows = packed(docs, _doc=F.col(f"`{id_col}`"))
+    rows = rows.join(named, F.col("_doc") == F.col("_named"), "left")
     often = F.explode(F.array_repeat(F.lit(0), F.coalesce("_times", F.lit(1))))
-    return rows.select(*docs.columns, often.alias("_again")).drop("_again")
+    return rows.select("row", often.alias("_again")).select("row.*")
 
 
 ORACLE = r"""

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txnstar.llm.components import components
-from txnstar.llm.frames import only, sized
+from txnstar.llm.frames import only, packed, sized
 from txnstar.llm.sketch import band_keys, fast_sketches
 from txnstar.llm.words import WordHashes, lower_words, shingle_set
 from txnstar.sources.workdir import materialise
@@ -221,4 +221,5 @@ def keep_one_of_each(docs: DataFrame, **options) -> DataFrame:
     found = near_duplicates(docs, **options)
     gone = found.filter(~F.col("kept") & F.col("doc_id").isNotNull()).select("doc_id").distinct()
     gone = sized(materialise(gone.withColumnRenamed("doc_id", "_gone"), "gone"), 16)
-    return docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")
+    rows = packed(docs, _doc=F.col(f"`{id_col}`").cast("bigint"))
+    return rows.join(gone, F.col("_doc") == F.col("_gone"), "left_anti").select("row.*")

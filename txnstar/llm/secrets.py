@@ -10,8 +10,9 @@ import lzma
 import re
 import zlib
 from collections import deque
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +31,7 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
 MIN_ASSIGNED, MIN_ACCESS = 6, 20
 
-# What all layers of one text may hold together, in characters.
+# What all layers of one text may hold together, in bytes.
 LAYER_BUDGET = 16 * 1024 * 1024
 _PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _ESCAPES = re.compile(
@@ -159,7 +160,8 @@ def _readable(data: bytes) -> str | None:
     return text if text and odd * 20 <= len(text) else None
 
 
-def _unbase64(layer: Layer, most: int) -> Iterator[Layer]:
+def _unbase64(layer: Layer, room: Callable[[], int]) -> Iterator[Layer | None]:
+    """Layers of the base64 runs; None for one that unpacks to more than there is room for."""
     for m in _BASE64.finditer(layer.text):
         token = m.group().rstrip("=")
         if len(token) % 4 == 1:
@@ -170,13 +172,13 @@ def _unbase64(layer: Layer, most: int) -> Iterator[Layer]:
             )
         except binascii.Error:
             continue
-        seen = 0
-        packed = False
-        while seen < 8:  # compressed again and again before it was written down
-            data, again = _inflate(data, most)
-            if not again:
-                break
-            packed, seen = True, seen + 1
+        most, packed, again = room(), False, True
+        while again and len(data) <= most:  # it may have been compressed more than once
+            data, again = _inflate(data, most + 1)
+            packed = packed or again
+        if len(data) > most:
+            yield None
+            continue
         text = _readable(data)
         if text is None:
             continue
@@ -198,27 +200,27 @@ def scan(text: str, budget: int = LAYER_BUDGET) -> tuple[list, list, bool]:
 
     Layers wait in a list; each is unwrapped in every way, and what comes out waits in turn,
     until nothing new does. A layer equal to an earlier one over the same characters is not
-    taken again, so cycles end. A text whose layers exceed ``budget`` characters is scanned
+    taken again, so cycles end. A text whose layers exceed ``budget`` bytes is scanned
     that far, and ``whole`` is false.
     """
     base = sorted((start, kind, end) for kind, start, end in find(text))
     spans, waiting, seen, left, whole = set(base), deque([Layer(text)]), set(), budget, True
     while waiting:
         layer = waiting.popleft()
-        for child in (
-            *_unpercent(layer),
-            *_unescape(layer),
-            *_unbase64(layer, max(0, left)),
-        ):
-            digest = hashlib.blake2b(child.text.encode("utf-8", "surrogatepass"), digest_size=16)
-            key = digest.digest(), int(child.starts[0]), int(child.ends[-1])
+        unwrapped = chain(_unpercent(layer), _unescape(layer), _unbase64(layer, lambda: max(0, left)))
+        for child in unwrapped:
+            if child is None:
+                whole = False
+                continue
+            data = child.text.encode("utf-8", "surrogatepass")
+            key = hashlib.sha256(data).digest(), int(child.starts[0]), int(child.ends[-1])
             if key in seen or child.text == layer.text:
                 continue
             seen.add(key)
-            left -= len(child.text)
-            if left < 0:
+            if len(data) > left:
                 whole = False
                 continue
+            left -= len(data)
             for kind, start, end in find(child.text):
                 first, last = child.origin(start, end)
                 spans.add((first, kind, last))

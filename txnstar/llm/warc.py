@@ -264,7 +264,10 @@ def read_records(
     want_payload, want_size = "payload" in columns, "payload_bytes" in columns
     data = _Bytes(file, packed)
     while (block := data.until(b"\r\n\r\n")) is not None:
-        headers = parse_headers(block.lstrip(b"\r\n"))
+        block = block.lstrip(b"\r\n")
+        if not block:  # the two ends of line after a record
+            continue
+        headers = parse_headers(block)
         row = columns_of(headers)
         left = int(headers.get("content-length", 0))
         if not all(test.holds(row) for test in tests):
