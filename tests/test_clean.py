@@ -19,6 +19,7 @@ from txnstar import (
     flag_suspicious,
     null_dates,
     parse_mixed_timestamps,
+    read_raw,
     require_columns,
     standard_transactions,
 )
@@ -218,6 +219,26 @@ def test_required_refuses_nan(spark):
     assert require_columns(df, ["x"]).collect() == [(1.0,)]
 
 
+@pytest.mark.parametrize("text", ["NaN", "nan", "NAN", " NaN "])
+def test_required_refuses_nan_as_text(spark, text):
+    raw = raw_rows(spark, {"TransactionAmount": text}, {"TransactionAmount": "Infinity"}, {"TransactionAmount": "x"})
+    kept = [r.TransactionAmount for r in require_columns(raw).collect()]
+    assert kept == ["Infinity", "x"]
+    clean = clean_transactions(raw_rows(spark, {"TransactionAmount": "-Infinity"})).first()
+    assert (clean.TransactionAmount, clean.is_suspicious) == (float("inf"), True)
+
+
+def test_nan_goes_from_text_and_inferred_columns_alike(spark, tmp_path):
+    rows = [{"TransactionID": f"TX{i}", "TransactionAmount": a} for i, a in enumerate(["NaN", "1.5", "Infinity"])]
+    raw = raw_rows(spark, *rows)
+    raw.write.option("header", True).csv(str(tmp_path / "raw" / "date=2025-01-01"))
+    found = [
+        sorted((r.TransactionID, r.TransactionAmount) for r in clean_transactions(read_raw(spark, str(tmp_path / "raw"), infer)).collect())
+        for infer in (False, True)
+    ]
+    assert found[0] == found[1] == [("TX1", 1.5), ("TX2", float("inf"))]
+
+
 def test_bad_amount_stays(spark):
     """Only a missing amount drops the row; an unreadable one becomes NULL."""
     out = raw_rows(spark, {"TransactionAmount": "abc"}).transform(clean_transactions)

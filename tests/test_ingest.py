@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import datetime as dt
 import logging
+import os
+import time
 
 import pytest
-from pyspark.errors import PySparkException
 
 from tests.helpers import SF_SMALL
 from tests.test_sources import write_csv
@@ -14,6 +15,7 @@ from txnstar import PipelineConfig, create_warehouse, ingest_landing, read_raw_z
 from txnstar import run_transform
 from txnstar.plans.fixture import raw_transactions
 from txnstar.schema import RAW_COLUMNS
+from txnstar.streaming import ingest
 
 
 class Zone:
@@ -28,7 +30,7 @@ class Zone:
             str(self.landing),
             str(self.raw),
             str(self.base / "checkpoint"),
-            str(self.archive),
+            self.archive and str(self.archive),
             day,
             **options,
         )
@@ -48,7 +50,7 @@ def zone(spark, tmp_path):
 def test_empty_landing_is_a_no_op(zone, caplog):
     with caplog.at_level(logging.WARNING):
         assert zone.run() is False
-    assert "no files" in caplog.text
+    assert "no new files" in caplog.text
     assert zone.ids() == []
     assert zone.rows().columns == [*RAW_COLUMNS, "ingest_date"]
 
@@ -82,19 +84,106 @@ def test_today_by_default(zone):
     assert before <= zone.rows().first().ingest_date <= after
 
 
-def test_archive_holds_the_batch_before(zone):
+def test_archive_holds_what_was_read(zone):
+    for day, name in enumerate("abc", 1):
+        write_csv(zone.landing / f"{name}.csv", {"TransactionID": f"T{day}"})
+        zone.run(f"2025-01-0{day}")
+        assert list(zone.landing.glob("*.csv")) == []
+    assert sorted(p.name for p in zone.archive.rglob("*.csv")) == ["a.csv", "b.csv", "c.csv"]
+    assert zone.ids() == ["T1", "T2", "T3"]
+
+
+def test_a_name_sent_again_with_other_content_is_taken_again(zone):
+    for archive in (zone.archive, None):
+        zone.archive = archive
+        for n in range(2):
+            name = f"{'kept' if archive is None else 'moved'}{n}"
+            write_csv(zone.landing / "daily.csv", {"TransactionID": name})
+            os.utime(zone.landing / "daily.csv", (1_700_000_000 + n, 1_700_000_000 + n))
+            assert zone.run() is True
+            assert zone.run() is False
+    assert zone.ids() == ["kept0", "kept1", "moved0", "moved1"]
+    contents = sorted(p.read_text().split("\n")[1][:6] for p in (zone.base / "processed").rglob("*.csv"))
+    assert contents == ["moved0", "moved1"]
+
+
+def test_files_of_any_age_are_taken(zone):
     write_csv(zone.landing / "a.csv", {"TransactionID": "T1"})
     zone.run()
-    write_csv(zone.landing / "b.csv", {"TransactionID": "T2"})
+    for n, age in enumerate((1, 30, 4000)):
+        path = zone.landing / f"late{n}.csv"
+        write_csv(path, {"TransactionID": f"L{n}"})
+        then = time.time() - age * 86_400
+        os.utime(path, (then, then))
     zone.run()
-    write_csv(zone.landing / "c.csv", {"TransactionID": "T3"})
+    assert zone.ids() == ["L0", "L1", "L2", "T1"]
+
+
+def test_a_file_put_back_in_the_landing_folder_is_not_taken_twice(zone):
+    write_csv(zone.landing / "a.csv", {"TransactionID": "T1"})
+    zone.archive = None
     zone.run()
-    archived = {p.name for p in zone.archive.rglob("*.csv")}
-    waiting = {p.name for p in zone.landing.glob("*.csv")}
-    assert "a.csv" in archived
-    assert "c.csv" in waiting
-    assert archived | waiting == {"a.csv", "b.csv", "c.csv"}
-    assert zone.ids() == ["T1", "T2", "T3"]
+    zone.run()
+    assert zone.ids() == ["T1"]
+
+
+@pytest.mark.parametrize("broken", ["_write", "put_away"])
+def test_a_crash_loses_and_repeats_nothing(zone, monkeypatch, broken):
+    write_csv(zone.landing / "a.csv", {"TransactionID": "T1"})
+    write = getattr(ingest._Zone, broken)
+
+    def crash(self, *args):
+        if broken == "_write":
+            write(self, *args)  # the data are there, the note that they are is not
+        raise OSError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(ingest._Zone, broken, crash)
+        with pytest.raises(OSError):
+            zone.run()
+    write_csv(zone.landing / "b.csv", {"TransactionID": "T2"})
+    zone.run("2025-01-02")
+    assert zone.ids() == ["T1", "T2"]
+    days = {r.TransactionID: str(r.ingest_date) for r in zone.rows().collect()}
+    assert days == {"T1": "2025-01-01", "T2": "2025-01-02"}
+    assert sorted(p.name for p in zone.archive.rglob("*.csv")) == ["a.csv", "b.csv"]
+
+
+def test_a_file_that_changes_under_an_unfinished_batch_fails_loudly(zone, monkeypatch):
+    write_csv(zone.landing / "a.csv", {"TransactionID": "T1"})
+    with monkeypatch.context() as patch:
+        patch.setattr(ingest._Zone, "_write", lambda *args: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            zone.run()
+    write_csv(zone.landing / "a.csv", {"TransactionID": "T2"}, {})
+    with pytest.raises(RuntimeError, match=r"a\.csv changed or went"):
+        zone.run()
+
+
+def test_rows_with_a_wrong_number_of_fields_are_set_apart(zone, caplog):
+    write_csv(zone.landing / "a.csv", {"TransactionID": "T1"})
+    path = zone.landing / "a.csv"
+    path.write_text(path.read_text() + "T2,too,few\n" + ",".join(["T3"] * 17) + "\n")
+    with caplog.at_level(logging.WARNING):
+        zone.run()
+    assert zone.ids() == ["T1"]
+    assert "2 rows" in caplog.text
+    refused = zone.spark.read.parquet(f"{zone.raw}/_rejected").collect()
+    assert sorted(r._broken_line[:2] for r in refused) == ["T2", "T3"]
+
+
+def test_absent_landing_folder_is_a_normal_day(zone, caplog):
+    zone.landing.rmdir()
+    with caplog.at_level(logging.WARNING):
+        assert zone.run() is False
+    assert "no new files" in caplog.text
+
+
+def test_an_empty_file_brings_nothing(zone):
+    (zone.landing / "a.csv").write_text("")
+    write_csv(zone.landing / "b.csv")
+    assert zone.run() is False
+    assert zone.ids() == []
 
 
 def test_batches_of_bounded_size(zone):
@@ -111,25 +200,31 @@ def test_header_in_another_order(zone):
     assert (row.TransactionID, row.Channel) == ("T1", "Branch")
 
 
-def test_other_columns_reach_the_raw_zone(zone):
+@pytest.mark.parametrize("archived", [True, False])
+def test_headers_change_from_day_to_day(zone, archived):
+    if not archived:
+        zone.archive = None
     write_csv(zone.landing / "a.csv", {"TransactionID": "T1"})
     zone.run()
-    (zone.landing / "a.csv").rename(zone.base / "taken.csv")
-    columns = [*RAW_COLUMNS, "Note"]
+    columns = [*reversed(RAW_COLUMNS), "Note"]
     write_csv(zone.landing / "b.csv", {"TransactionID": "T2", "Note": "x"}, columns=columns)
-    zone.run()
-    assert {r.TransactionID: r.Note for r in zone.rows().collect()} == {"T1": None, "T2": "x"}
+    zone.run("2025-01-02")
+    write_csv(zone.landing / "c.csv", {"TransactionID": "T3"})
+    zone.run("2025-01-03")
+    rows = {r.TransactionID: r for r in zone.rows().collect()}
+    assert {k: r.Note for k, r in rows.items()} == {"T1": None, "T2": "x", "T3": None}
+    assert {r.Channel for r in rows.values()} == {"ATM"}
+    assert zone.rows().columns == [*RAW_COLUMNS, "Note", "ingest_date"]
 
 
-def test_mixed_headers_are_refused_until_corrected(zone):
-    write_csv(zone.landing / "a.csv", {})
-    write_csv(zone.landing / "b.csv", {}, columns=list(reversed(RAW_COLUMNS)))
-    with pytest.raises(PySparkException, match=r"FAILED_READ_FILE.*b\.csv"):
-        zone.run()
-    assert zone.ids() == []
-    write_csv(zone.landing / "b.csv", {"TransactionID": "T2"})
+def test_files_of_one_day_may_have_different_headers(zone):
+    write_csv(zone.landing / "a.csv", {"TransactionID": "T1"})
+    write_csv(zone.landing / "b.csv", {"TransactionID": "T2"}, columns=list(reversed(RAW_COLUMNS)))
+    write_csv(zone.landing / "c.csv", {"TransactionID": "T3", "X": "9"}, columns=["X", *RAW_COLUMNS])
     zone.run()
-    assert zone.ids() == ["T1", "T2"]
+    assert {(r.TransactionID, r.Channel, r.X) for r in zone.rows().collect()} == {
+        ("T1", "ATM", None), ("T2", "ATM", None), ("T3", "ATM", "9"),
+    }
 
 
 def test_missing_columns_are_refused(zone):
@@ -160,6 +255,8 @@ def test_whole_run(zone, spark):
         audit = {r.stage: r.row_count for r in run_pipeline(spark, cfg).collect()}
         assert audit == {
             "raw": 1530,
+            "deduplicated": 1500,
+            "required": 1395,
             "clean": 1321,
             "dim_date": 1001,
             "dim_account": 150,
@@ -167,6 +264,11 @@ def test_whole_run(zone, spark):
             "dim_transaction_type": 3,
             "fact_transactions": 1321,
             "null_dates": 74,
+            "loaded_dim_date": 1001,
+            "loaded_dim_account": 150,
+            "loaded_dim_merchant": 90,
+            "loaded_dim_transaction_type": 3,
+            "loaded_fact_transactions": 1321,
         }
         assert spark.table(f"{target}.FACT_TRANSACTIONS").count() == 1321
     spark.sql(f"DROP DATABASE {target} CASCADE")

@@ -8,15 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.helpers import sorted_rows
-from txnstar import assign_key, lookup_key, one_per_key
-from txnstar.operators import keys
-from txnstar.operators.keys import byte_size
-
-
-def test_byte_size(spark):
-    df = spark.createDataFrame([("abc", 1), (None, 2)], "s string, n long")
-    assert byte_size(df) == 2 * 32 + 3
-    assert byte_size(df.filter("n > 5")) == 0
+from txnstar import assign_key, assign_key_in_ranges, hot_keys, in_ranges, lookup_key, one_per_key
+from txnstar.sources.workdir import materialise
 
 
 def test_one_per_key_takes_the_last(spark):
@@ -65,34 +58,61 @@ def test_one_per_key_merges_before_the_shuffle(spark):
 VALUES = [f"v{i:04d}" for i in range(500)] + [None]
 
 
+def _numbered(df, col, name, ranged):
+    if not ranged:
+        return assign_key(df, col, name)
+    return assign_key_in_ranges(materialise(in_ranges(df, col), "ranges"), col, name)
+
+
 @pytest.mark.parametrize("merge", ["true", "false"])
-@pytest.mark.parametrize("small_bytes", [keys.SMALL_BYTES, 0])
-def test_dense_key(spark, conf, small_bytes, merge):
+@pytest.mark.parametrize("ranged", [False, True])
+def test_dense_key(spark, conf, ranged, merge):
     # Unmerged, the eight shuffle partitions stay eight ranges.
     conf("spark.sql.adaptive.coalescePartitions.enabled", merge)
     shuffled = random.Random(3).sample(VALUES, len(VALUES))
     df = spark.createDataFrame([(v,) for v in shuffled], "value string").repartition(13)
-    out = assign_key(df, "value", "value_id", small_bytes=small_bytes)
+    out = _numbered(df, "value", "value_id", ranged)
+    assert out.columns == ["value", "value_id"]
     assert out.schema["value_id"].dataType.typeName() == "long"
     assert sorted_rows(out) == sorted(
         [(v, i + 1) for i, v in enumerate(VALUES)], key=repr
     )
 
 
-@pytest.mark.parametrize("small_bytes", [keys.SMALL_BYTES, 0])
-def test_dense_key_of_nothing(spark, small_bytes):
+@pytest.mark.parametrize("ranged", [False, True])
+def test_dense_key_of_nothing(spark, ranged):
     df = spark.createDataFrame([], "value string")
-    assert assign_key(df, "value", "value_id", small_bytes=small_bytes).count() == 0
+    assert _numbered(df, "value", "value_id", ranged).count() == 0
+
+
+def _jobs_started(spark, build):
+    """Jobs that building a frame, without reading it, has started."""
+    spark.sparkContext.setJobGroup("building", "building a frame")
+    build()
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return list(spark.sparkContext.statusTracker().getJobIdsForGroup("building"))
+
+
+def test_building_a_frame_runs_no_job(spark):
+    facts, dim, _ = _lookup_case(spark)
+    on = [("k", "name")]
+
+    def build():
+        assign_key(dim, "name", "key")
+        assign_key_in_ranges(in_ranges(dim, "name"), "name", "key")
+        lookup_key(facts, dim, on, "name_id")
+        lookup_key(facts, dim, on, "name_id", small=False)
+
+    assert _jobs_started(spark, build) == []
 
 
-def test_hash_key(spark):
-    df = spark.createDataFrame([(v,) for v in VALUES], "value string")
-    first = sorted_rows(assign_key(df, "value", "value_id", method="hash"))
-    again = sorted_rows(assign_key(df.repartition(7), "value", "value_id", method="hash"))
-    assert first == again
-    assert len({r[1] for r in first}) == len(VALUES)
-    with pytest.raises(ValueError):
-        assign_key(df, "value", "value_id", method="other")
+def test_hot_keys_are_few_and_never_null(spark):
+    facts, _, _ = _lookup_case(spark)
+    assert {"hot", "gone"} <= {r.k for r in hot_keys(facts, ["k"]).collect()}
+    assert hot_keys(facts, ["k"]).filter("k IS NULL").count() == 0
+    assert hot_keys(facts.filter("false"), ["k"]).count() == 0
+    many = spark.range(5000).select(F.col("id").alias("k"))
+    assert hot_keys(many, ["k"]).count() == 0
 
 
 def _lookup_case(spark):
@@ -114,12 +134,12 @@ def _lookup_case(spark):
     )
 
 
-@pytest.mark.parametrize("small_bytes", [keys.SMALL_BYTES, 0])
+@pytest.mark.parametrize("small", [True, False])
 @pytest.mark.parametrize("aqe", ["true", "false"])
-def test_lookup(spark, conf, aqe, small_bytes):
+def test_lookup(spark, conf, aqe, small):
     conf("spark.sql.adaptive.enabled", aqe)
     facts, dim, expected = _lookup_case(spark)
-    out = lookup_key(facts, dim, [("k", "name")], "name_id", small_bytes=small_bytes)
+    out = lookup_key(facts, dim, [("k", "name")], "name_id", small=small)
     assert out.columns == ["i", "k", "name_id"]
     assert sorted_rows(out) == expected
 
@@ -127,7 +147,7 @@ def test_lookup(spark, conf, aqe, small_bytes):
 def test_lookup_by_shuffle_without_automatic_broadcast(spark, conf):
     conf("spark.sql.autoBroadcastJoinThreshold", "-1")
     facts, dim, expected = _lookup_case(spark)
-    out = lookup_key(facts, dim, [("k", "name")], "name_id", small_bytes=0)
+    out = lookup_key(facts, dim, [("k", "name")], "name_id", small=False)
     assert sorted_rows(out) == expected
     # Only the cold rows meet the dimension in a sort-merge join.
     plan = out._jdf.queryExecution().toString()
@@ -140,8 +160,8 @@ def test_lookup_on_two_columns(spark):
         [(1, "a", "x"), (2, "a", None), (3, "b", "x")], "i int, p string, q string"
     )
     dim = spark.createDataFrame([("a", "x", 7), (None, "x", 8)], "p string, q string, id long")
-    for small_bytes in (keys.SMALL_BYTES, 0):
-        out = lookup_key(facts, dim, [("p", "p"), ("q", "q")], "id", small_bytes=small_bytes)
+    for small in (True, False):
+        out = lookup_key(facts, dim, [("p", "p"), ("q", "q")], "id", small=small)
         assert sorted_rows(out) == [(1, "a", "x", 7), (2, "a", None, None), (3, "b", "x", None)]
 
 

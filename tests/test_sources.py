@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 import datetime as dt
 
 import pytest
@@ -27,6 +28,7 @@ from txnstar import (
 from txnstar.plans.fixture import raw_transactions
 from txnstar.schema import RAW_COLUMNS, STAR_TABLES, warehouse_schema
 from txnstar.sources import workdir
+from txnstar.sources.store import Store
 
 
 def write_csv(path, *rows, columns=RAW_COLUMNS):
@@ -98,6 +100,27 @@ def test_scan_keeps_other_columns(spark, tmp_path):
     assert clean_transactions(df).count() == 2
 
 
+def test_scan_reads_quotes_as_they_are_written(spark, tmp_path):
+    raw = raw_rows(spark, {"DeviceID": 'say "hi", ok'}, {"DeviceID": "back\\\\slash"}, {"DeviceID": '"'})
+    path = tmp_path / "date=2025-01-01" / "a.csv"
+    path.parent.mkdir()
+    with open(path, "w", newline="") as out:
+        lines = csv.writer(out)
+        lines.writerow(RAW_COLUMNS)
+        lines.writerows([list(r) for r in raw.collect()])
+    found = read_raw(spark, str(tmp_path)).drop("ingest_date")
+    assert sorted_rows(found) == sorted_rows(raw)
+
+
+def test_scan_refuses_rows_with_another_number_of_fields(spark, tmp_path):
+    for text in ("T1,A1,5", ",".join(["x"] * 16)):
+        path = tmp_path / "date=2025-01-01" / "a.csv"
+        write_csv(path, {})
+        path.write_text(path.read_text() + text + "\n")
+        with pytest.raises(Exception, match="MALFORMED"):
+            read_raw(spark, str(tmp_path)).collect()
+
+
 def test_scan_with_inference(spark, tmp_path):
     write_csv(
         tmp_path / "date=2025-01-01" / "a.csv",
@@ -233,3 +256,27 @@ def test_materialise_writes_to_the_shared_folder(spark):
     folder = spark.conf.get("spark.checkpoint.dir")
     assert all(f.startswith(folder.replace("file:", "file://")) for f in df.inputFiles())
     assert df.count() == 5
+
+
+def test_scratch_is_removed(spark, tmp_path):
+    with workdir.scratch(spark) as folder:
+        inside = workdir.materialise(spark.range(5), "numbers")
+        assert all(folder.removeprefix("file:") in f for f in inside.inputFiles())
+        assert Store(spark).names(folder)
+    assert not Store(spark).exists(folder)
+    assert not workdir.fresh_dir(spark, "x").startswith(folder)
+
+
+def test_a_job_leaves_only_its_outputs(spark, tmp_path):
+    store, shared = Store(spark), workdir.shared_dir(spark)
+    raw_transactions(spark, SF_SMALL).write.option("header", True).csv(str(tmp_path / "raw" / "date=2025-01-01"))
+    before = store.names(shared)
+    run_transform(spark, str(tmp_path / "raw"), str(tmp_path / "staged"))
+    assert store.names(shared) == before
+    assert sorted(p.name for p in (tmp_path / "staged").iterdir()) == sorted([*STAR_TABLES, "standard_transactions"])
+
+
+def test_an_absent_connector_target_is_refused(spark):
+    rows = spark.createDataFrame([(7, "Debit")], "TYPE_ID long, TRANSACTION_TYPE string")
+    with pytest.raises(Exception):
+        load_table(rows, "NO_SUCH_TABLE", fmt="jdbc", options={"url": "jdbc:none:x"})

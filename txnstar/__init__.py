@@ -12,7 +12,14 @@ from txnstar.operators.clean import (
     require_columns,
     standard_transactions,
 )
-from txnstar.operators.keys import assign_key, lookup_key, one_per_key
+from txnstar.operators.keys import (
+    assign_key,
+    assign_key_in_ranges,
+    hot_keys,
+    in_ranges,
+    lookup_key,
+    one_per_key,
+)
 from txnstar.operators.projection import load_projection, timestamps_to_text, upper_columns
 from txnstar.operators.star import (
     build_dim_account,
@@ -20,6 +27,7 @@ from txnstar.operators.star import (
     build_dim_merchant,
     build_dim_transaction_type,
     build_fact,
+    transaction_types,
 )
 from txnstar.plans.jobs import (
     PipelineConfig,
@@ -27,7 +35,6 @@ from txnstar.plans.jobs import (
     run_pipeline,
     run_transform,
     stage_star,
-    star_audit,
 )
 from txnstar.sources.raw import read_raw, read_raw_zone
 from txnstar.sources.staged import read_staged, write_staged
@@ -37,6 +44,7 @@ from txnstar.streaming.ingest import ingest_landing
 __all__ = [
     "PipelineConfig",
     "assign_key",
+    "assign_key_in_ranges",
     "build_dim_account",
     "build_dim_date",
     "build_dim_merchant",
@@ -49,6 +57,8 @@ __all__ = [
     "drop_exact_duplicates",
     "drop_unparsed",
     "flag_suspicious",
+    "hot_keys",
+    "in_ranges",
     "ingest_landing",
     "load_projection",
     "load_star",
@@ -67,8 +77,8 @@ __all__ = [
     "run_transform",
     "stage_star",
     "standard_transactions",
-    "star_audit",
     "timestamps_to_text",
+    "transaction_types",
     "upper_columns",
     "write_staged",
 ]

@@ -10,14 +10,12 @@ import argparse
 from pyspark.sql import SparkSession
 
 from txnstar.plans.jobs import PipelineConfig, run_load, run_pipeline, run_transform
-from txnstar.plans.sizing import session_conf
 from txnstar.sources.warehouse import create_warehouse
 from txnstar.streaming.ingest import ingest_landing
 
 
 def _parser() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="txnstar")
-    parser.add_argument("--raw-bytes", type=int, help="size of the raw data, to size shuffles")
     jobs = parser.add_subparsers(dest="job", required=True)
 
     def job(name: str, *required: str) -> argparse.ArgumentParser:
@@ -38,6 +36,7 @@ def _parser() -> argparse.ArgumentParser:
     source(job("ingest", "landing", "raw", "checkpoint"))
     transform = job("transform", "raw", "staged")
     transform.add_argument("--raw-format", choices=["csv", "parquet"], default="parquet")
+    transform.add_argument("--infer-schema", action="store_true", help="type CSV values as read")
     sink(job("load", "staged", "target"))
     create = job("create-warehouse", "target")
     create.add_argument("--location")
@@ -50,8 +49,6 @@ def _parser() -> argparse.ArgumentParser:
 def main(argv: list[str] | None = None) -> None:
     args = _parser().parse_args(argv)
     builder = SparkSession.builder.appName(f"txnstar-{args.job}")
-    if args.raw_bytes:
-        builder = builder.config(map=session_conf(args.raw_bytes))
     spark = builder.getOrCreate()
     if args.job == "ingest":
         ingest_landing(
@@ -64,7 +61,8 @@ def main(argv: list[str] | None = None) -> None:
             args.batch_bytes,
         )
     elif args.job == "transform":
-        run_transform(spark, args.raw, args.staged, args.raw_format).show(truncate=False)
+        audit = run_transform(spark, args.raw, args.staged, args.raw_format, args.infer_schema)
+        audit.show(truncate=False)
     elif args.job == "load":
         loaded = run_load(spark, args.staged, args.target, args.format, _options(args.option))
         loaded.show(truncate=False)

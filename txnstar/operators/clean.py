@@ -34,15 +34,21 @@ def drop_exact_duplicates(df: DataFrame, cols: list[str] | None = None) -> DataF
     return df.select(row.alias("_row")).distinct().select("_row.*")
 
 
-def require_columns(df: DataFrame, cols: list[str] = REQUIRED_COLUMNS) -> DataFrame:
-    """Rows with a value in each of ``cols``; not-a-number is no value.
+def require_columns(
+    df: DataFrame, cols: list[str] = REQUIRED_COLUMNS, numbers: list[str] = DOUBLE_COLUMNS
+) -> DataFrame:
+    """Rows with a value in each of ``cols``; not-a-number is no value, however it is written.
+
+    A required column among ``numbers`` is tested for what its text parses to: ``NaN`` in any
+    case goes, as it does when the schema is inferred. Infinity is a number and stays: it is
+    above every threshold. Text that is no number stays too, and becomes NULL later.
 
     Separate null tests, unlike ``dropna``, are pushed into the Parquet scan.
     """
     for col in cols:
         df = df.filter(F.col(col).isNotNull())
-        if isinstance(df.schema[col].dataType, (T.DoubleType, T.FloatType)):
-            df = df.filter(~F.isnan(col))
+        if isinstance(df.schema[col].dataType, (T.DoubleType, T.FloatType)) or col in numbers:
+            df = df.filter(~F.coalesce(F.isnan(X.to_double(F.col(col))), F.lit(False)))
     return df
 
 

@@ -1,4 +1,8 @@
-"""One row per key, surrogate keys, and fetching a surrogate from a dimension."""
+"""One row per key, surrogate keys, and fetching a surrogate from a dimension.
+
+Nothing here runs a job: the caller, who knows what is written and how large it is, says
+whether a table is small.
+"""
 
 from __future__ import annotations
 
@@ -7,25 +11,11 @@ from operator import and_, or_
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from txnstar.sources.workdir import materialise
 
-# What one task may sort alone, and what every executor may hold as a broadcast.
-SMALL_BYTES = 64 * 1024 * 1024
 # A key with more than this share of the rows is hot; fewer than 1/share keys can be.
 HOT_SHARE = 1 / 1000
 
 
-def byte_size(df: DataFrame) -> int:
-    """Upper estimate of the bytes in ``df``: 16 a value, plus the text itself."""
-    size = F.lit(16 * len(df.columns)).cast("bigint")
-    for field in df.schema:
-        if isinstance(field.dataType, T.StringType):
-            size = size + F.coalesce(F.octet_length(F.col(f"`{field.name}`")), F.lit(0))
-    return df.agg(F.sum(size)).first()[0] or 0
-
-
 def one_per_key(
     df: DataFrame, keys: list[str], order: list[str], attributes: list[str]
 ) -> DataFrame:
@@ -43,35 +33,27 @@ def one_per_key(
     return last.select(*keys, *[F.col(f"_last.{a}").alias(a) for a in attributes])
 
 
-def assign_key(
-    df: DataFrame, col: str, name: str, method: str = "dense", small_bytes: int = SMALL_BYTES
-) -> DataFrame:
-    """Add a surrogate for the distinct values of ``col`` that reruns reproduce.
+def assign_key(df: DataFrame, col: str, name: str) -> DataFrame:
+    """Number the distinct values of ``col`` 1..n, NULL last; reruns reproduce it.
 
-    ``dense`` numbers 1..n by value, NULL last. Values too many for one task are
-    numbered by range. ``hash`` takes a 64-bit hash and needs no shuffle, but two of
-    very many values may share a key.
+    One task numbers all values. For more than a task holds, use ``in_ranges``, write its
+    result, and give that to ``assign_key_in_ranges``; the numbers are the same.
     """
-    if method == "hash":
-        return df.withColumn(name, F.xxhash64(col))
-    if method != "dense":
-        raise ValueError(f"unknown key method {method!r}: use 'dense' or 'hash'")
-    by_value = F.col(col).asc_nulls_last()
-    if byte_size(df) <= small_bytes:
-        return df.withColumn(name, F.row_number().over(Window.orderBy(by_value)).cast("bigint"))
-    return _assign_by_range(df, col, name)
+    by_value = Window.orderBy(F.col(col).asc_nulls_last())
+    return df.withColumn(name, F.row_number().over(by_value).cast("bigint"))
 
 
-def _assign_by_range(df: DataFrame, col: str, name: str) -> DataFrame:
-    """Number within ranges of values, then shift by the sizes of the lower ranges.
+def in_ranges(df: DataFrame, col: str) -> DataFrame:
+    """``df`` with a ``_range`` for each row, such that greater ranges hold greater values.
 
-    The ranges are drawn from a sample, so they are written before the two passes
-    that must agree on them.
+    The ranges are drawn from a sample, so write the result before it is read twice.
     """
     by_value = F.col(col).asc_nulls_last()
-    ranged = materialise(
-        df.repartitionByRange(by_value).withColumn("_range", F.spark_partition_id()), "ranges"
-    )
+    return df.repartitionByRange(by_value).withColumn("_range", F.spark_partition_id())
+
+
+def assign_key_in_ranges(ranged: DataFrame, col: str, name: str) -> DataFrame:
+    """Number within ranges of values, then shift by the sizes of the lower ranges."""
     lower = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     # One row per shuffle partition, whatever the data holds.
     shift = (
@@ -79,32 +61,48 @@ def _assign_by_range(df: DataFrame, col: str, name: str) -> DataFrame:
         .count()
         .select("_range", F.coalesce(F.sum("count").over(lower), F.lit(0)).alias("_shift"))
     )
+    by_value = F.col(col).asc_nulls_last()
     within = F.row_number().over(Window.partitionBy("_range").orderBy(by_value))
+    columns = [c for c in ranged.columns if c != "_range"]
     return (
         ranged.withColumn("_within", within)
         .join(F.broadcast(shift), "_range")
-        .select(*df.columns, (F.col("_within") + F.col("_shift")).cast("bigint").alias(name))
+        .select(*columns, (F.col("_within") + F.col("_shift")).cast("bigint").alias(name))
     )
 
 
+def hot_keys(df: DataFrame, cols: list[str]) -> DataFrame:
+    """The values of ``cols`` that more than ``HOT_SHARE`` of the rows have, in those columns.
+
+    There are fewer than ``1 / HOT_SHARE`` of them, however the data looks. Rows with a NULL
+    count among all rows but are not hot. One aggregate gives the counts and their total.
+    """
+    counts = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
+    total = counts.agg((F.sum("_n") * HOT_SHARE).alias("_limit"))
+    keyed = reduce(and_, [F.col(c).isNotNull() for c in cols])
+    return counts.filter(keyed).join(F.broadcast(total), F.col("_n") > F.col("_limit")).select(*cols)
+
+
 def lookup_key(
     df: DataFrame,
     dim: DataFrame,
     on: list[tuple[str, str]],
     key: str,
-    small_bytes: int = SMALL_BYTES,
+    small: bool = True,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Left-join ``key`` from ``dim``, whose ``on`` columns are unique.
 
-    A NULL matches nothing. ``dim`` is measured: a small one is broadcast and ``df``
-    is not shuffled. A larger one is joined by shuffle, hot keys apart. Pass a ``dim``
-    that is written, not one that measuring would compute.
+    A NULL matches nothing. A ``small`` dimension is broadcast and ``df`` is not shuffled. One
+    that is not is joined by shuffle, but rows whose key is NULL or among the ``hot`` ones
+    skip the shuffle: pass ``hot_keys`` of ``df``, written, lest it be computed twice.
     """
     lookup = dim.select(*[F.col(d).alias(f"_{d}") for _, d in on], key)
     pairs = [(left, f"_{right}") for left, right in on]
-    if byte_size(lookup) <= small_bytes:
+    if small:
         return _left_lookup(df, F.broadcast(lookup), pairs, key)
-    return _lookup_by_shuffle(df, lookup, pairs, key)
+    hot = hot_keys(df, [left for left, _ in on]) if hot is None else hot
+    return _lookup_by_shuffle(df, lookup, pairs, key, hot)
 
 
 def _left_lookup(
@@ -115,24 +113,12 @@ def _left_lookup(
 
 
 def _lookup_by_shuffle(
-    df: DataFrame, lookup: DataFrame, pairs: list[tuple[str, str]], key: str
+    df: DataFrame, lookup: DataFrame, pairs: list[tuple[str, str]], key: str, hot: DataFrame
 ) -> DataFrame:
-    """Shuffle only rows whose key is neither NULL nor hot.
-
-    Fewer than ``1 / HOT_SHARE`` keys can each hold more than ``HOT_SHARE`` of the rows,
-    so what the hot branch broadcasts is bounded however the data looks.
-    """
-    lefts = [left for left, _ in pairs]
+    """Shuffle only rows whose key is neither NULL nor hot; hot keys are a bounded few."""
     rights = [right for _, right in pairs]
-    no_key = reduce(or_, [F.col(left).isNull() for left in lefts])
-    rows_limit = df.count() * HOT_SHARE
-    hot = (
-        df.filter(~no_key)
-        .groupBy(*[F.col(left).alias(right) for left, right in pairs])
-        .count()
-        .filter(F.col("count") > rows_limit)
-        .select(*rights, F.lit(True).alias("_hot"))
-    )
+    no_key = reduce(or_, [F.col(left).isNull() for left, _ in pairs])
+    hot = hot.select(*[F.col(left).alias(right) for left, right in pairs], F.lit(True).alias("_hot"))
     hot_lookup = lookup.join(F.broadcast(hot), rights, "left_semi")
     marked = _left_lookup(df, F.broadcast(hot), pairs, "_hot")
     apart = F.col("_hot").isNotNull() | no_key

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txnstar import functions as X
-from txnstar.operators.keys import SMALL_BYTES, assign_key, lookup_key, one_per_key
+from txnstar.operators.keys import assign_key, lookup_key, one_per_key
 from txnstar.schema import ACCOUNT_COLUMNS, FACT_COLUMNS, MERCHANT_COLUMNS
 
 # The later transaction speaks for the account or merchant.
@@ -47,24 +47,31 @@ def build_dim_merchant(clean: DataFrame, drop_null_keys: bool = False) -> DataFr
     return _latest(clean, MERCHANT_COLUMNS, drop_null_keys)
 
 
-def build_dim_transaction_type(
-    clean: DataFrame, drop_null_keys: bool = False, small_bytes: int = SMALL_BYTES
-) -> DataFrame:
-    """Numbering measures the values first, so pass clean rows that are written."""
+def transaction_types(clean: DataFrame, drop_null_keys: bool = False) -> DataFrame:
+    """The distinct types, to be numbered."""
     values = _renamed(clean, {"TransactionType": "transaction_type"}).distinct()
-    if drop_null_keys:
-        values = values.filter(F.col("transaction_type").isNotNull())
-    return assign_key(values, "transaction_type", "type_id", small_bytes=small_bytes)
+    return values.filter(F.col("transaction_type").isNotNull()) if drop_null_keys else values
+
+
+def build_dim_transaction_type(clean: DataFrame, drop_null_keys: bool = False) -> DataFrame:
+    """Types numbered by name in one task; the transform job numbers very many in ranges."""
+    return assign_key(transaction_types(clean, drop_null_keys), "transaction_type", "type_id")
 
 
 def build_fact(
-    clean: DataFrame, dim_date: DataFrame, dim_type: DataFrame, small_bytes: int = SMALL_BYTES
+    clean: DataFrame,
+    dim_date: DataFrame,
+    dim_type: DataFrame,
+    small_dates: bool = True,
+    small_types: bool = True,
+    hot_types: DataFrame | None = None,
 ) -> DataFrame:
     """One row per clean row, with the keys of the *written* date and type dimensions.
 
-    Accounts and merchants are carried by their natural keys.
+    Accounts and merchants are carried by their natural keys. See ``lookup_key`` for
+    dimensions that are not small.
     """
-    keyed = lookup_key(clean, dim_date, [("txn_date", "date")], "date_id", small_bytes)
+    keyed = lookup_key(clean, dim_date, [("txn_date", "date")], "date_id", small_dates)
     on_type = [("TransactionType", "transaction_type")]
-    keyed = lookup_key(keyed, dim_type, on_type, "type_id", small_bytes)
+    keyed = lookup_key(keyed, dim_type, on_type, "type_id", small_types, hot_types)
     return _renamed(keyed, FACT_COLUMNS)

@@ -4,74 +4,151 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
-
-from txnstar.operators.audit import null_dates, row_counts
-from txnstar.operators.clean import drop_unparsed, standard_transactions
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+
+from txnstar.operators.audit import row_counts
+from txnstar.operators.clean import (
+    calendar_parts,
+    cast_numbers,
+    drop_exact_duplicates,
+    drop_unparsed,
+    flag_suspicious,
+    parse_mixed_timestamps,
+    require_columns,
+)
+from txnstar.operators.keys import assign_key, assign_key_in_ranges, hot_keys, in_ranges
 from txnstar.operators.star import (
     build_dim_account,
     build_dim_date,
     build_dim_merchant,
-    build_dim_transaction_type,
     build_fact,
+    transaction_types,
 )
+from txnstar.plans.sizing import sized_for
 from txnstar.schema import STANDARD_TABLE, STAR_TABLES
 from txnstar.sources.raw import read_raw, read_raw_zone
 from txnstar.sources.staged import read_staged, write_staged
+from txnstar.sources.store import Store
 from txnstar.sources.warehouse import load_star
+from txnstar.sources.workdir import fresh_dir, materialise, scratch
 from txnstar.streaming.ingest import ingest_landing
 
 DIMENSIONS = {
     "dim_date": build_dim_date,
     "dim_account": build_dim_account,
     "dim_merchant": build_dim_merchant,
-    "dim_transaction_type": build_dim_transaction_type,
 }
-
-
-def stage_star(raw: DataFrame, staged_root: str) -> None:
+# Of a written table: what one task may sort alone, and what every executor may hold. Its
+# Parquet files take less than a tenth of the memory its rows do.
+SMALL_FILE_BYTES = 8 * 1024 * 1024
+
+
+def _observed(observation: Observation, name: str) -> int:
+    """A count taken in passing; 0 where there were no rows, and Spark left the counting out."""
+    try:
+        return observation.get[name]
+    except Py4JJavaError:
+        return 0
+
+
+def _write_counted(df: DataFrame, root: str, name: str) -> int:
+    """Write a table; how many rows went into it."""
+    rows = Observation()
+    write_staged(df.observe(rows, F.count(F.lit(1)).alias("rows")), root, name)
+    return _observed(rows, "rows")
+
+
+def _write_standard(raw: DataFrame, root: str) -> dict[str, int]:
+    """Write the standard rows and count every step on the way, in the one pass over raw."""
+    came, distinct, required = Observation(), Observation(), Observation()
+    one = F.count(F.lit(1)).alias("rows")
+    rows = raw.observe(came, one).transform(drop_exact_duplicates).observe(distinct, one)
+    rows = (
+        rows.transform(require_columns)
+        .transform(parse_mixed_timestamps)
+        .observe(required, one, F.count("TransactionDate").alias("dated"))
+    )
+    rows = rows.transform(cast_numbers).transform(flag_suspicious).transform(calendar_parts)
+    write_staged(rows, root, STANDARD_TABLE)
+    kept, dated = _observed(required, "rows"), _observed(required, "dated")
+    return {
+        "raw": _observed(came, "rows"),
+        "deduplicated": _observed(distinct, "rows"),
+        "required": kept,
+        "clean": dated,
+        "null_dates": kept - dated,
+    }
+
+
+def stage_star(
+    raw: DataFrame, staged_root: str, small_file_bytes: int = SMALL_FILE_BYTES
+) -> dict[str, int]:
     """Write the standard rows, the dimensions and the fact, each from written input.
 
     The only wide shuffle is the deduplication, and it runs once: the dimensions read
     their few columns of its written result, and the fact joins the written dimensions,
-    so its keys are theirs.
+    so its keys are theirs. Dimensions whose files exceed ``small_file_bytes`` are numbered
+    in ranges and joined by shuffle. Returns the rows of every step and table, counted as they
+    were written; intermediate tables are removed.
     """
     spark = raw.sparkSession
-    write_staged(standard_transactions(raw), staged_root, STANDARD_TABLE)
+    store = Store(spark)
+    counts = _write_standard(raw, staged_root)
     clean = drop_unparsed(read_staged(spark, staged_root, STANDARD_TABLE))
     for name, build in DIMENSIONS.items():
-        write_staged(build(clean), staged_root, name)
-    fact = build_fact(
-        clean,
-        read_staged(spark, staged_root, "dim_date"),
-        read_staged(spark, staged_root, "dim_transaction_type"),
-    )
-    write_staged(fact, staged_root, "fact_transactions")
-
-
-def star_audit(raw: DataFrame, staged_root: str) -> DataFrame:
-    """``(stage, row_count)`` for the raw rows, the clean rows and the five tables."""
-    spark = raw.sparkSession
-    standard = read_staged(spark, staged_root, STANDARD_TABLE)
-    stages = {"raw": raw, "clean": drop_unparsed(standard)}
-    stages |= {name: read_staged(spark, staged_root, name) for name in STAR_TABLES}
-    counts = row_counts(stages)
-    unreadable = null_dates(standard).selectExpr("'null_dates' AS stage", "null_dates AS row_count")
-    return counts.unionByName(unreadable)
+        counts[name] = _write_counted(build(clean), staged_root, name)
+    with scratch(spark):
+        place = fresh_dir(spark, "types")
+        transaction_types(clean).write.parquet(place)
+        types = spark.read.parquet(place)
+        if store.size(place) <= small_file_bytes:
+            types = assign_key(types, "transaction_type", "type_id")
+        else:
+            ranged = materialise(in_ranges(types, "transaction_type"), "ranges")
+            types = assign_key_in_ranges(ranged, "transaction_type", "type_id")
+        counts["dim_transaction_type"] = _write_counted(types, staged_root, "dim_transaction_type")
+        small = {n: store.size(f"{staged_root}/{n}") <= small_file_bytes for n in ("dim_date", "dim_transaction_type")}
+        hot = None
+        if not small["dim_transaction_type"]:
+            hot = materialise(hot_keys(clean, ["TransactionType"]), "hot")
+        fact = build_fact(
+            clean,
+            read_staged(spark, staged_root, "dim_date"),
+            read_staged(spark, staged_root, "dim_transaction_type"),
+            small["dim_date"],
+            small["dim_transaction_type"],
+            hot,
+        )
+        counts["fact_transactions"] = _write_counted(fact, staged_root, "fact_transactions")
+    return counts
+
+
+def audit_frame(spark: SparkSession, counts: dict[str, int]) -> DataFrame:
+    """``(stage, row_count)``, one row for each count."""
+    return spark.createDataFrame(list(counts.items()), "stage string, row_count bigint").coalesce(1)
 
 
 def run_transform(
-    spark: SparkSession, raw_root: str, staged_root: str, raw_format: str = "csv"
+    spark: SparkSession,
+    raw_root: str,
+    staged_root: str,
+    raw_format: str = "csv",
+    infer_schema: bool = False,
 ) -> DataFrame:
     """Rebuild the staged star from all raw rows; returns the audit.
 
-    ``raw_format`` is ``csv`` for folders of drops, ``parquet`` for the raw zone. The audit
-    runs when it is read: from Parquet footers, but raw CSV has to be scanned again.
+    ``raw_format`` is ``csv`` for folders of drops, ``parquet`` for the raw zone. With
+    ``infer_schema``, for CSV only, values are typed as they are read, so rows that differ in
+    how a number is written are equal. Shuffles are sized for the bytes under ``raw_root``.
+    The audit's numbers are those of the pass that built the star.
     """
-    read = {"csv": read_raw, "parquet": read_raw_zone}[raw_format]
-    raw = read(spark, raw_root)
-    stage_star(raw, staged_root)
-    return star_audit(raw, staged_root)
+    if infer_schema and raw_format != "csv":
+        raise ValueError("the raw zone holds text; only CSV can be read with types")
+    with sized_for(spark, Store(spark).size(raw_root)):
+        raw = read_raw(spark, raw_root, infer_schema) if raw_format == "csv" else read_raw_zone(spark, raw_root)
+        return audit_frame(spark, stage_star(raw, staged_root))
 
 
 def run_load(
@@ -110,7 +187,10 @@ class PipelineConfig:
 
 
 def run_pipeline(spark: SparkSession, cfg: PipelineConfig) -> DataFrame:
-    """Ingest, transform, load; an error ends the run there. Returns the audit."""
+    """Ingest, transform, load; an error ends the run there.
+
+    Returns the audit, and the rows each warehouse table has now as ``loaded_`` stages.
+    """
     ingest_landing(
         spark,
         cfg.landing,
@@ -121,5 +201,6 @@ def run_pipeline(spark: SparkSession, cfg: PipelineConfig) -> DataFrame:
         cfg.max_bytes_per_trigger,
     )
     audit = run_transform(spark, cfg.raw_root, cfg.staged_root, "parquet")
-    run_load(spark, cfg.staged_root, cfg.target, cfg.fmt, cfg.options)
-    return audit
+    loaded = run_load(spark, cfg.staged_root, cfg.target, cfg.fmt, cfg.options)
+    named = loaded.select(F.concat(F.lit("loaded_"), "stage").alias("stage"), "row_count")
+    return audit.unionByName(named)

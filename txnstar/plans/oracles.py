@@ -129,6 +129,20 @@ _FACT_LOADED = """SELECT transaction_id AS TRANSACTION_ID, account_id AS ACCOUNT
 _TABLES = ["dim_date", "dim_account", "dim_merchant", "dim_transaction_type", "fact_transactions"]
 
 
+def _loaded(table: str, columns: str) -> str:
+    names = columns.split()
+    return _with(STAR, f"SELECT {', '.join(f'{n} AS {n.upper()}' for n in names)} FROM {table}")
+
+
+_STAGES = {
+    "raw": "raw",
+    "deduplicated": "(SELECT DISTINCT * FROM raw)",
+    "required": "required",
+    "clean": "clean",
+}
+_NULL_DATES = {"null_dates": f"(SELECT 1 FROM required WHERE {_PARSED} IS NULL)"}
+
+
 def _counts(stages: dict[str, str]) -> str:
     stages = stages | {table: table for table in _TABLES}
     return "\nUNION ALL ".join(
@@ -139,9 +153,28 @@ def _counts(stages: dict[str, str]) -> str:
 
 ORACLES = {
     "scan_raw_csv": _RAW_ROWS,
+    "scan_quoted_csv": _with(
+        RAW,
+        """SELECT * REPLACE (concat('say "', DeviceID, '", ok, ', Location, '"') AS DeviceID) FROM raw""",
+    ),
     "ingest_landing": _RAW_ROWS,
+    "ingest_redelivered": _RAW_ROWS,
+    "ingest_late_files": _RAW_ROWS,
+    "ingest_archive": _RAW_ROWS,
+    "ingest_new_column": _with(
+        RAW,
+        """SELECT *, CASE WHEN CAST(right(AccountID, 1) AS INTEGER) % 2 = 1
+ THEN concat('seen at ', Location) END AS Note FROM raw""",
+    ),
     "clean_dedup": _with(RAW, "SELECT DISTINCT * FROM raw"),
     "clean_required": _with(RAW, f"SELECT * FROM raw WHERE {_REQUIRED}"),
+    "clean_required_numbers": _with(
+        RAW,
+        f"""SELECT TransactionID, DeviceID, TransactionAmount FROM (
+ SELECT * REPLACE (CASE right(DeviceID, 1) WHEN '3' THEN 'NaN' WHEN '5' THEN 'nan'
+  WHEN '7' THEN 'Infinity' ELSE TransactionAmount END AS TransactionAmount) FROM raw)
+WHERE {_REQUIRED} AND lower(TransactionAmount) <> 'nan'""",
+    ),
     "clean_mixed_dates": _with(
         RAW,
         f"SELECT TransactionID, TransactionDate AS raw_date, {_PARSED} AS TransactionDate FROM raw",
@@ -180,42 +213,42 @@ FROM clean c LEFT JOIN dim_date d ON c.txn_date = d.date""",
         STAR,
         """SELECT TransactionID AS transaction_id, TransactionType AS transaction_type, y.type_id
 FROM clean c LEFT JOIN dim_transaction_type y ON c.TransactionType = y.transaction_type""",
+    ),
+    "dense_key_by_range": _with(
+        RAW,
+        """SELECT AccountID, row_number() OVER (ORDER BY AccountID) AS account_key
+FROM (SELECT DISTINCT AccountID FROM raw)""",
+    ),
+    "lookup_by_shuffle": _with(
+        f"""{CLEAN},
+k AS (SELECT TransactionID, CASE TransactionType WHEN 'Debit' THEN 'debits'
+  WHEN 'Credit' THEN AccountID END AS key_text FROM clean),
+n AS (SELECT key_text AS name, row_number() OVER (ORDER BY key_text NULLS LAST) AS key_id
+ FROM (SELECT DISTINCT key_text FROM k))""",
+        """SELECT TransactionID AS transaction_id, key_text, key_id
+FROM k LEFT JOIN n ON key_text = name""",
     ),
     "fact_transactions": _star("fact_transactions"),
     "staged_roundtrip": _star("fact_transactions"),
     "transform_job": _star("fact_transactions"),
     "load_projection": _with(STAR, _FACT_LOADED),
     "warehouse_replace": _with(STAR, _FACT_LOADED),
-    "warehouse_dim_date": _with(
-        STAR,
-        """SELECT date AS DATE, year AS YEAR, month AS MONTH, day AS DAY,
- day_of_week AS DAY_OF_WEEK, day_name AS DAY_NAME, month_name AS MONTH_NAME,
- quarter AS QUARTER, date_id AS DATE_ID FROM dim_date""",
+    "warehouse_dim_date": _loaded(
+        "dim_date", "date year month day day_of_week day_name month_name quarter date_id"
     ),
+    "warehouse_dim_account": _loaded(
+        "dim_account", "account_id customer_age occupation account_balance"
+    ),
+    "warehouse_dim_merchant": _loaded("dim_merchant", "merchant_id location channel"),
+    "warehouse_dim_transaction_type": _loaded("dim_transaction_type", "transaction_type type_id"),
     "landing_to_warehouse": _with(STAR, _FACT_LOADED),
-    "audit_row_counts": _with(
-        STAR,
-        _counts(
-            {
-                "raw": "raw",
-                "deduplicated": "(SELECT DISTINCT * FROM raw)",
-                "required": "required",
-                "clean": "clean",
-            }
-        ),
+    "pipeline_audit": _with(
+        STAR, _counts(_STAGES | _NULL_DATES | {f"loaded_{table}": table for table in _TABLES})
     ),
+    "audit_row_counts": _with(STAR, _counts(_STAGES)),
     "audit_null_dates": _with(
         CLEAN, f"SELECT count(*) AS null_dates FROM required WHERE {_PARSED} IS NULL"
     ),
     "audit_load_counts": _with(STAR, _counts({})),
-    "transform_audit": _with(
-        STAR,
-        _counts(
-            {
-                "raw": "raw",
-                "clean": "clean",
-                "null_dates": f"(SELECT 1 FROM required WHERE {_PARSED} IS NULL)",
-            }
-        ),
-    ),
+    "transform_audit": _with(STAR, _counts(_STAGES | _NULL_DATES)),
 }

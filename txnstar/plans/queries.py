@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnstar.operators.audit import null_dates, row_counts
+from txnstar.operators.audit import null_dates
 from txnstar.operators.clean import (
     calendar_parts,
     cast_numbers,
@@ -19,7 +19,13 @@ from txnstar.operators.clean import (
     require_columns,
     standard_transactions,
 )
-from txnstar.operators.keys import lookup_key
+from txnstar.operators.keys import (
+    assign_key,
+    assign_key_in_ranges,
+    hot_keys,
+    in_ranges,
+    lookup_key,
+)
 from txnstar.operators.projection import load_projection
 from txnstar.operators.star import (
     build_dim_account,
@@ -29,10 +35,18 @@ from txnstar.operators.star import (
     build_fact,
 )
 from txnstar.plans.fixture import raw_transactions
-from txnstar.plans.jobs import PipelineConfig, run_load, run_pipeline, run_transform, stage_star
+from txnstar.plans.jobs import (
+    PipelineConfig,
+    audit_frame,
+    run_load,
+    run_pipeline,
+    run_transform,
+    stage_star,
+)
 from txnstar.schema import INGEST_DATE, RAW_COLUMNS
-from txnstar.sources.raw import read_raw, read_raw_zone
+from txnstar.sources.raw import csv_reader, read_raw, read_raw_zone
 from txnstar.sources.staged import read_staged, write_staged
+from txnstar.sources.store import Store
 from txnstar.sources.warehouse import create_warehouse
 from txnstar.sources.workdir import fresh_dir, materialise
 from txnstar.streaming.ingest import ingest_landing
@@ -45,16 +59,16 @@ def _raw_columns(df: DataFrame) -> DataFrame:
 
 
 def _write_drop(rows: DataFrame, path: str) -> None:
-    rows.write.mode("append").option("header", True).csv(path)
+    rows.write.mode("append").option("header", True).option("escape", '"').csv(path)
 
 
 DAYS = ["2025-01-01", "2025-01-02"]
 
 
 def _with_day(raw: DataFrame) -> DataFrame:
-    """Every row arrives on one of two days, by the sign of its hash."""
-    sign = F.xxhash64(*[F.col(f"`{c}`") for c in raw.columns]) < 0
-    return raw.withColumn("date", F.when(sign, DAYS[0]).otherwise(DAYS[1]))
+    """Every row arrives on one of two days, by the last digit of its account."""
+    even = F.substring("AccountID", -1, 1).cast("int") % 2 == 0
+    return raw.withColumn("date", F.when(even, DAYS[0]).otherwise(DAYS[1]))
 
 
 def scan_raw_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,29 +78,103 @@ def scan_raw_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_raw(spark, root).transform(_raw_columns)
 
 
-def _ingested(spark: SparkSession, sf_dir: str) -> PipelineConfig:
-    """Two drops, each taken in by its own run; the folders they went through."""
+def scan_quoted_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Devices with quotes and commas in their names, as RFC 4180 writes them."""
+    root = fresh_dir(spark, "quoted-csv")
+    device = F.concat(F.lit('say "'), F.col("DeviceID"), F.lit('", ok, '), F.col("Location"), F.lit('"'))
+    _write_drop(raw_transactions(spark, sf_dir).withColumn("DeviceID", device), f"{root}/date={DAYS[0]}")
+    return read_raw(spark, root).transform(_raw_columns)
+
+
+def _empty_zone(spark: SparkSession, query: str) -> PipelineConfig:
+    """Folders of a new run, and a warehouse that replaces that of the query's last run."""
     base = fresh_dir(spark, "ingest")
-    cfg = PipelineConfig(
+    return PipelineConfig(
         landing=f"{base}/landing",
         raw_root=f"{base}/raw",
         checkpoint=f"{base}/checkpoint",
         staged_root=f"{base}/staged",
-        target=f"warehouse_{base.rsplit('-', 1)[1]}",
+        target=f"warehouse_of_{query}",
         archive=f"{base}/processed",
     )
+
+
+def _take(spark: SparkSession, cfg: PipelineConfig, day: str) -> None:
+    ingest_landing(spark, cfg.landing, cfg.raw_root, cfg.checkpoint, cfg.archive, day)
+
+
+def _ingested(spark: SparkSession, sf_dir: str, query: str) -> PipelineConfig:
+    """Two drops, each taken in by its own run; the folders they went through."""
+    cfg = _empty_zone(spark, query)
     raw = _with_day(raw_transactions(spark, sf_dir))
     for day in DAYS:
         _write_drop(raw.filter(F.col("date") == day).drop("date"), cfg.landing)
-        ingest_landing(spark, cfg.landing, cfg.raw_root, cfg.checkpoint, cfg.archive, day)
+        _take(spark, cfg, day)
     return cfg
 
 
-def ingest_landing_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cfg = _ingested(spark, sf_dir)
+def _zone_rows(spark: SparkSession, cfg: PipelineConfig) -> DataFrame:
     return read_raw_zone(spark, cfg.raw_root).drop(INGEST_DATE)
 
 
+def ingest_landing_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _zone_rows(spark, _ingested(spark, sf_dir, "ingest_landing"))
+
+
+def ingest_redelivered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second day's files have the names of the first day's, which were not archived."""
+    cfg = _empty_zone(spark, "ingest_redelivered")
+    cfg.archive = None
+    raw = _with_day(raw_transactions(spark, sf_dir))
+    store = Store(spark)
+    csv_names = lambda folder: [n for n in store.names(folder) if n.endswith(".csv")]
+    for day in DAYS:
+        fresh = f"{cfg.landing}-{day}"
+        _write_drop(raw.filter(F.col("date") == day).drop("date"), fresh)
+        for at, name in enumerate(csv_names(fresh)):
+            store.move(f"{fresh}/{name}", f"{fresh}/named/{at}")
+            store.rename(f"{fresh}/named/{at}/{name}", f"{cfg.landing}/drop-{at}.csv")
+        _take(spark, cfg, day)
+        _take(spark, cfg, day)
+    return _zone_rows(spark, cfg)
+
+
+def ingest_late_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second drop is older than the first by far, and two more runs pass over it."""
+    cfg = _empty_zone(spark, "ingest_late_files")
+    raw = _with_day(raw_transactions(spark, sf_dir))
+    store = Store(spark)
+    for day in DAYS:
+        before = set(store.names(cfg.landing))
+        _write_drop(raw.filter(F.col("date") == day).drop("date"), cfg.landing)
+        if day == DAYS[1]:
+            for name in set(store.names(cfg.landing)) - before:
+                store.set_age(f"{cfg.landing}/{name}", days=30)
+        _take(spark, cfg, day)
+    _take(spark, cfg, DAYS[1])
+    return _zone_rows(spark, cfg)
+
+
+def ingest_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cfg = _ingested(spark, sf_dir, "ingest_archive")
+    files = csv_reader(spark).option("recursiveFileLookup", True).csv(cfg.archive)
+    return files.transform(_raw_columns)
+
+
+def ingest_new_column(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second drop has its columns in another order, and one more."""
+    cfg = _empty_zone(spark, "ingest_new_column")
+    cfg.archive = None
+    raw = _with_day(raw_transactions(spark, sf_dir))
+    _write_drop(raw.filter(F.col("date") == DAYS[0]).drop("date"), cfg.landing)
+    _take(spark, cfg, DAYS[0])
+    later = raw.filter(F.col("date") == DAYS[1]).drop("date")
+    later = later.withColumn("Note", F.concat(F.lit("seen at "), "Location"))
+    _write_drop(later.select(*[F.col(f"`{c}`") for c in reversed(later.columns)]), cfg.landing)
+    _take(spark, cfg, DAYS[1])
+    return _zone_rows(spark, cfg)
+
+
 def clean_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw_transactions(spark, sf_dir).transform(drop_exact_duplicates)
 
@@ -95,6 +183,17 @@ def clean_required(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw_transactions(spark, sf_dir).transform(require_columns)
 
 
+def clean_required_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Amounts written as no number, and as one without bound."""
+    digit = F.substring("DeviceID", -1, 1)
+    amount = (
+        F.when(digit == "3", "NaN").when(digit == "5", "nan").when(digit == "7", "Infinity")
+        .otherwise(F.col("TransactionAmount"))
+    )
+    raw = raw_transactions(spark, sf_dir).withColumn("TransactionAmount", amount)
+    return raw.transform(require_columns).select("TransactionID", "DeviceID", "TransactionAmount")
+
+
 def clean_mixed_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = raw_transactions(spark, sf_dir).withColumn("raw_date", F.col("TransactionDate"))
     return raw.transform(parse_mixed_timestamps).select(
@@ -195,6 +294,27 @@ def lookup_type_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def dense_key_by_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    accounts = raw_transactions(spark, sf_dir).select("AccountID").distinct()
+    ranged = materialise(in_ranges(accounts, "AccountID"), "ranges")
+    return assign_key_in_ranges(ranged, "AccountID", "account_key")
+
+
+def lookup_by_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One key has the debits, many have a few rows each, and some rows have none."""
+    rows = _written_clean(spark, sf_dir)
+    key = F.when(F.col("TransactionType") == "Debit", "debits").when(
+        F.col("TransactionType") == "Credit", F.col("AccountID")
+    )
+    rows = rows.select("TransactionID", key.alias("key_text"))
+    dim = materialise(
+        assign_key(rows.select(F.col("key_text").alias("name")).distinct(), "name", "key_id"), "dim"
+    )
+    hot = materialise(hot_keys(rows, ["key_text"]), "hot")
+    found = lookup_key(rows, dim, [("key_text", "name")], "key_id", small=False, hot=hot)
+    return found.withColumnRenamed("TransactionID", "transaction_id")
+
+
 def fact_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _written_clean(spark, sf_dir)
     return build_fact(
@@ -228,58 +348,58 @@ def load_projection_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fact_transactions(spark, sf_dir).transform(load_projection)
 
 
-def _loaded_twice(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
-    """A warehouse database after two equal loads, and the audit of the second."""
-    base = fresh_dir(spark, "warehouse")
-    database = f"warehouse_{base.rsplit('-', 1)[1]}"
-    stage_star(raw_transactions(spark, sf_dir), f"{base}/staged")
-    create_warehouse(spark, database, f"{base}/tables")
-    run_load(spark, f"{base}/staged", database)
-    return database, run_load(spark, f"{base}/staged", database)
+def _warehouse(spark: SparkSession, database: str) -> None:
+    spark.sql(f"DROP DATABASE IF EXISTS {database} CASCADE")
+    create_warehouse(spark, database, f"{fresh_dir(spark, 'warehouse')}/tables")
+
+
+def _loaded(spark: SparkSession, sf_dir: str, query: str, times: int = 1) -> tuple[str, DataFrame]:
+    """A warehouse database after equal loads, and the audit of the last."""
+    root, database = fresh_dir(spark, "staged"), f"warehouse_of_{query}"
+    stage_star(raw_transactions(spark, sf_dir), root)
+    _warehouse(spark, database)
+    for _ in range(times):
+        audit = run_load(spark, root, database)
+    return database, audit
 
 
 def warehouse_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
-    database, _ = _loaded_twice(spark, sf_dir)
+    database, _ = _loaded(spark, sf_dir, "warehouse_replace", times=2)
     return spark.table(f"{database}.FACT_TRANSACTIONS")
 
 
-def warehouse_dim_date(spark: SparkSession, sf_dir: str) -> DataFrame:
-    database, _ = _loaded_twice(spark, sf_dir)
-    return spark.table(f"{database}.DIM_DATE")
+def _loaded_dimension(table: str) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        database, _ = _loaded(spark, sf_dir, f"warehouse_{table}")
+        return spark.table(f"{database}.{table.upper()}")
+
+    return query
 
 
 def audit_load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, audit = _loaded_twice(spark, sf_dir)
+    _, audit = _loaded(spark, sf_dir, "audit_load_counts")
     return audit
 
 
+def _run_from_landing(spark: SparkSession, sf_dir: str, query: str) -> tuple[str, DataFrame]:
+    cfg = _ingested(spark, sf_dir, query)
+    _warehouse(spark, cfg.target)
+    return cfg.target, run_pipeline(spark, cfg)
+
+
 def landing_to_warehouse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cfg = _ingested(spark, sf_dir)
-    create_warehouse(spark, cfg.target, f"{cfg.staged_root}-tables")
-    run_pipeline(spark, cfg)
-    return spark.table(f"{cfg.target}.FACT_TRANSACTIONS")
+    database, _ = _run_from_landing(spark, sf_dir, "landing_to_warehouse")
+    return spark.table(f"{database}.FACT_TRANSACTIONS")
+
+
+def pipeline_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, audit = _run_from_landing(spark, sf_dir, "pipeline_audit")
+    return audit
 
 
 def audit_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = raw_transactions(spark, sf_dir)
-    distinct = materialise(drop_exact_duplicates(raw), "distinct")
-    root = fresh_dir(spark, "staged")
-    stage_star(distinct, root)
-    standard = read_staged(spark, root, "standard_transactions")
-    stages = {
-        "raw": raw,
-        "deduplicated": distinct,
-        "required": standard,
-        "clean": drop_unparsed(standard),
-    }
-    tables = [
-        "dim_date",
-        "dim_account",
-        "dim_merchant",
-        "dim_transaction_type",
-        "fact_transactions",
-    ]
-    return row_counts(stages | {t: read_staged(spark, root, t) for t in tables})
+    counts = stage_star(raw_transactions(spark, sf_dir), fresh_dir(spark, "staged"))
+    return audit_frame(spark, counts).filter("stage <> 'null_dates'")
 
 
 def audit_null_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -288,9 +408,15 @@ def audit_null_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "scan_raw_csv": scan_raw_csv,
+    "scan_quoted_csv": scan_quoted_csv,
     "ingest_landing": ingest_landing_query,
+    "ingest_redelivered": ingest_redelivered,
+    "ingest_late_files": ingest_late_files,
+    "ingest_archive": ingest_archive,
+    "ingest_new_column": ingest_new_column,
     "clean_dedup": clean_dedup,
     "clean_required": clean_required,
+    "clean_required_numbers": clean_required_numbers,
     "clean_mixed_dates": clean_mixed_dates,
     "clean_casts": clean_casts,
     "clean_suspicious": clean_suspicious,
@@ -303,14 +429,20 @@ QUERIES: dict[str, Query] = {
     "dim_transaction_type": dim_transaction_type,
     "lookup_date_key": lookup_date_key,
     "lookup_type_key": lookup_type_key,
+    "dense_key_by_range": dense_key_by_range,
+    "lookup_by_shuffle": lookup_by_shuffle,
     "fact_transactions": fact_transactions,
     "staged_roundtrip": staged_roundtrip,
     "transform_job": transform_job,
     "transform_audit": transform_audit,
     "load_projection": load_projection_query,
     "warehouse_replace": warehouse_replace,
-    "warehouse_dim_date": warehouse_dim_date,
+    "warehouse_dim_date": _loaded_dimension("dim_date"),
+    "warehouse_dim_account": _loaded_dimension("dim_account"),
+    "warehouse_dim_merchant": _loaded_dimension("dim_merchant"),
+    "warehouse_dim_transaction_type": _loaded_dimension("dim_transaction_type"),
     "landing_to_warehouse": landing_to_warehouse,
+    "pipeline_audit": pipeline_audit,
     "audit_row_counts": audit_row_counts,
     "audit_null_dates": audit_null_dates,
     "audit_load_counts": audit_load_counts,

@@ -3,24 +3,55 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import SparkSession
 
 MIB = 1024 * 1024
 GIB = 1024 * MIB
+# Maps and reducers grow with the data up to these, so that blocks stay worth a read.
+MAX_SPLIT, MAX_REDUCER = GIB, 4 * GIB
+MIN_SPLIT, MIN_REDUCER = 128 * MIB, 512 * MIB
+TASKS = 10_000
+
+
+def _between(least: int, value: int, most: int) -> int:
+    return max(least, min(most, value))
 
 
-def session_conf(raw_bytes: int, reducer_bytes: int = GIB, split_bytes: int = 128 * MIB) -> dict:
+def session_conf(raw_bytes: int, partitions: int = 200) -> dict[str, str]:
     """Options under which the transform's one wide shuffle fits its tasks.
 
-    The shuffle carries about as many compressed bytes as the raw text has. A reducer
-    gets ``reducer_bytes`` of it, spilling what its memory cannot hold; adaptive
-    execution merges those that get less and never makes more of them. The default of 200
-    reducers would give each of them half a terabyte of 100 TB.
+    The shuffle carries about as many compressed bytes as the raw text has. Up to about 1 TB
+    splits have 128 MiB and reducers 512 MiB; beyond, both grow, up to 1 GiB and 4 GiB, which
+    a task sorts by spilling. 100 TB then has 95,000 maps and 24,000 reducers, and a block
+    between the two 46 KB. Adaptive execution merges reducers that get less; it never makes
+    more of them, so there are never fewer than ``partitions``.
     """
+    split = _between(MIN_SPLIT, raw_bytes // TASKS, MAX_SPLIT)
+    reducer = _between(MIN_REDUCER, raw_bytes // TASKS, MAX_REDUCER)
     return {
-        "spark.sql.shuffle.partitions": str(max(200, math.ceil(raw_bytes / reducer_bytes))),
-        "spark.sql.files.maxPartitionBytes": str(split_bytes),
+        "spark.sql.shuffle.partitions": str(max(partitions, math.ceil(raw_bytes / reducer))),
+        "spark.sql.files.maxPartitionBytes": str(split),
         "spark.sql.adaptive.enabled": "true",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(reducer_bytes // 2),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(max(64 * MIB, reducer // 4)),
         "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.session.timeZone": "UTC",
     }
+
+
+@contextmanager
+def sized_for(spark: SparkSession, raw_bytes: int) -> Iterator[None]:
+    """The session with options for ``raw_bytes``, and as it was before afterwards."""
+    now = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted = session_conf(raw_bytes, now)
+    if raw_bytes // TASKS <= MIN_SPLIT:  # the session's own splits do
+        wanted = {k: v for k, v in wanted.items() if k == "spark.sql.shuffle.partitions"}
+    before = {key: spark.conf.get(key, None) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)

@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from txnstar.schema import INGEST_DATE, RAW_COLUMNS, RAW_ZONE_SCHEMA
+from txnstar.schema import INGEST_DATE, RAW_COLUMNS, RAW_ZONE_SCHEMA, text_schema
+from txnstar.sources.store import Store
+
+# Beside the rows of the raw zone: the columns each batch had, and rows that were refused.
+COLUMNS_FOLDER = "_columns"
+REJECTED_FOLDER = "_rejected"
+BATCH = "batch"
 
 
 def contract_columns(columns: list[str]) -> list[Column]:
@@ -22,31 +29,54 @@ def contract_columns(columns: list[str]) -> list[Column]:
     return [F.col(f"`{c}`").alias(c) for c in names]
 
 
-def read_raw(spark: SparkSession, root: str, infer_schema: bool = False) -> DataFrame:
-    """All CSV files under ``root/date=YYYY-MM-DD/``, all values as text.
+def csv_reader(spark: SparkSession) -> DataFrameReader:
+    """Files with a header and RFC 4180 quotes: a quote within quotes is written twice.
 
-    The header names the columns, in any order; a file whose header differs from the
-    others' fails the read instead of shifting its values. The folder's date becomes
-    ``ingest_date``, so a filter on it prunes folders. ``infer_schema`` costs a pass
-    over the data and may take identifiers such as ``T1`` for times of day.
+    A line is a row, so files split; a line break within quotes is not read as part of a value
+    but makes two rows with too few fields, and those are refused.
     """
-    df = (
+    return (
         spark.read.option("header", True)
         .option("enforceSchema", False)
-        .option("inferSchema", infer_schema)
-        .csv(root)
+        .option("quote", '"')
+        .option("escape", '"')
     )
+
+
+def read_raw(spark: SparkSession, root: str, infer_schema: bool = False) -> DataFrame:
+    """All CSV files under ``root/date=YYYY-MM-DD/``, all values as text.
+
+    The header names the columns, in any order; a file whose header differs from the
+    others', or a row with another number of fields, fails the read instead of shifting
+    values. The folder's date becomes ``ingest_date``, so a filter on it prunes folders.
+    ``infer_schema`` costs a pass over the data and may take identifiers such as ``T1`` for
+    times of day; with it, rows that write a number in two ways are equal.
+    """
+    df = csv_reader(spark).option("inferSchema", infer_schema).option("mode", "FAILFAST").csv(root)
     cols = contract_columns([c for c in df.columns if c != "date"])
     if "date" in df.columns:
         cols.append(F.col("date").cast("date").alias(INGEST_DATE))
     return df.select(*cols)
 
 
+def zone_columns(spark: SparkSession, root: str) -> list[str]:
+    """Every column any batch had, the contract's first, as ingest has noted them."""
+    noted = f"{root}/{COLUMNS_FOLDER}"
+    if not Store(spark).names(noted):
+        return RAW_COLUMNS
+    schema = "position int, name string, batch string"
+    rows = spark.read.schema(schema).parquet(noted).groupBy("name").agg(F.min(F.struct("batch", "position")).alias("at"))
+    known = set(RAW_COLUMNS)
+    return RAW_COLUMNS + [r.name for r in rows.orderBy("at").collect() if r.name not in known]
+
+
 def read_raw_zone(spark: SparkSession, root: str) -> DataFrame:
-    """The Parquet raw zone with every column any drop had; no rows while it is empty."""
-    empty = spark.read.schema(RAW_ZONE_SCHEMA).parquet(root)
-    if empty.isEmpty():
-        return empty
-    zone = spark.read.option("mergeSchema", True).parquet(root)
-    cols = contract_columns([c for c in zone.columns if c != INGEST_DATE])
-    return zone.select(*cols, F.col(INGEST_DATE).cast("date").alias(INGEST_DATE))
+    """The Parquet raw zone with every column any drop had; no rows while it is empty.
+
+    The columns come from ingest's notes, so no file's footer is read to find them.
+    """
+    if not any(name.startswith(f"{INGEST_DATE}=") for name in Store(spark).names(root)):
+        return spark.createDataFrame([], RAW_ZONE_SCHEMA)
+    names = zone_columns(spark, root)
+    schema = text_schema(names).add(INGEST_DATE, T.DateType()).add(BATCH, T.StringType())
+    return spark.read.schema(schema).parquet(root).drop(BATCH)

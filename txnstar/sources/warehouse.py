@@ -28,14 +28,20 @@ def load_table(
     """Replace the rows of ``table``, keeping its schema; it must exist.
 
     ``fmt="table"`` writes to the catalog, matching columns by name. Any other format
-    is a Spark connector such as ``jdbc``, asked to truncate and not to recreate.
+    is a Spark connector such as ``jdbc``, asked to truncate and not to recreate. A JDBC
+    table is looked up first, and nothing is written if it is absent. A connector truncates
+    before it inserts, so a failed load leaves a table partly filled: run it again.
     """
+    spark = df.sparkSession
     if fmt == "table":
-        target = df.sparkSession.table(table)
+        target = spark.table(table)
         df.select(*target.columns).write.insertInto(table, overwrite=True)
         return
+    options = options or {}
+    if fmt == "jdbc":  # fails if there is no such table
+        spark.read.format(fmt).options(**options).option("dbtable", table).load().schema  # noqa: B018
     writer = df.write.format(fmt).mode("overwrite").option("truncate", True)
-    writer.options(**(options or {})).option("dbtable", table).save()
+    writer.options(**options).option("dbtable", table).save()
 
 
 def load_star(

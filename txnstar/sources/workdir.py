@@ -5,9 +5,16 @@ from __future__ import annotations
 import functools
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+from txnstar.sources.store import Store
+
+_scratch: ContextVar[str | None] = ContextVar("txnstar_scratch", default=None)
+
 
 @functools.lru_cache(maxsize=1)
 def _own_dir() -> str:
@@ -25,8 +32,24 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def fresh_dir(spark: SparkSession, name: str) -> str:
-    """A path under the shared folder that no other run uses."""
-    return f"{shared_dir(spark)}/txnstar-{name}-{uuid.uuid4().hex}"
+    """A path under the shared folder, or the run's scratch, that nobody else uses."""
+    return f"{_scratch.get() or shared_dir(spark)}/txnstar-{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """A folder for what a run writes between its stages, removed when the run is over.
+
+    Frames that read from it are of no use afterwards: write the results elsewhere, under a
+    path named before. A failed run leaves nothing either; it starts anew.
+    """
+    folder = fresh_dir(spark, "scratch")
+    token = _scratch.set(folder)
+    try:
+        yield folder
+    finally:
+        _scratch.reset(token)
+        Store(spark).delete(folder)
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:

@@ -1,26 +1,152 @@
-"""Take new CSV drops into the raw zone, each file once."""
+"""Take new CSV drops into the raw zone: each content once, and none lost.
+
+A file is its path, modification time and length. The state folder holds a ledger of the files
+each batch took, written before the batch, and a note of each batch that is done. A batch
+writes a folder of its own, so repeating it after a crash replaces it.
+"""
 
 from __future__ import annotations
 
 import datetime as dt
 import logging
+import uuid
+from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from txnstar.schema import INGEST_DATE, RAW_COLUMNS, text_schema
-from txnstar.sources.raw import contract_columns
+from txnstar.schema import INGEST_DATE, text_schema
+from txnstar.sources.raw import (
+    BATCH,
+    COLUMNS_FOLDER,
+    REJECTED_FOLDER,
+    contract_columns,
+    csv_reader,
+)
+from txnstar.sources.store import Store
 
 log = logging.getLogger(__name__)
 DROPS = "*.csv"
+FILE = "path string, modified bigint, length bigint"
+IDENTITY = ["path", "modified", "length"]
+# A whole line that has too many or too few fields; no column of a file is called so.
+BROKEN = "_broken_line"
+
+
+@dataclass
+class _Zone:
+    spark: SparkSession
+    landing: str
+    raw_root: str
+    state: str
+    archive: str | None
+    store: Store
+
+    def waiting(self) -> DataFrame:
+        """The files in the landing folder, of any age; only names and sizes are read."""
+        if not self.store.exists(self.landing):
+            return self.spark.createDataFrame([], FILE)
+        files = self.spark.read.format("binaryFile").option("pathGlobFilter", DROPS)
+        return files.load(self.landing).select(
+            "path", F.unix_millis("modificationTime").alias("modified"), "length"
+        )
+
+    def batches(self, kind: str) -> list[str]:
+        """Batches with a whole folder of that kind."""
+        names = self.store.names(f"{self.state}/{kind}")
+        return [n for n in names if self.store.exists(f"{self.state}/{kind}/{n}/_SUCCESS")]
+
+    def ledger(self, batches: list[str]) -> DataFrame:
+        schema = f"{FILE}, day string"
+        if not batches:
+            return self.spark.createDataFrame([], schema)
+        paths = [f"{self.state}/files/{b}" for b in batches]
+        return self.spark.read.schema(schema).parquet(*paths)
 
+    def plan(self, files: DataFrame, day: str) -> str:
+        """Note which files the next batch takes; from here on the batch will be done."""
+        name = f"{dt.datetime.now(dt.UTC):%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
+        rows = files.withColumn("day", F.lit(day))
+        rows.coalesce(1).write.parquet(f"{self.state}/files/{name}")
+        return name
 
-def _header(spark: SparkSession, landing: str) -> list[str] | None:
-    """Column names of the waiting files, or None when no file waits."""
-    reader = spark.read.option("pathGlobFilter", DROPS)
-    if reader.text(landing).isEmpty():
-        return None
-    return reader.option("header", True).csv(landing).columns
+    def finish(self, name: str) -> int:
+        """Write a planned batch, or write it again, and note that it is done."""
+        rows = self.ledger([name]).collect()
+        for r in rows:
+            if self.store.identity(r.path) != (r.modified, r.length):
+                raise RuntimeError(
+                    f"{r.path} changed or went while batch {name} was taking it; put the file"
+                    " back, or remove the batch's ledger to take what is there now"
+                )
+        count, refused = self._write(name, rows[0].day, [r.path for r in rows]) if rows else (0, 0)
+        if refused:
+            log.warning("%d rows with a wrong number of fields are in %s/%s", refused, self.raw_root, REJECTED_FOLDER)
+        done = self.spark.createDataFrame([(count, refused)], "rows bigint, refused bigint")
+        done.coalesce(1).write.mode("overwrite").parquet(f"{self.state}/done/{name}")
+        return count
+
+    def _write(self, name: str, day: str, paths: list[str]) -> tuple[int, int]:
+        """Rows of files with the same header are read together, all headers written at once."""
+        groups: dict[tuple, list[str]] = {}
+        for path in paths:
+            header = tuple(self.store.header(path))
+            if header:
+                groups.setdefault(header, []).append(path)
+        if not groups:
+            return 0, 0
+        parts, columns = [], []
+        for header, files in groups.items():
+            contract_columns(list(header))
+            columns += [c for c in header if c not in columns]
+            schema = text_schema(list(header)).add(BROKEN, "string")
+            rows = csv_reader(self.spark).option("columnNameOfCorruptRecord", BROKEN)
+            parts.append(rows.schema(schema).csv(files))
+        counts = Observation()
+        every = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+        every = every.observe(
+            counts, F.count(F.lit(1)).alias("rows"), F.count(F.col(BROKEN)).alias("refused")
+        )
+        good = every.filter(F.col(BROKEN).isNull()).select(*contract_columns(columns))
+        noted = [(i, c.name) for i, c in enumerate(good.schema)]
+        noted = self.spark.createDataFrame(noted, "position int, name string")
+        place = f"{BATCH}={name}"
+        noted.coalesce(1).write.mode("overwrite").parquet(f"{self.raw_root}/{COLUMNS_FOLDER}/{place}")
+        good.write.mode("overwrite").parquet(f"{self.raw_root}/{INGEST_DATE}={day}/{place}")
+        found = counts.get
+        if found["refused"]:
+            bad = every.filter(F.col(BROKEN).isNotNull()).write.mode("overwrite")
+            bad.parquet(f"{self.raw_root}/{REJECTED_FOLDER}/{place}")
+        return found["rows"] - found["refused"], found["refused"]
+
+    def put_away(self) -> None:
+        """Move the files of batches that are done, if they still are what was read."""
+        done = self.batches("done")
+        for name in done:
+            taken = self.ledger([name]) if self.store.exists(f"{self.state}/files/{name}") else None
+            if taken is None or self.store.exists(f"{self.state}/away/{name}"):
+                continue
+            for r in taken.collect():
+                if self.store.identity(r.path) == (r.modified, r.length):
+                    self.store.move(r.path, f"{self.archive}/{name}")
+            away = self.spark.createDataFrame([(name,)], "name string")
+            away.coalesce(1).write.mode("overwrite").parquet(f"{self.state}/away/{name}")
+
+
+def _portions(files: list, most: int | None) -> list[list]:
+    """Files in order of their names, as many together as have ``most`` bytes."""
+    if not most:
+        return [files]
+    out: list[list] = []
+    room = 0
+    for r in files:
+        if not out or r.length > room:
+            out.append([])
+            room = most
+        out[-1].append(r)
+        room -= r.length
+    return out
 
 
 def ingest_landing(
@@ -32,39 +158,33 @@ def ingest_landing(
     ingest_date: dt.date | str | None = None,
     max_bytes_per_trigger: int | None = None,
 ) -> bool:
-    """Append the new files in ``landing`` to ``raw_root/ingest_date=.../`` and stop.
-
-    The checkpoint makes a rerun take nothing twice, also after a crash. A file is known
-    by its path: sending the same name again has no effect, so producers must use
-    new names. With ``archive``, files move there once a *later* batch has committed.
-    A file whose header differs from the others' fails the run instead of being shifted;
-    correct it in place and run again.
-    ``max_bytes_per_trigger`` bounds a batch after a long outage. Returns whether any
-    rows came in.
+    """Take every new file in ``landing`` into ``raw_root/ingest_date=.../`` and stop.
+
+    New is a file whose path, modification time and length no batch took, whatever its age: a
+    name sent again with other content is taken again. Files may differ in their headers, in the
+    order and in additional columns; one that lacks a column of the contract fails the run
+    before anything is written. Rows with a wrong number of fields go to
+    ``raw_root/_rejected`` and are counted in a warning.
+
+    ``checkpoint`` keeps the ledger. A rerun takes nothing twice, and finishes first what a
+    crash left undone; one run at a time. With ``archive``, the files of a batch move to a folder
+    of their own there once it is done. ``max_bytes_per_trigger`` bounds a batch after a long
+    outage. Returns whether any rows came in.
     """
-    columns = _header(spark, landing)
-    if columns is None:
-        log.warning("no files in the landing folder %s", landing)
-        columns = RAW_COLUMNS
-    source = (
-        spark.readStream.schema(text_schema(columns))
-        .option("header", True)
-        .option("enforceSchema", False)
-        .option("pathGlobFilter", DROPS)
-    )
+    zone = _Zone(spark, landing.rstrip("/"), raw_root.rstrip("/"), checkpoint.rstrip("/"), archive, Store(spark))
+    planned = zone.batches("files")
+    came = sum(zone.finish(name) for name in sorted(set(planned) - set(zone.batches("done"))))
+    new = zone.waiting().join(zone.ledger(planned), IDENTITY, "left_anti")
+    files = new.orderBy("path").collect()
+    if not files:
+        log.warning("no new files in the landing folder %s", landing)
+    for r in files:  # before anything is planned
+        header = zone.store.header(r.path)
+        if header:
+            contract_columns(header)
+    day = str(ingest_date) if ingest_date else str(spark.sql("SELECT current_date()").first()[0])
+    for portion in _portions(files, max_bytes_per_trigger) if files else []:
+        came += zone.finish(zone.plan(spark.createDataFrame(portion, FILE), day))
     if archive:
-        source = source.option("cleanSource", "archive").option("sourceArchiveDir", archive)
-    if max_bytes_per_trigger:
-        source = source.option("maxBytesPerTrigger", max_bytes_per_trigger)
-    day = F.current_date() if ingest_date is None else F.lit(str(ingest_date)).cast("date")
-    query = (
-        source.csv(landing)
-        .select(*contract_columns(columns), day.alias(INGEST_DATE))
-        .writeStream.format("parquet")
-        .partitionBy(INGEST_DATE)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start(raw_root)
-    )
-    query.awaitTermination()
-    return any(progress.numInputRows > 0 for progress in query.recentProgress)
+        zone.put_away()
+    return came > 0
