@@ -37,6 +37,11 @@ class Store:
         fs, where = self._at(path)
         fs.delete(where, True)
 
+    def touch(self, path: str) -> None:
+        """An empty file: it is there or not, with nothing between."""
+        fs, where = self._at(path)
+        fs.create(where, True).close()
+
     def identity(self, path: str) -> tuple[int, int] | None:
         """Modification time in milliseconds and length; None if there is no such file."""
         fs, where = self._at(path)

@@ -1,8 +1,9 @@
 """Take new CSV drops into the raw zone: each content once, and none lost.
 
 A file is its path, modification time and length. The state folder holds a ledger of the files
-each batch took, written before the batch, and a note of each batch that is done. A batch
-writes a folder of its own, so repeating it after a crash replaces it.
+each batch takes, written before the batch, and empty files that say which batches are
+``planned``, ``done`` and ``away``. A batch writes a folder of its own, so repeating it after
+a crash replaces it.
 """
 
 from __future__ import annotations
@@ -52,16 +53,18 @@ class _Zone:
             "path", F.unix_millis("modificationTime").alias("modified"), "length"
         )
 
-    def batches(self, kind: str) -> list[str]:
-        """Batches with a whole folder of that kind."""
-        names = self.store.names(f"{self.state}/{kind}")
-        return [n for n in names if self.store.exists(f"{self.state}/{kind}/{n}/_SUCCESS")]
+    def marked(self, step: str) -> set[str]:
+        """The batches that got as far as ``step``."""
+        return set(self.store.names(f"{self.state}/{step}"))
 
-    def ledger(self, batches: list[str]) -> DataFrame:
+    def mark(self, step: str, name: str) -> None:
+        self.store.touch(f"{self.state}/{step}/{name}")
+
+    def ledger(self, batches: set[str]) -> DataFrame:
         schema = f"{FILE}, day string"
         if not batches:
             return self.spark.createDataFrame([], schema)
-        paths = [f"{self.state}/files/{b}" for b in batches]
+        paths = [f"{self.state}/files/{b}" for b in sorted(batches)]
         return self.spark.read.schema(schema).parquet(*paths)
 
     def plan(self, files: DataFrame, day: str) -> str:
@@ -69,22 +72,22 @@ class _Zone:
         name = f"{dt.datetime.now(dt.UTC):%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
         rows = files.withColumn("day", F.lit(day))
         rows.coalesce(1).write.parquet(f"{self.state}/files/{name}")
+        self.mark("planned", name)
         return name
 
     def finish(self, name: str) -> int:
         """Write a planned batch, or write it again, and note that it is done."""
-        rows = self.ledger([name]).collect()
+        rows = self.ledger({name}).collect()
         for r in rows:
             if self.store.identity(r.path) != (r.modified, r.length):
                 raise RuntimeError(
                     f"{r.path} changed or went while batch {name} was taking it; put the file"
-                    " back, or remove the batch's ledger to take what is there now"
+                    " back, or remove the batch's mark among the planned ones to take what is there now"
                 )
         count, refused = self._write(name, rows[0].day, [r.path for r in rows]) if rows else (0, 0)
         if refused:
             log.warning("%d rows with a wrong number of fields are in %s/%s", refused, self.raw_root, REJECTED_FOLDER)
-        done = self.spark.createDataFrame([(count, refused)], "rows bigint, refused bigint")
-        done.coalesce(1).write.mode("overwrite").parquet(f"{self.state}/done/{name}")
+        self.mark("done", name)
         return count
 
     def _write(self, name: str, day: str, paths: list[str]) -> tuple[int, int]:
@@ -122,16 +125,11 @@ class _Zone:
 
     def put_away(self) -> None:
         """Move the files of batches that are done, if they still are what was read."""
-        done = self.batches("done")
-        for name in done:
-            taken = self.ledger([name]) if self.store.exists(f"{self.state}/files/{name}") else None
-            if taken is None or self.store.exists(f"{self.state}/away/{name}"):
-                continue
-            for r in taken.collect():
+        for name in sorted(self.marked("done") - self.marked("away")):
+            for r in self.ledger({name}).collect():
                 if self.store.identity(r.path) == (r.modified, r.length):
                     self.store.move(r.path, f"{self.archive}/{name}")
-            away = self.spark.createDataFrame([(name,)], "name string")
-            away.coalesce(1).write.mode("overwrite").parquet(f"{self.state}/away/{name}")
+            self.mark("away", name)
 
 
 def _portions(files: list, most: int | None) -> list[list]:
@@ -172,8 +170,8 @@ def ingest_landing(
     outage. Returns whether any rows came in.
     """
     zone = _Zone(spark, landing.rstrip("/"), raw_root.rstrip("/"), checkpoint.rstrip("/"), archive, Store(spark))
-    planned = zone.batches("files")
-    came = sum(zone.finish(name) for name in sorted(set(planned) - set(zone.batches("done"))))
+    planned = zone.marked("planned")
+    came = sum(zone.finish(name) for name in sorted(planned - zone.marked("done")))
     new = zone.waiting().join(zone.ledger(planned), IDENTITY, "left_anti")
     files = new.orderBy("path").collect()
     if not files:
