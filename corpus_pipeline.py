@@ -12,7 +12,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from txnstar.llm import quality_fm  # noqa: E402
 from txnstar.llm.bpe import encode_documents  # noqa: E402
 from txnstar.llm.cuckoo import drop_exact_copies  # noqa: E402
-from txnstar.llm.frames import importable  # noqa: E402
+from txnstar.llm.frames import prepare  # noqa: E402
 from txnstar.llm.mixing import take_mix  # noqa: E402
 from txnstar.llm.neardup import keep_one_of_each  # noqa: E402
 from txnstar.llm.queries import bpe_files  # noqa: E402
@@ -21,20 +21,20 @@ from txnstar.sources.workdir import materialise  # noqa: E402
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that a classifier fitted on the labelled ones does not reject."""
-    importable(spark)
+    prepare(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return quality_fm.keep_good(docs, quality_fm.train(docs, labels))
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each distinct text, that with the greatest id."""
-    importable(spark)
+    prepare(spark)
     return drop_exact_copies(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group linked at 0.8 similarity of five-word shingles."""
-    importable(spark)
+    prepare(spark)
     return keep_one_of_each(docs, k=5)
 
 
@@ -45,7 +45,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``(doc_id, ids)``: the tokens of every document, ready for training."""
-    importable(spark)
+    prepare(spark)
     return encode_documents(docs, *bpe_files())
 
 

@@ -16,9 +16,9 @@ from txnstar.llm.frames import only
 
 NONE = np.int32(np.iinfo(np.int32).max)
 # Pieces a task remembers, cells of one matrix, and texts it handles at a time.
-MAX_PIECES = 600_000
+MAX_PIECES = 250_000
 MATRIX_CELLS = 1 << 18
-BATCH_TEXTS = 512
+BATCH_TEXTS = 256
 # Pieces of up to so many bytes more than the last multiple share a matrix; longer ones go alone.
 BUCKET_STEP = 4
 LONG_PIECE = 512

@@ -10,15 +10,27 @@ from pyspark.sql import functions as F
 
 # A side of a join is broadcast when its rows, counted, take at most so many bytes.
 BROADCAST_BYTES = 64 * 1024 * 1024
+BATCH_LIMITS = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": 2000,
+    "spark.sql.execution.arrow.maxBytesPerBatch": 16 * 1024 * 1024,
+}
 
 
-def importable(spark: SparkSession) -> None:
-    """Python workers look for this package where the driver found it, besides their own path."""
+def prepare(spark: SparkSession) -> None:
+    """Let Python workers find this package where the driver did, and bound their batches.
+
+    A batch of texts is held several times over on its way to Python, so few rows and few bytes
+    make one, however long the texts are.
+    """
     home = os.path.dirname(os.path.dirname(os.path.abspath(txnstar.__file__)))
     environment = spark.sparkContext.environment
     known = environment.get("PYTHONPATH", "")
     if home not in known.split(os.pathsep):
         environment["PYTHONPATH"] = os.pathsep.join(filter(None, [home, known]))
+    for name, most in BATCH_LIMITS.items():
+        now = spark.conf.get(name, None)
+        if now is None or not 0 < int(now.rstrip("b")) <= most:
+            spark.conf.set(name, most)
 
 
 def only(df: DataFrame, **columns: str) -> DataFrame:

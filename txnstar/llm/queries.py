@@ -10,7 +10,7 @@ from txnstar.llm import html_trees, mixing, quality_fm, url_rules, warc
 from txnstar.llm.bpe import round_trip
 from txnstar.llm.cuckoo import exact_duplicates
 from txnstar.llm.fingerprint import edit_report
-from txnstar.llm.frames import importable
+from txnstar.llm.frames import prepare
 from txnstar.llm.neardup import near_duplicates
 from txnstar.llm.secrets import secret_report
 
@@ -19,7 +19,7 @@ BPE_RANKS = "byte_bpe_multi_50k.tiktoken"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    importable(spark)
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
