@@ -16,7 +16,7 @@ from tests.llm.helpers import (
     shingles,
     with_clashing_columns,
 )
-from txnstar.llm.components import components
+from txnstar.llm.components import components, merge_components
 from txnstar.llm.cuckoo import (
     CuckooIndex,
     digest_table,
@@ -194,10 +194,21 @@ def test_components_of_paths_stars_and_rings(spark):
     )
 
 
-@pytest.mark.parametrize("k,block", [(4, 24_000), (5, 24_000), (4, 300)])
-def test_near_duplicates_equal_all_pairs(spark, k, block):
+def test_components_take_further_edges(spark):
+    schema = "a bigint, b bigint"
+    labels = components(spark.createDataFrame([(1, 2), (5, 6), (8, 9)], schema))
+    more = spark.createDataFrame([(6, 2), (20, 21), (9, 9), (21, 30)], schema)
+    found = dict(rows_of(merge_components(labels, more), "node", "component"))
+    assert found == {1: 1, 2: 1, 5: 1, 6: 1, 8: 8, 9: 8, 20: 20, 21: 20, 30: 20}
+    none = spark.createDataFrame([], schema)
+    assert rows_of(merge_components(labels, none), "node") == [(1,), (2,), (5,), (6,), (8,), (9,)]
+
+
+@pytest.mark.parametrize("k,block,members", [(4, 24_000, 1000), (5, 24_000, 1000), (4, 300, 1000), (4, 24_000, 3)])
+def test_near_duplicates_equal_all_pairs(spark, k, block, members):
     rows = near_copies(k, 6, 25, 70)
-    found = near_duplicates(documents(spark, rows), k=k, block_shingles=block).collect()
+    docs = documents(spark, rows)
+    found = near_duplicates(docs, k=k, block_shingles=block, block_members=members).collect()
     expected = brute_components(rows, k, 80)
     assert {r.doc_id: r.component_id for r in found} == expected
     assert all(r.kept == (r.doc_id == r.component_id) for r in found)

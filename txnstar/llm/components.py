@@ -38,3 +38,21 @@ def components(edges: DataFrame) -> DataFrame:
         jump = near.select(F.col("a").alias("node"), F.col("least").alias("via"))
         reach = near.select(F.col("a").alias("via"), F.col("least").alias("component"))
         labels = materialise(jump.join(reach, "via").select("node", "component"), "labels")
+
+
+def merge_components(labels: DataFrame, edges: DataFrame) -> DataFrame:
+    """``labels`` after further ``edges`` between nodes: found on the components, not the nodes."""
+    a, b = (
+        labels.select(F.col("node").alias(x), F.col("component").alias(f"of_{x}")) for x in ("a", "b")
+    )
+    between = edges.distinct().join(a, "a", "left").join(b, "b", "left")
+    between = between.select(
+        F.coalesce("of_a", "a").alias("a"), F.coalesce("of_b", "b").alias("b")
+    ).distinct()
+    merged = components(materialise(between, "between"))
+    new = merged.select(F.col("node").alias("component"), F.col("component").alias("least"))
+    known = labels.join(new, "component", "left").select(
+        "node", F.coalesce("least", "component").alias("component")
+    )
+    unknown = merged.join(labels.select("node"), "node", "left_anti")
+    return materialise(known.union(unknown), "labels")

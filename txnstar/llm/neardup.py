@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txnstar.llm.components import components
+from txnstar.llm.components import components, merge_components
 from txnstar.llm.frames import only, packed, sized
 from txnstar.llm.sketch import band_keys, fast_sketches
 from txnstar.llm.words import WordHashes, lower_words, shingle_set
@@ -19,9 +19,10 @@ from txnstar.sources.workdir import materialise
 # 32 bands of 4: a pair at similarity 0.8 meets in none with probability 5e-8.
 COORDINATES = 128
 BAND_ROWS = 4
-# Shingles that one side of a verification task holds.
+# What one side of a verification task holds.
 BLOCK_SHINGLES = 24_000
-BATCH_TEXTS = 512
+BLOCK_MEMBERS = 1_000
+BATCH_TEXTS = 256
 
 _hashes = WordHashes()
 
@@ -97,27 +98,74 @@ def _forest(nodes: np.ndarray, left: np.ndarray, right: np.ndarray, linked: np.n
     return label[child], child
 
 
-def _verify(k: int, percent: int) -> callable:
-    def links(key: tuple, table: pa.Table) -> pa.Table:
-        """Links between the two blocks of a task, or within the one block it has."""
+def _verify(k: int, percent: int, within: bool) -> callable:
+    def links(table: pa.Table) -> pa.Table:
+        """Links within the one block of a task, or between its two sides."""
         ids = np.asarray(table.column("node"))
-        side = np.asarray(table.column("side"))
         sets = [shingle_set(_hashes.of(lower_words(t)), k) for t in table.column("text").to_pylist()]
         order = np.argsort(ids, kind="stable")
-        rank = np.empty(len(ids), np.int64)
-        rank[order] = np.arange(len(ids))
-        within = key[1].as_py() == key[2].as_py()
-        left = np.flatnonzero(side == 0)
-        right = left if within else np.flatnonzero(side == 1)
+        nodes, rank = np.unique(ids, return_inverse=True)
+        side = np.asarray(table.column("side"))
+        left = order if within else np.flatnonzero(side == 0)
+        right = order if within else np.flatnonzero(side == 1)
         linked = linked_matrix([sets[x] for x in left], [sets[x] for x in right], percent)
         root, child = _forest(rank, rank[left], rank[right], linked)
-        return pa.table(
-            {"a": pa.array(ids[order][root], pa.int64()), "b": pa.array(ids[order][child], pa.int64())}
-        )
+        return pa.table({"a": pa.array(nodes[root]), "b": pa.array(nodes[child])})
 
     return links
 
 
+def _links(
+    members: DataFrame, needed: DataFrame, k: int, percent: int, block_shingles: int, block_members: int
+) -> DataFrame:
+    """``(node, component)`` of all members of groups ``(hub, node, n)`` by verified links.
+
+    First every block of a group, with the hub in each, is verified within. Members that this
+    links to the hub are linked with each other. So only the others of a group of several blocks
+    are then compared with all of its members, block by block: copies that are all like the hub
+    take time in proportion to their number.
+    """
+    size = F.greatest(
+        F.ceil(F.sum("n") / block_shingles), F.ceil(F.count("*") / block_members)
+    ).cast("int")
+    groups = members.groupBy("hub").agg(size.alias("blocks"), F.count("*").alias("m"))
+    groups = sized(materialise(groups.filter("m > 1").select("hub", "blocks"), "groups"), 24)
+    block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    every = F.when(F.col("node") == F.col("hub"), F.sequence(F.lit(0), F.col("blocks") - 1))
+    placed = members.join(groups, "hub").select(
+        "hub", "node", "n", "blocks", F.explode(F.coalesce(every, F.array(block))).alias("i")
+    )
+    first = placed.join(needed, F.col("node") == F.col("doc"))
+    first = first.select("hub", "i", "node", "text", F.lit(0).alias("side"))
+    edges = first.groupBy("hub", "i").applyInArrow(_verify(k, percent, True), "a bigint, b bigint")
+    labels = components(materialise(edges, "edges"))
+
+    large = placed.filter("blocks > 1")
+    named = labels.withColumnRenamed("node", "_node")
+    large = large.join(named, F.col("node") == F.col("_node"), "left")
+    large = large.select("hub", "node", "n", "i", F.coalesce("component", "node").alias("component"))
+    large = materialise(large, "large")
+    if large.isEmpty():
+        return labels
+    at_hub = large.filter("node = hub").select("hub", F.col("component").alias("of_hub")).distinct()
+    apart = large.join(sized(materialise(at_hub, "at_hub"), 24), "hub").filter("component <> of_hub")
+    apart = materialise(apart.select("hub", "node", "n").distinct(), "apart")
+    parts = materialise(apart.groupBy("hub").agg(size.alias("parts")), "parts")
+    blocks = large.groupBy("hub").agg((F.max("i") + 1).alias("blocks"))
+    shape = sized(materialise(parts.join(blocks, "hub"), "shape"), 24)
+    part = F.pmod(F.xxhash64("node", F.lit(1)), F.col("parts")).cast("int")
+    left = large.join(shape, "hub").select(
+        "hub", "node", "i", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("j"), F.lit(0).alias("side")
+    )
+    right = apart.join(shape, "hub").select(
+        "hub", "node", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("i"), part.alias("j"), F.lit(1).alias("side")
+    )
+    second = left.union(right).join(needed, F.col("node") == F.col("doc"))
+    second = second.select("hub", "i", "j", "node", "text", "side")
+    more = second.groupBy("hub", "i", "j").applyInArrow(_verify(k, percent, False), "a bigint, b bigint")
+    return merge_components(labels, materialise(more, "edges"))
+
+
 def near_duplicates(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -125,6 +173,7 @@ def near_duplicates(
     k: int = 4,
     percent: int = 80,
     block_shingles: int = BLOCK_SHINGLES,
+    block_members: int = BLOCK_MEMBERS,
 ) -> DataFrame:
     """``(doc_id, n_shingles, component_id, kept)`` for every row of ``docs``.
 
@@ -137,8 +186,9 @@ def near_duplicates(
     2. Classes that share a band key form a bucket, and buckets with the same least class
        form one group, so a pair that meets in many bands is verified once.
     3. Each group is verified exactly on whole sets. A group of more than ``block_shingles``
-       shingles is split by hash into blocks, and each pair of blocks is a task of its
-       own, so a group of any size is bounded in every task, and no link is lost. A task
+       shingles or ``block_members`` classes is split by hash into blocks, verified within, and
+       what is not linked to its hub then against every block, each pair of blocks in a task of
+       its own. So a group of any size is bounded in every task, and no link is lost. A task
        returns a spanning forest of its links, never all pairs.
     4. Components of the forests, and every row takes its class's.
 
@@ -168,35 +218,9 @@ def near_duplicates(
     members = materialise(
         entries.join(hubs, "key").select("hub", "node", "n").distinct(), "members"
     )
-    groups = materialise(
-        members.groupBy("hub")
-        .agg(F.ceil(F.sum("n") / block_shingles).cast("int").alias("blocks"), F.count("*").alias("m"))
-        .filter("m > 1")
-        .select("hub", "blocks"),
-        "groups",
-    )
     wanted = sized(materialise(members.select("node").distinct(), "wanted"), 16)
     needed = texts.join(wanted, texts["doc"] == wanted["node"], "left_semi")
-    block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    tasks = (
-        members.join(sized(groups, 24), "hub")
-        .select("hub", "node", "blocks", block.alias("block"))
-        .join(needed, F.col("node") == F.col("doc"))
-        .select("hub", "node", "block", "text", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-        .select(
-            "hub",
-            F.least("block", "other").alias("i"),
-            F.greatest("block", "other").alias("j"),
-            (F.col("block") > F.col("other")).cast("int").alias("side"),
-            "node",
-            "text",
-        )
-    )
-    edges = materialise(
-        tasks.groupBy("hub", "i", "j").applyInArrow(_verify(k, percent), "a bigint, b bigint"),
-        "edges",
-    )
-    labels = components(edges)
+    labels = _links(members, needed, k, percent, block_shingles, block_members)
     named = classes.select("set", "node").join(labels, "node", "left")
     named = materialise(
         named.select("set", F.coalesce("component", "node").alias("component")), "named"
