@@ -24,6 +24,7 @@ from txnstar import (
     standard_transactions,
 )
 from txnstar.functions import date_key, is_suspicious
+from txnstar.functions.columns import _subsumes
 from txnstar.plans.fixture import raw_transactions
 from txnstar.schema import DATE_FORMATS, RAW_COLUMNS
 
@@ -114,6 +115,16 @@ def test_other_formats(spark, text, fmt, expected):
     assert out.first().TransactionDate == expected
 
 
+def test_patterns_that_an_earlier_one_covers_are_left_out():
+    covered = [
+        [_subsumes(a, b) for b in DATE_FORMATS] for a in DATE_FORMATS
+    ]
+    pairs = {(DATE_FORMATS[i], DATE_FORMATS[j]) for i in range(6) for j in range(6) if i != j and covered[i][j]}
+    assert pairs == {("M/d/yyyy H:mm", "MM/dd/yyyy HH:mm"), ("M/d/yyyy", "MM/dd/yyyy")}
+    assert not _subsumes("MMM d", "MMM dd") and not _subsumes("y-M", "yyyy-M")
+    assert not _subsumes("MM/d/yyyy", "M/dd/yyyy") and _subsumes("H:m", "HH:mm")
+
+
 def test_inferred_dates_are_only_converted(spark):
     rows = raw_rows(spark, {}).withColumn("TransactionDate", F.lit(dt.date(2023, 4, 11)))
     out = rows.transform(parse_mixed_timestamps).first()

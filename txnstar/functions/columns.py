@@ -24,6 +24,10 @@ def absolute(c: Column) -> Column:
     return F.abs(to_double(c))
 
 
+# Patterns made of plain numeric fields and separators.
+_PLAIN = r"(?:y+|([MdHms])\1?(?!\1)|[-/: .])+"
+
+
 def _may_match(c: Column, fmt: str) -> Column | None:
     """A cheap test that is true for every text ``fmt`` can parse.
 
@@ -31,7 +35,7 @@ def _may_match(c: Column, fmt: str) -> Column | None:
     text with its separators. Only for patterns made of plain numeric fields;
     for any other (month names, zones, quoted or optional parts) there is none.
     """
-    if not re.fullmatch(r"(?:y+|M{1,2}|d{1,2}|H{1,2}|m{1,2}|s{1,2}|[-/: .])+", fmt):
+    if not re.fullmatch(_PLAIN, fmt):
         return None
     present = [ch for ch in "-/: ." if ch in fmt]
     absent = [ch for ch in "/:" if ch not in fmt]
@@ -43,6 +47,19 @@ def _may_match(c: Column, fmt: str) -> Column | None:
     return test
 
 
+def _subsumes(first: str, later: str) -> bool:
+    """Whether ``first`` reads every text that ``later`` reads: alike but for leading zeros.
+
+    One letter for a month, day, hour, minute or second takes one digit or two.
+    """
+    if not (re.fullmatch(_PLAIN, first) and re.fullmatch(_PLAIN, later)):
+        return False
+    a, b = (re.findall(r"([A-Za-z])(\1*)|(.)", fmt) for fmt in (first, later))
+    return len(a) == len(b) and all(
+        x == y or (x[0] == y[0] != "y" and x[2] == y[2] and not x[1]) for x, y in zip(a, b)
+    )
+
+
 def _instant(c: Column, fmt: str) -> Column:
     """The instant written as ``fmt``, taking text that names no zone as UTC."""
     if re.search("[VzOXxZ]", re.sub("'[^']*'", "", fmt)):
@@ -55,10 +72,15 @@ def _instant(c: Column, fmt: str) -> Column:
 def parse_mixed(c: Column, formats: list[str] = DATE_FORMATS) -> Column:
     """Wall-clock time by the first of ``formats``, in order, that reads the text.
 
-    NULL where none does. The result is ``timestamp_ntz``: text is read as UTC and taken
+    NULL where none does. A pattern is left out when an earlier one reads all that it reads, as
+    that would have come first; each failed attempt costs an exception. The result is ``timestamp_ntz``: text is read as UTC and taken
     back as UTC, so the session's zone, with its daylight-saving gaps, plays no part.
     """
-    instant = F.coalesce(*[_instant(c, fmt) for fmt in formats])
+    needed: list[str] = []
+    for fmt in formats:
+        if not any(_subsumes(earlier, fmt) for earlier in needed):
+            needed.append(fmt)
+    instant = F.coalesce(*[_instant(c, fmt) for fmt in needed])
     epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
     return F.timestamp_add("MICROSECOND", F.unix_micros(instant), epoch)
 
