@@ -37,21 +37,20 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> Data
     reach the driver, and a round in which no source is newly capped is the last.
     """
     ranked = assign_key(sizes, "source", "_rank")
-    share = F.element_at(
-        F.array(*[F.lit(w) for w in weights]), (F.pmod(F.col("_rank") - 1, F.lit(len(weights))) + 1).cast("int")
-    ).cast("bigint")
+    turn = (F.pmod(F.col("_rank") - 1, F.lit(len(weights))) + 1).cast("int")
+    share = F.element_at(F.array(*[F.lit(w) for w in weights]), turn).cast("bigint")
     ranked = materialise(ranked.select("source", "source_size", share.alias("share")), "sources")
-    most = (F.col("source_size") * MAX_REPEATS).alias("most")
+    most = F.col("source_size") * MAX_REPEATS
+    wide = "decimal(38,0)"
     first = ranked.agg(F.sum("source_size"), F.sum("share")).first()
     total, rest, free = first[0] or 0, first[0] or 0, first[1] or 0
     capped = F.lit(False)
     while free:
-        wide = "decimal(38,0)"
-        capped = F.col("share").cast(wide) * F.lit(rest).cast(wide) > (
-            F.col("source_size") * MAX_REPEATS
-        ).cast(wide) * F.lit(free).cast(wide)
+        wanted = F.col("share").cast(wide) * F.lit(rest).cast(wide)
+        capped = wanted > most.cast(wide) * F.lit(free).cast(wide)
         taken, left = ranked.agg(
-            F.sum(F.when(capped, most).otherwise(0)), F.sum(F.when(capped, 0).otherwise(F.col("share")))
+            F.sum(F.when(capped, most).otherwise(0)),
+            F.sum(F.when(capped, 0).otherwise(F.col("share"))),
         ).first()
         if (total - taken, left) == (rest, free):
             break
@@ -107,35 +106,12 @@ def _boundary(pieces: DataFrame, open_sources: DataFrame, level: int) -> DataFra
     )
 
 
-def mix(
-    docs: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    source_col: str = "source",
-    weights: tuple[int, ...] = WEIGHTS,
-) -> DataFrame:
-    """``(doc_id, size, source_size, target, taken)`` for every row of ``docs``.
+def mix_plan(pieces: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
+    """What each source gives: ``(_source, source_size, target, copies, threshold)``.
 
-    Every document is taken ``floor(target / source_size)`` times, and those below their
-    source's hash threshold once more, so that the words taken come as near to the target
-    as whole documents in hash order allow: within half of the one at the threshold. Rows
-    with the same id share their place and are taken alike; rows without an id have the
-    place of their text.
-
-    The threshold is found without sorting documents. Words are summed by source and by
-    bucket of the hash; the running sum over a source's 1024 buckets shows the one where
-    its budget ends; only that bucket's documents are kept, and summed by their next bits,
-    until the bucket is one hash value. Each sum merges inside map tasks, so a hot source
-    sends at most 1024 rows per task. NULL text has no words; blank ones have size 0 and
-    are taken 0 words. Extra columns are ignored.
+    ``pieces`` are written ``(source, size, point)``. Every document of a source is taken
+    ``copies`` times, and once more if its point is below the source's threshold.
     """
-    doc, text = F.col("doc"), F.col("text")
-    pieces = materialise(
-        only(docs, doc=id_col, text=text_col, source=source_col).select(
-            "doc", "source", word_count(text).alias("size"), point(doc, text).alias("point")
-        ),
-        "pieces",
-    )
     sizes = materialise(pieces.groupBy("source").agg(F.sum("size").alias("source_size")), "sizes")
     plan = materialise(_budgets(source_targets(sizes, weights)), "plan")
     bounds = plan.select(
@@ -159,39 +135,86 @@ def mix(
         "copies",
         F.coalesce("threshold", F.lit(1 << POINT_BITS)).alias("threshold"),
     )
-    plan = sized(materialise(plan, "plan"), 64)
+    return sized(materialise(plan, "plan"), 64)
+
+
+def _times() -> Column:
     once_more = (F.col("point") < F.col("threshold")) & (F.col("copies") < MAX_REPEATS)
-    times = F.col("copies") + once_more.cast("bigint")
+    return F.col("copies") + once_more.cast("bigint")
+
+
+def _pieces(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
+    doc, text = F.col("doc"), F.col("text")
+    return materialise(
+        only(docs, doc=id_col, text=text_col, source=source_col).select(
+            "doc", "source", word_count(text).alias("size"), point(doc, text).alias("point")
+        ),
+        "pieces",
+    )
+
+
+def mix(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    source_col: str = "source",
+    weights: tuple[int, ...] = WEIGHTS,
+) -> DataFrame:
+    """``(doc_id, size, source_size, target, taken, times)`` for every row of ``docs``.
+
+    Every document is taken ``floor(target / source_size)`` times, and those below their
+    source's hash threshold once more, so that the words taken come as near to the target
+    as whole documents in hash order allow: within half of the one at the threshold. Rows
+    with the same id share their place and are taken alike; rows without an id have the
+    place of their text.
+
+    The threshold is found without sorting documents. Words are summed by source and by
+    bucket of the hash; the running sum over a source's 1024 buckets shows the one where
+    its budget ends; only that bucket's documents are kept, and summed by their next bits,
+    until the bucket is one hash value. Each sum merges inside map tasks, so a hot source
+    sends at most 1024 rows per task. NULL text has no words; blank ones have size 0 and
+    are taken 0 words. Extra columns are ignored.
+    """
+    pieces = _pieces(docs, id_col, text_col, source_col)
+    plan = mix_plan(pieces, weights)
     return pieces.join(plan, pieces["source"].eqNullSafe(plan["_source"])).select(
         F.col("doc").alias("doc_id"),
         "size",
         "source_size",
         "target",
-        (F.col("size") * times).alias("taken"),
-        times.alias("times"),
+        (F.col("size") * _times()).alias("taken"),
+        _times().alias("times"),
     )
 
 
-def take_mix(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
+def take_mix(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    source_col: str = "source",
+    weights: tuple[int, ...] = WEIGHTS,
+) -> DataFrame:
     """The rows of ``docs`` as often as the mix takes them, with all their columns.
 
-    Rows that repeat an id are taken alike. A document without words adds nothing to any
-    target; it stays once, and so does a row without an id, which no plan can name.
+    A row's own id, source and the plan of its source decide, so texts are not shuffled. A
+    document without words adds nothing to any target; it stays once.
     """
-    taken = mix(docs, id_col=id_col, **options)
-    times = F.when(F.col("size") == 0, 1).otherwise(F.col("times")).cast("int")
-    named = taken.filter(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias("_named"))
-    named = sized(materialise(named.agg(F.max(times).alias("_times")), "times"), 24)
-    rows = packed(docs, _doc=F.col(f"`{id_col}`"))
-    rows = rows.join(named, F.col("_doc") == F.col("_named"), "left")
-    often = F.explode(F.array_repeat(F.lit(0), F.coalesce("_times", F.lit(1))))
-    return rows.select("row", often.alias("_again")).select("row.*")
+    plan = mix_plan(_pieces(docs, id_col, text_col, source_col), weights)
+    doc, text = F.col(f"`{id_col}`"), F.col(f"`{text_col}`")
+    rows = packed(
+        docs, _of=F.col(f"`{source_col}`"), size=word_count(text), point=point(doc, text)
+    )
+    times = F.when(F.col("size") == 0, 1).otherwise(_times()).cast("int")
+    rows = rows.join(plan, F.col("_of").eqNullSafe(F.col("_source")))
+    return rows.select("row", F.explode(F.array_repeat(F.lit(0), times))).select("row.*")
 
 
 ORACLE = r"""
     WITH d AS (
-        SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size,
-            CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), text, '')), 1, 13) AS BIGINT) >> 2 AS point
+        SELECT doc_id, source,
+            coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size,
+            CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), text, '')), 1, 13)
+                AS BIGINT) >> 2 AS point
         FROM documents),
     r AS (
         SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
@@ -203,18 +226,25 @@ ORACLE = r"""
         SELECT *, row_number() OVER (ORDER BY source_size / share, nr) AS place,
             (SELECT sum(source_size) FROM s) AS total FROM s),
     c AS (
-        SELECT *, total - 3 * coalesce(sum(source_size) OVER (ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS rest,
-            sum(share) OVER (ORDER BY place ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS free
+        SELECT *,
+            total - 3 * coalesce(sum(source_size) OVER (ORDER BY place
+                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS rest,
+            sum(share) OVER (ORDER BY place
+                ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS free
         FROM o),
     f AS (
-        SELECT place, rest, free FROM c WHERE share * rest <= 3 * source_size * free ORDER BY place LIMIT 1),
+        SELECT place, rest, free FROM c WHERE share * rest <= 3 * source_size * free
+        ORDER BY place LIMIT 1),
     t AS (
         SELECT source, source_size,
-            CASE WHEN c.place < coalesce((SELECT place FROM f), 9e18) THEN 3 * CAST(source_size AS DOUBLE)
-            ELSE CAST(share * (SELECT rest FROM f) AS DOUBLE) / CAST((SELECT free FROM f) AS DOUBLE) END AS target
+            CASE WHEN c.place < coalesce((SELECT place FROM f), 9e18)
+                THEN 3 * CAST(source_size AS DOUBLE)
+                ELSE CAST(share * (SELECT rest FROM f) AS DOUBLE)
+                    / CAST((SELECT free FROM f) AS DOUBLE) END AS target
         FROM c),
     b AS (
-        SELECT *, CASE WHEN source_size = 0 THEN 0 ELSE CAST(floor(target / source_size) AS BIGINT) END AS copies FROM t),
+        SELECT *, CASE WHEN source_size = 0 THEN 0
+            ELSE CAST(floor(target / source_size) AS BIGINT) END AS copies FROM t),
     u AS (
         SELECT d.doc_id, d.size, b.source_size, b.target, b.copies,
             b.target - CAST(b.copies * b.source_size AS DOUBLE) AS budget,
@@ -222,5 +252,6 @@ ORACLE = r"""
             sum(d.size) OVER (PARTITION BY d.source, d.point) AS unit
         FROM d JOIN b ON d.source IS NOT DISTINCT FROM b.source)
     SELECT doc_id, size, source_size, target,
-        CAST(size * (copies + CASE WHEN copies < 3 AND 2 * (budget - (through - unit)) >= unit THEN 1 ELSE 0 END) AS BIGINT) AS taken
+        CAST(size * (copies + CASE WHEN copies < 3 AND 2 * (budget - (through - unit)) >= unit
+            THEN 1 ELSE 0 END) AS BIGINT) AS taken
     FROM u"""
