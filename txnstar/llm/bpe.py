@@ -121,7 +121,8 @@ class ByteBpe:
                 continue
             width = -(-width // BUCKET_STEP) * BUCKET_STEP
             high = low
-            while high < len(order) and len(raw[order[high]]) <= width and (high - low) * width < MATRIX_CELLS:
+            most = low + max(1, MATRIX_CELLS // width)
+            while high < min(most, len(order)) and len(raw[order[high]]) <= width:
                 high += 1
             rows = order[low:high]
             for x, ids in zip(rows, self._merge_matrix([raw[x] for x in rows], width), strict=True):
@@ -150,7 +151,8 @@ class ByteBpe:
             best = rank[rows, at] if rank.shape[1] else np.full(len(name), NONE)
             done = best == NONE
             if done.any():
-                for x, size, row in zip(name[done].tolist(), sizes[done].tolist(), ids[done], strict=True):
+                ends = zip(name[done].tolist(), sizes[done].tolist(), ids[done], strict=True)
+                for x, size, row in ends:
                     out[x] = row[:size].tobytes()
                 go = ~done
                 ids, rank, sizes, name = ids[go], rank[go], sizes[go], name[go]
@@ -227,7 +229,8 @@ def encode_documents(
                 )
 
     texts = only(docs, doc_id=id_col, text=text_col)
-    return texts.mapInArrow(rows, f"doc_id {texts.schema['doc_id'].dataType.simpleString()}, ids binary")
+    kind = texts.schema["doc_id"].dataType.simpleString()
+    return texts.mapInArrow(rows, f"doc_id {kind}, ids binary")
 
 
 def decode_documents(encoded: DataFrame, vocab: str, pattern: str) -> DataFrame:
@@ -238,7 +241,8 @@ def decode_documents(encoded: DataFrame, vocab: str, pattern: str) -> DataFrame:
         for batch in batches:
             for low in range(0, batch.num_rows, BATCH_TEXTS):
                 part = batch.slice(low, BATCH_TEXTS)
-                texts = [None if i is None else bpe.decode(i) for i in part.column("ids").to_pylist()]
+                given = part.column("ids").to_pylist()
+                texts = [None if ids is None else bpe.decode(ids) for ids in given]
                 yield part.append_column("decoded", pa.array(texts, pa.binary()))
 
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema]

@@ -43,7 +43,8 @@ def components(edges: DataFrame) -> DataFrame:
 def merge_components(labels: DataFrame, edges: DataFrame) -> DataFrame:
     """``labels`` after further ``edges`` between nodes: found on the components, not the nodes."""
     a, b = (
-        labels.select(F.col("node").alias(x), F.col("component").alias(f"of_{x}")) for x in ("a", "b")
+        labels.select(F.col("node").alias(x), F.col("component").alias(f"of_{x}"))
+        for x in ("a", "b")
     )
     between = edges.distinct().join(a, "a", "left").join(b, "b", "left")
     between = between.select(

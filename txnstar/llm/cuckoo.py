@@ -254,7 +254,8 @@ def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         F.coalesce("_at_most", F.lit(1)).alias("_ties"),
     )
     groups = sized(materialise(groups, "groups"), 80)
-    marked = packed(docs, own=_sha256(F.col(f"`{text_col}`")), doc=F.col(f"`{id_col}`").cast("bigint"))
+    doc = F.col(f"`{id_col}`").cast("bigint")
+    marked = packed(docs, own=_sha256(F.col(f"`{text_col}`")), doc=doc)
     marked = marked.join(groups, F.col("own") == F.col("_digest"), "left")
     stays = marked.filter(F.col("_digest").isNull() | F.col("doc").eqNullSafe(F.col("_keep")))
     single = stays.filter(F.coalesce("_ties", F.lit(1)) == 1)

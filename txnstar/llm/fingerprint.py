@@ -41,7 +41,8 @@ def bucket_counts(texts: list[bytes]) -> np.ndarray:
     first, second, third = data * _A, data * _B, data * _C
     flat = np.zeros(counts.size, np.int64)
     for salt, (i, j) in enumerate(PICKS):
-        x = first[:n] + second[i : n + i] + third[j : n + j] + np.uint32(salt * 0x27D4EB2F & 0xFFFFFFFF)
+        x = first[:n] + second[i : n + i] + third[j : n + j]
+        x += np.uint32(salt * 0x27D4EB2F & 0xFFFFFFFF)
         x ^= x >> np.uint32(15)
         x *= _B
         flat += np.bincount(cells + (x >> np.uint32(24))[inside], minlength=counts.size)
@@ -104,9 +105,8 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = digests([to_bytes(t.as_py()) for t in batch.column(1)])
-            yield pa.record_batch(
-                {"doc_id": batch.column(0), "fingerprint": pa.array(map(to_hex, found), pa.string())}
-            )
+            written = pa.array([to_hex(d) for d in found], pa.string())
+            yield pa.record_batch({"doc_id": batch.column(0), "fingerprint": written})
 
     texts = only(docs, doc_id=id_col, text=text_col)
     kind = texts.schema["doc_id"].dataType.simpleString()
@@ -133,7 +133,9 @@ _REPORT_SQL = (
 )
 
 
-def _report(part: int, docs: list, texts: list[str], own: np.ndarray, after: str, then: np.ndarray) -> dict:
+def _report(
+    part: int, docs: list, texts: list[str], own: np.ndarray, after: str, then: np.ndarray
+) -> dict:
     """Columns of rows whose successors are known: the next row's, and ``after`` the last's."""
     following = [*texts[1:], after]
     changed = [edited(t, f).encode("utf-8") for t, f in zip(texts, following, strict=True)]

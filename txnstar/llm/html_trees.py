@@ -18,9 +18,11 @@ from txnstar.llm.frames import only
 
 # Pages the trees are fitted on at most, by the hash of their ids, and rewritten copies of each.
 TRAIN_PAGES = 400
-VARIANTS = 2
+VARIANTS = 3
 TREES, DEPTH, BINS, RATE, RIDGE = 50, 4, 32, 0.25, 1.0
 BATCH_PAGES = 64
+LONG_RUN = 80
+STORY_TAGS = ("p", "h1", "h2", "h3", "li", "blockquote")
 
 # Fixed names of HTML.
 VOID = frozenset(
@@ -34,6 +36,11 @@ INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark meter nobr"
     " output progress q rp rt ruby s samp small span strike strong sub sup time tt u var".split()
 )
+# An open element that ends where another begins.
+ENDED_BY = {
+    "li": ("li",), "tr": ("tr",), "option": ("option",), "p": ("p",),
+    "dt": ("dt", "dd"), "dd": ("dt", "dd"), "td": ("td", "th"), "th": ("td", "th"),
+}
 CONTENT = frozenset({"article", "main"})
 FURNITURE = frozenset({"nav", "header", "footer", "aside", "form", "menu", "dialog"})
 TAGS = (
@@ -49,7 +56,7 @@ TOKEN_GROUPS = {
     "menu": "nav navigation menu menubar breadcrumb breadcrumbs pagination pager tabs toc",
     "edge": "header footer masthead copyright colophon foot top bottom banner toolbar",
     "side": "sidebar side aside rail column widget widgets related recommended more popular",
-    "advert": "ad ads advert adverts advertisement sponsor sponsored promo promotion dfp adsbygoogle",
+    "advert": "ad ads advert adverts advertisement sponsor sponsored promo promotion dfp",
     "notice": "cookie cookies consent notice alert gdpr popup modal overlay warning dialog message",
     "comment": "comment comments commentlist reply replies respond discussion disqus reviews",
     "form": "form login signup subscribe newsletter search input contact register",
@@ -62,7 +69,9 @@ _TOKEN = re.compile(
     r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>",
     re.DOTALL,
 )
-_ATTRIBUTE = re.compile(r"\b(?:class|id|role|name)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)", re.IGNORECASE)
+_ATTRIBUTE = re.compile(
+    r"\b(?:class|id|role|name)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)", re.IGNORECASE
+)
 _WORD = re.compile(r"[A-Za-z][a-z]*|[A-Z]+")
 _MARK = re.compile(r"data-main-text")
 _ENDS = re.compile(r"[.!?…](?=\s|$)")
@@ -78,6 +87,15 @@ def token_groups(attributes: str) -> int:
     return bits
 
 
+def _end_of(name: str, html: str, pos: int) -> int:
+    """Where what stands in an unread element ends; a head that is not closed ends at the body."""
+    end = "|<body\\b" if name == "head" else ""
+    close = re.compile(rf"</{re.escape(name)}\b[^>]*>{end}", re.IGNORECASE).search(html, pos)
+    if close is None:
+        return len(html)
+    return close.end() if close.group().endswith(">") else close.start()
+
+
 class Page:
     """Block elements and runs of text of a page, in page order, parents first."""
 
@@ -93,7 +111,9 @@ class Page:
         self._children: list[int] = []
         self._read(html)
 
-    def _node(self, tag: int, parent: int, groups: int, marked: bool, text: str | None, links: int) -> int:
+    def _node(
+        self, tag: int, parent: int, groups: int, marked: bool, text: str | None, links: int
+    ) -> int:
         node = len(self.tag)
         if parent >= 0:
             place = self._children[parent]
@@ -160,25 +180,17 @@ class Page:
             attributes = m[3] if m[3] is not None else m[6] or ""
             if name in UNREAD:
                 if not attributes.endswith("/"):
-                    close = re.compile(rf"</{re.escape(name)}\b[^>]*>", re.IGNORECASE).search(html, pos)
-                    if name == "head":
-                        body = re.compile(r"<body\b", re.IGNORECASE).search(html, pos)
-                        close = min((x for x in (close, body) if x), key=re.Match.start, default=None)
-                        at = pos = len(html) if close is None else close.start() if close is body else close.end()
-                    else:
-                        at = pos = len(html) if close is None else close.end()
+                    at = pos = _end_of(name, html, pos)
                 if name not in ("script", "style", "noscript", "template"):
                     run.append(" ")
                 continue
             if name in INLINE:
                 continue
             end_run()
-            if name in ("li", "dt", "dd", "tr", "td", "th", "option") or stack[-1][0] == "p":
-                same = {"dt": ("dt", "dd"), "dd": ("dt", "dd"), "td": ("td", "th"), "th": ("td", "th")}.get(name, (name,))
-                if stack[-1][0] in same or stack[-1][0] == "p":
-                    stack.pop()
-                    if stack[-1][0] in same and name != "p":
-                        stack.pop()
+            if stack[-1][0] == "p":  # no block stands in a paragraph
+                stack.pop()
+            if stack[-1][0] in ENDED_BY.get(name, ()):
+                stack.pop()
             node = self._node(
                 TAG_NUMBER.get(name, OTHER),
                 stack[-1][1],
@@ -211,9 +223,9 @@ def features(pages: list[Page]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """
     sizes = np.array([len(p.tag) for p in pages])
     base = np.repeat(np.cumsum(sizes) - sizes, sizes)
-    join = lambda name: np.concatenate([np.array(getattr(p, name), np.int64) for p in pages])
-    tag, parent, depth, groups, place, links = map(
-        join, ("tag", "parent", "depth", "groups", "place", "links")
+    tag, parent, depth, groups, place, links = (
+        np.concatenate([np.array(getattr(p, name), np.int64) for p in pages])
+        for name in ("tag", "parent", "depth", "groups", "place", "links")
     )
     root = parent < 0
     parent = np.where(root, np.arange(len(tag)), parent + base)
@@ -289,7 +301,14 @@ def features(pages: list[Page]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 class BoostedTrees:
     """Gradient boosting of complete trees of ``DEPTH`` levels on binned columns."""
 
-    def __init__(self, edges: np.ndarray, start: float, split: np.ndarray, cut: np.ndarray, leaf: np.ndarray):
+    def __init__(
+        self,
+        edges: np.ndarray,
+        start: float,
+        split: np.ndarray,
+        cut: np.ndarray,
+        leaf: np.ndarray,
+    ):
         self.edges, self.start, self.split, self.cut, self.leaf = edges, start, split, cut, leaf
 
     @staticmethod
@@ -328,10 +347,11 @@ class BoostedTrees:
                 first, count = 2**level - 1, 2**level
                 cells = ((at - first)[:, None] * (width * BINS) + flat).ravel()
                 shape = (count, width, BINS)
-                g, h = (
-                    np.bincount(cells, np.repeat(v, width), count * width * BINS).reshape(shape).cumsum(axis=2)
+                sums = (
+                    np.bincount(cells, np.repeat(v, width), count * width * BINS)
                     for v in (gradient, weight)
                 )
+                g, h = (x.reshape(shape).cumsum(axis=2) for x in sums)
                 all_g, all_h = g[:, :, -1:], h[:, :, -1:]
                 gain = g**2 / (h + RIDGE) + (all_g - g) ** 2 / (all_h - h + RIDGE)
                 gain -= all_g**2 / (all_h + RIDGE)
@@ -351,7 +371,8 @@ class BoostedTrees:
 
     def to_bytes(self) -> bytes:
         out = io.BytesIO()
-        np.savez(out, edges=self.edges, start=self.start, split=self.split, cut=self.cut, leaf=self.leaf)
+        parts = {name: getattr(self, name) for name in ("edges", "start", "split", "cut", "leaf")}
+        np.savez(out, **parts)
         return out.getvalue()
 
     @classmethod
@@ -382,15 +403,18 @@ def decode(margins: np.ndarray, parent: np.ndarray, depth: np.ndarray) -> np.nda
 # ---- training pages ---------------------------------------------------------------------
 
 _WRAPPERS = {
-    "main": ("article", "main", 'div class="post-content"', 'div id="content"', 'section class="entry"',
-             'div class="story-body"', 'div class="article-text"', "div", 'div class="page-main"'),
-    "menu": ("nav", 'div class="menu"', 'ul class="nav"', 'div id="navigation"', 'div class="breadcrumbs"'),
+    "main": ("article", "main", 'div class="post-content"', 'div id="content"', "div",
+             'section class="entry"', 'div class="story-body"', 'div class="article-text"',
+             'div class="page-main"'),
+    "menu": ("nav", 'div class="menu"', 'ul class="nav"', 'div id="navigation"',
+             'div class="breadcrumbs"'),
     "header": ("header", 'div id="header"', 'div class="masthead"', 'div class="top-banner"'),
     "footer": ("footer", 'div id="footer"', 'div class="copyright"', 'div class="foot"'),
     "side": ("aside", 'div class="sidebar"', 'div class="widget"', 'div class="related"'),
-    "advert": ('div class="ad"', 'div class="advert"', 'div class="sponsored"', 'section class="promo"', 'p class="ad"'),
-    "notice": ('div class="cookie-notice"', 'div id="consent"', 'div class="notice"', 'div role="alert"',
-               'div class="popup"', 'p class="notice"'),
+    "advert": ('div class="ad"', 'div class="advert"', 'div class="sponsored"',
+               'section class="promo"', 'p class="ad"'),
+    "notice": ('div class="cookie-notice"', 'div id="consent"', 'div class="notice"',
+               'div role="alert"', 'div class="popup"', 'p class="notice"'),
     "comments": ('section id="comments"', 'div class="comments"', 'ol class="commentlist"',
                  'div class="reader-comments"', 'div class="comment"'),
     "form": ("form", 'div class="newsletter"', 'form class="search"', 'div class="login"'),
@@ -403,8 +427,10 @@ def _wrapped(rng: random.Random, kind: str, inside: str) -> str:
     return f"<{wrapper}>{inside}</{wrapper.split()[0]}>"
 
 
-def variant(rng: random.Random, main: list[tuple[str, str]], other: list[str], foreign: list[str]) -> str:
-    """A page written anew about the same main text, its parts in other wrappers and places.
+def variant(
+    rng: random.Random, main: list[tuple[str, str]], other: list[str], foreign: list[str]
+) -> str:
+    """A page written anew about the same main text or its beginning, in other wrappers and places.
 
     ``main`` has (tag, text) of the main runs, ``other`` the short runs around them, ``foreign``
     paragraphs of other pages, which speak in sidebars, notices and comments. What belongs to
@@ -414,45 +440,67 @@ def variant(rng: random.Random, main: list[tuple[str, str]], other: list[str], f
     short = lambda: escape(rng.choice(other)[:200]) if other else "More"
     long = lambda: escape(rng.choice(foreign)) if foreign else short()
     link = lambda: f'<a href="/x">{short()}</a>'
-    blocks = [f"<{t} data-main-text>{escape(text)}</{t}>" for t, text in main]
-    extras = {
-        "advert": lambda: _wrapped(rng, "advert", rng.choice([short(), f"<p>{long()}</p>", link()])),
-        "side": lambda: _wrapped(rng, "side", f"<h3>{short()}</h3><p>{long()}</p>" if rng.random() < 0.5 else f"<ul><li>{link()}</li><li>{link()}</li></ul>"),
-        "form": lambda: _wrapped(rng, "form", f"<label>{short()}</label><input><p>{short()}</p>"),
-        "share": lambda: _wrapped(rng, "share", f"{link()} {link()}"),
-        "notice": lambda: _wrapped(rng, "notice", rng.choice([f"<p>{long()}</p>", short()])),
-        "comments": lambda: _wrapped(rng, "comments", "".join(f"<div><p>{long()}</p></div>" for _ in range(rng.randint(1, 4)))),
-    }
+    if rng.random() < 0.5:  # many pages are short
+        main = main[: rng.randint(1, 6)]
+    heading = rng.choice(["h1", "h1", "h2", "h3"])
+    tagged = [(heading if tag == "h1" else tag, text) for tag, text in main]
+    blocks = [f"<{tag} data-main-text>{escape(text)}</{tag}>" for tag, text in tagged]
+    several = lambda part, most: "".join(part() for _ in range(rng.randint(1, most)))
+
+    def extra(kind: str) -> str:
+        inside = {
+            "advert": lambda: rng.choice([short(), f"<p>{long()}</p>", link()]),
+            "side": lambda: rng.choice(
+                [f"<h3>{short()}</h3><p>{long()}</p>", f"<ul><li>{link()}</li></ul>"]
+            ),
+            "form": lambda: f"<label>{short()}</label><input><p>{short()}</p>",
+            "share": lambda: f"{link()} {link()}",
+            "notice": lambda: rng.choice([f"<p>{long()}</p>", short()]),
+            "comments": lambda: several(lambda: f"<div><p>{long()}</p></div>", 4),
+        }
+        return _wrapped(rng, kind, inside[kind]())
+
     for kind in ("advert", "side", "form", "share", "notice"):
         if rng.random() < 0.25:
-            blocks.insert(rng.randint(0, len(blocks)), extras[kind]())
+            blocks.insert(rng.randint(0, len(blocks)), extra(kind))
     if rng.random() < 0.25:
-        blocks.append(extras["comments"]())
+        blocks.append(extra("comments"))
     body = _wrapped(rng, "main", "".join(blocks))
     if rng.random() < 0.4:
         body = f"<div>{body}</div>"
     head, tail = [], []
     if rng.random() < 0.6:
-        head.append(_wrapped(rng, "header", f"<h1>{short()}</h1>" if rng.random() < 0.4 else f"<p>{short()}</p>"))
+        tag = rng.choice(["h1", "p", "p"])
+        head.append(_wrapped(rng, "header", f"<{tag}>{short()}</{tag}>"))
     if rng.random() < 0.85:
-        head.append(_wrapped(rng, "menu", "<ul>" + "".join(f"<li>{link()}</li>" for _ in range(rng.randint(2, 8))) + "</ul>"))
+        items = several(lambda: f"<li>{link()}</li>", 8)
+        head.append(_wrapped(rng, "menu", f"<ul>{items}</ul>"))
     for kind in ("notice", "advert", "form", "side", "comments", "share"):
         if rng.random() < 0.45:
-            (tail if kind == "comments" or rng.random() < 0.5 else head).append(extras[kind]())
+            (tail if kind == "comments" or rng.random() < 0.5 else head).append(extra(kind))
     if rng.random() < 0.85:
         tail.append(_wrapped(rng, "footer", rng.choice([f"&copy; {short()}", f"<p>{short()}</p>"])))
     return "<html><body>" + "".join([*head, body, *tail]) + "</body></html>"
 
 
 def _semantic_labels(page: Page) -> list[bool]:
-    """Runs inside an article or main element and in no furniture within or around it."""
+    """Runs inside an article or main element and in no furniture within or around it.
+
+    Of a page without such elements, long runs that are not mostly links, outside of furniture.
+    """
     good, bad = set(_CONTENT_TAGS), set(_FURNITURE_TAGS)
-    furniture = sum(1 << g for g, name in enumerate(TOKEN_GROUPS) if name not in ("content", "share"))
+    names = enumerate(TOKEN_GROUPS)
+    furniture = sum(1 << g for g, name in names if name not in ("content", "share"))
     state = []
     for tag, parent, groups in zip(page.tag, page.parent, page.groups, strict=True):
         inside, outside = state[parent] if parent >= 0 else (False, False)
         state.append((inside or tag in good, outside or tag in bad or bool(groups & furniture)))
-    return [inside and not outside for inside, outside in state]
+    if any(inside for inside, _ in state):
+        return [inside and not outside for inside, outside in state]
+    return [
+        not outside and text is not None and len(text) >= LONG_RUN and 3 * links < len(text)
+        for (_, outside), text, links in zip(state, page.text, page.links, strict=True)
+    ]
 
 
 def _upward(page: Page, runs: list[bool]) -> np.ndarray:
@@ -481,7 +529,7 @@ def _fit_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if text and runs[node]:
                 parent = page.tag[page.parent[node]]
                 name = TAGS[parent] if parent < OTHER else "p"
-                main.append((name if name in ("p", "h1", "h2", "h3", "li", "blockquote") else "p", text))
+                main.append((name if name in STORY_TAGS else "p", text))
             elif text:
                 around.append(text)
         stories.append(main)
@@ -528,7 +576,8 @@ def extract(htmls: list[str | None], model: BoostedTrees | None) -> list[str]:
     keep = decode(margins, parent, depth).tolist()
     out, low = [], 0
     for page in pages:
-        out.append("\n".join(t for t, k in zip(page.text, keep[low : low + len(page.text)], strict=True) if t and k))
+        kept = keep[low : low + len(page.text)]
+        out.append("\n".join(t for t, k in zip(page.text, kept, strict=True) if t and k))
         low += len(page.text)
     return out
 

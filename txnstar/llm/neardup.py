@@ -102,7 +102,8 @@ def _verify(k: int, percent: int, within: bool) -> callable:
     def links(table: pa.Table) -> pa.Table:
         """Links within the one block of a task, or between its two sides."""
         ids = np.asarray(table.column("node"))
-        sets = [shingle_set(_hashes.of(lower_words(t)), k) for t in table.column("text").to_pylist()]
+        texts = table.column("text").to_pylist()
+        sets = [shingle_set(_hashes.of(lower_words(t)), k) for t in texts]
         order = np.argsort(ids, kind="stable")
         nodes, rank = np.unique(ids, return_inverse=True)
         side = np.asarray(table.column("side"))
@@ -116,7 +117,12 @@ def _verify(k: int, percent: int, within: bool) -> callable:
 
 
 def _links(
-    members: DataFrame, needed: DataFrame, k: int, percent: int, block_shingles: int, block_members: int
+    members: DataFrame,
+    needed: DataFrame,
+    k: int,
+    percent: int,
+    block_shingles: int,
+    block_members: int,
 ) -> DataFrame:
     """``(node, component)`` of all members of groups ``(hub, node, n)`` by verified links.
 
@@ -143,26 +149,30 @@ def _links(
     large = placed.filter("blocks > 1")
     named = labels.withColumnRenamed("node", "_node")
     large = large.join(named, F.col("node") == F.col("_node"), "left")
-    large = large.select("hub", "node", "n", "i", F.coalesce("component", "node").alias("component"))
-    large = materialise(large, "large")
+    component = F.coalesce("component", "node").alias("component")
+    large = materialise(large.select("hub", "node", "n", "i", component), "large")
     if large.isEmpty():
         return labels
     at_hub = large.filter("node = hub").select("hub", F.col("component").alias("of_hub")).distinct()
-    apart = large.join(sized(materialise(at_hub, "at_hub"), 24), "hub").filter("component <> of_hub")
+    at_hub = sized(materialise(at_hub, "at_hub"), 24)
+    apart = large.join(at_hub, "hub").filter("component <> of_hub")
     apart = materialise(apart.select("hub", "node", "n").distinct(), "apart")
     parts = materialise(apart.groupBy("hub").agg(size.alias("parts")), "parts")
     blocks = large.groupBy("hub").agg((F.max("i") + 1).alias("blocks"))
     shape = sized(materialise(parts.join(blocks, "hub"), "shape"), 24)
     part = F.pmod(F.xxhash64("node", F.lit(1)), F.col("parts")).cast("int")
+    every_part = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("j")
+    every_block = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("i")
     left = large.join(shape, "hub").select(
-        "hub", "node", "i", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("j"), F.lit(0).alias("side")
+        "hub", "node", "i", every_part, F.lit(0).alias("side")
     )
     right = apart.join(shape, "hub").select(
-        "hub", "node", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("i"), part.alias("j"), F.lit(1).alias("side")
+        "hub", "node", every_block, part.alias("j"), F.lit(1).alias("side")
     )
     second = left.union(right).join(needed, F.col("node") == F.col("doc"))
     second = second.select("hub", "i", "j", "node", "text", "side")
-    more = second.groupBy("hub", "i", "j").applyInArrow(_verify(k, percent, False), "a bigint, b bigint")
+    across = _verify(k, percent, False)
+    more = second.groupBy("hub", "i", "j").applyInArrow(across, "a bigint, b bigint")
     return merge_components(labels, materialise(more, "edges"))
 
 
@@ -247,3 +257,33 @@ def keep_one_of_each(docs: DataFrame, **options) -> DataFrame:
     gone = sized(materialise(gone.withColumnRenamed("doc_id", "_gone"), "gone"), 16)
     rows = packed(docs, _doc=F.col(f"`{id_col}`").cast("bigint"))
     return rows.join(gone, F.col("_doc") == F.col("_gone"), "left_anti").select("row.*")
+
+
+ORACLE = r"""
+    WITH RECURSIVE w AS (
+        SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x20\x09-\x0D]+') AS words
+        FROM documents),
+    s AS (
+        SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) = 0 THEN []
+            WHEN len(words) < 4 THEN [array_to_string(words, ' ')]
+            ELSE list_transform(range(1, len(words) - 2),
+                lambda i : array_to_string(words[i:i + 3], ' ')) END) AS shingle
+        FROM w),
+    n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+    p AS (
+        SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS shared
+        FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id
+        GROUP BY a.doc_id, b.doc_id),
+    l AS (
+        SELECT x, y FROM p JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y
+        WHERE 100 * shared >= 80 * (nx.n + ny.n - shared)),
+    e AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
+    r AS (
+        SELECT doc_id AS node, doc_id AS root FROM documents
+        UNION SELECT e.y, r.root FROM r JOIN e ON e.x = r.node),
+    c AS (SELECT node, min(root) AS component_id FROM r GROUP BY node)
+    SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id,
+        d.doc_id = c.component_id AS kept
+    FROM documents d JOIN c ON c.node = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id"""

@@ -15,7 +15,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from txnstar.llm.frames import only
 from txnstar.llm.words import WordHashes, to_bytes
 
 # Documents the model is fitted on at most, chosen by the hash of their ids.
@@ -47,7 +46,7 @@ STATISTICS = (
     "stated_log_chars",
 )
 _hashes = WordHashes()
-_PUNCTUATION = bytes(set(range(33, 127)) - set(b"0123456789") - set(range(65, 91)) - set(range(97, 123)))
+_PUNCTUATION = bytes(b for b in range(33, 127) if not chr(b).isalnum())
 _PLAIN_MARKS = b".,;:'\"()-"
 _MARKS = bytes(set(_PUNCTUATION) - set(_PLAIN_MARKS))
 _SYMBOL_END = re.compile(rb"[^\w\s.,;:'\"()\-\x80-\xff](?=\s|$)")
@@ -108,7 +107,8 @@ class Features:
         self.stats = np.array(stats, np.float32).reshape(self.n, len(STATISTICS))
 
     def with_bins(self, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        bins = np.stack([np.searchsorted(edges[:, j], self.stats[:, j]) for j in range(len(STATISTICS))], axis=1)
+        found = [np.searchsorted(edges[:, j], self.stats[:, j]) for j in range(len(STATISTICS))]
+        bins = np.stack(found, axis=1)
         slot = WORD_SLOTS + np.arange(len(STATISTICS)) * BINS + bins
         owner = np.repeat(np.arange(self.n), len(STATISTICS))
         order = np.argsort(np.concatenate([self.owner, owner]), kind="stable")
@@ -132,7 +132,8 @@ class FactorisationMachine:
         self.edges = edges
         self.bias = np.zeros(1, np.float32)
         self.linear = np.zeros(slots, np.float32)
-        self.factors = np.random.default_rng(seed).normal(0, 0.05, (slots, FACTORS)).astype(np.float32)
+        factors = np.random.default_rng(seed).normal(0, 0.05, (slots, FACTORS))
+        self.factors = factors.astype(np.float32)
 
     def _sums(self, n: int, owner: np.ndarray, slot: np.ndarray, value: np.ndarray) -> tuple:
         scaled = self.factors[slot] * value[:, None]
@@ -240,10 +241,16 @@ def train(
 
 def _texts(docs: DataFrame, id_col: str, text_col: str, chars_col: str) -> DataFrame:
     """Id, text and the stated number of characters, NULL where ``docs`` states none."""
-    names = {"doc": id_col, "text": text_col}
-    if chars_col not in docs.columns:
-        return only(docs, **names).withColumn("stated", F.lit(None).cast("double"))
-    return only(docs, **names, stated=chars_col).withColumn("stated", F.col("stated").cast("double"))
+    return docs.select(
+        F.col(f"`{id_col}`").alias("doc"),
+        F.col(f"`{text_col}`").alias("text"),
+        _stated(docs, chars_col).alias("stated"),
+    )
+
+
+def _stated(docs: DataFrame, chars_col: str) -> Column:
+    known = F.col(f"`{chars_col}`") if chars_col in docs.columns else F.lit(None)
+    return known.cast("double")
 
 
 def scorer(model: bytes | None) -> callable:
@@ -257,12 +264,9 @@ def scorer(model: bytes | None) -> callable:
             if model is None:
                 yield pd.Series(np.full(len(texts), 0.5))
                 continue
-            parts = [
-                loaded[0].scores(
-                    Features(list(texts[low : low + SCORE_TEXTS]), list(stated[low : low + SCORE_TEXTS]))
-                )
-                for low in range(0, len(texts), SCORE_TEXTS)
-            ]
+            texts, stated = list(texts), list(stated)
+            cuts = [slice(low, low + SCORE_TEXTS) for low in range(0, len(texts), SCORE_TEXTS)]
+            parts = [loaded[0].scores(Features(texts[cut], stated[cut])) for cut in cuts]
             yield pd.Series(np.concatenate(parts) if parts else np.zeros(0))
 
     return F.pandas_udf(score, T.DoubleType())
@@ -297,6 +301,5 @@ def keep_good(
     docs: DataFrame, model: bytes | None, text_col: str = "text", chars_col: str = "n_chars"
 ) -> DataFrame:
     """The rows of ``docs`` that the model does not reject, with all their columns."""
-    stated = F.col(f"`{chars_col}`").cast("double") if chars_col in docs.columns else F.lit(None).cast("double")
-    score = scorer(model)(F.col(f"`{text_col}`"), stated)
+    score = scorer(model)(F.col(f"`{text_col}`"), _stated(docs, chars_col))
     return docs.filter(score >= 0.5)

@@ -6,12 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from txnstar.llm import html_trees, mixing, quality_fm, url_rules, warc
+from txnstar.llm import html_trees, mixing, neardup, quality_fm, url_rules, warc
 from txnstar.llm.bpe import round_trip
 from txnstar.llm.cuckoo import exact_duplicates
 from txnstar.llm.fingerprint import edit_report
 from txnstar.llm.frames import prepare
-from txnstar.llm.neardup import near_duplicates
 from txnstar.llm.secrets import secret_report
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,7 +56,7 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(_table(spark, sf_dir, "documents"))
+    return neardup.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
 def op8_exact_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -90,6 +89,7 @@ ORACLES: dict[str, str] = {
     "op3_url_rules": url_rules.ORACLE,
     "op4_warc": warc.ORACLE,
     "op6_mixing": mixing.ORACLE,
+    "op7_near_duplicates": neardup.ORACLE,
     "op8_exact_duplicates": """
         WITH t AS (SELECT doc_id, sha256(coalesce(text, '')) AS text_sha256 FROM documents),
         g AS (SELECT text_sha256, max(doc_id) AS keep_id, count(*) AS group_size

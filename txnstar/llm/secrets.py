@@ -36,7 +36,8 @@ LAYER_BUDGET = 16 * 1024 * 1024
 _PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _ESCAPES = re.compile(
     r"(?:\\u[dD][89abAB][0-9A-Fa-f]{2}\\u[dD][c-fC-F][0-9A-Fa-f]{2})|\\u[0-9A-Fa-f]{4}"
-    r"|\\u\{[0-9A-Fa-f]{1,6}\}|\\U[0-9A-Fa-f]{8}|\\x[0-9A-Fa-f]{2}|&#[0-9]{1,7};|&#[xX][0-9A-Fa-f]{1,6};"
+    r"|\\u\{[0-9A-Fa-f]{1,6}\}|\\U[0-9A-Fa-f]{8}|\\x[0-9A-Fa-f]{2}"
+    r"|&#[0-9]{1,7};|&#[xX][0-9A-Fa-f]{1,6};"
     r"|[！-～]"
 )
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
@@ -207,8 +208,8 @@ def scan(text: str, budget: int = LAYER_BUDGET) -> tuple[list, list, bool]:
     spans, waiting, seen, left, whole = set(base), deque([Layer(text)]), set(), budget, True
     while waiting:
         layer = waiting.popleft()
-        unwrapped = chain(_unpercent(layer), _unescape(layer), _unbase64(layer, lambda: max(0, left)))
-        for child in unwrapped:
+        ways = _unpercent(layer), _unescape(layer), _unbase64(layer, lambda: max(0, left))
+        for child in chain(*ways):
             if child is None:
                 whole = False
                 continue

@@ -72,7 +72,9 @@ class GlobAutomaton:
         low = 0
         while low < len(order):
             high, width = low, 0
-            while high < len(order) and (high == low or len(texts[order[high]]) * (high + 1 - low) <= CELLS):
+            while high < len(order) and (
+                high == low or len(texts[order[high]]) * (high + 1 - low) <= CELLS
+            ):
                 high += 1
             rows = order[low:high][::-1]
             width = len(texts[rows[0]])
@@ -185,7 +187,8 @@ ORACLE = r"""
         FROM pages),
     r(verdict, rule, h, p) AS (
         VALUES ('block', 'net/', 'net', '/'), ('allow', 'example.net/en/', 'example.net', '/en/'),
-            ('block', 'example.com/de/', 'example.com', '/de/'), ('allow', 'org/fr/', 'org', '/fr/')),
+            ('block', 'example.com/de/', 'example.com', '/de/'),
+            ('allow', 'org/fr/', 'org', '/fr/')),
     m AS (
         SELECT page_id, host, path, arg_max(rule, length(rule)) AS rule
         FROM p JOIN r ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, r.p)

@@ -334,10 +334,8 @@ class WarcReader(DataSourceReader):
 
     def read(self, partition: WarcFiles) -> Iterator[pa.RecordBatch]:
         store, _ = file_system(self.path)
-        fields = {
-            f.name: pa.int64() if f.name == "payload_bytes" else pa.binary() if f.name == "payload" else pa.string()
-            for f in self.schema
-        }
+        kinds = {"payload_bytes": pa.int64(), "payload": pa.binary()}
+        fields = {f.name: kinds.get(f.name, pa.string()) for f in self.schema}
         schema = pa.schema(list(fields.items()))
         rows, held = [], 0
         for path in partition.paths:
@@ -376,7 +374,8 @@ class WarcWriter(DataSourceArrowWriter):
                         if out is not None:
                             out.close()
                         names.append(f"part-{uuid.uuid4().hex}.warc.gz")
-                        out, size = store.open_output_stream(f"{root}/{names[-1]}", compression=None), 0
+                        place = f"{root}/{names[-1]}"
+                        out, size = store.open_output_stream(place, compression=None), 0
                     member = gzip_member(record_bytes(row, self.date), self.level)
                     out.write(member)
                     size += len(member)
@@ -466,7 +465,8 @@ def page_records(
         "url",
         F.coalesce("html", F.lit("")).cast("binary").alias("payload"),
     )
-    rows = rows.withColumns({"digest": F.sha1("payload"), "bytes": F.octet_length("payload").cast("bigint")})
+    size = F.octet_length("payload").cast("bigint")
+    rows = rows.withColumns({"digest": F.sha1("payload"), "bytes": size})
     shared = (
         rows.filter(F.col("bytes") >= min_bytes)
         .groupBy(F.col("digest").alias("_digest"))
@@ -475,7 +475,8 @@ def page_records(
         .select("_digest", "_first")
     )
     shared = sized(materialise(shared, "shared"), 64)
-    joined = rows.join(shared, (F.col("digest") == F.col("_digest")) & (F.col("bytes") >= min_bytes), "left")
+    match = (F.col("digest") == F.col("_digest")) & (F.col("bytes") >= min_bytes)
+    joined = rows.join(shared, match, "left")
     revisit = F.col("_first").isNotNull() & ~F.col("page").eqNullSafe(F.col("_first"))
     return joined.select(
         F.coalesce(_record_id(F.col("page")), F.lit("<urn:page:null>")).alias("record_id"),
@@ -527,10 +528,12 @@ ORACLE = """
     WITH p AS (
         SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
     d AS (
-        SELECT page_id, octet_length(payload) AS payload_bytes, sha1(payload) AS payload_digest FROM p),
+        SELECT page_id, octet_length(payload) AS payload_bytes, sha1(payload) AS payload_digest
+        FROM p),
     g AS (
         SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS latest FROM d)
     SELECT page_id, payload_bytes, payload_digest,
-        CASE WHEN payload_bytes >= 1000 AND page_id <> latest THEN 'revisit' ELSE 'response' END AS record_type,
+        CASE WHEN payload_bytes >= 1000 AND page_id <> latest
+            THEN 'revisit' ELSE 'response' END AS record_type,
         CASE WHEN payload_bytes >= 1000 AND page_id <> latest THEN latest END AS refers_to
     FROM g"""
