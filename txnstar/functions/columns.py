@@ -73,8 +73,9 @@ def parse_mixed(c: Column, formats: list[str] = DATE_FORMATS) -> Column:
     """Wall-clock time by the first of ``formats``, in order, that reads the text.
 
     NULL where none does. A pattern is left out when an earlier one reads all that it reads, as
-    that would have come first; each failed attempt costs an exception. The result is ``timestamp_ntz``: text is read as UTC and taken
-    back as UTC, so the session's zone, with its daylight-saving gaps, plays no part.
+    that would have come first; each failed attempt costs an exception. The result is
+    ``timestamp_ntz``: text is read as UTC and taken back as UTC, so the session's zone, with
+    its daylight-saving gaps, plays no part.
     """
     needed: list[str] = []
     for fmt in formats:

@@ -80,7 +80,8 @@ def hot_keys(df: DataFrame, cols: list[str]) -> DataFrame:
     counts = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
     total = counts.agg((F.sum("_n") * HOT_SHARE).alias("_limit"))
     keyed = reduce(and_, [F.col(c).isNotNull() for c in cols])
-    return counts.filter(keyed).join(F.broadcast(total), F.col("_n") > F.col("_limit")).select(*cols)
+    many = F.col("_n") > F.col("_limit")
+    return counts.filter(keyed).join(F.broadcast(total), many).select(*cols)
 
 
 def lookup_key(
@@ -118,7 +119,8 @@ def _lookup_by_shuffle(
     """Shuffle only rows whose key is neither NULL nor hot; hot keys are a bounded few."""
     rights = [right for _, right in pairs]
     no_key = reduce(or_, [F.col(left).isNull() for left, _ in pairs])
-    hot = hot.select(*[F.col(left).alias(right) for left, right in pairs], F.lit(True).alias("_hot"))
+    named = [F.col(left).alias(right) for left, right in pairs]
+    hot = hot.select(*named, F.lit(True).alias("_hot"))
     hot_lookup = lookup.join(F.broadcast(hot), rights, "left_semi")
     marked = _left_lookup(df, F.broadcast(hot), pairs, "_hot")
     apart = F.col("_hot").isNotNull() | no_key

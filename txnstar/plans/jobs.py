@@ -109,7 +109,10 @@ def stage_star(
             ranged = materialise(in_ranges(types, "transaction_type"), "ranges")
             types = assign_key_in_ranges(ranged, "transaction_type", "type_id")
         counts["dim_transaction_type"] = _write_counted(types, staged_root, "dim_transaction_type")
-        small = {n: store.size(f"{staged_root}/{n}") <= small_file_bytes for n in ("dim_date", "dim_transaction_type")}
+        small = {
+            name: store.size(f"{staged_root}/{name}") <= small_file_bytes
+            for name in ("dim_date", "dim_transaction_type")
+        }
         hot = None
         if not small["dim_transaction_type"]:
             hot = materialise(hot_keys(clean, ["TransactionType"]), "hot")
@@ -147,7 +150,10 @@ def run_transform(
     if infer_schema and raw_format != "csv":
         raise ValueError("the raw zone holds text; only CSV can be read with types")
     with sized_for(spark, Store(spark).size(raw_root)):
-        raw = read_raw(spark, raw_root, infer_schema) if raw_format == "csv" else read_raw_zone(spark, raw_root)
+        if raw_format == "csv":
+            raw = read_raw(spark, raw_root, infer_schema)
+        else:
+            raw = read_raw_zone(spark, raw_root)
         return audit_frame(spark, stage_star(raw, staged_root))
 
 

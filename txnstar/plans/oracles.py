@@ -155,7 +155,8 @@ ORACLES = {
     "scan_raw_csv": _RAW_ROWS,
     "scan_quoted_csv": _with(
         RAW,
-        """SELECT * REPLACE (concat('say "', DeviceID, '", ok, ', Location, '"') AS DeviceID) FROM raw""",
+        """SELECT * REPLACE (
+ concat('say "', DeviceID, '", ok, ', Location, '"') AS DeviceID) FROM raw""",
     ),
     "ingest_landing": _RAW_ROWS,
     "ingest_redelivered": _RAW_ROWS,

@@ -81,8 +81,9 @@ def scan_raw_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 def scan_quoted_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Devices with quotes and commas in their names, as RFC 4180 writes them."""
     root = fresh_dir(spark, "quoted-csv")
-    device = F.concat(F.lit('say "'), F.col("DeviceID"), F.lit('", ok, '), F.col("Location"), F.lit('"'))
-    _write_drop(raw_transactions(spark, sf_dir).withColumn("DeviceID", device), f"{root}/date={DAYS[0]}")
+    device = F.concat(F.lit('say "'), "DeviceID", F.lit('", ok, '), "Location", F.lit('"'))
+    raw = raw_transactions(spark, sf_dir).withColumn("DeviceID", device)
+    _write_drop(raw, f"{root}/date={DAYS[0]}")
     return read_raw(spark, root).transform(_raw_columns)
 
 

@@ -65,9 +65,10 @@ def zone_columns(spark: SparkSession, root: str) -> list[str]:
     if not Store(spark).names(noted):
         return RAW_COLUMNS
     schema = "position int, name string, batch string"
-    rows = spark.read.schema(schema).parquet(noted).groupBy("name").agg(F.min(F.struct("batch", "position")).alias("at"))
+    rows = spark.read.schema(schema).parquet(noted).groupBy("name")
+    rows = rows.agg(F.min(F.struct("batch", "position")).alias("at")).orderBy("at")
     known = set(RAW_COLUMNS)
-    return RAW_COLUMNS + [r.name for r in rows.orderBy("at").collect() if r.name not in known]
+    return RAW_COLUMNS + [r.name for r in rows.collect() if r.name not in known]
 
 
 def read_raw_zone(spark: SparkSession, root: str) -> DataFrame:

@@ -39,7 +39,7 @@ def load_table(
         return
     options = options or {}
     if fmt == "jdbc":  # fails if there is no such table
-        spark.read.format(fmt).options(**options).option("dbtable", table).load().schema  # noqa: B018
+        spark.read.format(fmt).options(**options).option("dbtable", table).load()
     writer = df.write.format(fmt).mode("overwrite").option("truncate", True)
     writer.options(**options).option("dbtable", table).save()
 

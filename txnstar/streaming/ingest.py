@@ -82,11 +82,15 @@ class _Zone:
             if self.store.identity(r.path) != (r.modified, r.length):
                 raise RuntimeError(
                     f"{r.path} changed or went while batch {name} was taking it; put the file"
-                    " back, or remove the batch's mark among the planned ones to take what is there now"
+                    " back, or remove the batch's mark among the planned ones to take what is"
+                    " there now"
                 )
-        count, refused = self._write(name, rows[0].day, [r.path for r in rows]) if rows else (0, 0)
+        count = refused = 0
+        if rows:
+            count, refused = self._write(name, rows[0].day, [r.path for r in rows])
         if refused:
-            log.warning("%d rows with a wrong number of fields are in %s/%s", refused, self.raw_root, REJECTED_FOLDER)
+            where = f"{self.raw_root}/{REJECTED_FOLDER}"
+            log.warning("%d rows with a wrong number of fields are in %s", refused, where)
         self.mark("done", name)
         return count
 
@@ -113,9 +117,9 @@ class _Zone:
         )
         good = every.filter(F.col(BROKEN).isNull()).select(*contract_columns(columns))
         noted = [(i, c.name) for i, c in enumerate(good.schema)]
-        noted = self.spark.createDataFrame(noted, "position int, name string")
+        noted = self.spark.createDataFrame(noted, "position int, name string").coalesce(1)
         place = f"{BATCH}={name}"
-        noted.coalesce(1).write.mode("overwrite").parquet(f"{self.raw_root}/{COLUMNS_FOLDER}/{place}")
+        noted.write.mode("overwrite").parquet(f"{self.raw_root}/{COLUMNS_FOLDER}/{place}")
         good.write.mode("overwrite").parquet(f"{self.raw_root}/{INGEST_DATE}={day}/{place}")
         found = counts.get
         if found["refused"]:
@@ -169,7 +173,8 @@ def ingest_landing(
     of their own there once it is done. ``max_bytes_per_trigger`` bounds a batch after a long
     outage. Returns whether any rows came in.
     """
-    zone = _Zone(spark, landing.rstrip("/"), raw_root.rstrip("/"), checkpoint.rstrip("/"), archive, Store(spark))
+    landing, raw_root, checkpoint = (p.rstrip("/") for p in (landing, raw_root, checkpoint))
+    zone = _Zone(spark, landing, raw_root, checkpoint, archive, Store(spark))
     planned = zone.marked("planned")
     came = sum(zone.finish(name) for name in sorted(planned - zone.marked("done")))
     new = zone.waiting().join(zone.ledger(planned), IDENTITY, "left_anti")
