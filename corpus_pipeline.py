@@ -16,7 +16,7 @@ from txnstar.llm.frames import prepare  # noqa: E402
 from txnstar.llm.mixing import take_mix  # noqa: E402
 from txnstar.llm.neardup import keep_one_of_each  # noqa: E402
 from txnstar.llm.queries import bpe_files  # noqa: E402
-from txnstar.sources.workdir import materialise  # noqa: E402
+from txnstar.sources.workdir import fresh_dir, scratch  # noqa: E402
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -63,8 +63,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``."""
+    """All stages over ``documents``; what a stage writes on its way is removed after it.
+
+    The stages' own results stay in the shared folder, one table each.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        docs = materialise(stage(spark, docs, sf_dir), name)
+        place = fresh_dir(spark, f"stage-{name}")
+        with scratch(spark):
+            stage(spark, docs, sf_dir).write.parquet(place)
+        docs = spark.read.parquet(place)
     return docs

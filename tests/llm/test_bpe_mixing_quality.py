@@ -136,9 +136,10 @@ def test_targets(spark):
         {"a": 10, "b": 1, "c": 1, "d": 1, "e": 1000},
     ):
         frame = spark.createDataFrame(list(sizes.items()), "source string, source_size bigint")
-        rows = source_targets(frame).collect()
-        found = {r.source: 3.0 * r.source_size if r.capped else r.share * r.rest / r.free for r in rows}
-        assert found == pytest.approx(_targets(sizes))
+        for in_a_task in (100, 0):
+            rows = source_targets(frame, in_a_task=in_a_task).collect()
+            found = {r.source: 3.0 * r.source_size if r.capped else r.share * r.rest / r.free for r in rows}
+            assert found == pytest.approx(_targets(sizes))
 
 
 def _mixture(seed: int) -> list[tuple]:

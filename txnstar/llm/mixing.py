@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from txnstar.llm.frames import only, packed, sized
-from txnstar.operators.keys import assign_key
+from txnstar.operators.keys import assign_key, assign_key_in_ranges, in_ranges
 from txnstar.sources.workdir import materialise
 
 WEIGHTS = (5, 2, 1)
 MAX_REPEATS = 3
+SOURCES_IN_A_TASK = 1_000_000
 # A document's place on the line of its source: 50 bits, refined 10 bits at a time.
 POINT_BITS = 50
 LEVEL_BITS = 10
@@ -27,16 +28,27 @@ def point(doc: Column, text: Column) -> Column:
     return F.shiftright(F.conv(F.substring(F.md5(key), 1, 13), 16, 10).cast("bigint"), 2)
 
 
-def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
+def _ranked(sizes: DataFrame, in_a_task: int) -> DataFrame:
+    """``sizes``, written, with the place of each source among the names, NULL last."""
+    if sizes.count() <= in_a_task:
+        return assign_key(sizes, "source", "_rank")
+    ranged = materialise(in_ranges(sizes, "source"), "ranges")
+    return assign_key_in_ranges(ranged, "source", "_rank")
+
+
+def source_targets(
+    sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, in_a_task: int = SOURCES_IN_A_TASK
+) -> DataFrame:
     """``(source, source_size, share, capped, rest, free)`` from ``(source, source_size)``.
 
     Sources in the order of their names, NULL last, take the ``weights`` in turn. Those whose
     share of the whole exceeds ``MAX_REPEATS`` times their size are capped there, and what
     is left is shared anew among the others until none exceeds. A source that is not capped
     has the target ``share * rest / free``; all numbers are whole. Only two sums per round
-    reach the driver, and a round in which no source is newly capped is the last.
+    reach the driver, and a round in which no source is newly capped is the last. ``sizes`` is a
+    written table; more sources than ``in_a_task`` are numbered in ranges of names.
     """
-    ranked = assign_key(sizes, "source", "_rank")
+    ranked = _ranked(sizes, in_a_task)
     turn = (F.pmod(F.col("_rank") - 1, F.lit(len(weights))) + 1).cast("int")
     share = F.element_at(F.array(*[F.lit(w) for w in weights]), turn).cast("bigint")
     ranked = materialise(ranked.select("source", "source_size", share.alias("share")), "sources")
