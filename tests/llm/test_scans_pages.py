@@ -18,7 +18,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.llm.helpers import DOCS, SF, SF_SMALL, documents, rows_of, with_clashing_columns
-from txnstar.llm import html_trees, warc
+from txnstar.llm import fingerprint, html_trees, warc
 from txnstar.llm.fingerprint import (
     digests,
     edit_report,
@@ -266,6 +266,11 @@ def test_digest_is_a_function_of_the_text_and_round_trips():
         assert likeness(row, row) == 1.0
 
 
+def test_counts_of_a_long_text_are_those_of_its_windows():
+    text = random.Random(6).randbytes(fingerprint.CHUNK_BYTES * 2 + 1234)
+    assert (fingerprint._long_counts(text) == fingerprint.bucket_counts([text])).all()
+
+
 def test_likeness_falls_with_edits():
     rng = random.Random(2)
     words = [f"{rng.choice(['re', 'un', 'be'])}{n}" for n in range(500)]

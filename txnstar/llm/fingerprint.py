@@ -49,6 +49,13 @@ def bucket_counts(texts: list[bytes]) -> np.ndarray:
     return flat.reshape(counts.shape)
 
 
+def _long_counts(text: bytes) -> np.ndarray:
+    """``bucket_counts`` of one long text, by pieces that share a window less one byte."""
+    starts = range(0, len(text), CHUNK_BYTES)
+    pieces = (text[low : low + CHUNK_BYTES + WINDOW - 1] for low in starts)
+    return sum(bucket_counts([piece]) for piece in pieces)
+
+
 def digests(texts: list[bytes]) -> np.ndarray:
     """One row per text: a length code, then for each bucket the quartile its count lies in."""
     out = np.zeros((len(texts), 1 + BUCKETS), np.uint8)
@@ -59,7 +66,7 @@ def digests(texts: list[bytes]) -> np.ndarray:
             size += len(texts[high])
             high += 1
         part = texts[low:high]
-        counts = bucket_counts(part)
+        counts = bucket_counts(part) if size <= CHUNK_BYTES else _long_counts(part[0])
         ranked = np.sort(counts, axis=1)
         for quarter in (1, 2, 3):
             out[low:high, 1:] += counts > ranked[:, BUCKETS * quarter // 4 - 1, None]

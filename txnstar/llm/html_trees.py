@@ -38,8 +38,8 @@ INLINE = frozenset(
 )
 # An open element that ends where another begins.
 ENDED_BY = {
-    "li": ("li",), "tr": ("tr",), "option": ("option",), "p": ("p",),
-    "dt": ("dt", "dd"), "dd": ("dt", "dd"), "td": ("td", "th"), "th": ("td", "th"),
+    "li": ("li",), "tr": ("tr",), "dt": ("dt", "dd"), "dd": ("dt", "dd"),
+    "td": ("td", "th"), "th": ("td", "th"),
 }
 CONTENT = frozenset({"article", "main"})
 FURNITURE = frozenset({"nav", "header", "footer", "aside", "form", "menu", "dialog"})
