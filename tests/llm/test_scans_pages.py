@@ -253,6 +253,18 @@ def test_archives_of_other_writers(tmp_path, form):
         assert all(len(got[f"<r{n}>"]["payload"]) == n * 70_000 for n in ids)
 
 
+def test_a_response_without_an_http_head_does_not_swallow_the_next(tmp_path):
+    head = "WARC/1.0\r\nWARC-Type: response\r\nWARC-Record-ID: <r{}>\r\nContent-Type: application/http\r\nContent-Length: {}\r\n\r\n"
+    bodies = [b"no head here", b"", b"HTTP/1.1 200 OK\r\nA: b\r\n\r\nyes"]
+    path = tmp_path / "f"
+    path.write_bytes(b"".join(head.format(n, len(b)).encode() + b + b"\r\n\r\n" for n, b in enumerate(bodies)))
+    with pa.OSFile(str(path)) as file:
+        rows = list(warc.read_records(file, False, [], ["record_id", "payload_bytes", "payload"]))
+    assert [(r["record_id"], r["payload_bytes"], r["payload"]) for r in rows] == [
+        ("<r0>", None, None), ("<r1>", None, None), ("<r2>", 3, b"yes"),
+    ]
+
+
 # ---- fingerprints ---------------------------------------------------------------------------------------
 
 

@@ -178,14 +178,22 @@ class _Bytes:
         self.unpacker = zlib.decompressobj(31)
         return True
 
-    def until(self, end: bytes) -> bytes | None:
-        """What comes before ``end``, which is taken too; None at the end of the file."""
+    def until(self, end: bytes, most: int | None = None) -> bytes | None:
+        """What comes before ``end``, which is taken too.
+
+        None at the end of the file, or if the next ``most`` bytes do not hold it; then nothing
+        is taken.
+        """
         at = self.buffer.find(end)
         while at < 0:
+            if most is not None and len(self.buffer) >= most:
+                return None
             before = max(0, len(self.buffer) - len(end))
             if not self._more():
                 return None
             at = self.buffer.find(end, before)
+        if most is not None and at + len(end) > most:
+            return None
         out, self.buffer = self.buffer[:at], self.buffer[at + len(end) :]
         return out
 
@@ -276,9 +284,10 @@ def read_records(
         http = None
         is_http = headers.get("content-type", "").startswith("application/http")
         if is_http and (want_payload or want_size) and left:
-            head = data.until(b"\r\n\r\n")
-            left -= len(head) + 4
-            http = parse_headers(head)
+            head = data.until(b"\r\n\r\n", left)
+            if head is not None:  # else what follows is no HTTP message, and has no payload
+                left -= len(head) + 4
+                http = parse_headers(head)
         body = http is not None and row["record_type"] == "response"
         if want_size:
             stated = http.get("content-length") if http else None
