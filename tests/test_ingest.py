@@ -217,6 +217,16 @@ def test_headers_change_from_day_to_day(zone, archived):
     assert zone.rows().columns == [*RAW_COLUMNS, "Note", "ingest_date"]
 
 
+def test_names_that_differ_in_case_are_one_column(zone):
+    write_csv(zone.landing / "a.csv", {"TransactionID": "T1", "Note": "x"}, columns=[*RAW_COLUMNS, "Note"])
+    write_csv(zone.landing / "b.csv", {"TransactionID": "T2", "NOTE": "y"}, columns=[*RAW_COLUMNS, "NOTE"])
+    zone.run()
+    write_csv(zone.landing / "c.csv", {"TransactionID": "T3", "note": "z"}, columns=[*RAW_COLUMNS, "note"])
+    zone.run("2025-01-02")
+    assert {(r.TransactionID, r.Note) for r in zone.rows().collect()} == {("T1", "x"), ("T2", "y"), ("T3", "z")}
+    assert zone.rows().columns == [*RAW_COLUMNS, "Note", "ingest_date"]
+
+
 def test_files_of_one_day_may_have_different_headers(zone):
     write_csv(zone.landing / "a.csv", {"TransactionID": "T1"})
     write_csv(zone.landing / "b.csv", {"TransactionID": "T2"}, columns=list(reversed(RAW_COLUMNS)))

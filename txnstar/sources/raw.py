@@ -60,15 +60,18 @@ def read_raw(spark: SparkSession, root: str, infer_schema: bool = False) -> Data
 
 
 def zone_columns(spark: SparkSession, root: str) -> list[str]:
-    """Every column any batch had, the contract's first, as ingest has noted them."""
+    """Every column any batch had, the contract's first, as ingest has noted them.
+
+    Names that differ in case alone are one column, spelled as it first came.
+    """
     noted = f"{root}/{COLUMNS_FOLDER}"
     if not Store(spark).names(noted):
         return RAW_COLUMNS
     schema = "position int, name string, batch string"
-    rows = spark.read.schema(schema).parquet(noted).groupBy("name")
-    rows = rows.agg(F.min(F.struct("batch", "position")).alias("at")).orderBy("at")
-    known = set(RAW_COLUMNS)
-    return RAW_COLUMNS + [r.name for r in rows.collect() if r.name not in known]
+    rows = spark.read.schema(schema).parquet(noted).groupBy(F.lower("name").alias("lower"))
+    first = rows.agg(F.min(F.struct("batch", "position", "name")).alias("at")).orderBy("at")
+    known = {c.lower() for c in RAW_COLUMNS}
+    return RAW_COLUMNS + [r["at"]["name"] for r in first.collect() if r["lower"] not in known]
 
 
 def read_raw_zone(spark: SparkSession, root: str) -> DataFrame:

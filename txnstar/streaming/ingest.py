@@ -106,7 +106,8 @@ class _Zone:
         parts, columns = [], []
         for header, files in groups.items():
             contract_columns(list(header))
-            columns += [c for c in header if c not in columns]
+            known = {c.lower() for c in columns}
+            columns += [c for c in header if c.lower() not in known]
             schema = text_schema(list(header)).add(BROKEN, "string")
             rows = csv_reader(self.spark).option("columnNameOfCorruptRecord", BROKEN)
             parts.append(rows.schema(schema).csv(files))
