@@ -16,7 +16,7 @@ from txnstar.llm.frames import only
 
 NONE = np.int32(np.iinfo(np.int32).max)
 # Pieces a task remembers, cells of one matrix, and texts it handles at a time.
-MAX_PIECES = 250_000
+MAX_PIECES = 150_000
 MATRIX_CELLS = 1 << 18
 BATCH_TEXTS = 256
 # Pieces of up to so many bytes more than the last multiple share a matrix; longer ones go alone.
@@ -227,6 +227,7 @@ def encode_documents(
                 yield pa.record_batch(
                     {"doc_id": part.column(0), "ids": pa.array(ids, pa.binary())}
                 )
+        bpe.known.clear()  # the worker goes on to other tasks
 
     texts = only(docs, doc_id=id_col, text=text_col)
     kind = texts.schema["doc_id"].dataType.simpleString()

@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 # A side of a join is broadcast when its rows, counted, take at most so many bytes.
 BROADCAST_BYTES = 64 * 1024 * 1024
 BATCH_LIMITS = {
-    "spark.sql.execution.arrow.maxRecordsPerBatch": 2000,
-    "spark.sql.execution.arrow.maxBytesPerBatch": 16 * 1024 * 1024,
+    "spark.sql.execution.arrow.maxRecordsPerBatch": 1000,
+    "spark.sql.execution.arrow.maxBytesPerBatch": 4 * 1024 * 1024,
 }
 
 

@@ -24,16 +24,15 @@ BLOCK_SHINGLES = 24_000
 BLOCK_MEMBERS = 1_000
 BATCH_TEXTS = 256
 
-_hashes = WordHashes()
-
 
 def _signatures(k: int) -> callable:
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
         for batch in batches:
             for start in range(0, batch.num_rows, BATCH_TEXTS):
                 part = batch.slice(start, BATCH_TEXTS)
                 sets = [
-                    shingle_set(_hashes.of(lower_words(t)), k) for t in part.column(1).to_pylist()
+                    shingle_set(hashes.of(lower_words(t)), k) for t in part.column(1).to_pylist()
                 ]
                 sizes = np.array([len(s) for s in sets])
                 owner = np.repeat(np.arange(len(sets)), sizes)
@@ -101,9 +100,10 @@ def _forest(nodes: np.ndarray, left: np.ndarray, right: np.ndarray, linked: np.n
 def _verify(k: int, percent: int, within: bool) -> callable:
     def links(table: pa.Table) -> pa.Table:
         """Links within the one block of a task, or between its two sides."""
+        hashes = WordHashes()
         ids = np.asarray(table.column("node"))
         texts = table.column("text").to_pylist()
-        sets = [shingle_set(_hashes.of(lower_words(t)), k) for t in texts]
+        sets = [shingle_set(hashes.of(lower_words(t)), k) for t in texts]
         order = np.argsort(ids, kind="stable")
         nodes, rank = np.unique(ids, return_inverse=True)
         side = np.asarray(table.column("side"))

@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from txnstar.llm.words import WordHashes, to_bytes
 
 # Documents the model is fitted on at most, chosen by the hash of their ids.
-TRAIN_DOCUMENTS = 8000
+TRAIN_DOCUMENTS = 4000
 WORD_SLOTS = 1 << 14
 FACTORS = 8
 BINS = 12
@@ -45,7 +45,6 @@ STATISTICS = (
     "line_length",
     "stated_log_chars",
 )
-_hashes = WordHashes()
 _PUNCTUATION = bytes(b for b in range(33, 127) if not chr(b).isalnum())
 _PLAIN_MARKS = b".,;:'\"()-"
 _MARKS = bytes(set(_PUNCTUATION) - set(_PLAIN_MARKS))
@@ -87,30 +86,36 @@ def statistics(data: bytes, words: list[bytes], stated: float | None) -> list[fl
 class Features:
     """Flat rows of (owner, slot, value): hashed words, then a bin of each statistic."""
 
-    def __init__(self, texts: list[str | None], stated: list[float | None]):
+    def __init__(
+        self,
+        texts: list[str | None],
+        stated: list[float | None],
+        hashes: WordHashes | None = None,
+    ):
+        hashes = WordHashes() if hashes is None else hashes
         owners, slots, values, stats = [], [], [], []
         for row, (text, chars) in enumerate(zip(texts, stated, strict=True)):
             data = to_bytes(text)
             words = data.split()
             stats.append(statistics(data, words, chars))
             slot, count = np.unique(
-                _hashes.of(data.lower().split()) % np.uint64(WORD_SLOTS), return_counts=True
+                hashes.of(data.lower().split()) % np.uint64(WORD_SLOTS), return_counts=True
             )
             value = np.log1p(count).astype(np.float32)
-            owners.append(np.full(len(slot), row))
-            slots.append(slot.astype(np.int64))
+            owners.append(np.full(len(slot), row, np.int32))
+            slots.append(slot.astype(np.int32))
             values.append(value / max(1e-6, float(np.sqrt((value**2).sum()))))
         self.n = len(texts)
-        self.owner = np.concatenate(owners) if owners else np.zeros(0, np.int64)
-        self.slot = np.concatenate(slots) if slots else np.zeros(0, np.int64)
+        self.owner = np.concatenate(owners) if owners else np.zeros(0, np.int32)
+        self.slot = np.concatenate(slots) if slots else np.zeros(0, np.int32)
         self.value = np.concatenate(values) if values else np.zeros(0, np.float32)
         self.stats = np.array(stats, np.float32).reshape(self.n, len(STATISTICS))
 
     def with_bins(self, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         found = [np.searchsorted(edges[:, j], self.stats[:, j]) for j in range(len(STATISTICS))]
         bins = np.stack(found, axis=1)
-        slot = WORD_SLOTS + np.arange(len(STATISTICS)) * BINS + bins
-        owner = np.repeat(np.arange(self.n), len(STATISTICS))
+        slot = (WORD_SLOTS + np.arange(len(STATISTICS)) * BINS + bins).astype(np.int32)
+        owner = np.repeat(np.arange(self.n, dtype=np.int32), len(STATISTICS))
         order = np.argsort(np.concatenate([self.owner, owner]), kind="stable")
         one = np.full(slot.size, 1 / np.sqrt(len(STATISTICS)), np.float32)
         return (
@@ -258,6 +263,7 @@ def scorer(model: bytes | None) -> callable:
     loaded: list[FactorisationMachine] = []
 
     def score(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        hashes = WordHashes()
         if model is not None and not loaded:
             loaded.append(FactorisationMachine.from_bytes(model))
         for texts, stated in batches:
@@ -266,7 +272,7 @@ def scorer(model: bytes | None) -> callable:
                 continue
             texts, stated = list(texts), list(stated)
             cuts = [slice(low, low + SCORE_TEXTS) for low in range(0, len(texts), SCORE_TEXTS)]
-            parts = [loaded[0].scores(Features(texts[cut], stated[cut])) for cut in cuts]
+            parts = [loaded[0].scores(Features(texts[cut], stated[cut], hashes)) for cut in cuts]
             yield pd.Series(np.concatenate(parts) if parts else np.zeros(0))
 
     return F.pandas_udf(score, T.DoubleType())

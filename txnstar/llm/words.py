@@ -13,7 +13,7 @@ _P1 = np.uint64(0x9E3779B97F4A7C15)
 _P2 = np.uint64(0xBF58476D1CE4E5B9)
 _P3 = np.uint64(0x94D049BB133111EB)
 _MASK = 0xFFFFFFFFFFFFFFFF
-MAX_CACHED_WORDS = 150_000
+MAX_CACHED_WORDS = 100_000
 
 
 def to_bytes(text: str | None) -> bytes:
