@@ -248,3 +248,30 @@ def test_quality_of_awkward_rows(spark):
     assert quality_fm.train(docs, labels.filter("false")) is None
     no_chars = docs.drop("n_chars")
     assert quality_fm.score_documents(no_chars, learnt).count() == len(rows)
+
+
+def _labelled(n: int) -> list[tuple]:
+    rng = random.Random(11)
+    return [(i, " ".join(rng.choice(("good", "Bad!", "w1", "é", "9")) for _ in range(rng.randint(0, 12)))) for i in range(n)]
+
+
+def test_all_of_8000_labels_are_learnt_from(spark):
+    rows = _labelled(9000)
+    docs = documents(spark, rows)
+    labels = spark.createDataFrame([(i, int("good" in t)) for i, t in rows], "doc_id bigint, quality int")
+    learnable = labels.filter(~quality_fm.held_out(F.col("doc_id"))).count()
+    assert 4000 < learnable < 8000
+    assert quality_fm.train(docs, labels) == quality_fm.train(docs, labels, sample=learnable)
+
+
+def test_the_fit_of_features_from_many_tasks_is_that_of_the_texts(spark):
+    rows = [*_labelled(600), (600, None), (601, "")]
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id bigint, quality int")
+    docs = documents(spark, rows)
+    held = {r[0] for r in docs.select("doc_id").filter(quality_fm.held_out(F.col("doc_id"))).collect()}
+    learnt = [(i, t) for i, t in rows if i not in held]
+    features = quality_fm.Features([t for _, t in learnt], [None if t is None else float(len(t)) for _, t in learnt])
+    edges = np.quantile(features.stats, np.linspace(0, 1, quality_fm.BINS + 1)[1:-1], axis=0)
+    plain = quality_fm.FactorisationMachine(edges.astype(np.float32))
+    plain.fit(features, np.array([i % 2 for i, _ in learnt], np.float32))
+    assert quality_fm.train(docs.repartition(5), labels) == plain.to_bytes()

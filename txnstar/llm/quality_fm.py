@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from txnstar.llm.words import WordHashes, to_bytes
 
 # Documents the model is fitted on at most, chosen by the hash of their ids.
-TRAIN_DOCUMENTS = 4000
+TRAIN_DOCUMENTS = 8000
 WORD_SLOTS = 1 << 14
 FACTORS = 8
 BINS = 12
@@ -111,6 +111,21 @@ class Features:
         self.value = np.concatenate(values) if values else np.zeros(0, np.float32)
         self.stats = np.array(stats, np.float32).reshape(self.n, len(STATISTICS))
 
+    @classmethod
+    def from_rows(
+        cls, slots: pa.ChunkedArray, values: pa.ChunkedArray, stats: pa.ChunkedArray
+    ) -> Features:
+        """The features of texts whose slots, values and statistics are given as bytes."""
+        self = cls([], [])
+        sizes = np.array([len(x.as_py()) // 4 for x in slots], np.int64)
+        self.n = len(sizes)
+        self.owner = np.repeat(np.arange(self.n, dtype=np.int32), sizes)
+        self.slot = np.frombuffer(b"".join(x.as_py() for x in slots), np.int32)
+        self.value = np.frombuffer(b"".join(x.as_py() for x in values), np.float32)
+        flat = np.frombuffer(b"".join(x.as_py() for x in stats), np.float32)
+        self.stats = flat.reshape(self.n, len(STATISTICS))
+        return self
+
     def with_bins(self, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         found = [np.searchsorted(edges[:, j], self.stats[:, j]) for j in range(len(STATISTICS))]
         bins = np.stack(found, axis=1)
@@ -202,16 +217,39 @@ class FactorisationMachine:
         return model
 
 
+def _feature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What the fit needs of each text, so that no task holds the texts of the sample."""
+    hashes = WordHashes()
+    for batch in batches:
+        for start in range(0, batch.num_rows, SCORE_TEXTS):
+            part = batch.slice(start, SCORE_TEXTS)
+            texts, stated = part.column("text").to_pylist(), part.column("stated").to_pylist()
+            found = Features(texts, stated, hashes)
+            ends = np.searchsorted(found.owner, np.arange(found.n + 1))
+            cuts = [slice(a, b) for a, b in zip(ends, ends[1:], strict=False)]
+            yield pa.record_batch(
+                {
+                    "doc": part.column("doc"),
+                    "label": part.column("label").cast(pa.float32()),
+                    "slots": pa.array([found.slot[c].tobytes() for c in cuts], pa.binary()),
+                    "values": pa.array([found.value[c].tobytes() for c in cuts], pa.binary()),
+                    "stats": pa.array([row.tobytes() for row in found.stats], pa.binary()),
+                }
+            )
+
+
 def _fit_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     parts = [batch for batch in batches if batch.num_rows]
     if not parts:
         return
-    rows = pa.Table.from_batches(parts).sort_by("doc").to_pydict()
-    features = Features(rows["text"], rows["stated"])
+    rows = pa.Table.from_batches(parts).sort_by("doc")
+    features = Features.from_rows(*(rows.column(c) for c in ("slots", "values", "stats")))
+    labels = rows.column("label").to_numpy()
+    del parts, rows
     inner = np.linspace(0, 1, BINS + 1)[1:-1]
     edges = np.quantile(features.stats, inner, axis=0).astype(np.float32)
     model = FactorisationMachine(edges)
-    model.fit(features, np.array(rows["label"], np.float32))
+    model.fit(features, labels)
     yield pa.record_batch({"model": pa.array([model.to_bytes()], pa.binary())})
 
 
@@ -226,8 +264,8 @@ def train(
     """A model fitted on at most ``sample`` labelled documents that are not held out.
 
     The sample is that with the least hashes of the id, so it does not depend on partitions; it
-    is bounded, so one task fits the model, and the driver gets the model alone, about 600
-    KB whatever the data. An id with several labels counts with the least; rows without
+    is bounded, so one task fits the model on the features that the others compute, and the
+    driver gets the model alone, about 600 KB whatever the data. An id with several labels counts with the least; rows without
     id or label teach nothing. Returns None when nothing is left to learn from.
     """
     chosen = (
@@ -240,7 +278,11 @@ def train(
     )
     texts = _texts(docs, "doc_id", "text", "n_chars")
     rows = texts.join(F.broadcast(chosen), "doc").dropDuplicates(["doc"])
-    found = rows.repartition(1).mapInArrow(_fit_task, "model binary").collect()
+    kind = rows.schema["doc"].dataType.simpleString()
+    features = rows.mapInArrow(
+        _feature_rows, f"doc {kind}, label float, slots binary, values binary, stats binary"
+    )
+    found = features.repartition(1).mapInArrow(_fit_task, "model binary").collect()
     return bytes(found[0]["model"]) if found else None
 
 
