@@ -120,6 +120,36 @@ def test_layers_end():
     assert base == [(0, 0, 17)] and not whole
 
 
+def test_layers_of_a_text_above_the_budget_are_followed():
+    b64 = base64.b64encode(INNER.encode()).decode()
+    text = f"{'plain words ' * 2000} {b64.replace('=', '%3D')} pass\\u0077ord%3Dabcdef12 é%C3%A9 token%3Dabcdef3"
+    base, spans, whole = scan(text, budget=1000)
+    assert base == [] and whole
+    assert {text[s:e] for s, _, e in spans} >= {"pass\\u0077ord%3Dabcdef12", "token%3Dabcdef3"}
+    assert len(spans) == 3 and spans == scan(text)[1]
+
+
+@pytest.mark.parametrize("pack", [zlib.compress, gzip.compress, bz2.compress, lzma.compress])
+def test_compressed_layers_above_the_budget_are_read_to_their_end(pack):
+    rng = random.Random(2)
+    filler = " ".join(f"wörd{rng.randrange(10**6)}" for _ in range(20_000))
+    inner = base64.b64encode(b"AKIA" + b"ABCDEFGHIJKLMNOP0123").decode()
+    token = base64.b64encode(pack(f"token=abcdef1 {filler} {inner} {filler} {'0123456789abcdef' * 2}".encode())).decode()
+    for budget in (5000, 5001, 40_000):
+        base, spans, whole = scan(f"x {token} y", budget=budget)
+        assert not whole and {k for _, k, _ in set(spans) - set(base)} == {0, 1, 2}
+        assert {(s, e) for s, _, e in set(spans) - set(base)} == {(2, 2 + len(token))}
+    assert scan(f"x {token} y")[2]
+
+
+def test_bombs_end():
+    bomb = b"token=abcdef1 " + b" " * 30_000_000
+    for _ in range(3):
+        bomb = bz2.compress(bomb)
+    nested = base64.b64encode(bomb).decode()
+    assert not scan(f"secret = abcdef99 {nested}", budget=10_000)[2]
+
+
 def test_secrets_of_awkward_rows(spark):
     rows = [(1, None), (2, ""), (3, "token=abcdef " * 20_000), (4, "x"), (4, "x"), (None, "token=abcdef")]
     docs = with_clashing_columns(documents(spark, rows), ["base", "spans", "whole"])

@@ -5,11 +5,13 @@ from __future__ import annotations
 import base64
 import binascii
 import bz2
+import codecs
 import hashlib
 import lzma
 import re
 import zlib
-from collections import deque
+from array import array
+from bisect import bisect_right
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from itertools import chain
@@ -31,8 +33,13 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
 MIN_ASSIGNED, MIN_ACCESS = 6, 20
 
-# What all layers of one text may hold together, in bytes.
+# What is held of a compressed layer at a time, in bytes; a larger one is read in windows.
 LAYER_BUDGET = 16 * 1024 * 1024
+# Bytes of layers for each byte of a text, beyond which only bombs go: deflate's greatest ratio.
+LAYER_RATIO = 1032
+# What a decompressor gives at a time, and how often data may have been compressed.
+PIECE_BYTES = 1 << 16
+PACKED_LEVELS = 64
 _PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _ESCAPES = re.compile(
     r"(?:\\u[dD][89abAB][0-9A-Fa-f]{2}\\u[dD][c-fC-F][0-9A-Fa-f]{2})|\\u[0-9A-Fa-f]{4}"
@@ -43,18 +50,40 @@ _ESCAPES = re.compile(
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 
 
+@dataclass
+class Source:
+    """The range of the layer before that a range of characters comes from, layer by layer."""
+
+    back: Callable[[int, int], tuple[int, int]]
+    before: Source | None
+
+
 @dataclass
 class Layer:
-    """A text, and where each of its characters comes from in the first text."""
+    """A text, and where its characters, and all of it, come from in the first text."""
 
     text: str
-    starts: np.ndarray | None = None
-    ends: np.ndarray | None = None
+    source: Source | None
+    whole: tuple[int, int]
 
     def origin(self, start: int, end: int) -> tuple[int, int]:
-        if self.starts is None:
-            return start, end
-        return int(self.starts[start:end].min()), int(self.ends[start:end].max())
+        source = self.source
+        while source is not None:
+            start, end = source.back(start, end)
+            source = source.before
+        return start, end
+
+
+@dataclass
+class Packed:
+    """Compressed data, and the characters of the first text that it was decoded from."""
+
+    data: bytes
+    whole: tuple[int, int]
+
+
+class _TooMuch(Exception):
+    """A text's layers hold more than any but bombs do."""
 
 
 def find(text: str) -> Iterator[tuple[int, int, int]]:
@@ -71,26 +100,36 @@ def find(text: str) -> Iterator[tuple[int, int, int]]:
         yield 2, m.start(), m.end()
 
 
-def _spliced(layer: Layer, parts: list[tuple[int, int, str, list[int] | None]]) -> Layer | None:
-    """``layer`` with each ``[start, end)`` replaced; ``offsets`` bound the characters' sources."""
+def _spliced(layer: Layer, parts: list[tuple[int, int, str, int]]) -> Layer | None:
+    """``layer`` with each ``[start, end)`` replaced by a text.
+
+    Each character of it comes from the next ``width`` characters, or from all where that is 0.
+    """
     if not parts:
         return None
-    texts, starts, ends, at = [], [], [], 0
-    for start, end, text, offsets in [*parts, (len(layer.text), len(layer.text), "", None)]:
-        texts += [layer.text[at:start], text]
-        plain = np.arange(at, start)
-        if offsets is None:
-            starts += [plain, np.full(len(text), start)]
-            ends += [plain + 1, np.full(len(text), end)]
-        else:
-            bounds = start + np.array(offsets)
-            starts += [plain, bounds[:-1]]
-            ends += [plain + 1, bounds[1:]]
-        at = end
-    first, last = np.concatenate(starts), np.concatenate(ends)
-    if layer.starts is not None:
-        first, last = layer.starts[first], layer.ends[last - 1]
-    return Layer("".join(texts), first, last)
+    texts, done = [], 0
+    at, low, high, widths = (array("q") for _ in range(4))
+
+    def piece(text: str, start: int, end: int, width: int) -> None:
+        if text:
+            at.append(at[-1] + len(texts[-1]) if texts else 0)
+            low.append(start)
+            high.append(end)
+            widths.append(width)
+            texts.append(text)
+
+    for start, end, text, width in parts:
+        piece(layer.text[done:start], done, start, 1)
+        piece(text, start, end, width)
+        done = end
+    piece(layer.text[done:], done, len(layer.text), 1)
+
+    def back(start: int, end: int) -> tuple[int, int]:
+        i, j = bisect_right(at, start) - 1, bisect_right(at, end - 1) - 1
+        last = low[j] + (end - at[j]) * widths[j] if widths[j] else high[j]
+        return low[i] + (start - at[i]) * widths[i], last
+
+    return Layer("".join(texts), Source(back, layer.source), layer.whole)
 
 
 def _unpercent(layer: Layer) -> Iterator[Layer]:
@@ -103,12 +142,14 @@ def _unpercent(layer: Layer) -> Iterator[Layer]:
             text = data.decode("utf-8")
         except UnicodeDecodeError:
             text = data.decode("latin-1")
-            offsets = list(range(0, 3 * len(data) + 1, 3))
-        else:
-            offsets = [0]
-            for char in text:
-                offsets.append(offsets[-1] + 3 * len(char.encode()))
-        parts.append((m.start(), m.end(), text, offsets))
+        if len(text) == len(data):
+            parts.append((m.start(), m.end(), text, 3))
+            continue
+        start = m.start()
+        for char in text:
+            end = start + 3 * len(char.encode())
+            parts.append((start, end, char, 0))
+            start = end
     if found := _spliced(layer, parts):
         yield found
 
@@ -129,40 +170,91 @@ def _unescape(layer: Layer) -> Iterator[Layer]:
         else:
             value = int(code[2:].strip("{}"), 16)
         if value < 0x110000 and not 0xD800 <= value < 0xE000:
-            parts.append((m.start(), m.end(), chr(value), None))
+            parts.append((m.start(), m.end(), chr(value), 0))
     if found := _spliced(layer, parts):
         yield found
 
 
-def _inflate(data: bytes, most: int) -> tuple[bytes, bool]:
-    """``data`` uncompressed by its magic number, up to ``most`` bytes; whether it was packed."""
+def _opener(data: bytes) -> Callable | None:
+    """What opens compressed data, by its magic number."""
     if data[:2] == b"\x1f\x8b":
-        opener = zlib.decompressobj(31)
-    elif data[:1] == b"\x78" and len(data) > 1 and (data[0] << 8 | data[1]) % 31 == 0:
-        opener = zlib.decompressobj()
-    elif data[:3] == b"BZh":
-        opener = bz2.BZ2Decompressor()
-    elif data[:6] == b"\xfd7zXZ\x00":
-        opener = lzma.LZMADecompressor()
-    else:
-        return data, False
+        return lambda: zlib.decompressobj(31)
+    if data[:1] == b"\x78" and len(data) > 1 and (data[0] << 8 | data[1]) % 31 == 0:
+        return zlib.decompressobj
+    if data[:3] == b"BZh":
+        return bz2.BZ2Decompressor
+    if data[:6] == b"\xfd7zXZ\x00":
+        return lzma.LZMADecompressor
+    return None
+
+
+def _inflated(
+    chunks: Iterator[bytes], open_one: Callable, charge: Callable[[int], None]
+) -> Iterator[bytes]:
+    opener = open_one()
+    for chunk in chunks:
+        while not opener.eof:
+            try:
+                data = opener.decompress(chunk, PIECE_BYTES)
+            except (zlib.error, OSError, lzma.LZMAError, ValueError):
+                return
+            if data:
+                charge(len(data))
+                yield data
+            chunk = getattr(opener, "unconsumed_tail", b"")
+            if not chunk and len(data) < PIECE_BYTES:
+                break
+
+
+def _opened(data: bytes, charge: Callable[[int], None]) -> Iterator[bytes]:
+    """``data`` uncompressed, as often as it was compressed, a piece at a time."""
+    chunks: Iterator[bytes] = iter([data])
+    for _ in range(PACKED_LEVELS):
+        head = b""
+        while len(head) < 6 and (more := next(chunks, b"")):
+            head += more
+        chunks = chain([head], chunks)
+        open_one = _opener(head)
+        if open_one is None:
+            return chunks
+        chunks = _inflated(chunks, open_one, charge)
+    raise _TooMuch
+
+
+def _windows(packed: Packed, size: int, charge: Callable[[int], None]) -> Iterator[Layer | None]:
+    """What ``packed`` opens to, in windows that overlap by half; None if there are several."""
+
+    def layer(data: bytes, first: bool, last: bool) -> Iterator[Layer]:
+        text = _readable(data, first, last)
+        if text is not None:
+            yield Layer(text, Source(lambda start, end: packed.whole, None), packed.whole)
+
+    held, first = bytearray(), True
+    for chunk in _opened(packed.data, charge):
+        held += chunk
+        while len(held) > size:
+            if first:
+                yield None
+            yield from layer(bytes(held[:size]), first, False)
+            del held[: max(1, size // 2)]
+            first = False
+    yield from layer(bytes(held), first, True)
+
+
+def _readable(data: bytes, first: bool = True, last: bool = True) -> str | None:
+    """``data`` as text, unless it is no text; a window may begin or end within a character."""
+    if not first:
+        skip = next((n for n in range(min(4, len(data))) if data[n] & 0xC0 != 0x80), 0)
+        data = data[skip:]
     try:
-        return opener.decompress(data, most), True
-    except (zlib.error, OSError, lzma.LZMAError, ValueError):
-        return b"", True
-
-
-def _readable(data: bytes) -> str | None:
-    try:
-        text = data.decode("utf-8")
+        text = codecs.getincrementaldecoder("utf-8")().decode(data, last)
     except UnicodeDecodeError:
         return None
     odd = sum(not (c.isprintable() or c in "\t\r\n") for c in text)
     return text if text and odd * 20 <= len(text) else None
 
 
-def _unbase64(layer: Layer, room: Callable[[], int]) -> Iterator[Layer | None]:
-    """Layers of the base64 runs; None for one that unpacks to more than there is room for."""
+def _unbase64(layer: Layer) -> Iterator[Layer | Packed]:
     for m in _BASE64.finditer(layer.text):
         token = m.group().rstrip("=")
         if len(token) % 4 == 1:
@@ -173,27 +265,25 @@ def _unbase64(layer: Layer, room: Callable[[], int]) -> Iterator[Layer | None]:
             )
         except binascii.Error:
             continue
-        most, packed, again = room(), False, True
-        while again and len(data) <= most:  # it may have been compressed more than once
-            data, again = _inflate(data, most + 1)
-            packed = packed or again
-        if len(data) > most:
-            yield None
-            continue
-        text = _readable(data)
-        if text is None:
-            continue
-        if packed:
-            starts = np.full(len(text), m.start())
-            ends = np.full(len(text), m.end())
-        else:
-            sizes = np.fromiter((len(c.encode()) for c in text), np.int64, len(text))
-            ends = np.cumsum(sizes)
-            starts = m.start() + (ends - sizes) * 8 // 6
-            ends = np.minimum(m.start() + -(-ends * 8 // 6), m.end())
-        if layer.starts is not None:
-            starts, ends = layer.starts[starts], layer.ends[ends - 1]
-        yield Layer(text, starts, ends)
+        whole = layer.origin(m.start(), m.end())
+        if _opener(data) is not None:
+            yield Packed(data, whole)
+        elif (text := _readable(data)) is not None:
+            yield Layer(text, Source(_base64_back(text, m.start(), m.end()), layer.source), whole)
+
+
+def _base64_back(text: str, first: int, last: int) -> Callable[[int, int], tuple[int, int]]:
+    """The base64 characters in ``[first, last)`` that characters of the decoded text come from."""
+    sizes = None
+    if not text.isascii():
+        sizes = np.cumsum([0, *(len(c.encode()) for c in text)])
+
+    def back(start: int, end: int) -> tuple[int, int]:
+        if sizes is not None:
+            start, end = int(sizes[start]), int(sizes[end])
+        return first + start * 8 // 6, min(first - (-end * 8 // 6), last)
+
+    return back
 
 
 def scan(text: str, budget: int = LAYER_BUDGET) -> tuple[list, list, bool]:
@@ -201,31 +291,53 @@ def scan(text: str, budget: int = LAYER_BUDGET) -> tuple[list, list, bool]:
 
     Layers wait in a list; each is unwrapped in every way, and what comes out waits in turn,
     until nothing new does. A layer equal to an earlier one over the same characters is not
-    taken again, so cycles end. A text whose layers exceed ``budget`` bytes is scanned
-    that far, and ``whole`` is false.
+    taken again, so cycles end. Compressed layers wait as they are and are opened one at a time;
+    one of more than ``budget`` bytes is read to its end in windows of that size. Its secrets are
+    all found, but a layer within it only if it fits half a window, so ``whole`` is false;
+    it is also where layers hold more than ``LAYER_RATIO`` times the text and ``budget``.
     """
     base = sorted((start, kind, end) for kind, start, end in find(text))
-    spans, waiting, seen, left, whole = set(base), deque([Layer(text)]), set(), budget, True
-    while waiting:
-        layer = waiting.popleft()
-        ways = _unpercent(layer), _unescape(layer), _unbase64(layer, lambda: max(0, left))
-        for child in chain(*ways):
-            if child is None:
-                whole = False
-                continue
-            data = child.text.encode("utf-8", "surrogatepass")
-            key = hashlib.sha256(data).digest(), int(child.starts[0]), int(child.ends[-1])
-            if key in seen or child.text == layer.text:
-                continue
-            seen.add(key)
-            if len(data) > left:
-                whole = False
-                continue
-            left -= len(data)
+    spans, seen, whole = set(base), set(), True
+    waiting: list[Layer | Packed | Iterator] = [Layer(text, None, (0, len(text)))]
+    left = budget + LAYER_RATIO * len(text)
+
+    def charge(size: int) -> None:
+        nonlocal left
+        left -= size
+        if left < 0:
+            raise _TooMuch
+
+    def take(child: Layer | Packed) -> None:
+        is_text = isinstance(child, Layer)
+        data = child.text.encode("utf-8", "surrogatepass") if is_text else child.data
+        key = is_text, hashlib.sha256(data).digest(), child.whole
+        if key in seen:
+            return
+        seen.add(key)
+        charge(len(data))
+        if is_text:
             for kind, start, end in find(child.text):
                 first, last = child.origin(start, end)
                 spans.add((first, kind, last))
-            waiting.append(child)
+        waiting.append(child)
+
+    while waiting:
+        layer = waiting.pop()
+        try:
+            if isinstance(layer, Layer):
+                for child in chain(_unpercent(layer), _unescape(layer), _unbase64(layer)):
+                    take(child)
+                continue
+            windows = _windows(layer, budget, charge) if isinstance(layer, Packed) else layer
+            for window in windows:
+                if window is None:
+                    whole = False
+                    continue
+                waiting.append(windows)
+                take(window)
+                break
+        except _TooMuch:
+            return base, sorted(spans), False
     return base, sorted(spans), whole
 
 
@@ -239,7 +351,7 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     ``base`` and ``spans`` list ``kind:start:end`` by start, then kind, then end; offsets count
     code points of the given text, also for a secret in a layer, whose span is that of the
     characters it was decoded from. The counts are those of ``base``. NULL text is empty.
-    ``whole`` is false where layers were too large to follow all. Extra columns are ignored.
+    ``whole`` is false where layers were too large to follow all (see ``scan``). Extra columns are ignored.
     """
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
