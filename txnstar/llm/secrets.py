@@ -48,6 +48,12 @@ _ESCAPES = re.compile(
     r"|[！-～]"
 )
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+# Lines of base64; a line end may be written as an escape, and a line indented or quoted.
+_LINE_END = r"[ \t]*(?:\r?\n|\r|(?:\\r)?\\n)[ \t>]*"
+_WRAPPED = re.compile(
+    rf"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{{16,}}+(?:{_LINE_END}[A-Za-z0-9+/_-]++)++={{0,2}}"
+)
+_LINES = re.compile(rf"({_LINE_END})|[A-Za-z0-9+/_-]+")
 
 
 @dataclass
@@ -82,6 +88,9 @@ class Packed:
     whole: tuple[int, int]
 
 
+_ERRORS = (zlib.error, OSError, lzma.LZMAError, ValueError, EOFError)
+
+
 class _TooMuch(Exception):
     """A text's layers hold more than any but bombs do."""
 
@@ -191,19 +200,41 @@ def _opener(data: bytes) -> Callable | None:
 def _inflated(
     chunks: Iterator[bytes], open_one: Callable, charge: Callable[[int], None]
 ) -> Iterator[bytes]:
+    """All members or streams of compressed data, up to an error.
+
+    An error takes with it what the same call gave. So zlib goes back then and on byte by
+    byte; bz2 and lzma, which cannot go back, are fed so from the start.
+    """
     opener = open_one()
+    slow = not hasattr(opener, "copy")
     for chunk in chunks:
-        while not opener.eof:
-            try:
-                data = opener.decompress(chunk, PIECE_BYTES)
-            except (zlib.error, OSError, lzma.LZMAError, ValueError):
-                return
-            if data:
-                charge(len(data))
-                yield data
-            chunk = getattr(opener, "unconsumed_tail", b"")
-            if not chunk and len(data) < PIECE_BYTES:
-                break
+        while chunk:
+            at, rest = 0, b""
+            while at < len(chunk) and not opener.eof:
+                step = 1 if slow else len(chunk) - at
+                before = None if slow else opener.copy()
+                try:
+                    data = opener.decompress(chunk[at : at + step], PIECE_BYTES)
+                    rest = getattr(opener, "unconsumed_tail", b"")
+                except _ERRORS:
+                    if slow:
+                        return
+                    opener, slow = before, True
+                    continue
+                at += step - len(rest)
+                while data:
+                    charge(len(data))
+                    yield data
+                    full = len(data) == PIECE_BYTES and not rest and not opener.eof
+                    try:
+                        data = opener.decompress(b"", PIECE_BYTES) if full else b""
+                    except _ERRORS:
+                        return
+            chunk = (opener.unused_data if opener.eof else b"") + chunk[at:]
+            if opener.eof:
+                chunk = chunk.lstrip(b"\0")  # padding between streams
+                if chunk:
+                    opener = open_one()
 
 
 def _opened(data: bytes, charge: Callable[[int], None]) -> Iterator[bytes]:
@@ -224,8 +255,8 @@ def _opened(data: bytes, charge: Callable[[int], None]) -> Iterator[bytes]:
 def _windows(packed: Packed, size: int, charge: Callable[[int], None]) -> Iterator[Layer | None]:
     """What ``packed`` opens to, in windows that overlap by half; None if there are several."""
 
-    def layer(data: bytes, first: bool, last: bool) -> Iterator[Layer]:
-        text = _readable(data, first, last)
+    def layer(data: bytes, first: bool) -> Iterator[Layer]:
+        text = _readable(data, first, whole=False)
         if text is not None:
             yield Layer(text, Source(lambda start, end: packed.whole, None), packed.whole)
 
@@ -235,53 +266,95 @@ def _windows(packed: Packed, size: int, charge: Callable[[int], None]) -> Iterat
         while len(held) > size:
             if first:
                 yield None
-            yield from layer(bytes(held[:size]), first, False)
+            yield from layer(bytes(held[:size]), first)
             del held[: max(1, size // 2)]
             first = False
-    yield from layer(bytes(held), first, True)
+    yield from layer(bytes(held), first)  # it may have ended by an error
+
 
+def _readable(data: bytes, first: bool = True, whole: bool = True) -> str | None:
+    """``data`` as text, unless it is no text.
 
-def _readable(data: bytes, first: bool = True, last: bool = True) -> str | None:
-    """``data`` as text, unless it is no text; a window may begin or end within a character."""
+    What is not the first of its layer may begin within a character, and what is not whole
+    may end within one; of such data, what comes before bytes that are no text is text.
+    """
     if not first:
         skip = next((n for n in range(min(4, len(data))) if data[n] & 0xC0 != 0x80), 0)
         data = data[skip:]
     try:
-        text = codecs.getincrementaldecoder("utf-8")().decode(data, last)
-    except UnicodeDecodeError:
-        return None
+        text = codecs.getincrementaldecoder("utf-8")().decode(data, whole)
+    except UnicodeDecodeError as error:
+        if whole:
+            return None
+        text = data[: error.start].decode("utf-8")
     odd = sum(not (c.isprintable() or c in "\t\r\n") for c in text)
     return text if text and odd * 20 <= len(text) else None
 
 
+def _wrapped(text: str) -> Iterator[list[tuple[int, int]]]:
+    """Ranges of lines that may be one base64 text.
+
+    These are all the lines of a block, and each run of lines of one width, with the line
+    before it and a shorter one after it and without, as lines beside it may be other words.
+    A secret of a block that can be read in several ways may have several spans.
+    """
+    for m in _WRAPPED.finditer(text):
+        lines = [x.span() for x in _LINES.finditer(text, m.start(), m.end()) if x[1] is None]
+        widths = [end - start for start, end in lines]
+        wanted, at = {(0, len(lines))}, 0
+        while at < len(lines):
+            end = at + 1
+            while end < len(lines) and widths[end] == widths[at]:
+                end += 1
+            befores = {at, max(0, at - 1)}
+            afters = {end, end + (end < len(lines) and widths[end] < widths[at])}
+            wanted |= {(a, b) for a in befores for b in afters if b - a > 1}
+            at = end
+        for a, b in sorted(wanted):
+            yield lines[a:b]
+
+
 def _unbase64(layer: Layer) -> Iterator[Layer | Packed]:
     for m in _BASE64.finditer(layer.text):
-        token = m.group().rstrip("=")
-        if len(token) % 4 == 1:
-            continue
-        try:
-            data = base64.b64decode(
-                token.replace("-", "+").replace("_", "/") + "=" * (-len(token) % 4), validate=True
-            )
-        except binascii.Error:
-            continue
-        whole = layer.origin(m.start(), m.end())
-        if _opener(data) is not None:
-            yield Packed(data, whole)
-        elif (text := _readable(data)) is not None:
-            yield Layer(text, Source(_base64_back(text, m.start(), m.end()), layer.source), whole)
+        size = len(m.group().rstrip("="))
+        if size % 4 != 1:
+            yield from _decoded(layer, [(m.start(), m.start() + size)], m.end())
+    for lines in _wrapped(layer.text):
+        yield from _decoded(layer, lines, lines[-1][1])
 
 
-def _base64_back(text: str, first: int, last: int) -> Callable[[int, int], tuple[int, int]]:
-    """The base64 characters in ``[first, last)`` that characters of the decoded text come from."""
+def _decoded(layer: Layer, lines: list[tuple[int, int]], end: int) -> Iterator[Layer | Packed]:
+    """What the base64 in ``lines``, ranges of ``layer``, holds."""
+    token = "".join(layer.text[a:b] for a, b in lines).replace("-", "+").replace("_", "/")
+    token = token[: len(token) - (len(token) % 4 == 1)]
+    try:
+        data = base64.b64decode(token + "=" * (-len(token) % 4), validate=True)
+    except binascii.Error:
+        return
+    whole = layer.origin(lines[0][0], end)
+    if _opener(data) is not None:
+        yield Packed(data, whole)
+    elif (text := _readable(data)) is not None:
+        yield Layer(text, Source(_base64_back(text, lines), layer.source), whole)
+
+
+def _base64_back(text: str, lines: list[tuple[int, int]]) -> Callable[[int, int], tuple[int, int]]:
+    """The base64 characters in ``lines`` that characters of the decoded text come from."""
     sizes = None
     if not text.isascii():
         sizes = np.cumsum([0, *(len(c.encode()) for c in text)])
+    at = array("q", [0])
+    for start, end in lines:
+        at.append(at[-1] + end - start)
+
+    def place(char: int) -> int:
+        line = bisect_right(at, char) - 1
+        return lines[line][0] + char - at[line]
 
     def back(start: int, end: int) -> tuple[int, int]:
         if sizes is not None:
             start, end = int(sizes[start]), int(sizes[end])
-        return first + start * 8 // 6, min(first - (-end * 8 // 6), last)
+        return place(start * 8 // 6), place(min(-(-end * 8 // 6), at[-1]) - 1) + 1
 
     return back
 
