@@ -16,6 +16,7 @@ from tests.llm.helpers import (
     shingles,
     with_clashing_columns,
 )
+from txnstar.llm import neardup
 from txnstar.llm.components import components, merge_components
 from txnstar.llm.cuckoo import (
     CuckooIndex,
@@ -258,3 +259,46 @@ def test_rows_repeat_the_same_result_under_other_partitions(spark, conf):
     conf("spark.sql.adaptive.enabled", "false")
     again = near_duplicates(docs.repartition(5, F.rand(1)))
     assert rows_of(again, "doc_id", "component_id") == first
+
+
+def _of_repeated_ids(rows):
+    """Classes of equal sets, named by the least id; links of classes join the ids that name them."""
+    sets = [(i, frozenset(shingles(t, 4))) for i, t in rows]
+    name = {}
+    for i, s in sorted((x for x in sets if x[0] is not None), key=lambda x: x[0]):
+        name.setdefault(s, i)
+    label = {i: i for i in name.values()}
+    classes = [(s, i) for s, i in name.items() if s]
+    changed = True
+    while changed:
+        changed = False
+        for x, i in classes:
+            for y, j in classes:
+                if label[i] < label[j] and 100 * len(x & y) >= 80 * len(x | y):
+                    label[j], changed = label[i], True
+    return {(i, bool(s), label[name[s]] if s else i) for i, s in sets}
+
+
+def test_an_id_that_repeats_is_verified_with_one_row_of_each_class(spark, monkeypatch):
+    near = near_copies(6, 2, 10, 60)
+    rows = [*near, *[(0, near[0][1])] * 900, *[(0, near[0][1].upper())] * 300]
+    rows += [(n, t) for n, t in near_copies(7, 1, 30, 60) for n in [500]]
+    rows += [(7, f"other text {n % 9} of the same id") for n in range(90)] + [(7, None), (None, near[0][1])]
+    groups = []
+    held = neardup._one_text_each
+
+    def texts_of(*args):
+        found = held(*args)
+        members = args[2].select("set").distinct().count()
+        groups.append((found.count(), found.select("set").distinct().count(), members))
+        return found
+
+    monkeypatch.setattr(neardup, "_one_text_each", texts_of)
+    docs = documents(spark, rows).repartition(5)
+    expected = _of_repeated_ids(rows)
+    for options in ({}, {"block_members": 4}):
+        found = near_duplicates(docs, **options).collect()
+        count, classes, members = groups.pop()
+        assert count == classes == members and 20 < members < 100
+        assert len(found) == len(rows)
+        assert {(r.doc_id, r.n_shingles > 0, r.component_id) for r in found} == expected

@@ -116,6 +116,53 @@ def _verify(k: int, percent: int, within: bool) -> callable:
     return links
 
 
+def _with_sets(k: int) -> callable:
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        for batch in batches:
+            texts = batch.column("text").to_pylist()
+            sets = [shingle_set(hashes.of(lower_words(t)), k) for t in texts]
+            digests = [xxhash.xxh3_128_digest(s.tobytes()) for s in sets]
+            yield pa.record_batch(
+                {
+                    "doc": batch.column("doc"),
+                    "set": pa.array(digests, pa.binary()),
+                    "text": batch.column("text"),
+                }
+            )
+
+    return rows
+
+
+def _one_text_each(texts: DataFrame, sig: DataFrame, members: DataFrame, k: int) -> DataFrame:
+    """``(set, text)``, one row for each class of ``members``, however often ids repeat.
+
+    An id of one row has the text of its class. Texts of other ids are told apart by their
+    sets, and each task keeps one of a set before they are shuffled.
+    """
+    repeated = sig.filter("doc IS NOT NULL").groupBy("doc").agg(F.count("*").alias("_rows"))
+    repeated = repeated.filter("_rows > 1").select(F.col("doc").alias("_doc"))
+    repeated = sized(materialise(repeated, "repeated"), 16)
+    classes = members.select("node", "set").distinct()
+    classes = classes.join(repeated, F.col("node") == F.col("_doc"), "left")
+    again = F.col("_doc").isNotNull().alias("again")
+    wanted = sized(materialise(classes.select("node", "set", again), "wanted"), 48)
+    once = texts.join(wanted.filter("NOT again"), F.col("doc") == F.col("node"))
+    once = once.select("set", "text")
+    if repeated.isEmpty():
+        return once
+    several = wanted.filter("again").select("node", F.col("set").alias("_set"))
+    ids = several.select("node").distinct()
+    several = (
+        texts.join(ids, F.col("doc") == F.col("node"), "left_semi")
+        .mapInArrow(_with_sets(k), "doc bigint, set binary, text string")
+        .join(several, (F.col("doc") == F.col("node")) & (F.col("set") == F.col("_set")))
+        .groupBy("set")
+        .agg(F.first("text").alias("text"))
+    )
+    return once.union(materialise(several, "several"))
+
+
 def _links(
     members: DataFrame,
     needed: DataFrame,
@@ -124,9 +171,10 @@ def _links(
     block_shingles: int,
     block_members: int,
 ) -> DataFrame:
-    """``(node, component)`` of all members of groups ``(hub, node, n)`` by verified links.
+    """``(node, component)`` of all members of groups ``(hub, set, node, n)`` by verified links.
 
-    First every block of a group, with the hub in each, is verified within. Members that this
+    A member is a class, ``hub`` the set of the first in its group; ``needed`` has one text of
+    each, so what a task gets is what its blocks are sized by. First every block of a group, with the hub in each, is verified within. Members that this
     links to the hub are linked with each other. So only the others of a group of several blocks
     are then compared with all of its members, block by block: copies that are all like the hub
     take time in proportion to their number.
@@ -135,13 +183,13 @@ def _links(
         F.ceil(F.sum("n") / block_shingles), F.ceil(F.count("*") / block_members)
     ).cast("int")
     groups = members.groupBy("hub").agg(size.alias("blocks"), F.count("*").alias("m"))
-    groups = sized(materialise(groups.filter("m > 1").select("hub", "blocks"), "groups"), 24)
-    block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    every = F.when(F.col("node") == F.col("hub"), F.sequence(F.lit(0), F.col("blocks") - 1))
+    groups = sized(materialise(groups.filter("m > 1").select("hub", "blocks"), "groups"), 32)
+    block = F.pmod(F.xxhash64("set"), F.col("blocks")).cast("int")
+    every = F.when(F.col("set") == F.col("hub"), F.sequence(F.lit(0), F.col("blocks") - 1))
     placed = members.join(groups, "hub").select(
-        "hub", "node", "n", "blocks", F.explode(F.coalesce(every, F.array(block))).alias("i")
+        "hub", "set", "node", "n", "blocks", F.explode(F.coalesce(every, F.array(block))).alias("i")
     )
-    first = placed.join(needed, F.col("node") == F.col("doc"))
+    first = placed.join(needed, "set")
     first = first.select("hub", "i", "node", "text", F.lit(0).alias("side"))
     edges = first.groupBy("hub", "i").applyInArrow(_verify(k, percent, True), "a bigint, b bigint")
     labels = components(materialise(edges, "edges"))
@@ -150,26 +198,26 @@ def _links(
     named = labels.withColumnRenamed("node", "_node")
     large = large.join(named, F.col("node") == F.col("_node"), "left")
     component = F.coalesce("component", "node").alias("component")
-    large = materialise(large.select("hub", "node", "n", "i", component), "large")
+    large = materialise(large.select("hub", "set", "node", "n", "i", component), "large")
     if large.isEmpty():
         return labels
-    at_hub = large.filter("node = hub").select("hub", F.col("component").alias("of_hub")).distinct()
-    at_hub = sized(materialise(at_hub, "at_hub"), 24)
+    at_hub = large.filter("set = hub").select("hub", F.col("component").alias("of_hub")).distinct()
+    at_hub = sized(materialise(at_hub, "at_hub"), 32)
     apart = large.join(at_hub, "hub").filter("component <> of_hub")
-    apart = materialise(apart.select("hub", "node", "n").distinct(), "apart")
+    apart = materialise(apart.select("hub", "set", "node", "n").distinct(), "apart")
     parts = materialise(apart.groupBy("hub").agg(size.alias("parts")), "parts")
     blocks = large.groupBy("hub").agg((F.max("i") + 1).alias("blocks"))
-    shape = sized(materialise(parts.join(blocks, "hub"), "shape"), 24)
-    part = F.pmod(F.xxhash64("node", F.lit(1)), F.col("parts")).cast("int")
+    shape = sized(materialise(parts.join(blocks, "hub"), "shape"), 32)
+    part = F.pmod(F.xxhash64("set", F.lit(1)), F.col("parts")).cast("int")
     every_part = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("j")
     every_block = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("i")
     left = large.join(shape, "hub").select(
-        "hub", "node", "i", every_part, F.lit(0).alias("side")
+        "hub", "set", "node", "i", every_part, F.lit(0).alias("side")
     )
     right = apart.join(shape, "hub").select(
-        "hub", "node", every_block, part.alias("j"), F.lit(1).alias("side")
+        "hub", "set", "node", every_block, part.alias("j"), F.lit(1).alias("side")
     )
-    second = left.union(right).join(needed, F.col("node") == F.col("doc"))
+    second = left.union(right).join(needed, "set")
     second = second.select("hub", "i", "j", "node", "text", "side")
     across = _verify(k, percent, False)
     more = second.groupBy("hub", "i", "j").applyInArrow(across, "a bigint, b bigint")
@@ -204,7 +252,7 @@ def near_duplicates(
 
     NULL or blank text has the empty set and links with nothing. A row without an id takes
     the component of its class, if that has an id, and otherwise none; it is kept only in
-    the latter case. Rows that repeat an id are one document. Extra columns are ignored.
+    the latter case. Rows that repeat an id are one document, and equal sets of it are verified once. Extra columns are ignored.
     """
     texts = only(docs, doc=id_col, text=text_col).withColumn("doc", F.col("doc").cast("bigint"))
     sig = materialise(
@@ -217,19 +265,18 @@ def near_duplicates(
         .agg(F.min("doc").alias("node"), F.first("n").alias("n"), F.first("keys").alias("keys")),
         "classes",
     )
-    entries = classes.select("node", "n", F.explode("keys").alias("key"))
+    entries = classes.select("node", "set", "n", F.explode("keys").alias("key"))
     hubs = materialise(
         entries.groupBy("key")
-        .agg(F.min("node").alias("hub"), F.count("*").alias("_size"))
+        .agg(F.min(F.struct("node", "set")).alias("least"), F.count("*").alias("_size"))
         .filter("_size > 1")
-        .select("key", "hub"),
+        .select("key", F.col("least.set").alias("hub")),
         "hubs",
     )
     members = materialise(
-        entries.join(hubs, "key").select("hub", "node", "n").distinct(), "members"
+        entries.join(hubs, "key").select("hub", "set", "node", "n").distinct(), "members"
     )
-    wanted = sized(materialise(members.select("node").distinct(), "wanted"), 16)
-    needed = texts.join(wanted, texts["doc"] == wanted["node"], "left_semi")
+    needed = _one_text_each(texts, sig, members, k)
     labels = _links(members, needed, k, percent, block_shingles, block_members)
     named = classes.select("set", "node").join(labels, "node", "left")
     named = materialise(
