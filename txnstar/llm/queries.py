@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from txnstar.llm import html_trees, mixing, neardup, quality_fm, url_rules, warc
+from txnstar.llm import html_trees, merkle, mixing, neardup, quality_fm, url_rules, warc
 from txnstar.llm.bpe import round_trip
 from txnstar.llm.cuckoo import exact_duplicates
 from txnstar.llm.fingerprint import edit_report
@@ -72,6 +72,10 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(_table(spark, sf_dir, "documents"), *bpe_files())
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.tamper_report(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_secrets": op2_secrets,
@@ -83,6 +87,7 @@ QUERIES: dict[str, Query] = {
     "op8_exact_duplicates": op8_exact_duplicates,
     "op9_html_extraction": op9_html_extraction,
     "op10_byte_bpe": op10_byte_bpe,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 ORACLES: dict[str, str] = {
@@ -97,4 +102,5 @@ ORACLES: dict[str, str] = {
         SELECT doc_id, keep_id, group_size,
                doc_id IS NOT DISTINCT FROM keep_id AS kept, text_sha256
         FROM t JOIN g USING (text_sha256)""",
+    "op13_merkle_manifest": merkle.ORACLE,
 }
