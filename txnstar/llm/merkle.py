@@ -12,6 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -240,7 +241,7 @@ def _fold_report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = np.ascontiguousarray(ways[:, 8:])
         if len(entries):
             children = entries.field("children")
-            child_sizes = np.asarray(pa.compute.binary_length(children)) // STATE_BYTES
+            child_sizes = np.asarray(pc.binary_length(children)) // STATE_BYTES
             child_first = _starts(child_sizes)
             child_pool = np.frombuffer(b"".join(children.to_pylist()), np.uint8)
             child_pool = child_pool.reshape(-1, STATE_BYTES)

@@ -6,7 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from txnstar.llm import html_trees, merkle, mixing, neardup, quality_fm, url_rules, warc
+from txnstar.llm import (
+    collocation,
+    html_trees,
+    langid,
+    merkle,
+    mixing,
+    neardup,
+    quality_fm,
+    url_rules,
+    warc,
+)
 from txnstar.llm.bpe import round_trip
 from txnstar.llm.cuckoo import exact_duplicates
 from txnstar.llm.fingerprint import edit_report
@@ -72,6 +82,15 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(_table(spark, sf_dir, "documents"), *bpe_files())
 
 
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return langid.identify(docs, langid.learn(docs))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocation.collocations(_table(spark, sf_dir, "documents"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.tamper_report(_table(spark, sf_dir, "documents"))
 
@@ -87,6 +106,8 @@ QUERIES: dict[str, Query] = {
     "op8_exact_duplicates": op8_exact_duplicates,
     "op9_html_extraction": op9_html_extraction,
     "op10_byte_bpe": op10_byte_bpe,
+    "op11_language_id": op11_language_id,
+    "op12_collocations": op12_collocations,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 
@@ -102,5 +123,6 @@ ORACLES: dict[str, str] = {
         SELECT doc_id, keep_id, group_size,
                doc_id IS NOT DISTINCT FROM keep_id AS kept, text_sha256
         FROM t JOIN g USING (text_sha256)""",
+    "op12_collocations": collocation.ORACLE,
     "op13_merkle_manifest": merkle.ORACLE,
 }
