@@ -8,16 +8,16 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txnstar.llm.fm_index import FmIndex
-from txnstar.llm.frames import only, sized
+from txnstar.llm.frames import first_rows, only, sized
 from txnstar.llm.words import mix64, seeds64, to_bytes
 from txnstar.sources.workdir import materialise
 
-SHARD_WORDS = 1_500_000
-HELD_WORDS = 3_000_000
+SHARD_WORDS = 1_000_000
+HELD_WORDS = 2_000_000
 MAX_WORDS = 3
 LEAST_COUNT = 10
 CONTAINED_PERCENT = 50
@@ -291,8 +291,7 @@ def collocations(
         F.coalesce(100 * F.col("most") < contained_percent * F.col("a"), F.lit(True))
     )
     order = [F.col("least.score").desc(), F.col("a").desc(), F.col("phrase").asc()]
-    place = F.row_number().over(Window.partitionBy("lang").orderBy(*order))
-    kept = kept.withColumn("rank", place.cast("bigint")).filter(F.col("rank") <= top)
+    kept = first_rows(kept, "lang", F.col("phrase"), order, top, "rank")
     totals = counts.filter("words = 0").select("lang", F.col("count").alias("n"))
     totals = sized(materialise(totals, "totals"), 64)
     return kept.join(totals, "lang").select(

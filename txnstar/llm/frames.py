@@ -5,11 +5,13 @@ from __future__ import annotations
 import os
 
 import txnstar
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # A side of a join is broadcast when its rows, counted, take at most so many bytes.
 BROADCAST_BYTES = 64 * 1024 * 1024
+# Parts in which a group's rows are ranked before the group is.
+PARTS = 64
 BATCH_LIMITS = {
     "spark.sql.execution.arrow.maxRecordsPerBatch": 1000,
     "spark.sql.execution.arrow.maxBytesPerBatch": 4 * 1024 * 1024,
@@ -49,3 +51,20 @@ def sized(df: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES) -> DataFr
 def packed(df: DataFrame, **beside: Column) -> DataFrame:
     """Whole rows in one column ``row``, so that columns beside it clash with none of theirs."""
     return df.select(F.struct("*").alias("row"), *[c.alias(name) for name, c in beside.items()])
+
+
+def first_rows(
+    df: DataFrame, group: str, spread: Column, order: list[Column], most: int, name: str
+) -> DataFrame:
+    """The ``most`` first rows of each group by ``order``, numbered from 1 in ``name``.
+
+    Rows are first ranked in ``PARTS`` parts of their group, by the hash of ``spread``, so the one
+    task that ranks a group gets ``PARTS * most`` rows at most, however large the group is and
+    however many tasks send to it.
+    """
+    part = F.pmod(F.xxhash64(spread), F.lit(PARTS)).alias("_part")
+    rows = df.select("*", part)
+    within = F.row_number().over(Window.partitionBy(group, "_part").orderBy(*order))
+    rows = rows.withColumn(name, within).filter(F.col(name) <= most).drop("_part")
+    among = F.row_number().over(Window.partitionBy(group).orderBy(*order))
+    return rows.withColumn(name, among.cast("bigint")).filter(F.col(name) <= most)

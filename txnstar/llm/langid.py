@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from txnstar.llm.frames import sized
+from txnstar.llm.frames import first_rows, sized
 from txnstar.llm.words import mix64
 from txnstar.sources.workdir import materialise
 
@@ -180,9 +180,9 @@ def learn(
     )
     rows = rows.filter("doc IS NOT NULL AND lang IS NOT NULL AND text IS NOT NULL")
     rows = rows.filter(~held_out(F.col("doc")))
-    by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("doc"), "doc")
+    by_hash = [F.xxhash64("doc"), F.col("doc")]
     chosen = rows.select("doc", "lang").distinct()
-    chosen = chosen.withColumn("_at", F.row_number().over(by_hash)).filter(F.col("_at") <= sample)
+    chosen = first_rows(chosen, "lang", F.reverse("doc"), by_hash, sample, "_at")
     chosen = sized(materialise(chosen.select("doc", "lang"), "learn"), 64)
     texts = rows.join(chosen, ["doc", "lang"]).groupBy("doc", "lang").agg(F.min("text").alias("text"))
     counted = texts.select("lang", "text").mapInArrow(
