@@ -261,22 +261,21 @@ def test_rows_repeat_the_same_result_under_other_partitions(spark, conf):
     assert rows_of(again, "doc_id", "component_id") == first
 
 
-def _of_repeated_ids(rows):
-    """Classes of equal sets, named by the least id; links of classes join the ids that name them."""
-    sets = [(i, frozenset(shingles(t, 4))) for i, t in rows]
-    name = {}
-    for i, s in sorted((x for x in sets if x[0] is not None), key=lambda x: x[0]):
-        name.setdefault(s, i)
-    label = {i: i for i in name.values()}
-    classes = [(s, i) for s, i in name.items() if s]
-    changed = True
+def _of_repeated_ids(rows, k=4):
+    """Classes of equal sets and their links; a component is named by the least id in it."""
+    sets = [(i, frozenset(shingles(t, k))) for i, t in rows]
+    label = {}
+    for i, s in sets:
+        if i is not None and s:
+            label[s] = min(i, label.get(s, i))
+    classes, changed = list(label), True
     while changed:
         changed = False
-        for x, i in classes:
-            for y, j in classes:
-                if label[i] < label[j] and 100 * len(x & y) >= 80 * len(x | y):
-                    label[j], changed = label[i], True
-    return {(i, bool(s), label[name[s]] if s else i) for i, s in sets}
+        for x in classes:
+            for y in classes:
+                if label[x] < label[y] and 100 * len(x & y) >= 80 * len(x | y):
+                    label[y], changed = label[x], True
+    return {(i, bool(s), label.get(s) if s else i) for i, s in sets}
 
 
 def test_an_id_that_repeats_is_verified_with_one_row_of_each_class(spark, monkeypatch):
@@ -302,3 +301,106 @@ def test_an_id_that_repeats_is_verified_with_one_row_of_each_class(spark, monkey
         assert count == classes == members and 20 < members < 100
         assert len(found) == len(rows)
         assert {(r.doc_id, r.n_shingles > 0, r.component_id) for r in found} == expected
+
+
+def test_a_text_of_a_repeated_id_is_not_lost(spark):
+    a, b = "some words that make one text of its own", "another text with quite other words in it"
+    docs = documents(spark, [(2, b), (5, a), (5, b)])
+    assert rows_of(keep_one_of_each(docs), "doc_id", "text") == [(2, b), (5, a)]
+    long_a, long_b = (" ".join(f"{w}{n}" for n in range(9) for w in t.split()) for t in (a, b))
+    rows = [(2, long_b + " end"), (5, long_a), (5, long_b), (7, long_a + " x"), (9, None), (9, long_b), (9, "")]
+    kept = rows_of(keep_one_of_each(documents(spark, rows)), "doc_id", "text")
+    assert kept == sorted([rows[0], rows[1], rows[4], rows[6]], key=repr)
+
+
+@pytest.mark.parametrize("options", [{}, {"block_members": 3}])
+def test_repeated_ids_keep_one_text_of_each_component(spark, options):
+    rng = random.Random(11)
+    rows = [(rng.randrange(12), t) for _, t in near_copies(12, 5, 16, 60)]
+    rows += [(None, rows[0][1]), (3, None), (3, ""), (4, None)]
+    label = {}
+    for i, t in rows:
+        s = frozenset(shingles(t, 5))
+        if i is not None and s:
+            label[s] = min(i, label.get(s, i))
+    changed = True
+    while changed:
+        changed = False
+        for x in label:
+            for y in label:
+                if label[x] < label[y] and 100 * len(x & y) >= 80 * len(x | y):
+                    label[y], changed = label[x], True
+    expected = [
+        (i, t) for i, t in rows if i is None or label.get(frozenset(shingles(t, 5)), i) == i
+    ]
+    docs = with_clashing_columns(documents(spark, rows), ["_text", "_set", "row", "_gone"])
+    kept = keep_one_of_each(docs, k=5, **options)
+    assert kept.columns == docs.columns
+    assert rows_of(kept, "doc_id", "text") == sorted(expected, key=repr)
+
+
+def _templates(size, seed=1):
+    """Texts of 60 words that share 45: in one bucket with one another, and not linked."""
+    rng = random.Random(seed)
+    passage = [f"p{n}" for n in range(45)]
+    return [(n, " ".join(passage + [f"u{rng.randrange(10**9)}" for _ in range(15)])) for n in range(size)]
+
+
+def _rows_made(spark, monkeypatch, rows, **options):
+    """Rows of everything written on the way, and the result."""
+    made = []
+    write = neardup.materialise
+
+    def counted(df, name):
+        out = write(df, name)
+        made.append((name, out.count()))
+        return out
+
+    monkeypatch.setattr(neardup, "materialise", counted)
+    found = near_duplicates(documents(spark, rows).repartition(4), k=5, **options).collect()
+    monkeypatch.setattr(neardup, "materialise", write)
+    return made, {r.doc_id: r.component_id for r in found}
+
+
+def test_templates_take_rows_in_proportion(spark, monkeypatch):
+    totals = []
+    for size in (500, 1000, 2000):
+        # Blocks so small that the groups of every size have several.
+        made, found = _rows_made(spark, monkeypatch, _templates(size), block_members=100)
+        assert found == {n: n for n in range(size)}
+        assert any(name == "prefixes" for name, _ in made)
+        totals.append(sum(n for _, n in made))
+    assert totals[1] <= 2.3 * totals[0] and totals[2] <= 2.3 * totals[1]
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_large_groups_with_templates_copies_and_chains_equal_all_pairs(spark, seed):
+    rng = random.Random(seed)
+    rows = _templates(60, seed)
+    for n, (_, text) in enumerate(rows[:12]):  # near copies of some, in chains
+        words = text.split()
+        for step in range(rng.randrange(1, 5)):
+            words = list(words)
+            words[rng.randrange(len(words))] = f"c{n}x{step}"
+            rows.append((1000 + 10 * n + step, " ".join(words)))
+    hot = [f"h{n}" for n in range(60)]
+    for n in range(60):  # copies at every distance from a text that is not among them
+        words = list(hot)
+        for at in rng.sample(range(60), rng.choice([1, 2, 2, 3, 3, 4])):
+            words[at] = f"e{n}x{at}"
+        rows.append((2000 + n, " ".join(words[: rng.choice([60, 60, 55, 50])])))
+    rows = [(i if rng.random() < 0.5 else 5000 - i, t) for i, t in rows]
+    docs = documents(spark, rows).repartition(3)
+    for options in ({"block_members": 5}, {"block_shingles": 900}):
+        found = near_duplicates(docs, k=5, **options).collect()
+        assert {r.doc_id: r.component_id for r in found} == brute_components(rows, 5, 80)
+
+
+def test_class_keys_order_and_return_ids(spark):
+    ids = [-(1 << 63), -5, -1, 0, 1, 7, 1 << 40, (1 << 63) - 1]
+    df = spark.createDataFrame([(i, bytearray(16)) for i in ids], "doc bigint, digest binary")
+    key = neardup.class_key(F.col("doc"), F.col("digest")).alias("key")
+    rows = df.select("doc", key).select("doc", "key", neardup.key_doc(F.col("key")).alias("back"))
+    found = rows.orderBy("key").collect()
+    assert [r.doc for r in found] == ids == [r.back for r in found]
+    assert all(len(r.key) == 24 for r in found)

@@ -30,6 +30,9 @@ COLUMNS = {
     "op8": {"doc_id", "keep_id", "group_size", "kept", "text_sha256"},
     "op9": {"page_id", "url", "text", "n_chars"},
     "op10": {"doc_id", "n_tokens", "ids_sha256", "decoded_sha256"},
+    "op11": {"doc_id", "held_out", "lang_pred", "score"},
+    "op12": {"lang", "rank", "phrase", "a", "l", "r", "n", "score"},
+    "op13": {"doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"},
 }
 
 
@@ -41,6 +44,8 @@ def test_every_operator_is_registered_over_its_whole_table(spark):
         found = query(spark, SF_SMALL)
         number = name.split("_")[0]
         assert COLUMNS[number] <= set(found.columns), name
+        if number == "op12":  # ranks of phrases
+            continue
         table = "pages" if number in ("op3", "op4", "op9") else "documents"
         assert found.count() == spark.read.parquet(f"{SF_SMALL}/{table}.parquet").count(), name
 
