@@ -39,7 +39,7 @@ from txnstar.plans.jobs import (
 from txnstar.sources.raw import read_raw, read_raw_zone
 from txnstar.sources.staged import read_staged, write_staged
 from txnstar.sources.warehouse import create_warehouse, load_star, load_table
-from txnstar.streaming.ingest import ingest_landing
+from txnstar.streaming.ingest import ingest_landing, refused_files
 
 __all__ = [
     "PipelineConfig",
@@ -60,6 +60,7 @@ __all__ = [
     "hot_keys",
     "in_ranges",
     "ingest_landing",
+    "refused_files",
     "load_projection",
     "load_star",
     "load_table",

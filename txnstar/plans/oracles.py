@@ -162,6 +162,8 @@ ORACLES = {
     "ingest_redelivered": _RAW_ROWS,
     "ingest_late_files": _RAW_ROWS,
     "ingest_archive": _RAW_ROWS,
+    "ingest_bad_file": _RAW_ROWS,
+    "ingest_many_files": _RAW_ROWS,
     "ingest_new_column": _with(
         RAW,
         """SELECT *, CASE WHEN CAST(right(AccountID, 1) AS INTEGER) % 2 = 1

@@ -176,6 +176,38 @@ def ingest_new_column(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _zone_rows(spark, cfg)
 
 
+def ingest_bad_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each drop comes with files of broken headers, which are refused while the others come in."""
+    cfg = _empty_zone(spark, "ingest_bad_file")
+    raw = _with_day(raw_transactions(spark, sf_dir))
+    broken = [
+        lambda df: df.drop("AccountID"),
+        lambda df: df.withColumnRenamed("Channel", " Channel"),
+        lambda df: df.withColumn("Batch", F.lit("x")),
+    ]
+    for day in DAYS:
+        drop = raw.filter(F.col("date") == day).drop("date")
+        _write_drop(drop, cfg.landing)
+        for change in broken:
+            _write_drop(change(drop.filter("TransactionID IS NOT NULL")), cfg.landing)
+        _take(spark, cfg, day)
+    return _zone_rows(spark, cfg)
+
+
+def ingest_many_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Drops cut into files of about 500 rows, in batches of bounded size."""
+    cfg = _empty_zone(spark, "ingest_many_files")
+    raw = materialise(_with_day(raw_transactions(spark, sf_dir)), "raw")
+    for day in DAYS:
+        drop = raw.filter(F.col("date") == day).drop("date")
+        _write_drop(drop.repartition(drop.count() // 500 + 1), cfg.landing)
+        size = Store(spark).size(cfg.landing)
+        ingest_landing(
+            spark, cfg.landing, cfg.raw_root, cfg.checkpoint, cfg.archive, day, size // 2 + 1
+        )
+    return _zone_rows(spark, cfg)
+
+
 def clean_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw_transactions(spark, sf_dir).transform(drop_exact_duplicates)
 
@@ -415,6 +447,8 @@ QUERIES: dict[str, Query] = {
     "ingest_late_files": ingest_late_files,
     "ingest_archive": ingest_archive,
     "ingest_new_column": ingest_new_column,
+    "ingest_bad_file": ingest_bad_file,
+    "ingest_many_files": ingest_many_files,
     "clean_dedup": clean_dedup,
     "clean_required": clean_required,
     "clean_required_numbers": clean_required_numbers,

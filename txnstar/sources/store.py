@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import csv
-
 from pyspark.sql import SparkSession
 
 
@@ -42,14 +40,6 @@ class Store:
         fs, where = self._at(path)
         fs.create(where, True).close()
 
-    def identity(self, path: str) -> tuple[int, int] | None:
-        """Modification time in milliseconds and length; None if there is no such file."""
-        fs, where = self._at(path)
-        if not fs.exists(where):
-            return None
-        status = fs.getFileStatus(where)
-        return status.getModificationTime(), status.getLen()
-
     def move(self, path: str, folder: str) -> None:
         fs, where = self._at(path)
         target = self._jvm.org.apache.hadoop.fs.Path(folder)
@@ -72,13 +62,20 @@ class Store:
         written = self._jvm.java.lang.System.currentTimeMillis() - days * 86_400_000
         fs.setTimes(where, written, -1)
 
-    def header(self, path: str) -> list[str]:
-        """Column names in the first line of a CSV file; none if the file is empty."""
+    def qualified(self, path: str) -> str:
+        """The path with the scheme of its store."""
+        fs, where = self._at(path)
+        return fs.makeQualified(where).toString()
+
+    def first_line(self, path: str) -> str:
+        """The first line of a text file that is not blank; empty if there is none."""
         fs, where = self._at(path)
         stream = self._jvm.java.io.InputStreamReader(fs.open(where), "UTF-8")
         reader = self._jvm.java.io.BufferedReader(stream, 8192)
         try:
             line = reader.readLine()
+            while line is not None and not line.strip():
+                line = reader.readLine()
         finally:
             reader.close()
-        return next(csv.reader([line.removeprefix("﻿")]), []) if line else []
+        return (line or "").removeprefix("\ufeff")
