@@ -58,8 +58,9 @@ def _raw_columns(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in RAW_COLUMNS])
 
 
-def _write_drop(rows: DataFrame, path: str) -> None:
-    rows.write.mode("append").option("header", True).option("escape", '"').csv(path)
+def _write_drop(rows: DataFrame, path: str, **options: bool) -> None:
+    writer = rows.write.mode("append").option("header", True).option("escape", '"')
+    writer.options(**options).csv(path)
 
 
 DAYS = ["2025-01-01", "2025-01-02"]
@@ -189,7 +190,7 @@ def ingest_bad_file(spark: SparkSession, sf_dir: str) -> DataFrame:
         drop = raw.filter(F.col("date") == day).drop("date")
         _write_drop(drop, cfg.landing)
         for change in broken:
-            _write_drop(change(drop.filter("TransactionID IS NOT NULL")), cfg.landing)
+            _write_drop(change(drop), cfg.landing, ignoreLeadingWhiteSpace=False)
         _take(spark, cfg, day)
     return _zone_rows(spark, cfg)
 
