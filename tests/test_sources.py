@@ -27,7 +27,9 @@ from txnstar import (
 )
 from txnstar.plans.fixture import raw_transactions
 from txnstar.schema import RAW_COLUMNS, STAR_TABLES, warehouse_schema
-from txnstar.sources import workdir
+from txnstar import broken_rows, new_version
+from txnstar.plans import jobs, sizing
+from txnstar.sources import staged, workdir
 from txnstar.sources.store import Store
 
 
@@ -273,10 +275,143 @@ def test_a_job_leaves_only_its_outputs(spark, tmp_path):
     before = store.names(shared)
     run_transform(spark, str(tmp_path / "raw"), str(tmp_path / "staged"))
     assert store.names(shared) == before
-    assert sorted(p.name for p in (tmp_path / "staged").iterdir()) == sorted([*STAR_TABLES, "standard_transactions"])
+    (version,) = (tmp_path / "staged" / "_versions").iterdir()
+    assert sorted(p.name for p in version.iterdir()) == sorted([*STAR_TABLES, "standard_transactions"])
 
 
 def test_an_absent_connector_target_is_refused(spark):
     rows = spark.createDataFrame([(7, "Debit")], "TYPE_ID long, TRANSACTION_TYPE string")
     with pytest.raises(Exception):
         load_table(rows, "NO_SUCH_TABLE", fmt="jdbc", options={"url": "jdbc:none:x"})
+
+
+# ---- versions of the star -------------------------------------------------------------------
+
+
+def _star_rows(spark, root):
+    return {t: sorted_rows(read_staged(spark, root, t)) for t in STAR_TABLES}
+
+
+@pytest.mark.parametrize("table", ["dim_merchant", "fact_transactions"])
+def test_a_job_that_dies_between_tables_leaves_the_old_star(spark, tmp_path, monkeypatch, table):
+    root = str(tmp_path / "staged")
+    raw = raw_transactions(spark, SF_SMALL)
+    stage_star(raw.filter("TransactionType = 'Debit'"), root)
+    before = _star_rows(spark, root)
+    write = jobs.write_staged
+
+    def dying(df, folder, name):
+        if name == table:
+            raise OSError("lost")
+        write(df, folder, name)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(jobs, "write_staged", dying)
+        with pytest.raises(OSError):
+            stage_star(raw, root)
+        assert _star_rows(spark, root) == before
+        patch.setattr(Store, "delete", lambda *args: None)  # the process is gone
+        with pytest.raises(OSError):
+            stage_star(raw, root)
+    assert _star_rows(spark, root) == before
+    open_reader = read_staged(spark, root, "fact_transactions")
+    stage_star(raw, root)
+    after = _star_rows(spark, root)
+    assert after != before and len(after["dim_transaction_type"]) == 3
+    assert sorted_rows(open_reader) == before["fact_transactions"]
+    assert len(list((tmp_path / "staged" / "_versions").iterdir())) == 2
+
+
+def test_old_versions_go_and_names_only_rise(spark, tmp_path, monkeypatch):
+    root = str(tmp_path)
+    for n in range(4):
+        with new_version(spark, root) as folder:
+            write_staged(spark.range(n), folder, "numbers")
+        assert read_staged(spark, root, "numbers").count() == n
+        assert len(list((tmp_path / "_versions").iterdir())) == min(n + 1, staged.KEPT)
+
+    class Early(dt.datetime):
+        @classmethod
+        def now(cls, tz=None):
+            return dt.datetime(2001, 1, 1, tzinfo=tz)
+
+    monkeypatch.setattr(staged.dt, "datetime", Early)
+    with new_version(spark, root) as folder:
+        write_staged(spark.range(9), folder, "numbers")
+    assert read_staged(spark, root, "numbers").count() == 9
+
+
+# ---- counts and sizes -----------------------------------------------------------------------
+
+
+def test_counts_are_not_taken_below_the_shuffle(spark, tmp_path, monkeypatch):
+    """Tasks below a shuffle run again when its files are lost, and would count again."""
+    plans = []
+    write = jobs.write_staged
+
+    def noted(df, root, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        write(df, root, name)
+
+    monkeypatch.setattr(jobs, "write_staged", noted)
+    raw = raw_rows(spark, {}, {}, {"TransactionID": "T2"}, {"AccountID": None})
+    counts = stage_star(raw, str(tmp_path))
+    assert (counts["raw"], counts["deduplicated"], counts["required"]) == (4, 3, 2)
+    counting = [p for p in plans if "CollectMetrics" in p]
+    assert len(counting) == 1 and "Exchange" in counting[0]
+    assert all("CollectMetrics" not in p.split("Exchange", 1)[1] for p in counting)
+
+
+def test_an_error_while_counting_is_no_zero(spark, tmp_path, monkeypatch):
+    class Broken(jobs.Observation):
+        @property
+        def get(self):
+            raise jobs.Py4JJavaError("lost", type("E", (), {"_target_id": "o0", "_gateway_client": None})())
+
+    monkeypatch.setattr(jobs, "Observation", Broken)
+    with pytest.raises(jobs.Py4JJavaError):
+        stage_star(raw_rows(spark, {}), str(tmp_path))
+    assert not (tmp_path / "_committed").exists()
+    counts = stage_star(raw_rows(spark, {}).limit(0), str(tmp_path))
+    assert set(counts.values()) == {0}
+
+
+def test_text_and_parquet_are_sized_alike(spark, tmp_path):
+    raw = raw_transactions(spark, SF_SMALL).withColumn("Note", F.lit("x" * 400))
+    raw.write.option("header", True).csv(str(tmp_path / "csv"))
+    raw.write.parquet(str(tmp_path / "parquet"))
+    plain = Store(spark).size(str(tmp_path / "csv"))
+    packed = Store(spark).size(str(tmp_path / "parquet"))
+    measured = sizing.text_bytes(spark.read.parquet(str(tmp_path / "parquet")))
+    assert packed < plain / 3 and 2 / 3 < measured / plain < 1.5
+    assert sizing.text_bytes(spark.read.parquet(str(tmp_path / "parquet")).limit(0)) == 0
+
+
+# ---- broken rows ----------------------------------------------------------------------------
+
+
+def _broken_zone(tmp_path):
+    path = tmp_path / "raw" / "date=2025-01-01" / "a.csv"
+    write_csv(path, {"TransactionID": "T1"}, {"TransactionID": "T2"})
+    path.write_text(path.read_text() + "T3,too,few\n" + ",".join(["T4"] * 16) + "\n")
+    return str(tmp_path / "raw")
+
+
+@pytest.mark.parametrize("columns", [["TransactionID"], ["Channel", "AccountID"], RAW_COLUMNS])
+def test_broken_rows_count_whatever_is_read(spark, tmp_path, columns):
+    root = _broken_zone(tmp_path)
+    wanted = [F.col(f"`{c}`") for c in columns]
+    with pytest.raises(Exception, match="MALFORMED"):
+        read_raw(spark, root).select(wanted).collect()
+    good = read_raw(spark, root, set_apart=True)
+    assert good.select(wanted).count() == len(good.select(wanted).collect()) == 2
+    assert {r.line[:2] for r in broken_rows(spark, root).collect()} == {"T3", "T4"}
+
+
+def test_the_audit_counts_broken_rows(spark, tmp_path):
+    root = _broken_zone(tmp_path)
+    with pytest.raises(Exception, match="MALFORMED"):
+        run_transform(spark, root, str(tmp_path / "staged"))
+    audit = run_transform(spark, root, str(tmp_path / "staged"), set_apart=True)
+    counts = {r.stage: r.row_count for r in audit.collect()}
+    assert (counts["raw"], counts["broken"], counts["fact_transactions"]) == (2, 2, 2)

@@ -36,8 +36,8 @@ from txnstar.plans.jobs import (
     run_transform,
     stage_star,
 )
-from txnstar.sources.raw import read_raw, read_raw_zone
-from txnstar.sources.staged import read_staged, write_staged
+from txnstar.sources.raw import broken_rows, read_raw, read_raw_zone
+from txnstar.sources.staged import current_root, new_version, read_staged, write_staged
 from txnstar.sources.warehouse import create_warehouse, load_star, load_table
 from txnstar.streaming.ingest import ingest_landing, refused_files
 
@@ -68,6 +68,9 @@ __all__ = [
     "null_dates",
     "one_per_key",
     "parse_mixed_timestamps",
+    "broken_rows",
+    "current_root",
+    "new_version",
     "read_raw",
     "read_raw_zone",
     "read_staged",

@@ -26,10 +26,10 @@ from txnstar.operators.star import (
     build_fact,
     transaction_types,
 )
-from txnstar.plans.sizing import sized_for
+from txnstar.plans.sizing import sized_for, text_bytes
 from txnstar.schema import STANDARD_TABLE, STAR_TABLES
-from txnstar.sources.raw import read_raw, read_raw_zone
-from txnstar.sources.staged import read_staged, write_staged
+from txnstar.sources.raw import broken_rows, read_raw, read_raw_zone
+from txnstar.sources.staged import current_root, new_version, read_staged, write_staged
 from txnstar.sources.store import Store
 from txnstar.sources.warehouse import load_star
 from txnstar.sources.workdir import fresh_dir, materialise, scratch
@@ -43,39 +43,41 @@ DIMENSIONS = {
 # Of a written table: what one task may sort alone, and what every executor may hold. Its
 # Parquet files take less than a tenth of the memory its rows do.
 SMALL_FILE_BYTES = 8 * 1024 * 1024
-
-
-def _observed(observation: Observation, name: str) -> int:
-    """A count taken in passing; 0 where there were no rows, and Spark left the counting out."""
-    try:
-        return observation.get[name]
-    except Py4JJavaError:
-        return 0
+# How many raw rows a distinct one stands for; no column of a file is called so.
+COPIES = "_copies"
 
 
 def _write_counted(df: DataFrame, root: str, name: str) -> int:
-    """Write a table; how many rows went into it."""
-    rows = Observation()
-    write_staged(df.observe(rows, F.count(F.lit(1)).alias("rows")), root, name)
-    return _observed(rows, "rows")
+    """Write a table; how many rows its files hold, by their footers."""
+    write_staged(df, root, name)
+    return df.sparkSession.read.parquet(f"{root}/{name}").count()
 
 
 def _write_standard(raw: DataFrame, root: str) -> dict[str, int]:
-    """Write the standard rows and count every step on the way, in the one pass over raw."""
-    came, distinct, required = Observation(), Observation(), Observation()
-    one = F.count(F.lit(1)).alias("rows")
-    rows = raw.observe(came, one).transform(drop_exact_duplicates).observe(distinct, one)
-    rows = (
-        rows.transform(require_columns)
-        .transform(parse_mixed_timestamps)
-        .observe(required, one, F.count("TransactionDate").alias("dated"))
+    """Write the standard rows and count every step on the way, in the one pass over raw.
+
+    A step is counted where nothing is counted twice if executors are lost: in the tasks that
+    write, of which Spark takes each once, or in the written files. The raw rows are the copies
+    of the distinct ones.
+    """
+    seen = Observation()
+    rows = raw.transform(drop_exact_duplicates, copies=COPIES).observe(
+        seen, F.count(F.lit(1)).alias("distinct"), F.sum(COPIES).alias("raw")
     )
+    rows = rows.drop(COPIES).transform(require_columns).transform(parse_mixed_timestamps)
     rows = rows.transform(cast_numbers).transform(flag_suspicious).transform(calendar_parts)
     write_staged(rows, root, STANDARD_TABLE)
-    kept, dated = _observed(required, "rows"), _observed(required, "dated")
+    try:
+        came, distinct = seen.get["raw"], seen.get["distinct"]
+    except Py4JJavaError:
+        if not raw.isEmpty():
+            raise
+        came = distinct = 0  # Spark left an empty plan, and its counting, out
+    written = raw.sparkSession.read.parquet(f"{root}/{STANDARD_TABLE}")
+    kept, dated = written.agg(F.count(F.lit(1)), F.count("TransactionDate")).first()
     return {
-        "raw": _observed(came, "rows"),
-        "deduplicated": _observed(distinct, "rows"),
+        "raw": came or 0,
+        "deduplicated": distinct,
         "required": kept,
         "clean": dated,
         "null_dates": kept - dated,
@@ -90,15 +92,21 @@ def stage_star(
     The only wide shuffle is the deduplication, and it runs once: the dimensions read
     their few columns of its written result, and the fact joins the written dimensions,
     so its keys are theirs. Dimensions whose files exceed ``small_file_bytes`` are numbered
-    in ranges and joined by shuffle. Returns the rows of every step and table, counted as they
-    were written; intermediate tables are removed.
+    in ranges and joined by shuffle. All tables become current together, when the last is written;
+    until then, and if the run fails, ``read_staged`` finds those of the run before. Returns the
+    rows of every step and table, as committed; intermediate tables are removed.
     """
+    with new_version(raw.sparkSession, staged_root) as root:
+        return _write_star(raw, root, small_file_bytes)
+
+
+def _write_star(raw: DataFrame, root: str, small_file_bytes: int) -> dict[str, int]:
     spark = raw.sparkSession
     store = Store(spark)
-    counts = _write_standard(raw, staged_root)
-    clean = drop_unparsed(read_staged(spark, staged_root, STANDARD_TABLE))
+    counts = _write_standard(raw, root)
+    clean = drop_unparsed(read_staged(spark, root, STANDARD_TABLE))
     for name, build in DIMENSIONS.items():
-        counts[name] = _write_counted(build(clean), staged_root, name)
+        counts[name] = _write_counted(build(clean), root, name)
     with scratch(spark):
         place = fresh_dir(spark, "types")
         transaction_types(clean).write.parquet(place)
@@ -108,9 +116,9 @@ def stage_star(
         else:
             ranged = materialise(in_ranges(types, "transaction_type"), "ranges")
             types = assign_key_in_ranges(ranged, "transaction_type", "type_id")
-        counts["dim_transaction_type"] = _write_counted(types, staged_root, "dim_transaction_type")
+        counts["dim_transaction_type"] = _write_counted(types, root, "dim_transaction_type")
         small = {
-            name: store.size(f"{staged_root}/{name}") <= small_file_bytes
+            name: store.size(f"{root}/{name}") <= small_file_bytes
             for name in ("dim_date", "dim_transaction_type")
         }
         hot = None
@@ -118,13 +126,13 @@ def stage_star(
             hot = materialise(hot_keys(clean, ["TransactionType"]), "hot")
         fact = build_fact(
             clean,
-            read_staged(spark, staged_root, "dim_date"),
-            read_staged(spark, staged_root, "dim_transaction_type"),
+            read_staged(spark, root, "dim_date"),
+            read_staged(spark, root, "dim_transaction_type"),
             small["dim_date"],
             small["dim_transaction_type"],
             hot,
         )
-        counts["fact_transactions"] = _write_counted(fact, staged_root, "fact_transactions")
+        counts["fact_transactions"] = _write_counted(fact, root, "fact_transactions")
     return counts
 
 
@@ -139,22 +147,30 @@ def run_transform(
     staged_root: str,
     raw_format: str = "csv",
     infer_schema: bool = False,
+    set_apart: bool = False,
 ) -> DataFrame:
     """Rebuild the staged star from all raw rows; returns the audit.
 
     ``raw_format`` is ``csv`` for folders of drops, ``parquet`` for the raw zone. With
     ``infer_schema``, for CSV only, values are typed as they are read, so rows that differ in
-    how a number is written are equal. Shuffles are sized for the bytes under ``raw_root``.
+    how a number is written are equal. Rows of CSV with a wrong number of fields fail the run; with
+    ``set_apart`` they are left out and counted as ``broken``. Shuffles are sized for the bytes
+    that the raw rows have as text, whatever format they are in.
     The audit's numbers are those of the pass that built the star.
     """
-    if infer_schema and raw_format != "csv":
-        raise ValueError("the raw zone holds text; only CSV can be read with types")
-    with sized_for(spark, Store(spark).size(raw_root)):
-        if raw_format == "csv":
-            raw = read_raw(spark, raw_root, infer_schema)
-        else:
-            raw = read_raw_zone(spark, raw_root)
-        return audit_frame(spark, stage_star(raw, staged_root))
+    if (infer_schema or set_apart) and raw_format != "csv":
+        raise ValueError("the raw zone holds checked text; only CSV can be read with these")
+    if raw_format == "csv":
+        raw = read_raw(spark, raw_root, infer_schema, set_apart)
+        size = Store(spark).size(raw_root)
+    else:
+        raw = read_raw_zone(spark, raw_root)
+        size = text_bytes(raw)
+    with sized_for(spark, size):
+        counts = stage_star(raw, staged_root)
+        if set_apart:
+            counts["broken"] = broken_rows(spark, raw_root).count()
+        return audit_frame(spark, counts)
 
 
 def run_load(
@@ -172,7 +188,8 @@ def run_load(
     if fmt == "table":
         loaded = {name: spark.table(f"{target}.{name.upper()}") for name in STAR_TABLES}
     else:
-        loaded = {name: read_staged(spark, staged_root, name) for name in STAR_TABLES}
+        root = current_root(spark, staged_root)
+        loaded = {name: read_staged(spark, root, name) for name in STAR_TABLES}
     return row_counts(loaded)
 
 

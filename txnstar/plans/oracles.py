@@ -157,6 +157,11 @@ ORACLES = {
         RAW,
         """SELECT * REPLACE (
  concat('say "', DeviceID, '", ok, ', Location, '"') AS DeviceID) FROM raw""",
+    ),
+    "scan_broken_rows": _with(
+        RAW,
+        """SELECT TransactionID, LoginAttempts FROM raw
+ UNION ALL SELECT 'broken', CAST(2 * count(*) AS VARCHAR) FROM raw""",
     ),
     "ingest_landing": _RAW_ROWS,
     "ingest_redelivered": _RAW_ROWS,
@@ -232,6 +237,7 @@ n AS (SELECT key_text AS name, row_number() OVER (ORDER BY key_text NULLS LAST)
 FROM k LEFT JOIN n ON key_text = name""",
     ),
     "fact_transactions": _star("fact_transactions"),
+    "staged_versions": _star("fact_transactions"),
     "staged_roundtrip": _star("fact_transactions"),
     "transform_job": _star("fact_transactions"),
     "load_projection": _with(STAR, _FACT_LOADED),

@@ -44,8 +44,8 @@ from txnstar.plans.jobs import (
     stage_star,
 )
 from txnstar.schema import INGEST_DATE, RAW_COLUMNS
-from txnstar.sources.raw import csv_reader, read_raw, read_raw_zone
-from txnstar.sources.staged import read_staged, write_staged
+from txnstar.sources.raw import broken_rows, csv_reader, read_raw, read_raw_zone
+from txnstar.sources.staged import new_version, read_staged, write_staged
 from txnstar.sources.store import Store
 from txnstar.sources.warehouse import create_warehouse
 from txnstar.sources.workdir import fresh_dir, materialise
@@ -88,6 +88,27 @@ def scan_quoted_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_raw(spark, root).transform(_raw_columns)
 
 
+def scan_broken_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows cut short, and rows with a field too many, among good ones; two columns are read."""
+    root = fresh_dir(spark, "broken-csv")
+    raw = raw_transactions(spark, sf_dir)
+    _write_drop(raw, f"{root}/date={DAYS[0]}")
+    ids = F.coalesce("TransactionID", F.lit("none"))
+    short = raw.select(F.concat(ids, F.lit(",too,few")).alias("value"))
+    long = raw.select(F.concat(ids, F.lit("," * 15)).alias("value"))
+    header = spark.createDataFrame([(",".join(RAW_COLUMNS),)], "value string")
+    lines = header.union(short).union(long).coalesce(1)
+    lines.write.mode("append").option("compression", "none").text(f"{root}/other")
+    store = Store(spark)
+    for at, name in enumerate(n for n in store.names(f"{root}/other") if n.endswith(".txt")):
+        store.rename(f"{root}/other/{name}", f"{root}/date={DAYS[1]}/broken-{at}.csv")
+    store.delete(f"{root}/other")
+    good = read_raw(spark, root, set_apart=True).select("TransactionID", "LoginAttempts")
+    broken = broken_rows(spark, root).filter(F.col(INGEST_DATE) == DAYS[1])
+    counted = broken.agg(F.lit("broken").alias("a"), F.count("*").cast("string").alias("b"))
+    return good.union(counted)
+
+
 def _empty_zone(spark: SparkSession, query: str) -> PipelineConfig:
     """Folders of a new run, and a warehouse that replaces that of the query's last run."""
     base = fresh_dir(spark, "ingest")
@@ -372,6 +393,20 @@ def transform_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_staged(spark, root, "fact_transactions")
 
 
+def staged_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second run replaces the first's star, and a third that fails on its way changes nothing."""
+    root = fresh_dir(spark, "staged")
+    raw = _with_day(raw_transactions(spark, sf_dir))
+    stage_star(raw.filter(F.col("date") == DAYS[0]).drop("date"), root)
+    stage_star(raw.drop("date"), root)
+    try:
+        with new_version(spark, root) as folder:
+            write_staged(spark.range(3), folder, "fact_transactions")
+            raise InterruptedError
+    except InterruptedError:
+        return read_staged(spark, root, "fact_transactions")
+
+
 def transform_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = fresh_dir(spark, "audit")
     _write_drop(raw_transactions(spark, sf_dir), f"{base}/raw/date=2025-01-01")
@@ -443,6 +478,7 @@ def audit_null_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "scan_raw_csv": scan_raw_csv,
     "scan_quoted_csv": scan_quoted_csv,
+    "scan_broken_rows": scan_broken_rows,
     "ingest_landing": ingest_landing_query,
     "ingest_redelivered": ingest_redelivered,
     "ingest_late_files": ingest_late_files,
@@ -469,6 +505,7 @@ QUERIES: dict[str, Query] = {
     "lookup_by_shuffle": lookup_by_shuffle,
     "fact_transactions": fact_transactions,
     "staged_roundtrip": staged_roundtrip,
+    "staged_versions": staged_versions,
     "transform_job": transform_job,
     "transform_audit": transform_audit,
     "load_projection": load_projection_query,

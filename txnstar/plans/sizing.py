@@ -6,7 +6,8 @@ import math
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 MIB = 1024 * 1024
 GIB = 1024 * MIB
@@ -14,6 +15,8 @@ GIB = 1024 * MIB
 MAX_SPLIT, MAX_REDUCER = GIB, 4 * GIB
 MIN_SPLIT, MIN_REDUCER = 128 * MIB, 512 * MIB
 TASKS = 10_000
+# Rows whose width stands for that of all.
+MEASURED_ROWS = 20_000
 
 
 def _between(least: int, value: int, most: int) -> int:
@@ -40,6 +43,18 @@ def session_conf(raw_bytes: int, partitions: int = 200) -> dict[str, str]:
     }
 
 
+def text_bytes(df: DataFrame, measured: int = MEASURED_ROWS) -> int:
+    """About the bytes that written rows of text have as CSV, however well they are compressed.
+
+    Their number comes from the footers; the width is the mean over some rows.
+    """
+    width = F.lit(0)
+    for col in df.columns:
+        width = width + F.coalesce(F.octet_length(F.col(f"`{col}`").cast("string")), F.lit(0)) + 1
+    mean = df.limit(measured).agg(F.avg(width)).first()[0]
+    return int(df.count() * mean) if mean else 0
+
+
 @contextmanager
 def sized_for(spark: SparkSession, raw_bytes: int) -> Iterator[None]:
     """The session with options for ``raw_bytes``, and as it was before afterwards."""

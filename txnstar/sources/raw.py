@@ -13,6 +13,8 @@ from txnstar.sources.store import Store
 COLUMNS_FOLDER = "_columns"
 REJECTED_FOLDER = "_rejected"
 BATCH = "batch"
+# A whole line that has too many or too few fields; no column of a file is called so.
+BROKEN = "_broken_line"
 
 
 def contract_columns(columns: list[str]) -> list[Column]:
@@ -43,22 +45,58 @@ def csv_reader(spark: SparkSession) -> DataFrameReader:
     )
 
 
-def read_raw(spark: SparkSession, root: str, infer_schema: bool = False) -> DataFrame:
+def _scan(spark: SparkSession, root: str, infer_schema: bool) -> tuple[DataFrame, list[str]]:
+    """All lines, with those of a wrong number of fields whole in ``BROKEN``; the file's columns.
+
+    Every line is parsed to its end whatever columns are asked for, else a broken one would pass
+    unseen where few are.
+    """
+    reader = csv_reader(spark).option("columnPruning", False)
+    found = reader.option("inferSchema", infer_schema).csv(root)
+    columns = [c for c in found.columns if c != "date"]
+    contract_columns(columns)
+    schema = T.StructType([*found.schema.fields, T.StructField(BROKEN, T.StringType())])
+    rows = reader.schema(schema).option("columnNameOfCorruptRecord", BROKEN).csv(root)
+    return rows, columns
+
+
+def _parsed(columns: list[str]) -> Column:
+    """Always true, and takes a column to tell: Spark reads no lines for the broken ones alone."""
+    return F.coalesce(F.length(F.col(f"`{columns[0]}`").cast("string")), F.lit(0)) >= 0
+
+
+def read_raw(
+    spark: SparkSession, root: str, infer_schema: bool = False, set_apart: bool = False
+) -> DataFrame:
     """All CSV files under ``root/date=YYYY-MM-DD/``, all values as text.
 
     The header names the columns, in any order; a file whose header differs from the
-    others', or a row with another number of fields, fails the read instead of shifting
-    values. The folder's date becomes ``ingest_date``, so a filter on it prunes folders.
-    ``infer_schema`` costs a pass over the data and may take identifiers such as ``T1`` for
+    others' fails the read instead of shifting values. So does a row with another number of
+    fields, whatever columns are read of it; with ``set_apart`` such rows are left out, and
+    ``broken_rows`` has them. The folder's date becomes ``ingest_date``, so a filter on it prunes
+    folders. ``infer_schema`` costs a pass over the data and may take identifiers such as ``T1`` for
     times of day; with it, rows that write a number in two ways are equal.
     """
-    df = csv_reader(spark).option("inferSchema", infer_schema).option("mode", "FAILFAST").csv(root)
-    cols = contract_columns([c for c in df.columns if c != "date"])
+    df, columns = _scan(spark, root, infer_schema)
+    wrong = F.raise_error(F.concat(F.lit("MALFORMED row in the raw files: "), F.col(BROKEN)))
+    good = F.col(BROKEN).isNull() & _parsed(columns)
+    # As a filter, so that it is asked for whatever columns are read.
+    df = df.filter(good if set_apart else F.when(good, True).otherwise(wrong.cast("boolean")))
+    cols = contract_columns(columns)
     if "date" in df.columns:
         cols.append(F.col("date").cast("date").alias(INGEST_DATE))
     return df.select(*cols)
 
 
+def broken_rows(spark: SparkSession, root: str) -> DataFrame:
+    """``(line, ingest_date)`` of the rows that ``read_raw`` sets apart."""
+    df, columns = _scan(spark, root, False)
+    cols = [F.col(BROKEN).alias("line")]
+    if "date" in df.columns:
+        cols.append(F.col("date").cast("date").alias(INGEST_DATE))
+    return df.filter(F.col(BROKEN).isNotNull() & _parsed(columns)).select(*cols)
+
+
 def zone_columns(spark: SparkSession, root: str) -> list[str]:
     """Every column any batch had, the contract's first, as ingest has noted them.
 

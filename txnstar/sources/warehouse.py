@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from txnstar.operators.projection import load_projection
 from txnstar.schema import STAR_TABLES, warehouse_schema
-from txnstar.sources.staged import read_staged
+from txnstar.sources.staged import current_root, read_staged
 
 
 def create_warehouse(spark: SparkSession, database: str, location: str | None = None) -> None:
@@ -51,7 +51,8 @@ def load_star(
     fmt: str = "table",
     options: dict[str, str] | None = None,
 ) -> None:
-    """Load the five staged tables into the database or schema ``target``."""
+    """Load the five staged tables, all of one version, into the database or schema ``target``."""
+    root = current_root(spark, staged_root)
     for table in STAR_TABLES:
-        rows = read_staged(spark, staged_root, table).transform(load_projection)
+        rows = read_staged(spark, root, table).transform(load_projection)
         load_table(rows, f"{target}.{table.upper()}", fmt, options)

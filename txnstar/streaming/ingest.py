@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from txnstar.schema import INGEST_DATE, RAW_COLUMNS, text_schema
 from txnstar.sources.raw import (
     BATCH,
+    BROKEN,
     COLUMNS_FOLDER,
     REJECTED_FOLDER,
     contract_columns,
@@ -35,8 +36,6 @@ FILE = "path string, modified bigint, length bigint"
 DECIDED = f"{FILE}, header array<string>, reason string"
 LEDGER = f"{DECIDED}, day string"
 IDENTITY = ["path", "modified", "length"]
-# A whole line that has too many or too few fields; no column of a file is called so.
-BROKEN = "_broken_line"
 # Executors read a file up to this size to see its header, of which this much counts; the
 # driver opens larger ones, of which there are few for their bytes.
 CONTENT_BYTES = 64 * 1024 * 1024
@@ -63,7 +62,7 @@ def refusal(names: Column) -> Column:
     lower = F.transform(names, F.lower)
     twice = F.filter(F.array_distinct(lower), lambda x: F.size(F.filter(lower, lambda y: y == x)) > 1)
     odd = F.filter(names, lambda x: (x == "") | (x != F.trim(x)))
-    taken = F.array_intersect(lower, F.array(*[F.lit(c) for c in (INGEST_DATE, BATCH, BROKEN)]))
+    taken = F.array_intersect(lower, F.array(*[F.lit(c) for c in (INGEST_DATE, BATCH, BROKEN, "_copies")]))
     contract = F.array(*[F.lit(c) for c in RAW_COLUMNS])
     missing = F.filter(contract, lambda c: ~F.array_contains(lower, F.lower(c)))
     reason = F.when(F.size(names) == 0, F.lit(None).cast("string"))  # an empty file has no rows
