@@ -7,8 +7,10 @@ import gzip
 import hashlib
 import html
 import lzma
+import os
 import random
 import re
+import time
 import urllib.parse
 import zlib
 
@@ -188,6 +190,63 @@ def test_base64_of_several_lines(end, before, after):
                 assert any(s <= len(before) and e >= len(text) - len(after) - 2 for s, _, e in spans)
 
 
+SECRET = "password=hunter2222"
+
+
+@pytest.mark.parametrize("before", ["v1/", "/", "id_", "x-", "abc", "a", "ab", "abcde", "k8s/v2_x-", "z" * 11])
+@pytest.mark.parametrize("pack", [lambda d: d, gzip.compress, zlib.compress, bz2.compress, lzma.compress])
+def test_base64_right_after_other_characters(before, pack):
+    token = base64.b64encode(pack(f"so {SECRET} it is".encode())).decode()
+    text = f"é see {before}{token} end"
+    base, spans, whole = scan(text)
+    assert base == [] and whole
+    at = 6 + len(before)
+    assert any(kind == 0 and at - 3 <= start < end <= at + len(token) for start, kind, end in spans)
+
+
+@pytest.mark.parametrize(
+    "data",
+    [
+        f"ab {SECRET} cd".encode("utf-16-le"),
+        f"ab {SECRET} cd".encode("utf-16"),
+        f"ab {SECRET} cd".encode("utf-16-be"),
+        f"Größe é {SECRET} ß".encode("latin-1"),
+        b"\x00\x01\xff\xfe" + SECRET.encode() + b"\xff\x80\x00" * 9,
+        b"\x7fELF" + bytes(range(128, 256)) + SECRET.encode(),
+    ],
+)
+def test_secrets_in_data_that_is_not_utf_8(data):
+    for packed in (data, gzip.compress(data)):
+        token = base64.b64encode(packed).decode()
+        base, spans, whole = scan(f"x {token} y")
+        assert base == [] and whole
+        assert any(kind == 0 and 2 <= start < end <= 2 + len(token) for start, kind, end in spans)
+    start, _, end = next(s for s in scan(f"x {base64.b64encode(data).decode()} y")[1] if s[1] == 0)
+    inside = data[(start - 2) * 6 // 8 : -(-(end - 2) * 6 // 8)]
+    assert SECRET.encode() in inside.replace(b"\x00", b"") and len(inside) <= 2 * len(SECRET) + 6
+
+
+def test_random_nests_with_prefixes_are_unwrapped():
+    """Whatever layers a secret is wrapped in, one at a time, the scan finds it."""
+    rng = random.Random(7)
+    wraps = [
+        lambda t: base64.b64encode(t.encode()).decode(),
+        lambda t: base64.urlsafe_b64encode(t.encode()).decode(),
+        lambda t: urllib.parse.quote(t, safe=""),
+        lambda t: "".join(f"\\u{ord(c):04x}" for c in t),
+        lambda t: base64.b64encode(gzip.compress(t.encode())).decode(),
+        lambda t: base64.b64encode(zlib.compress(t.encode())).decode(),
+        lambda t: base64.b64encode(t.encode("utf-16-le")).decode(),
+    ]
+    for n in range(400):
+        text = f"{SECRET} {n}"
+        for _ in range(rng.randint(1, 4)):
+            before = rng.choice(["", "", "v1/", "id_", "x-", "ab", "q "])
+            text = before + rng.choice(wraps)(text) + rng.choice(["", " ", ". ", ";"])
+        _, spans, whole = scan(f"a {text} b")
+        assert whole and any(kind == 0 for _, kind, _ in spans), text
+
+
 def test_bombs_end():
     bomb = b"token=abcdef1 " + b" " * 30_000_000
     for _ in range(3):
@@ -329,6 +388,32 @@ def test_archives_of_other_writers(tmp_path, form):
         assert all(len(got[f"<r{n}>"]["payload"]) == n * 70_000 for n in ids)
 
 
+def _record(uri: str, payload: bytes, length: str | None = None) -> bytes:
+    head = f"WARC/1.0\r\nWARC-Type: resource\r\nWARC-Target-URI: {uri}\r\nContent-Length: {length or len(payload)}\r\n\r\n"
+    return head.encode() + payload + b"\r\n\r\n"
+
+
+def test_a_record_of_unreadable_length_costs_no_other(spark, tmp_path):
+    records = [_record("u:1", b"one"), _record("u:2", b"two\r\n\r\nand more", "many"), _record("u:3", b"three")]
+    (tmp_path / "a.warc").write_bytes(b"".join(records))
+    found = spark.read.format("warc").load(str(tmp_path))
+    assert found.count() == 2
+    assert {bytes(r.payload) for r in found.select("payload").collect()} == {b"one", b"three"}
+
+
+def test_archives_of_others_beside_our_own_are_read(spark):
+    folder = fresh_dir(spark, "mixed").removeprefix("file:")
+    pages = spark.createDataFrame([(n, f"http://a/{n}", f"<p>{n}</p>") for n in range(9)], PAGES)
+    warc.write_archive(pages, f"{folder}/ours")
+    ours = spark.read.format("warc").load(f"{folder}/ours").count()
+    os.makedirs(f"{folder}/theirs")
+    with open(f"{folder}/theirs/x.warc", "wb") as out:
+        out.write(_record("u:1", b"one") + _record("u:2", b"two"))
+    with open(f"{folder}/ours/left-by-a-lost-task.warc", "wb") as out:
+        out.write(_record("u:9", b"nine"))
+    assert ours > 0 and spark.read.format("warc").load(folder).count() == ours + 2
+
+
 def test_a_response_without_an_http_head_does_not_swallow_the_next(tmp_path):
     head = "WARC/1.0\r\nWARC-Type: response\r\nWARC-Record-ID: <r{}>\r\nContent-Type: application/http\r\nContent-Length: {}\r\n\r\n"
     bodies = [b"no head here", b"", b"HTTP/1.1 200 OK\r\nA: b\r\n\r\nyes"]
@@ -504,6 +589,44 @@ def test_reading_of_broken_markup():
     assert max(deep.depth) == 3001
 
 
+ARTICLE = "<article><p>One {} two</p><p>three</p></article><footer>foot</footer>"
+
+
+def _read(page: str) -> list[str]:
+    return [t for t in html_trees.Page(page).text if t]
+
+
+@pytest.mark.parametrize("tag", ["math", "noscript", "object", "video", "audio", "canvas"])
+def test_what_an_element_of_an_article_says_is_read(tag):
+    inner = f"<{tag}>kept</{tag}>"
+    assert _read(ARTICLE.format(inner)) == ["One kept two", "three", "foot"]
+    formula = "<math><mi>x</mi><mo>=</mo><mn>2</mn></math>"
+    assert _read(ARTICLE.format(formula)) == ["One x=2 two", "three", "foot"]
+
+
+@pytest.mark.parametrize("tag", ["button", "svg", "select", "template", "datalist"])
+def test_an_unclosed_element_ends_with_its_parent(tag):
+    assert _read(f"<div><p>a</p><div>b <{tag}>gone <div>gone</div></div><p>c</p></div>d") == ["a", "b", "c", "d"]
+    assert _read(f"<p>a <{tag}>gone</{tag}> b</p>c") == ["a b", "c"]
+    assert _read(f"<div>a<{tag}><{tag}>x</{tag}>y</{tag}>b</div>") in (["a b"], ["ab"])
+
+
+def test_a_head_without_end_and_a_body_without_tag():
+    head = "<html><head><title>t</title><meta charset=x><style>p {}</style><script>1</script>"
+    for rest in ("<p>One</p>", "<body><p>One</p>", "</head><p>One</p>", "</head><body><p>One</p></body>"):
+        assert _read(head + "\n" + rest) == ["One"]
+    assert _read(head + " bare words <b>here</b>") == ["bare words here"]
+    assert _read("<head>") == []
+
+
+@pytest.mark.parametrize("piece", ['<p x="', "<p x='", "<", "<!--", "<p", "</p>", "<div></x>", "<svg>", "<!-- --"])
+def test_long_broken_markup_is_read_in_linear_time(piece):
+    page = piece * (1_000_000 // len(piece))
+    begin = time.process_time()
+    html_trees.Page(page)
+    assert time.process_time() - begin < 4
+
+
 def test_pages_of_awkward_rows(spark, trees):
     rows = [(1, "u", None), (2, None, ""), (3, "u", "<p>" + "Word after word. " * 20_000), (4, "u", "<div>" * 500), (4, "u", "<div>" * 500), (None, "u", "<html>")]
     pages = with_clashing_columns(spark.createDataFrame(rows, PAGES), ["text", "n_chars", "model"])

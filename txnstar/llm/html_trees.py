@@ -7,6 +7,7 @@ import html as entities
 import io
 import random
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,13 +29,18 @@ STORY_TAGS = ("p", "h1", "h2", "h3", "li", "blockquote")
 VOID = frozenset(
     "area base br col embed hr img input link meta param source track wbr".split()
 )
-UNREAD = frozenset(
-    "head script style noscript template textarea title svg math select option iframe object"
-    " canvas audio video button datalist".split()
-)
+# Not read, up to their end tags whatever stands in them.
+RAW = frozenset("script style textarea title iframe".split())
+# Not read, up to their end tags or that of what they stand in.
+UNREAD = frozenset("head template svg button select optgroup option datalist".split())
+# What may stand in a head; anything else ends it.
+HEAD_MATTER = frozenset("base head link meta noscript script style template title".split())
 INLINE = frozenset(
-    "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark meter nobr"
-    " output progress q rp rt ruby s samp small span strike strong sub sup time tt u var".split()
+    "a abbr acronym audio b bdi bdo big canvas cite code data del dfn em font i ins kbd label mark"
+    " math menclose merror meter mfrac mi mn mo mover mpadded mphantom mroot mrow ms mspace msqrt"
+    " mstyle msub msubsup msup mtable mtd mtext mtr munder munderover nobr noscript object output"
+    " progress q rp rt ruby s samp semantics small span strike strong sub sup time tt u var"
+    " video".split()
 )
 # An open element that ends where another begins.
 ENDED_BY = {
@@ -87,13 +93,9 @@ def token_groups(attributes: str) -> int:
     return bits
 
 
-def _end_of(name: str, html: str, pos: int) -> int:
-    """Where what stands in an unread element ends; a head that is not closed ends at the body."""
-    end = "|<body\\b" if name == "head" else ""
-    close = re.compile(rf"</{re.escape(name)}\b[^>]*>{end}", re.IGNORECASE).search(html, pos)
-    if close is None:
-        return len(html)
-    return close.end() if close.group().endswith(">") else close.start()
+@functools.cache
+def _close_tag(name: str) -> re.Pattern:
+    return re.compile(rf"</{name}(?=[\s/>])[^>]*>?", re.IGNORECASE)
 
 
 class Page:
@@ -133,8 +135,24 @@ class Page:
 
     def _read(self, html: str) -> None:
         stack: list[tuple[str, int]] = [("#page", self._node(OTHER, -1, 0, False, None, 0))]
+        opened: Counter[str] = Counter()
         run: list[str] = []
         linked, in_link, at, pos = 0, 0, 0, 0
+        unread = 0  # where in the stack an element that is not read stands
+
+        def close(depth: int) -> None:
+            nonlocal unread
+            opened.subtract(name for name, _ in stack[depth:])
+            del stack[depth:]
+            unread = 0 if depth <= unread else unread
+
+        def take(start: int, end: int) -> None:
+            nonlocal linked
+            if stack[-1][0] == "head" and not html[start:end].isspace():
+                close(len(stack) - 1)
+            if not unread:
+                run.append(html[start:end])
+                linked += end - start if in_link else 0
 
         def end_run() -> None:
             nonlocal linked
@@ -149,25 +167,41 @@ class Page:
                 run.clear()
                 linked = 0
 
-        while m := _TOKEN.search(html, pos):
+        tags_end = html.rfind(">") + 1
+        while m := _TOKEN.search(html, pos, tags_end):
             if m.start() > at:
-                run.append(html[at : m.start()])
-                if in_link:
-                    linked += m.start() - at
+                take(at, m.start())
             at = pos = m.end()
             name = m[2] or m[5]
             if not name:
+                if m.group().startswith("<!--") and not m.group().endswith("-->"):
+                    at = pos = len(html)  # a comment that is not closed
                 continue
             name = name.lower()
             if m[1] or m[4]:
                 if name == "a":
-                    in_link = 0
-                elif name not in INLINE and name not in VOID:
-                    for depth in range(len(stack) - 1, 0, -1):
-                        if stack[depth][0] == name:
-                            end_run()
-                            del stack[depth:]
-                            break
+                    in_link = in_link if unread else 0
+                elif opened[name]:
+                    depth = max(d for d in range(1, len(stack)) if stack[d][0] == name)
+                    if not unread or depth < unread:
+                        end_run()
+                    close(depth)
+                continue
+            if stack[-1][0] == "head" and name not in HEAD_MATTER:
+                close(len(stack) - 1)
+            attributes = m[3] if m[3] is not None else m[6] or ""
+            closed = attributes.endswith("/")
+            if name in RAW:
+                if not closed:
+                    end = _close_tag(name).search(html, pos)
+                    at = pos = end.end() if end else len(html)
+                if name not in ("script", "style") and not unread:
+                    run.append(" ")
+                continue
+            if unread:
+                if not closed and name not in VOID and name not in INLINE:
+                    stack.append((name, stack[-1][1]))
+                    opened[name] += 1
                 continue
             if name == "br" or name == "hr":
                 run.append(" ")
@@ -175,22 +209,21 @@ class Page:
             if name == "a":
                 in_link = 1
                 continue
-            if name in VOID:
+            if name in VOID or name in INLINE:
                 continue
-            attributes = m[3] if m[3] is not None else m[6] or ""
             if name in UNREAD:
-                if not attributes.endswith("/"):
-                    at = pos = _end_of(name, html, pos)
-                if name not in ("script", "style", "noscript", "template"):
+                if name != "template":
                     run.append(" ")
-                continue
-            if name in INLINE:
+                if not closed:
+                    unread = len(stack)
+                    stack.append((name, stack[-1][1]))
+                    opened[name] += 1
                 continue
             end_run()
             if stack[-1][0] == "p":  # no block stands in a paragraph
-                stack.pop()
+                close(len(stack) - 1)
             if stack[-1][0] in ENDED_BY.get(name, ()):
-                stack.pop()
+                close(len(stack) - 1)
             node = self._node(
                 TAG_NUMBER.get(name, OTHER),
                 stack[-1][1],
@@ -199,10 +232,11 @@ class Page:
                 None,
                 0,
             )
-            if not attributes.endswith("/"):
+            if not closed:
                 stack.append((name, node))
+                opened[name] += 1
         if at < len(html):
-            run.append(html[at:])
+            take(at, len(html))
         end_run()
 
 

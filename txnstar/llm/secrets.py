@@ -53,6 +53,15 @@ _LINE_END = r"[ \t]*(?:\r?\n|\r|(?:\\r)?\\n)[ \t>]*"
 _WRAPPED = re.compile(
     rf"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{{16,}}+(?:{_LINE_END}[A-Za-z0-9+/_-]++)++={{0,2}}"
 )
+# Runs of plain characters as long as the shortest secret, in one byte or two each.
+_RUNS = (
+    (re.compile(rb"[\x20-\x7e\t\r\n]{12,}"), "ascii", 1),
+    (re.compile(rb"(?:[\x20-\x7e\t\r\n]\x00){12,}"), "utf-16-le", 2),
+    (re.compile(rb"(?:\x00[\x20-\x7e\t\r\n]){12,}"), "utf-16-be", 2),
+)
+# Base64 of what compressed data begins with, and as much as tells whether it does.
+_PACKED_START = re.compile(r"H4sI|Qlpo|[/_]Td6|e[AFJN]")
+PACKED_HEAD = 256
 _LINES = re.compile(rf"({_LINE_END})|[A-Za-z0-9+/_-]+")
 
 
@@ -197,6 +206,15 @@ def _opener(data: bytes) -> Callable | None:
     return None
 
 
+def _opens(data: bytes) -> bool:
+    """Whether ``data`` begins as its magic number says; that of zlib is short, and met by chance."""
+    try:
+        _opener(data)().decompress(data[:256])
+    except _ERRORS:
+        return False
+    return True
+
+
 def _inflated(
     chunks: Iterator[bytes], open_one: Callable, charge: Callable[[int], None]
 ) -> Iterator[bytes]:
@@ -255,9 +273,8 @@ def _opened(data: bytes, charge: Callable[[int], None]) -> Iterator[bytes]:
 def _windows(packed: Packed, size: int, charge: Callable[[int], None]) -> Iterator[Layer | None]:
     """What ``packed`` opens to, in windows that overlap by half; None if there are several."""
 
-    def layer(data: bytes, first: bool) -> Iterator[Layer]:
-        text = _readable(data, first, whole=False)
-        if text is not None:
+    def layers(data: bytes, first: bool) -> Iterator[Layer]:
+        for text, _, _ in _texts(data, first, whole=False):
             yield Layer(text, Source(lambda start, end: packed.whole, None), packed.whole)
 
     held, first = bytearray(), True
@@ -266,29 +283,35 @@ def _windows(packed: Packed, size: int, charge: Callable[[int], None]) -> Iterat
         while len(held) > size:
             if first:
                 yield None
-            yield from layer(bytes(held[:size]), first)
+            yield from layers(bytes(held[:size]), first)
             del held[: max(1, size // 2)]
             first = False
-    yield from layer(bytes(held), first)  # it may have ended by an error
+    yield from layers(bytes(held), first)  # it may have ended by an error
 
 
-def _readable(data: bytes, first: bool = True, whole: bool = True) -> str | None:
-    """``data`` as text, unless it is no text.
+def _texts(
+    data: bytes, first: bool = True, whole: bool = True
+) -> Iterator[tuple[str, int, int | None]]:
+    """The texts in ``data``: each with its first byte, and the bytes of a character if fixed.
 
-    What is not the first of its layer may begin within a character, and what is not whole
-    may end within one; of such data, what comes before bytes that are no text is text.
+    Data that is UTF-8 with few odd characters is one text. Of any other, such as Latin-1, UTF-16 or
+    a binary format, all runs of plain characters that can hold a secret are texts. What is not the
+    first of its layer may begin within a character, and what is not whole may end within one.
     """
+    skip = 0
     if not first:
         skip = next((n for n in range(min(4, len(data))) if data[n] & 0xC0 != 0x80), 0)
-        data = data[skip:]
     try:
-        text = codecs.getincrementaldecoder("utf-8")().decode(data, whole)
-    except UnicodeDecodeError as error:
-        if whole:
-            return None
-        text = data[: error.start].decode("utf-8")
+        text = codecs.getincrementaldecoder("utf-8")().decode(data[skip:], whole)
+    except UnicodeDecodeError:
+        text = ""
     odd = sum(not (c.isprintable() or c in "\t\r\n") for c in text)
-    return text if text and odd * 20 <= len(text) else None
+    if text and odd * 20 <= len(text):
+        yield text, skip, None
+        return
+    for pattern, coding, width in _RUNS:
+        for m in pattern.finditer(data):
+            yield m.group().decode(coding), m.start(), width
 
 
 def _wrapped(text: str) -> Iterator[list[tuple[int, int]]]:
@@ -315,31 +338,68 @@ def _wrapped(text: str) -> Iterator[list[tuple[int, int]]]:
 
 
 def _unbase64(layer: Layer) -> Iterator[Layer | Packed]:
+    """What runs of base64 characters hold, from each of the four places a group may begin at.
+
+    Other letters, digits, slashes, dashes or underscores may stand right before the base64.
+    Compressed data is looked for at every place, unless the whole run is compressed data.
+    """
     for m in _BASE64.finditer(layer.text):
-        size = len(m.group().rstrip("="))
-        if size % 4 != 1:
-            yield from _decoded(layer, [(m.start(), m.start() + size)], m.end())
+        start = m.start()
+        stop = start + len(m.group().rstrip("="))
+        packed = False
+        for skip in range(4):
+            for found in _decoded(layer, [(start + skip, stop)], m.end()):
+                packed = packed or isinstance(found, Packed) and _opens(found.data)
+                yield found
+            if packed:
+                break
+        if packed:
+            continue
+        for cut in _PACKED_START.finditer(layer.text, start, stop):
+            begin = cut.start()
+            if begin - start > 3 and _begins_packed(layer.text[begin : min(stop, begin + PACKED_HEAD)]):
+                yield from _decoded(layer, [(begin, stop)], m.end())
     for lines in _wrapped(layer.text):
         yield from _decoded(layer, lines, lines[-1][1])
 
 
-def _decoded(layer: Layer, lines: list[tuple[int, int]], end: int) -> Iterator[Layer | Packed]:
-    """What the base64 in ``lines``, ranges of ``layer``, holds."""
-    token = "".join(layer.text[a:b] for a, b in lines).replace("-", "+").replace("_", "/")
+def _bytes_of(token: str) -> bytes | None:
+    """Base64 without its padding, of either alphabet."""
+    token = token.replace("-", "+").replace("_", "/")
     token = token[: len(token) - (len(token) % 4 == 1)]
     try:
-        data = base64.b64decode(token + "=" * (-len(token) % 4), validate=True)
+        return base64.b64decode(token + "=" * (-len(token) % 4), validate=True)
     except binascii.Error:
+        return None
+
+
+def _begins_packed(token: str) -> bool:
+    data = _bytes_of(token)
+    return data is not None and _opener(data) is not None and _opens(data)
+
+
+def _decoded(layer: Layer, lines: list[tuple[int, int]], end: int) -> Iterator[Layer | Packed]:
+    """What the base64 in ``lines``, ranges of ``layer``, holds."""
+    data = _bytes_of("".join(layer.text[a:b] for a, b in lines))
+    if data is None:
         return
     whole = layer.origin(lines[0][0], end)
     if _opener(data) is not None:
         yield Packed(data, whole)
-    elif (text := _readable(data)) is not None:
-        yield Layer(text, Source(_base64_back(text, lines), layer.source), whole)
+        if _opens(data):
+            return
+    for text, first, width in _texts(data):
+        back = _base64_back(text, lines, first, width)
+        yield Layer(text, Source(back, layer.source), whole)
 
 
-def _base64_back(text: str, lines: list[tuple[int, int]]) -> Callable[[int, int], tuple[int, int]]:
-    """The base64 characters in ``lines`` that characters of the decoded text come from."""
+def _base64_back(
+    text: str, lines: list[tuple[int, int]], first: int = 0, width: int | None = None
+) -> Callable[[int, int], tuple[int, int]]:
+    """The base64 characters in ``lines`` that characters of the decoded text come from.
+
+    The text begins at byte ``first``; its characters have ``width`` bytes, or those of UTF-8.
+    """
     sizes = None
     if not text.isascii():
         sizes = np.cumsum([0, *(len(c.encode()) for c in text)])
@@ -354,6 +414,9 @@ def _base64_back(text: str, lines: list[tuple[int, int]]) -> Callable[[int, int]
     def back(start: int, end: int) -> tuple[int, int]:
         if sizes is not None:
             start, end = int(sizes[start]), int(sizes[end])
+        elif width is not None:
+            start, end = start * width, end * width
+        start, end = first + start, first + end
         return place(start * 8 // 6), place(min(-(-end * 8 // 6), at[-1]) - 1) + 1
 
     return back

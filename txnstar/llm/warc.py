@@ -277,7 +277,11 @@ def read_records(
             continue
         headers = parse_headers(block)
         row = columns_of(headers)
-        left = int(headers.get("content-length", 0))
+        stated = headers.get("content-length", "0")
+        if not stated.isdecimal():  # a broken record ends where the next one begins
+            data.until(b"\r\nWARC/")
+            continue
+        left = int(stated)
         if not all(test.holds(row) for test in tests):
             data.skip(left)
             continue
@@ -325,12 +329,14 @@ class WarcReader(DataSourceReader):
         names = [(i.path, i.size) for i in infos if i.path.endswith((".warc", ".warc.gz"))]
         manifests = [i.path for i in infos if i.base_name.endswith(MANIFEST)]
         if manifests:  # written here: only what a committed job lists is part of the archive
-            listed = set()
+            listed, folders = set(), set()
             for path in manifests:
                 with store.open_input_file(path) as file:
                     folder = path.rsplit("/", 1)[0]
+                    folders.add(folder)
                     listed |= {f"{folder}/{n}" for n in json.loads(file.read())}
-            names = [(p, s) for p, s in names if p in listed]
+            # Other folders may hold archives that others wrote.
+            names = [(p, s) for p, s in names if p in listed or p.rsplit("/", 1)[0] not in folders]
         parts: list[WarcFiles] = []
         room = 0
         for path, size in sorted(names):
