@@ -38,7 +38,7 @@ from txnstar.plans.jobs import (
 )
 from txnstar.sources.raw import broken_rows, read_raw, read_raw_zone
 from txnstar.sources.staged import current_root, new_version, read_staged, write_staged
-from txnstar.sources.warehouse import create_warehouse, load_star, load_table
+from txnstar.sources.warehouse import create_warehouse, load_star, load_table, load_tables
 from txnstar.streaming.ingest import ingest_landing, refused_files
 
 __all__ = [
@@ -64,6 +64,7 @@ __all__ = [
     "load_projection",
     "load_star",
     "load_table",
+    "load_tables",
     "lookup_key",
     "null_dates",
     "one_per_key",

@@ -31,7 +31,7 @@ from txnstar.schema import STANDARD_TABLE, STAR_TABLES
 from txnstar.sources.raw import broken_rows, read_raw, read_raw_zone
 from txnstar.sources.staged import current_root, new_version, read_staged, write_staged
 from txnstar.sources.store import Store
-from txnstar.sources.warehouse import load_star
+from txnstar.sources.warehouse import connector_table, load_star
 from txnstar.sources.workdir import fresh_dir, materialise, scratch
 from txnstar.streaming.ingest import ingest_landing
 
@@ -180,16 +180,20 @@ def run_load(
     fmt: str = "table",
     options: dict[str, str] | None = None,
 ) -> DataFrame:
-    """Replace the five warehouse tables; returns how many rows each has now.
+    """Replace the five warehouse tables together; returns how many rows each has now.
 
-    Behind a connector the count is that of the rows sent.
+    Behind a connector that can only write the count is that of the rows sent.
     """
     load_star(spark, staged_root, target, fmt, options)
-    if fmt == "table":
-        loaded = {name: spark.table(f"{target}.{name.upper()}") for name in STAR_TABLES}
-    else:
-        root = current_root(spark, staged_root)
-        loaded = {name: read_staged(spark, root, name) for name in STAR_TABLES}
+    root = current_root(spark, staged_root)
+    loaded = {}
+    for name in STAR_TABLES:
+        table = f"{target}.{name.upper()}"
+        if fmt == "table":
+            loaded[name] = spark.table(table)
+        else:
+            found = connector_table(spark, table, fmt, options or {})
+            loaded[name] = found or read_staged(spark, root, name)
     return row_counts(loaded)
 
 

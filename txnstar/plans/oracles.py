@@ -242,6 +242,7 @@ FROM k LEFT JOIN n ON key_text = name""",
     "transform_job": _star("fact_transactions"),
     "load_projection": _with(STAR, _FACT_LOADED),
     "warehouse_replace": _with(STAR, _FACT_LOADED),
+    "warehouse_failed_load": _with(STAR, _FACT_LOADED),
     "warehouse_dim_date": _loaded(
         "dim_date", "date year month day day_of_week day_name month_name quarter date_id"
     ),

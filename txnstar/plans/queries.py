@@ -47,7 +47,7 @@ from txnstar.schema import INGEST_DATE, RAW_COLUMNS
 from txnstar.sources.raw import broken_rows, csv_reader, read_raw, read_raw_zone
 from txnstar.sources.staged import new_version, read_staged, write_staged
 from txnstar.sources.store import Store
-from txnstar.sources.warehouse import create_warehouse
+from txnstar.sources.warehouse import Load, create_warehouse, load_tables
 from txnstar.sources.workdir import fresh_dir, materialise
 from txnstar.streaming.ingest import ingest_landing
 
@@ -437,6 +437,31 @@ def warehouse_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(f"{database}.FACT_TRANSACTIONS")
 
 
+def warehouse_failed_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load whose last row can't be written changes none of its tables."""
+    database, _ = _loaded(spark, sf_dir, "warehouse_failed_load")
+    fact = spark.table(f"{database}.FACT_TRANSACTIONS")
+    last = fact.agg(F.max("TRANSACTION_ID")).first()[0]
+    broken = F.when(fact.TRANSACTION_ID == last, F.raise_error(F.lit("broken row")).cast("double"))
+    rows = fact.withColumn("AMOUNT", broken.otherwise(F.lit(0.0)))
+    types = spark.table(f"{database}.DIM_TRANSACTION_TYPE").limit(0)
+    try:
+        load_tables(
+            spark,
+            [
+                Load(types, f"{database}.DIM_TRANSACTION_TYPE"),
+                Load(rows, f"{database}.FACT_TRANSACTIONS"),
+            ],
+        )
+    except Exception as error:
+        if "broken row" not in str(error):
+            raise
+    fact = spark.table(f"{database}.FACT_TRANSACTIONS")
+    types = spark.table(f"{database}.DIM_TRANSACTION_TYPE").select(F.col("TYPE_ID").alias("known"))
+    named = F.col("TYPE_ID") == F.col("known")
+    return fact.join(types, named | F.col("TYPE_ID").isNull(), "left_semi")
+
+
 def _loaded_dimension(table: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         database, _ = _loaded(spark, sf_dir, f"warehouse_{table}")
@@ -510,6 +535,7 @@ QUERIES: dict[str, Query] = {
     "transform_audit": transform_audit,
     "load_projection": load_projection_query,
     "warehouse_replace": warehouse_replace,
+    "warehouse_failed_load": warehouse_failed_load,
     "warehouse_dim_date": _loaded_dimension("dim_date"),
     "warehouse_dim_account": _loaded_dimension("dim_account"),
     "warehouse_dim_merchant": _loaded_dimension("dim_merchant"),
