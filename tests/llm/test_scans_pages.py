@@ -19,6 +19,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from tests.llm import other_site
 from tests.llm.helpers import DOCS, SF, SF_SMALL, documents, rows_of, with_clashing_columns
 from txnstar.llm import fingerprint, html_trees, warc
 from txnstar.llm.fingerprint import (
@@ -539,6 +540,16 @@ def test_main_text_of_pages_written_anew(spark, trees):
     assert words_right / words_found > 0.9 and words_right / words_due > 0.95
 
 
+def test_main_text_of_another_site(trees):
+    """Pages of a generator that has nothing of the one the trees learn from."""
+    rng = random.Random(31)
+    pages = [other_site.page(rng) for _ in range(600)]
+    found = html_trees.extract([page for page, _ in pages], trees)
+    assert np.mean([text == due for text, (_, due) in zip(found, pages, strict=True)]) > 0.9
+    foreign = [set(text.split("\n")) - set(due.split("\n")) for text, (_, due) in zip(found, pages)]
+    assert sum(map(bool, foreign)) < len(pages) / 100
+
+
 def test_pages_that_name_no_article(spark):
     long = "This paragraph says something at length, so it is part of the story. " * 3
     rows = [

@@ -20,6 +20,9 @@ from txnstar.llm.frames import only
 # Pages the trees are fitted on at most, by the hash of their ids, and rewritten copies of each.
 TRAIN_PAGES = 400
 VARIANTS = 3
+# Share of the paragraphs of a rewritten copy that get a heading, and that of the others that are
+# told as a list or a quotation.
+LISTED = 0.15
 TREES, DEPTH, BINS, RATE, RIDGE = 50, 4, 32, 0.25, 1.0
 BATCH_PAGES = 64
 LONG_RUN = 80
@@ -81,6 +84,7 @@ _ATTRIBUTE = re.compile(
 _WORD = re.compile(r"[A-Za-z][a-z]*|[A-Z]+")
 _MARK = re.compile(r"data-main-text")
 _ENDS = re.compile(r"[.!?…](?=\s|$)")
+_SENTENCE_END = re.compile(r"(?<=[.!?…])\s+")
 
 
 @functools.lru_cache(maxsize=4096)
@@ -461,6 +465,24 @@ def _wrapped(rng: random.Random, kind: str, inside: str) -> str:
     return f"<{wrapper}>{inside}</{wrapper.split()[0]}>"
 
 
+def _told(rng: random.Random, tag: str, text: str) -> str:
+    """A run of the main text in an element of its own; a paragraph may be a list or a quotation,
+    and its first words a heading above it."""
+    marked = lambda tag, text: f"<{tag} data-main-text>{entities.escape(text)}</{tag}>"
+    words = text.split()
+    if tag == "p" and len(words) > 12 and rng.random() < LISTED:
+        first = rng.randint(2, 6)
+        heading = marked(rng.choice(["h2", "h2", "h3", "h4"]), " ".join(words[:first]))
+        return heading + marked("p", " ".join(words[first:]))
+    if tag == "p" and rng.random() < LISTED:
+        points = _SENTENCE_END.split(text)
+        if len(points) > 1 and rng.random() < 0.6:
+            kind = rng.choice(["ul", "ol"])
+            return f"<{kind}>{''.join(marked('li', point) for point in points)}</{kind}>"
+        return f"<blockquote>{marked('p', text)}</blockquote>"
+    return marked(tag, text)
+
+
 def variant(
     rng: random.Random, main: list[tuple[str, str]], other: list[str], foreign: list[str]
 ) -> str:
@@ -478,7 +500,7 @@ def variant(
         main = main[: rng.randint(1, 6)]
     heading = rng.choice(["h1", "h1", "h2", "h3"])
     tagged = [(heading if tag == "h1" else tag, text) for tag, text in main]
-    blocks = [f"<{tag} data-main-text>{escape(text)}</{tag}>" for tag, text in tagged]
+    blocks = [_told(rng, tag, text) for tag, text in tagged]
     several = lambda part, most: "".join(part() for _ in range(rng.randint(1, most)))
 
     def extra(kind: str) -> str:
