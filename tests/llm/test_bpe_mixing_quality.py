@@ -12,7 +12,7 @@ import tiktoken
 from pyspark.sql import functions as F
 
 from tests.llm.helpers import DOCS, SF, SF_SMALL, documents, rows_of, with_clashing_columns, words
-from txnstar.llm import quality_fm
+from txnstar.llm import quality_fm, queries
 from txnstar.llm.bpe import ByteBpe, PairTable, decode_documents, encode_documents, round_trip
 from txnstar.llm.mixing import mix, source_targets, take_mix
 from txnstar.llm.queries import bpe_files
@@ -275,3 +275,31 @@ def test_the_fit_of_features_from_many_tasks_is_that_of_the_texts(spark):
     plain = quality_fm.FactorisationMachine(edges.astype(np.float32))
     plain.fit(features, np.array([i % 2 for i, _ in learnt], np.float32))
     assert quality_fm.train(docs.repartition(5), labels) == plain.to_bytes()
+
+
+def test_an_id_with_several_texts_teaches_the_least(spark):
+    rows = _labelled(300)
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id bigint, quality int")
+    again = [(i, "語 " * (i % 5 + 1) + t) for i, t in rows if t and i % 3 == 0]
+    learnt = quality_fm.train(documents(spark, rows), labels)
+    for mixed in (rows + again, again[::-1] + rows):
+        assert quality_fm.train(documents(spark, mixed).repartition(7), labels) == learnt
+
+
+def test_scores_of_the_query_are_those_of_the_definition(spark):
+    docs, labels = (spark.read.parquet(f"{SF_SMALL}/{t}.parquet") for t in ("documents", "labels"))
+    model = quality_fm.FactorisationMachine.from_bytes(quality_fm.train(docs, labels))
+    linear, factors = model.linear.astype(float), model.factors.astype(float)
+    found = {r.doc_id: r for r in queries.QUERIES["op1_quality_classifier"](spark, SF_SMALL).collect()}
+    given = docs.select("doc_id", "text", "n_chars").collect()
+    assert len(found) == len(given)
+    for doc in given:
+        n_chars = None if doc.n_chars is None else float(doc.n_chars)
+        _, slot, value = quality_fm.Features([doc.text], [n_chars]).with_bins(model.edges)
+        scaled = factors[slot] * value[:, None].astype(float)
+        products = scaled @ scaled.T
+        pairs = np.triu(products, 1).sum()
+        margin = float(model.bias[0]) + linear[slot] @ value + pairs
+        row = found[doc.doc_id]
+        assert row.score == pytest.approx(1 / (1 + np.exp(-np.clip(margin, -30, 30))), abs=1e-4)
+        assert row.predicted == (row.score >= 0.5)

@@ -10,6 +10,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -111,20 +112,15 @@ class Features:
         self.value = np.concatenate(values) if values else np.zeros(0, np.float32)
         self.stats = np.array(stats, np.float32).reshape(self.n, len(STATISTICS))
 
-    @classmethod
-    def from_rows(
-        cls, slots: pa.ChunkedArray, values: pa.ChunkedArray, stats: pa.ChunkedArray
-    ) -> Features:
-        """The features of texts whose slots, values and statistics are given as bytes."""
-        self = cls([], [])
-        sizes = np.array([len(x.as_py()) // 4 for x in slots], np.int64)
-        self.n = len(sizes)
-        self.owner = np.repeat(np.arange(self.n, dtype=np.int32), sizes)
-        self.slot = np.frombuffer(b"".join(x.as_py() for x in slots), np.int32)
-        self.value = np.frombuffer(b"".join(x.as_py() for x in values), np.float32)
-        flat = np.frombuffer(b"".join(x.as_py() for x in stats), np.float32)
-        self.stats = flat.reshape(self.n, len(STATISTICS))
-        return self
+    def subset(self, rows: np.ndarray) -> Features:
+        """The features of some of the texts, in the order given."""
+        starts = np.searchsorted(self.owner, np.arange(self.n + 1))
+        take = [np.arange(starts[r], starts[r + 1]) for r in rows]
+        some = Features([], [])
+        some.n, some.stats = len(rows), self.stats[rows]
+        some.owner = np.repeat(np.arange(len(rows), dtype=np.int32), [len(t) for t in take])
+        some.slot, some.value = (part[np.concatenate(take)] for part in (self.slot, self.value))
+        return some
 
     def with_bins(self, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         found = [np.searchsorted(edges[:, j], self.stats[:, j]) for j in range(len(STATISTICS))]
@@ -140,6 +136,34 @@ class Features:
         )
 
 
+class StoredFeatures:
+    """Features of texts as the bytes that ``_feature_rows`` makes of them, read a batch at a time.
+
+    A text has at most ``WORD_SLOTS`` slots of six bytes, so 8000 texts of whatever length take
+    at most 0.8 GB, and usually some MB.
+    """
+
+    def __init__(self, rows: pa.Table):
+        self.order = pc.sort_indices(rows, sort_keys=[("doc", "ascending")]).to_numpy()
+        self.slots, self.values = rows.column("slots"), rows.column("values")
+        self.n = rows.num_rows
+        flat = b"".join(x.as_py() for x in rows.column("stats"))
+        self.stats = np.frombuffer(flat, np.float32).reshape(self.n, -1)[self.order]
+        self.labels = rows.column("label").to_numpy()[self.order]
+
+    def subset(self, rows: np.ndarray) -> Features:
+        at = self.order[rows]
+        slots = [np.frombuffer(self.slots[int(i)].as_buffer(), np.uint16) for i in at]
+        some = Features([], [])
+        some.n, some.stats = len(rows), self.stats[rows]
+        some.owner = np.repeat(np.arange(len(rows), dtype=np.int32), [len(s) for s in slots])
+        some.slot = np.concatenate(slots).astype(np.int32)
+        some.value = np.concatenate(
+            [np.frombuffer(self.values[int(i)].as_buffer(), np.float32) for i in at]
+        )
+        return some
+
+
 class FactorisationMachine:
     """``w0 + sum w_i x_i + sum_{i<j} <v_i, v_j> x_i x_j`` under a logistic link.
 
@@ -171,19 +195,17 @@ class FactorisationMachine:
     def scores(self, features: Features) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.margins(features).astype(np.float64), -30, 30)))
 
-    def fit(self, features: Features, labels: np.ndarray, seed: int = 7) -> FactorisationMachine:
-        """Adaptive-rate gradient steps on the logistic loss, in small batches."""
-        owner, slot, value = features.with_bins(self.edges)
-        starts = np.searchsorted(owner, np.arange(features.n + 1))
+    def fit(
+        self, features: Features | StoredFeatures, labels: np.ndarray, seed: int = 7
+    ) -> FactorisationMachine:
+        """Adaptive-rate gradient steps on the logistic loss; one small batch is unpacked at a time."""
         rng = np.random.default_rng(seed)
         memory = [np.full_like(p, 1e-6) for p in (self.bias, self.linear, self.factors)]
         for _ in range(EPOCHS):
             order = rng.permutation(features.n)
             for low in range(0, features.n, BATCH):
                 rows = order[low : low + BATCH]
-                take = np.concatenate([np.arange(starts[r], starts[r + 1]) for r in rows])
-                own = np.repeat(np.arange(len(rows)), starts[rows + 1] - starts[rows])
-                s, x = slot[take], value[take]
+                own, s, x = features.subset(rows).with_bins(self.edges)
                 margin, per_row, scaled = self._sums(len(rows), own, s, x)
                 error = 1 / (1 + np.exp(-np.clip(margin, -30, 30))) - labels[rows]
                 error = (error / len(rows)).astype(np.float32)
@@ -231,7 +253,9 @@ def _feature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 {
                     "doc": part.column("doc"),
                     "label": part.column("label").cast(pa.float32()),
-                    "slots": pa.array([found.slot[c].tobytes() for c in cuts], pa.binary()),
+                    "slots": pa.array(
+                        [found.slot[c].astype(np.uint16).tobytes() for c in cuts], pa.binary()
+                    ),
                     "values": pa.array([found.value[c].tobytes() for c in cuts], pa.binary()),
                     "stats": pa.array([row.tobytes() for row in found.stats], pa.binary()),
                 }
@@ -242,14 +266,11 @@ def _fit_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     parts = [batch for batch in batches if batch.num_rows]
     if not parts:
         return
-    rows = pa.Table.from_batches(parts).sort_by("doc")
-    features = Features.from_rows(*(rows.column(c) for c in ("slots", "values", "stats")))
-    labels = rows.column("label").to_numpy()
-    del parts, rows
+    features = StoredFeatures(pa.Table.from_batches(parts))
     inner = np.linspace(0, 1, BINS + 1)[1:-1]
     edges = np.quantile(features.stats, inner, axis=0).astype(np.float32)
     model = FactorisationMachine(edges)
-    model.fit(features, labels)
+    model.fit(features, features.labels)
     yield pa.record_batch({"model": pa.array([model.to_bytes()], pa.binary())})
 
 
@@ -265,8 +286,9 @@ def train(
 
     The sample is that with the least hashes of the id, so it does not depend on partitions; it
     is bounded, so one task fits the model on the features that the others compute, and the
-    driver gets the model alone, about 600 KB whatever the data. An id with several labels counts with the least; rows without
-    id or label teach nothing. Returns None when nothing is left to learn from.
+    driver gets the model alone, about 600 KB whatever the data. An id with several labels counts
+    with the least, one with several texts with the least of these; rows without id or label
+    teach nothing. Returns None when nothing is left to learn from.
     """
     chosen = (
         labels.select(F.col("doc_id").alias("doc"), F.col(label_col).alias("label"))
@@ -277,7 +299,10 @@ def train(
         .limit(sample)
     )
     texts = _texts(docs, "doc_id", "text", "n_chars")
-    rows = texts.join(F.broadcast(chosen), "doc").dropDuplicates(["doc"])
+    # One row per id, the same in every run; an id without text is an empty one.
+    rows = texts.join(F.broadcast(chosen), "doc").groupBy("doc", "label")
+    rows = rows.agg(F.min(F.struct("text", "stated")).alias("least"))
+    rows = rows.select("doc", "label", "least.text", "least.stated")
     kind = rows.schema["doc"].dataType.simpleString()
     features = rows.mapInArrow(
         _feature_rows, f"doc {kind}, label float, slots binary, values binary, stats binary"
