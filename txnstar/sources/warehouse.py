@@ -29,6 +29,8 @@ log = logging.getLogger(__name__)
 LOADS = "_loads"
 # What the name of a connector's second table ends in.
 SHADOW = "__LOAD"
+# What Spark says of a connector that can be written but not read.
+NOT_READABLE = ("is not a valid Spark SQL Data Source", "does not support batch scan")
 # Catalog tables of these providers are a folder of files and nothing else.
 FILE_PROVIDERS = {"parquet", "orc", "avro", "json", "csv"}
 SESSION_CATALOG = "spark_catalog"
@@ -133,7 +135,7 @@ def connector_table(
         found.schema  # noqa: B018  asks the connector
         return found
     except AnalysisException as error:
-        if "batch scan" in str(error):
+        if any(words in str(error) for words in NOT_READABLE):
             return None
         raise
 
