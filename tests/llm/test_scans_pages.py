@@ -28,7 +28,9 @@ from txnstar.llm.fingerprint import (
     edited,
     fingerprints,
     from_hex,
+    in_order,
     likeness,
+    next_parts,
     to_hex,
 )
 from txnstar.llm.secrets import KINDS, find_secrets, scan, secret_report
@@ -489,6 +491,30 @@ def test_edit_report_of_a_whole_table(spark):
     assert np.mean(nearer) > 0.98
 
 
+def test_rows_that_repeat_id_and_text_fill_several_ranges(spark, conf):
+    conf("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    rows = [(None, "the same text")] * 3000 + [(doc, f"text {doc}") for doc in range(1000)]
+    docs = documents(spark, rows).repartition(4)
+    ranges = in_order(docs.select(F.col("doc_id").alias("doc"), "text"))
+    sizes = [r["count"] for r in ranges.groupBy(F.spark_partition_id().alias("part")).count().collect()]
+    assert sum(sizes) == 4000 and max(sizes) < 1000
+    found = edit_report(docs)
+    assert found.count() == 4000
+    hot = found.filter("doc_id IS NULL AND near_next = 1 AND n_chars = 13").count()
+    assert hot >= 2999  # the last of them is followed by the first of the others
+    others = found.filter("doc_id IS NOT NULL").collect()
+    expected = _expected_report([(-1, "the same text"), *rows[3000:]])
+    assert {r.doc_id: tuple(r[c] for c in COLUMNS) for r in others} == {
+        doc: row for doc, row in expected.items() if doc >= 0
+    }
+
+
+def test_ends_of_ranges_meet_in_a_ring(spark):
+    parts = spark.createDataFrame([(4,), (0,), (9,)], "part bigint")
+    assert rows_of(next_parts(parts), "part", "next") == [(0, 4), (4, 9), (9, 0)]
+    assert rows_of(next_parts(parts.filter("part = 4")), "part", "next") == [(4, 4)]
+
+
 def test_fingerprints_of_awkward_rows(spark):
     rows = [(1, None), (2, ""), (3, "x" * 400_000), (4, "same"), (4, "same"), (None, "a"), (None, "b")]
     docs = documents(spark, rows)

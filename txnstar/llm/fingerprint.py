@@ -202,6 +202,33 @@ def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_pydict(report, REPORT)
 
 
+def in_order(texts: DataFrame) -> DataFrame:
+    """``(doc, text)`` in ranges of ids, sorted within each.
+
+    Rows that share an id are in the order of their texts' hashes. Rows that repeat both are told
+    apart by their place in the input, so however many there are, they fill several ranges.
+    """
+    keyed = texts.select(
+        "doc",
+        "text",
+        F.xxhash64("text").alias("hash"),
+        F.monotonically_increasing_id().alias("place"),
+    )
+    keys = ["doc", "hash", "place"]
+    return keyed.repartitionByRange(*keys).sortWithinPartitions(*keys).select("doc", "text")
+
+
+def next_parts(parts: DataFrame) -> DataFrame:
+    """``(part, next)``: the next greater part, after the last the first.
+
+    One task orders the numbers, of which there is one for each task of the shuffle.
+    """
+    along = Window.orderBy("part")
+    whole = along.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    after = F.coalesce(F.lead("part").over(along), F.first("part").over(whole))
+    return parts.select("part", after.alias("next"))
+
+
 def edit_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Each document's fingerprint beside that of an edited text and of the next document.
 
@@ -212,24 +239,20 @@ def edit_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     in the order of their texts' hashes. NULL text is empty. Extra columns are ignored.
 
     One shuffle puts documents in ranges of ids; a task streams through its sorted range with
-    one row in hand. The two ends of each range are returned beside the reports, and the
-    ends, a text or two for each task, are joined in a second, small step.
+    one row in hand. The two ends of each range are returned beside the reports, and each
+    range's last row is joined with the next range's first in a second, small step.
     """
     texts = only(docs, doc=id_col, text=text_col).select(
         F.col("doc").cast("bigint").alias("doc"), F.coalesce("text", F.lit("")).alias("text")
     )
-    order = ["doc", F.xxhash64("text"), "text"]
-    ranged = texts.repartitionByRange("doc", F.xxhash64("text")).sortWithinPartitions(*order)
-    found = materialise(ranged.mapInArrow(_along, _REPORT_SQL), "reports")
+    found = materialise(in_order(texts).mapInArrow(_along, _REPORT_SQL), "reports")
     ends = found.filter("edge IS NOT NULL")
-    # One row for each task of the shuffle.
-    along = Window.orderBy("part")
-    first = ends.filter("edge = 'first'").select("part", F.col("text").alias("head"))
-    last = ends.filter("edge = 'last'").select("part", F.col("doc"), F.col("text"))
-    whole = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    after = F.coalesce(F.lead("head").over(along), F.first("head").over(whole))
-    first = first.withColumn("after", after).select("part", "after")
-    crossing = last.join(first, "part").select("part", "doc", "text", "after")
+    first = ends.filter("edge = 'first'").select(
+        F.col("part").alias("next"), F.col("text").alias("after")
+    )
+    last = ends.filter("edge = 'last'").select("part", "doc", "text")
+    crossing = last.join(next_parts(last.select("part")), "part").join(first, "next")
+    crossing = crossing.select("part", "doc", "text", "after")
     every = found.filter("edge IS NULL").union(crossing.mapInArrow(_across, _REPORT_SQL))
     return every.select(
         F.col("doc").alias("doc_id"),
