@@ -23,6 +23,7 @@ from txnstar.llm.cuckoo import (
     digest_table,
     drop_exact_copies,
     exact_duplicates,
+    hot_groups,
     live_groups,
     lookup_index,
     update_index,
@@ -131,6 +132,28 @@ def test_indices_of_tasks_merge_whatever_their_size(spark):
         assert {bytes(r.digest): (r.n, r.keep) for r in found} == expected
 
 
+def test_hot_texts_are_joined_apart_and_nothing_is_lost(spark):
+    rng = random.Random(8)
+    rows = [(n, f"text {rng.choice([0, 1, rng.randrange(9000)])}") for n in range(6000)]
+    rows += [(None, "text 0"), (5999, "text 1"), (None, None)]
+    docs = documents(spark, rows).repartition(5)
+    groups = {}
+    for n, text in rows:
+        groups.setdefault(text or "", []).append(n)
+    hot = hot_groups(live_groups(digest_table(docs))).collect()
+    assert sorted(r.n for r in hot) == sorted(len(g) for g in groups.values() if 1000 * len(g) > len(rows))
+    assert 2 <= len(hot) < 1000 and len(groups) > len(hot)
+    expected = []
+    for n, text in rows:
+        ids = [i for i in groups[text or ""] if i is not None]
+        keep = max(ids, default=None)
+        sha = hashlib.sha256((text or "").encode()).hexdigest()
+        expected.append((n, keep, len(groups[text or ""]), n == keep, sha))
+    columns = ["doc_id", "keep_id", "group_size", "kept", "text_sha256"]
+    found = [tuple(r) for r in exact_duplicates(docs).select(*columns).collect()]
+    assert sorted(found, key=repr) == sorted(expected, key=repr)
+
+
 def test_empty_tables(spark):
     docs = spark.createDataFrame([], DOCS)
     assert exact_duplicates(docs).count() == 0

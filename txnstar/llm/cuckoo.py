@@ -19,6 +19,8 @@ SLOTS = 4
 MAX_KICKS = 200
 # Live digests one task's index holds before it passes on what it has.
 LOCAL_DIGESTS = 200_000
+# A text of more than this share of all rows is joined apart; fewer than 1 / share can be.
+HOT_SHARE = 0.001
 
 
 class CuckooIndex:
@@ -211,17 +213,27 @@ def live_groups(digests: DataFrame, local_digests: int = LOCAL_DIGESTS) -> DataF
     return merged.repartition("digest").mapInArrow(_merge, schema)
 
 
+def hot_groups(groups: DataFrame) -> DataFrame:
+    """The groups of more than ``HOT_SHARE`` of all rows, of which there are few by that."""
+    limit = groups.agg((F.sum("n") * HOT_SHARE).alias("_limit"))
+    return groups.join(F.broadcast(limit), F.col("n") > F.col("_limit")).drop("_limit")
+
+
 def exact_duplicates(docs: DataFrame, **options) -> DataFrame:
     """``(doc_id, keep_id, group_size, kept, text_sha256)`` for every row of ``docs``.
 
     Rows with equal text form a group, and its greatest id stays. Texts are held equal when
     their SHA-256 is. A row whose id repeats the greatest is kept as well, and so is every
     row of a group without ids, whose ``keep_id`` is NULL; ``drop_exact_copies`` leaves one
-    of them. Options are those of ``digest_table``.
+    of them. Options are those of ``digest_table``. Copies of a text that is more than
+    ``HOT_SHARE`` of all rows are not shuffled, so no task gets them all.
     """
     digests = materialise(digest_table(docs, **options), "digests")
     groups = materialise(live_groups(digests), "groups")
-    return digests.join(groups, "digest").select(
+    # Rows of hot texts find their groups where they are; the others meet theirs by a shuffle.
+    hot = F.broadcast(materialise(hot_groups(groups), "hot"))
+    cold = digests.join(hot, "digest", "left_anti").join(groups, "digest")
+    return digests.join(hot, "digest").union(cold).select(
         F.col("doc").alias("doc_id"),
         F.col("keep").alias("keep_id"),
         F.col("n").alias("group_size"),
