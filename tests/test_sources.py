@@ -28,7 +28,7 @@ from txnstar import (
 from txnstar.plans.fixture import raw_transactions
 from txnstar.schema import RAW_COLUMNS, STAR_TABLES, warehouse_schema
 from txnstar import broken_rows, new_version
-from txnstar.plans import jobs, sizing
+from txnstar.plans import jobs, queries, sizing
 from txnstar.sources import staged, workdir
 from txnstar.sources.store import Store
 
@@ -415,3 +415,32 @@ def test_the_audit_counts_broken_rows(spark, tmp_path):
     audit = run_transform(spark, root, str(tmp_path / "staged"), set_apart=True)
     counts = {r.stage: r.row_count for r in audit.collect()}
     assert (counts["raw"], counts["broken"], counts["fact_transactions"]) == (2, 2, 2)
+
+
+def _orders_in_parts(spark, path):
+    """Order tables of six files, each a task's."""
+    for name, rows in (
+        (
+            "orders",
+            "id AS o_orderkey, id % 7 AS o_custkey, DATE'1995-01-01' AS o_orderdate, "
+            "'F' AS o_orderstatus, '2-HIGH' AS o_orderpriority, 100.0D AS o_totalprice",
+        ),
+        ("customer", "id AS c_custkey, 0L AS c_nationkey, 'X' AS c_mktsegment, 1.0D AS c_acctbal"),
+        ("nation", "id AS n_nationkey, 'PERU' AS n_name"),
+    ):
+        spark.range(0, 600, 1, 6).selectExpr(*rows.split(", ")).write.parquet(f"{path}/{name}.parquet")
+    return str(path)
+
+
+def test_broken_files_are_written_by_many_tasks(spark, conf, tmp_path, monkeypatch):
+    """One task once wrote them all, and held what the join of all rows takes."""
+    monkeypatch.setattr(workdir, "shared_dir", lambda spark: str(tmp_path / "work"))
+    conf("spark.sql.files.openCostInBytes", "200m")
+    found = queries.scan_broken_rows(spark, _orders_in_parts(spark, tmp_path / "in"))
+    rows = found.collect()
+    raw = raw_transactions(spark, str(tmp_path / "in")).count()
+    assert len(rows) == raw + 1
+    assert [r.LoginAttempts for r in rows if r.TransactionID == "broken"] == [str(2 * raw)]
+    files = list((tmp_path / "work").glob("*/date=2025-01-02/*.csv"))
+    assert len(files) == 6
+    assert {f.read_text().split("\n")[0] for f in files} == {",".join(RAW_COLUMNS)}

@@ -58,7 +58,7 @@ def _raw_columns(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in RAW_COLUMNS])
 
 
-def _write_drop(rows: DataFrame, path: str, **options: bool) -> None:
+def _write_drop(rows: DataFrame, path: str, **options: bool | int | str) -> None:
     writer = rows.write.mode("append").option("header", True).option("escape", '"')
     writer.options(**options).csv(path)
 
@@ -94,13 +94,13 @@ def scan_broken_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = raw_transactions(spark, sf_dir)
     _write_drop(raw, f"{root}/date={DAYS[0]}")
     ids = F.coalesce("TransactionID", F.lit("none"))
-    short = raw.select(F.concat(ids, F.lit(",too,few")).alias("value"))
-    long = raw.select(F.concat(ids, F.lit("," * 15)).alias("value"))
-    header = spark.createDataFrame([(",".join(RAW_COLUMNS),)], "value string")
-    lines = header.union(short).union(long).coalesce(1)
-    lines.write.mode("append").option("compression", "none").text(f"{root}/other")
+    both = F.array(F.concat(ids, F.lit(",too,few")), F.concat(ids, F.lit("," * 15)))
+    # One column, called what the files' header is; each task writes it above lines of its own.
+    lines = raw.select(F.explode(both).alias(",".join(RAW_COLUMNS)))
+    plain = {"sep": "\x01", "quote": "", "compression": "none"}
+    _write_drop(lines, f"{root}/other", **plain)
     store = Store(spark)
-    for at, name in enumerate(n for n in store.names(f"{root}/other") if n.endswith(".txt")):
+    for at, name in enumerate(n for n in store.names(f"{root}/other") if n.endswith(".csv")):
         store.rename(f"{root}/other/{name}", f"{root}/date={DAYS[1]}/broken-{at}.csv")
     store.delete(f"{root}/other")
     good = read_raw(spark, root, set_apart=True).select("TransactionID", "LoginAttempts")
