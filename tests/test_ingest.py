@@ -376,6 +376,23 @@ def test_the_drivers_calls_do_not_grow_with_the_files(spark, tmp_path, monkeypat
     assert counts[0] == counts[1]
 
 
+def test_files_of_a_batch_are_found_in_few_tasks(zone, spark):
+    """Spark gives each of many named files a task of its own to find it in."""
+    for n in range(100):
+        write_csv(zone.landing / f"drop-{n}.csv", {"TransactionID": f"T{n}"})
+    before = spark.conf.get(ingest.LISTING)
+    spark.sparkContext.setJobGroup("files", "")
+    try:
+        assert zone.run()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    status = spark.sparkContext.statusTracker()
+    stages = [s for j in status.getJobIdsForGroup("files") for s in status.getJobInfo(j).stageIds]
+    tasks = [status.getStageInfo(s).numTasks for s in stages if status.getStageInfo(s)]
+    assert max(tasks) <= ingest.LISTING_TASKS * spark.sparkContext.defaultParallelism
+    assert spark.conf.get(ingest.LISTING) == before
+
+
 @pytest.mark.parametrize("archived", [True, False])
 def test_a_compacted_ledger_still_knows_every_file(zone, spark, monkeypatch, archived):
     monkeypatch.setattr(ingest, "COMPACT_AFTER", 2)

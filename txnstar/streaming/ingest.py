@@ -13,6 +13,7 @@ import datetime as dt
 import logging
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 from functools import reduce
 
@@ -43,6 +44,9 @@ HEADER_BYTES = 1024 * 1024
 # Finished batches after which their ledgers become one.
 COMPACT_AFTER = 16
 ATTEMPTS = 3
+# Spark finds each of many named files by a task of its own, up to 10,000; for each core so many do.
+LISTING = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+LISTING_TASKS = 4
 _FIELD = r'(?:^|,)("(?:[^"]|"")*"|[^,]*)'
 _FIRST_LINE = r"^\uFEFF?(?:[ \t]*\r?\n)*([^\r\n]*)"
 
@@ -114,6 +118,18 @@ def _mover(archive: str) -> callable:
     return rows
 
 
+@contextmanager
+def _listed_in_few(spark: SparkSession) -> Iterator[None]:
+    """Within it the files a reader is given by name are found in a few tasks, many in each."""
+    before = spark.conf.get(LISTING)
+    most = LISTING_TASKS * spark.sparkContext.defaultParallelism
+    spark.conf.set(LISTING, min(int(before), most))
+    try:
+        yield
+    finally:
+        spark.conf.set(LISTING, before)
+
+
 @dataclass
 class _Zone:
     spark: SparkSession
@@ -246,7 +262,8 @@ class _Zone:
             columns += [c for c in header if c.lower() not in known]
             schema = text_schema(list(header)).add(BROKEN, "string")
             rows = csv_reader(self.spark).option("columnNameOfCorruptRecord", BROKEN)
-            parts.append(rows.schema(schema).csv(paths))
+            with _listed_in_few(self.spark):
+                parts.append(rows.schema(schema).csv(paths))
         counts = Observation()
         every = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
         every = every.observe(
