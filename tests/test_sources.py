@@ -444,3 +444,16 @@ def test_broken_files_are_written_by_many_tasks(spark, conf, tmp_path, monkeypat
     files = list((tmp_path / "work").glob("*/date=2025-01-02/*.csv"))
     assert len(files) == 6
     assert {f.read_text().split("\n")[0] for f in files} == {",".join(RAW_COLUMNS)}
+
+
+# ---- long projections -----------------------------------------------------------------------
+
+
+@pytest.mark.parametrize(("given", "then"), [("65535", "8000"), ("100", "100")])
+def test_no_method_is_too_long_for_the_jvm_to_compile(spark, conf, tmp_path, given, then):
+    conf(sizing.HUGE_METHOD, given)
+    raw_transactions(spark, SF_SMALL)
+    assert spark.conf.get(sizing.HUGE_METHOD) == then
+    conf(sizing.HUGE_METHOD, given)
+    stage_star(raw_rows(spark, {}), str(tmp_path))
+    assert spark.conf.get(sizing.HUGE_METHOD) == then

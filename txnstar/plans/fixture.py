@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from txnstar.plans.sizing import compiled
 from txnstar.schema import RAW_COLUMNS
 
 
@@ -43,6 +44,7 @@ def _written_date(ts: Column, key: Column) -> Column:
 
 
 def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    compiled(spark)
     orders, customer, nation = (
         spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("orders", "customer", "nation")
     )

@@ -26,7 +26,7 @@ from txnstar.operators.star import (
     build_fact,
     transaction_types,
 )
-from txnstar.plans.sizing import sized_for, text_bytes
+from txnstar.plans.sizing import compiled, sized_for, text_bytes
 from txnstar.schema import STANDARD_TABLE, STAR_TABLES
 from txnstar.sources.raw import broken_rows, read_raw, read_raw_zone
 from txnstar.sources.staged import current_root, new_version, read_staged, write_staged
@@ -96,6 +96,7 @@ def stage_star(
     until then, and if the run fails, ``read_staged`` finds those of the run before. Returns the
     rows of every step and table, as committed; intermediate tables are removed.
     """
+    compiled(raw.sparkSession)
     with new_version(raw.sparkSession, staged_root) as root:
         return _write_star(raw, root, small_file_bytes)
 

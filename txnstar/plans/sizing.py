@@ -15,6 +15,9 @@ GIB = 1024 * MIB
 MAX_SPLIT, MAX_REDUCER = GIB, 4 * GIB
 MIN_SPLIT, MIN_REDUCER = 128 * MIB, 512 * MIB
 TASKS = 10_000
+# The JVM never compiles a method of more bytes of code; it interprets it, many times slower.
+COMPILED_BYTES = 8000
+HUGE_METHOD = "spark.sql.codegen.hugeMethodLimit"
 # Rows whose width stands for that of all.
 MEASURED_ROWS = 20_000
 
@@ -43,6 +46,16 @@ def session_conf(raw_bytes: int, partitions: int = 200) -> dict[str, str]:
     }
 
 
+def compiled(spark: SparkSession) -> None:
+    """Let Spark run long projections as short methods, which the JVM compiles.
+
+    A stage whose columns make one method too long for that runs operator by operator instead,
+    each column in methods of its own. The option stays set, as frames run after their query returns.
+    """
+    if int(spark.conf.get(HUGE_METHOD)) > COMPILED_BYTES:
+        spark.conf.set(HUGE_METHOD, COMPILED_BYTES)
+
+
 def text_bytes(df: DataFrame, measured: int = MEASURED_ROWS) -> int:
     """About the bytes that written rows of text have as CSV, however well they are compressed.
 
