@@ -418,17 +418,19 @@ def test_the_audit_counts_broken_rows(spark, tmp_path):
 
 
 def _orders_in_parts(spark, path):
-    """Order tables of six files, each a task's."""
-    for name, rows in (
-        (
-            "orders",
-            "id AS o_orderkey, id % 7 AS o_custkey, DATE'1995-01-01' AS o_orderdate, "
-            "'F' AS o_orderstatus, '2-HIGH' AS o_orderpriority, 100.0D AS o_totalprice",
-        ),
-        ("customer", "id AS c_custkey, 0L AS c_nationkey, 'X' AS c_mktsegment, 1.0D AS c_acctbal"),
-        ("nation", "id AS n_nationkey, 'PERU' AS n_name"),
+    """Order tables; the orders are six files, each a task's."""
+    orders = (
+        "id AS o_orderkey, id % 7 AS o_custkey, DATE'1995-01-01' AS o_orderdate, "
+        "'F' AS o_orderstatus, '2-HIGH' AS o_orderpriority, 100.0D AS o_totalprice"
+    )
+    customer = "id AS c_custkey, 0L AS c_nationkey, 'X' AS c_mktsegment, 1.0D AS c_acctbal"
+    for name, n, files, columns in (
+        ("orders", 6000, 6, orders),
+        ("customer", 7, 1, customer),
+        ("nation", 1, 1, "id AS n_nationkey, 'PERU' AS n_name"),
     ):
-        spark.range(0, 600, 1, 6).selectExpr(*rows.split(", ")).write.parquet(f"{path}/{name}.parquet")
+        rows = spark.range(0, n, 1, files).selectExpr(*columns.split(", "))
+        rows.write.parquet(f"{path}/{name}.parquet")
     return str(path)
 
 
