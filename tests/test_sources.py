@@ -459,3 +459,10 @@ def test_no_method_is_too_long_for_the_jvm_to_compile(spark, conf, tmp_path, giv
     conf(sizing.HUGE_METHOD, given)
     stage_star(raw_rows(spark, {}), str(tmp_path))
     assert spark.conf.get(sizing.HUGE_METHOD) == then
+
+
+def test_raw_rows_take_their_time_once_and_are_long_only_at_the_end(spark):
+    raw = raw_transactions(spark, SF_SMALL)
+    plan = raw._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("timestampadd") == 1
+    assert "lpad" not in plan[plan.index("Generate explode") :]

@@ -19,7 +19,10 @@ def _padded(c: Column, width: int) -> Column:
 
 
 def _written_date(ts: Column, key: Column) -> Column:
-    """The time in one of six layouts by key; built from its parts, so in no zone."""
+    """The time in one of six layouts by key; built from its parts, so in no zone.
+
+    ``ts`` is to be a column that rows have already: each part would compute it anew.
+    """
     year, month, day = F.year(ts), F.month(ts), F.dayofmonth(ts)
     hour, minute, second = F.hour(ts), F.minute(ts), F.second(ts)
     month2, day2, hour2, minute2 = (_padded(c, 2) for c in (month, day, hour, minute))
@@ -52,8 +55,15 @@ def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         nation, customer["c_nationkey"] == nation["n_nationkey"]
     )
     key, cust = F.col("o_orderkey"), F.col("o_custkey")
+    copies = F.when(key % 50 == 1, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    # Repeated while they are short, so that the long rows are made once and copied by nobody.
+    rows = rows.select(
+        *["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"],
+        *["n_name", "c_mktsegment", "c_acctbal"],
+        F.timestamp_add("MINUTE", key % 1440, F.col("o_orderdate")).alias("_ts"),
+        F.explode(copies).alias("_copy"),
+    )
     cents = _padded(key % 100, 2)
-    ts = F.timestamp_add("MINUTE", key % 1440, F.col("o_orderdate"))
     status = F.col("o_orderstatus")
     priority = F.col("o_orderpriority")
     columns = {
@@ -68,7 +78,7 @@ def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
                 cents,
             ),
         ),
-        "TransactionDate": _written_date(ts, key),
+        "TransactionDate": _written_date(F.col("_ts"), key),
         "TransactionType": F.when(status == "F", "Debit")
         .when(status == "O", "Credit")
         .when(key % 2 == 0, "Debit"),
@@ -87,7 +97,4 @@ def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
             (F.floor("c_acctbal") + key % 500).cast("string"), F.lit("."), cents
         ),
     }
-    copies = F.when(key % 50 == 1, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
-    return rows.select(
-        *[c.alias(name) for name, c in columns.items()], F.explode(copies).alias("_copy")
-    ).select(*[F.col(f"`{c}`") for c in RAW_COLUMNS])
+    return rows.select(*[columns[c].alias(c) for c in RAW_COLUMNS])
